@@ -1,0 +1,125 @@
+"""Score bands, outcome trends per band, and score validity."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from ..functions.bands import INVALID_SCORE_LABELS, invalid_score_label, score_band, score_cuts
+from ..functions.columns import number, require_columns
+from .long_form import rows_from, to_long
+from .rows import POPULATION
+
+# Status codes behind the trend names, compared with case.
+STATUSES = {
+    "fa": "FINAL_APPROVED",
+    "ca": "COND_APPROVED",
+    "d1": "DENIED_1",
+    "d2": "DENIED_2",
+}
+RATIOS = {"ca/fa": ("ca", "fa"), "d1/fa": ("d1", "fa")}
+SCORE_VALUES = ["score", "total_population", *STATUSES, *RATIOS]
+
+
+def score_metrics(
+    df: DataFrame,
+    cuts: Sequence[float],
+    wanted: Mapping[str, Sequence[str]],
+    *,
+    score: str = "output_value",
+    id_column: str = "id",
+    include_last: bool = False,
+) -> DataFrame:
+    """All metrics that count by score band, from one aggregate.
+
+    ``wanted`` maps a metric name to value names: ``score`` (share in percent), ``total_population``
+    (counts), ``fa ca d1 d2`` (counts by status) and ``ca/fa d1/fa`` (ratios, 0 where there is no
+    ``fa``; their total is the sum of the ratios).
+    """
+    names = {value.lower() for values in wanted.values() for value in values}
+    unknown = sorted(names - set(SCORE_VALUES))
+    if unknown:
+        raise ValueError(f"unknown score values {unknown}; known: {SCORE_VALUES}")
+    ratios = {name: pair for name, pair in RATIOS.items() if name in names}
+    statuses = [
+        name for name in STATUSES if name in names or any(name in pair for pair in ratios.values())
+    ]
+    require_columns(df, [*POPULATION, score, id_column, *(["status"] if statuses else [])])
+
+    edges = score_cuts(cuts)
+    band = score_band(number(score), edges, include_last).alias("band_no")
+    counts = df.groupBy(*POPULATION, band).agg(
+        F.count(id_column).alias("n"),
+        *[F.count_if(F.col("status") == STATUSES[name]).alias(name) for name in statuses],
+    )
+
+    whole = Window.partitionBy(*POPULATION)
+    total = F.sum("n").over(whole)
+    share = F.round(F.try_divide(F.col("n"), total) * 100, 3)
+    measures: dict[str, tuple[Column, Column, Column]] = {
+        "score": (F.col("n"), share, total),
+        "total_population": (F.col("n"), F.col("n"), total),
+    }
+    for name in statuses:
+        measures[name] = (F.col(name), F.col(name), F.sum(name).over(whole))
+    for name, (top, base) in ratios.items():
+        ratio = F.when(F.col(base) == 0, F.lit(0.0)).otherwise(F.col(top) / F.col(base))
+        measures[name] = (F.lit(None), ratio, F.sum(ratio).over(whole))
+
+    # Window results first, one column per measure; then a row for each requested metric and value.
+    used = [name for name in measures if name in names]
+    wide = counts.select(
+        *POPULATION,
+        "band_no",
+        *[
+            F.struct(
+                cnt.cast("long").alias("cnt"),
+                value.cast("double").alias("metric_value"),
+                sum_.cast("double").alias("total"),
+            ).alias(name)
+            for name, (cnt, value, sum_) in ((name, measures[name]) for name in used)
+        ],
+    )
+    structs = [
+        F.struct(
+            F.lit(metric).alias("metric_name"),
+            F.lit(value).alias("value_name"),
+            F.col(f"`{value.lower()}`.cnt").alias("cnt"),
+            F.col(f"`{value.lower()}`.metric_value").alias("metric_value"),
+            F.col(f"`{value.lower()}`.total").alias("total"),
+        )
+        for metric, values in wanted.items()
+        for value in values
+    ]
+    return to_long(
+        rows_from(wide, ["band_no"], structs),
+        band_label=F.col("band_no").cast("string"),
+        n_bands=F.lit(len(edges) - 1),
+        edges=F.array(*[F.lit(edge) for edge in edges]),
+    )
+
+
+def invalid_scores(df: DataFrame, score: str = "output_value") -> DataFrame:
+    """Rows by score validity. Five conditional counts make every label appear, also with count 0."""
+    require_columns(df, [*POPULATION, score])
+    label = invalid_score_label(number(score))
+    counted = df.select(*POPULATION, label.alias("label")).groupBy(*POPULATION)
+    wide = counted.agg(
+        F.count(F.lit(1)).alias("total"),
+        *[F.count_if(F.col("label") == text).alias(text) for text in INVALID_SCORE_LABELS],
+    )
+    structs = [
+        F.struct(
+            F.lit(position).alias("band_no"),
+            F.lit(text).alias("band_label"),
+            F.col(f"`{text}`").alias("cnt"),
+        )
+        for position, text in enumerate(INVALID_SCORE_LABELS, start=1)
+    ]
+    return to_long(
+        rows_from(wide, ["total"], structs),
+        metric_name=F.lit("INVALID_SCORE"),
+        value_name=F.lit("total_population"),
+        metric_value=F.col("cnt"),
+    )

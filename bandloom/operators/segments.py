@@ -1,0 +1,46 @@
+"""Rows per segment label."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import DataFrame, Window, functions as F
+
+from ..functions.columns import require_columns
+from ..functions.segments import SEGMENTS, TEXT_SEGMENTS, Rule, segment_label
+from .features import by_batch
+from .long_form import to_long
+from .rows import POPULATION
+
+
+def segment_counts(
+    df: DataFrame,
+    names: Sequence[str],
+    *,
+    segments: Mapping[str, Sequence[Rule]] = SEGMENTS,
+    text_segments: Mapping[str, Sequence[str]] = TEXT_SEGMENTS,
+) -> DataFrame:
+    """Rows per label of every named segment.
+
+    Labels are computed side by side in the row and stacked afterwards, so all segments share one
+    aggregate; partial counts leave each task with one row per population and label.
+    """
+    require_columns(df, [*POPULATION, *names])
+
+    def count(batch: list[str]) -> DataFrame:
+        labels = df.select(
+            *POPULATION,
+            *[segment_label(name, segments, text_segments).alias(name) for name in batch],
+        )
+        stacked = labels.unpivot(POPULATION, batch, "value_name", "band_label")
+        return stacked.groupBy(*POPULATION, "value_name", "band_label").agg(
+            F.count(F.lit(1)).alias("cnt")
+        )
+
+    total = F.sum("cnt").over(Window.partitionBy(*POPULATION, "value_name"))
+    return to_long(
+        by_batch(list(names), count),
+        metric_name=F.lit("SEGMENT_DISTRIBUTION"),
+        metric_value=F.col("cnt"),
+        total=total,
+    )
