@@ -64,14 +64,24 @@ def feature_band_counts(
             *[feature_band(filled(name, fills.get(name)), cuts.get(name)).alias(name) for name in batch],
         )
         stacked = banded.unpivot(POPULATION, batch, "feature", "band_no")
-        return stacked.groupBy(*POPULATION, "feature", "band_no").agg(F.count(F.lit(1)).alias("cnt"))
+        counts = stacked.groupBy(*POPULATION, "feature", "band_no").agg(
+            F.count(F.lit(1)).alias("cnt")
+        )
+        edges = {name: F.lit(feature_edges(cuts.get(name))) for name in batch}
+        n_bands = {name: F.lit(feature_band_count(cuts.get(name))) for name in batch}
+        return counts.withColumns(
+            {
+                "n_bands": _by_name(n_bands),
+                "edges": _by_name(edges).cast("array<double>"),
+            }
+        )
 
-    # As long as the list of features, which is control data; the join sees aggregates only.
-    edges = df.sparkSession.createDataFrame(
-        [(name, feature_band_count(cuts.get(name)), feature_edges(cuts.get(name))) for name in features],
-        "feature string, n_bands int, edges array<double>",
-    )
-    return by_batch(list(features), count).join(edges, "feature")
+    return by_batch(list(features), count)
+
+
+def _by_name(values: Mapping[str, Column]) -> Column:
+    """The value that belongs to the row's feature."""
+    return F.coalesce(*[F.when(F.col("feature") == name, value) for name, value in values.items()])
 
 
 def feature_shares(counts: DataFrame, wanted: Mapping[str, Sequence[str]]) -> DataFrame:
