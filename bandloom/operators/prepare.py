@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import lower_columns
-from .rows import latest_per_key
+from .rows import as_list, latest_per_key
 
 # Names the sources use, and the names of the common model.
 RENAMES = {
@@ -71,15 +71,25 @@ def prepare_source(
     joined copies is as good as another (they share the production row and so its time), and a
     repeated id then never multiplies in the join.
     """
+    needed = {id_column, reference_key, latest_by, *(as_list(tie_break) or []), "platform"}
+    needed = {name.lower() for name in needed}
+
+    def trim(df: DataFrame, names: Sequence[str] = ()) -> DataFrame:
+        # Unwanted columns go before ties are broken by content, so that they are never read.
+        kept = [name for name in df.columns if name.lower() in needed]
+        unwanted = drop_columns(df.drop(*kept), [*names, *drop], drop_prefixes).columns
+        return df.select(*kept, *unwanted)
+
+    features, outputs = trim(features), trim(outputs)
     if one_row_per_id:
         features = latest_per_key(features, id_column, None)
         outputs = latest_per_key(outputs, id_column, None)
-    latest = drop_columns(
-        latest_per_key(production, reference_key, latest_by, tie_break), drop_from_production
-    ).withColumn("platform", platform)
+    production = trim(production.withColumn("platform", platform), drop_from_production)
+    latest = latest_per_key(production, reference_key, latest_by, tie_break)
     joined = outputs.join(features, on=id_column, how="inner")
     joined = joined.join(latest, F.col(id_column) == F.col(reference_key), "inner")
-    return drop_columns(lower_columns(joined), drop, drop_prefixes)
+    after = [name for name in drop_from_production if name.lower() != "platform"]
+    return drop_columns(lower_columns(joined), [*after, *drop], drop_prefixes)
 
 
 def json_keys(df: DataFrame, column: str, keys: Sequence[str]) -> DataFrame:

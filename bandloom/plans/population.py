@@ -17,9 +17,11 @@ from ..operators.prepare import (
     platform_from_channel,
     prepare_source,
 )
-from ..operators.rows import latest_per_key
+from ..operators.rows import as_list, latest_per_key
 from ..sources.files import delete_folder, read_table, scratch_folder, write_table
 
+_SOURCE = "__source"
+
 
 @dataclass
 class SourceTables:
@@ -59,10 +61,13 @@ def build_population(
     """Join every source, stack them, and keep the latest row of each id.
 
     Since one row per id is kept in the end, each table is brought to one row per id *before* it is
-    joined, so that joins are one-to-one and no repeated id can blow up.
+    joined, so that joins are one-to-one and no repeated id can blow up. All tables are shuffled on the
+    id once; joins, union and the last choice run on that partitioning. Of rows with the same time in
+    several sources, the one from the source listed first is kept (after ``tie_break``, if given).
     """
-    prepared = [
-        prepare_source(
+    prepared = []
+    for position, source in enumerate(sources):
+        frame = prepare_source(
             read_table(spark, source.features),
             read_table(spark, source.outputs),
             read_table(spark, source.production),
@@ -76,10 +81,14 @@ def build_population(
             drop_prefixes=source.drop_prefixes,
             one_row_per_id=True,
         )
-        for source in sources
-    ]
+        # The join made the reference key equal to the id. Spark keeps the partitioning of a union
+        # only if it is on a single column, so the second name of the key is put back at the end.
+        prepared.append(frame.drop(source.reference_key).withColumn(_SOURCE, F.lit(-position)))
     merged = merge_sources(prepared, json_column=json_column, keys=json_keys, renames=renames)
-    return latest_per_key(merged, id_column, latest_by, tie_break)
+    ties = [name for name in as_list(tie_break) or [] if name in merged.columns]
+    population = latest_per_key(merged, id_column, latest_by, [*ties, _SOURCE]).drop(_SOURCE)
+    names = {source.reference_key.lower() for source in sources}
+    return population.withColumns({name: F.col(id_column) for name in names})
 
 
 @contextmanager

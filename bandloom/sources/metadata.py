@@ -62,7 +62,7 @@ def _small_rows(df: DataFrame, path: str) -> list:
 def _load(spark: SparkSession, path: str) -> Any:
     """A JSON document, or Parquet with one column (a list) or two (a dictionary)."""
     if path.endswith(".json"):
-        lines = _small_rows(spark.read.option("wholetext", True).text(path), path)
+        lines = _small_rows(spark.read.text(path, wholetext=True), path)
         return json.loads(lines[0].value)
     table = spark.read.parquet(path)
     if len(table.columns) == 1:
