@@ -1,5 +1,5 @@
 from .bands import feature_band, feature_band_count, feature_edges, invalid_score_label, score_band
-from .columns import lower_columns, number, row_digest
+from .columns import lower_columns, row_digest
 from .segments import SEGMENTS, segment_label
 
 __all__ = [
@@ -9,7 +9,6 @@ __all__ = [
     "feature_edges",
     "invalid_score_label",
     "lower_columns",
-    "number",
     "row_digest",
     "score_band",
     "segment_label",

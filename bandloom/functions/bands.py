@@ -1,8 +1,8 @@
 """Cutting a number into bands.
 
 Score bands are closed on the left, feature bands on the right. Both are written as one nested
-``when`` that halves the edges at each step, so a value costs log2(edges) comparisons and the whole
-expression stays in generated code.
+``CASE`` that halves the edges at each step, so a value costs log2(edges) comparisons and the whole
+expression stays in generated code. The functions take the name of a numeric column.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, functions as F
 
+from .sql import double, quoted, text
+
 # Labels of the validity bands, in report order.
 INVALID_SCORE_LABELS = ["<0", "=0", "0-1", ">=1", "NULL"]
 
@@ -23,7 +25,7 @@ def _edge(value: float) -> float:
     return edge
 
 
-def _locate(value: Column, edges: Sequence[float], leaves: Sequence[Column], closed: str) -> Column:
+def _locate(value: str, edges: Sequence[float], leaves: Sequence[str], closed: str) -> str:
     """The leaf of the interval that holds ``value``; there is one leaf more than there are edges.
 
     NaN compares as larger than every number and so reaches the last leaf.
@@ -31,10 +33,16 @@ def _locate(value: Column, edges: Sequence[float], leaves: Sequence[Column], clo
     if not edges:
         return leaves[0]
     middle = len(edges) // 2
-    below = value < edges[middle] if closed == "left" else value <= edges[middle]
-    return F.when(below, _locate(value, edges[:middle], leaves[: middle + 1], closed)).otherwise(
-        _locate(value, edges[middle + 1 :], leaves[middle + 1 :], closed)
-    )
+    sign = "<" if closed == "left" else "<="
+    below = _locate(value, edges[:middle], leaves[: middle + 1], closed)
+    above = _locate(value, edges[middle + 1 :], leaves[middle + 1 :], closed)
+    return f"CASE WHEN {value} {sign} {double(edges[middle])} THEN {below} ELSE {above} END"
+
+
+def _band(name: str, edges: Sequence[float], leaves: Sequence[str], closed: str) -> Column:
+    value = quoted(name)
+    band = _locate(value, edges, leaves, closed)
+    return F.expr(f"CAST(CASE WHEN {value} IS NOT NULL THEN {band} END AS INT)")
 
 
 def score_cuts(cuts: Iterable[float]) -> list[float]:
@@ -47,17 +55,16 @@ def score_cuts(cuts: Iterable[float]) -> list[float]:
     return edges
 
 
-def score_band(value: Column, cuts: Iterable[float], include_last: bool = False) -> Column:
+def score_band(name: str, cuts: Iterable[float], include_last: bool = False) -> Column:
     """Band i (from 1) holds ``[cut i-1, cut i)``; everything outside, NaN and null have no band.
 
     A score equal to the last cut is outside unless ``include_last`` puts it in the last band.
     """
     edges = score_cuts(cuts)
     count = len(edges) - 1
-    no_band = F.lit(None).cast("int")
-    last = F.when(value == edges[-1], F.lit(count)) if include_last else no_band
-    leaves = [no_band, *[F.lit(band) for band in range(1, count + 1)], last]
-    return F.when(value.isNotNull(), _locate(value, edges, leaves, "left"))
+    last = f"CASE WHEN {quoted(name)} = {double(edges[-1])} THEN {count} END"
+    bands = [str(band) for band in range(1, count + 1)]
+    return _band(name, edges, ["NULL", *bands, last if include_last else "NULL"], "left")
 
 
 def feature_edges(edges: Iterable[float | None] | None) -> list[float]:
@@ -81,23 +88,21 @@ def feature_band_count(edges: Iterable[float | None] | None) -> int:
     return len(_inner_edges(edges)) + 1
 
 
-def feature_band(value: Column, edges: Iterable[float | None] | None) -> Column:
+def feature_band(name: str, edges: Iterable[float | None] | None) -> Column:
     """Band 1 is ``(-inf, e1]``, band k ``(ek-1, ek]`` and the last is open above.
 
     The outermost edges are dropped when there are three or more; two distinct edges split at the
     larger one, one edge splits there, and a feature without edges is one single band.
     """
     inner = _inner_edges(edges)
-    leaves = [F.lit(band) for band in range(1, len(inner) + 2)]
-    return F.when(value.isNotNull(), _locate(value, inner, leaves, "right"))
+    return _band(name, inner, [str(band) for band in range(1, len(inner) + 2)], "right")
 
 
-def invalid_score_label(score: Column) -> Column:
+def invalid_score_label(name: str) -> Column:
     """Which kind of validity a score has; every row gets exactly one label (NaN counts as >=1)."""
-    return (
-        F.when(score.isNull(), "NULL")
-        .when(score < 0, "<0")
-        .when(score == 0, "=0")
-        .when(score >= 1, ">=1")
-        .otherwise("0-1")
+    score = quoted(name)
+    below, zero, valid, above, missing = (text(label) for label in INVALID_SCORE_LABELS)
+    return F.expr(
+        f"CASE WHEN {score} IS NULL THEN {missing} WHEN {score} < 0 THEN {below} "
+        f"WHEN {score} = 0 THEN {zero} WHEN {score} >= 1 THEN {above} ELSE {valid} END"
     )

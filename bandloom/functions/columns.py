@@ -6,12 +6,9 @@ from collections import Counter
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-Fill = float | int | str | bool
-
+from .sql import double, number, quoted, text
 
-def number(name: str) -> Column:
-    """The column as a double; text that is no number becomes null instead of failing the job."""
-    return F.col(f"`{name}`").try_cast("double")
+Fill = float | int | str | bool
 
 
 def lower_columns(df: DataFrame) -> DataFrame:
@@ -58,16 +55,15 @@ def column_type(df: DataFrame, name: str) -> T.DataType:
     raise ValueError(f"missing columns [{name!r}]; available: {df.columns}")
 
 
-def equals_fill(df: DataFrame, name: str, fill: Fill) -> Column:
-    """Whether a value is the one written in place of a missing value.
+def equals_fill(df: DataFrame, name: str, fill: Fill) -> str:
+    """SQL for whether a value is the one written in place of a missing value.
 
     Each column gets a literal of its own kind: a number is looked for in a text column by reading the
     text as a number, and a text fill is compared with the value's text.
     """
-    column = F.col(f"`{name}`")
     if isinstance(fill, str):
-        return column.cast("string") == F.lit(fill)
-    if isinstance(column_type(df, name), (T.StringType, T.BooleanType)):
-        column = column.try_cast("double")
-        fill = float(fill)
-    return column == F.lit(fill)
+        return f"CAST({quoted(name)} AS STRING) = {text(fill)}"
+    dtype = column_type(df, name)
+    if isinstance(fill, int) and isinstance(dtype, T.IntegralType):
+        return f"{quoted(name)} = {int(fill)}"
+    return f"{number(name)} = {double(fill)}"

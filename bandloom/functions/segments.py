@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import operator
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
-from .columns import number
+from .sql import double, number, quoted, text
 
 Limit = tuple[str, float]
 Rule = tuple[str, Sequence[Limit]]
@@ -60,15 +58,6 @@ SEGMENTS: dict[str, list[Rule]] = {
 TEXT_SEGMENTS: dict[str, list[str]] = {"employment_type": [" ", "none"]}
 NOT_AVAILABLE = "NA"
 
-_COMPARE = {
-    "<": operator.lt,
-    "<=": operator.le,
-    "=": operator.eq,
-    ">=": operator.ge,
-    ">": operator.gt,
-}
-
-
 def segment_label(
     name: str,
     segments: Mapping[str, Sequence[Rule]] = SEGMENTS,
@@ -76,18 +65,21 @@ def segment_label(
 ) -> Column:
     """The segment label of a column, chosen by the column's name."""
     key = name.lower()
+    missing = text(NOT_AVAILABLE)
     if key in text_segments:
-        text = F.col(f"`{name}`").cast("string")
-        missing = text.isNull() | text.isin(*text_segments[key])
-        return F.when(missing, NOT_AVAILABLE).otherwise(text)
+        given = f"CAST({quoted(name)} AS STRING)"
+        not_given = ", ".join(text(value) for value in text_segments[key])
+        return F.expr(
+            f"CASE WHEN {given} IS NULL OR {given} IN ({not_given}) THEN {missing} ELSE {given} END"
+        )
     if key not in segments:
         raise ValueError(f"no segment rule for {name!r}; known: {segment_names()}")
     value = number(name)
-    label = F.lit(NOT_AVAILABLE)
-    for text, limits in reversed(segments[key]):
-        holds = reduce(operator.and_, [_COMPARE[sign](value, float(at)) for sign, at in limits])
-        label = F.when(holds, text).otherwise(label)
-    return label
+    rules = [
+        f"WHEN {' AND '.join(f'{value} {sign} {double(limit)}' for sign, limit in limits)} THEN {text(label)}"
+        for label, limits in segments[key]
+    ]
+    return F.expr(f"CASE {' '.join(rules)} ELSE {missing} END")
 
 
 def segment_names() -> list[str]:

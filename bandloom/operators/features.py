@@ -5,28 +5,40 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.bands import feature_band, feature_band_count, feature_edges
-from ..functions.columns import Fill, column_type, equals_fill, number, require_columns
-from .long_form import rows_from, to_long
+from ..functions.columns import Fill, column_type, equals_fill, require_columns
+from ..functions.sql import double, number, quoted, text
+from .long_form import WHOLE_POPULATION, rows_from, to_long
 from .rows import POPULATION
 
-# Columns stacked by one operator. Generated code grows with the number of stacked columns and the JVM
-# does not compile very long methods, so many features are handled in several branches. Every branch
-# scans its own columns only; together the branches read each feature once.
-STACK = 8
-# Conditional counts in one aggregate; Spark turns generated code off above 100 fields.
-WIDE = 40
+# The JVM leaves methods of more than 8000 bytes of code uncompiled, several times slower. Spark puts the
+# stacking of columns into one method, so many columns are stacked in several branches, each small enough
+# (measured: 60 bytes per unit below). Every branch scans its own columns only; together they read each
+# column once.
+BRANCH = 110
+# What a stacked column weighs on top of its band edges, and a conditional count without stacking.
+STACKED = 5
+COUNTED = 3
 
 
 def by_batch(
-    names: list[str], make: Callable[[list[str]], DataFrame], size: int = STACK
+    names: Sequence[str],
+    make: Callable[[list[str]], DataFrame],
+    weight: Callable[[str], int] = lambda name: STACKED,
 ) -> DataFrame:
-    """Union the results of ``make`` over batches of the names."""
-    if not names:
+    """Union the results of ``make`` over batches of the names, none heavier than a branch may be."""
+    batches: list[list[str]] = []
+    room = 0
+    for name in names:
+        room -= weight(name)
+        if room < 0 or not batches:
+            batches.append([])
+            room = BRANCH - weight(name)
+        batches[-1].append(name)
+    if not batches:
         raise ValueError("at least one name is needed")
-    batches = [names[start : start + size] for start in range(0, len(names), size)]
     return reduce(DataFrame.unionAll, [make(batch) for batch in batches])
 
 
@@ -36,12 +48,13 @@ def unpivot_features(df: DataFrame, features: Sequence[str], ids: Sequence[str]
     return df.unpivot(list(ids), list(features), "feature", "value")
 
 
-def filled(name: str, fill: Fill | None) -> Column:
-    """The feature as a double, with the fill in place of null and NaN."""
+def filled(name: str, fill: Fill | None) -> str:
+    """SQL for the feature as a double, with the fill in place of null and NaN."""
     value = number(name)
     if fill is None:
         return value
-    return F.when(value.isNull() | F.isnan(value), F.lit(fill).try_cast("double")).otherwise(value)
+    put = f"try_cast({text(fill)} AS DOUBLE)" if isinstance(fill, str) else double(fill)
+    return f"CASE WHEN {value} IS NULL OR isnan({value}) THEN {put} ELSE {value} END"
 
 
 def feature_band_counts(
@@ -59,29 +72,29 @@ def feature_band_counts(
     fills = fills or {}
 
     def count(batch: list[str]) -> DataFrame:
-        banded = df.select(
-            *POPULATION,
-            *[feature_band(filled(name, fills.get(name)), cuts.get(name)).alias(name) for name in batch],
+        values = df.selectExpr(
+            *POPULATION, *[f"{filled(name, fills.get(name))} AS {quoted(name)}" for name in batch]
         )
-        stacked = banded.unpivot(POPULATION, batch, "feature", "band_no")
-        counts = stacked.groupBy(*POPULATION, "feature", "band_no").agg(
-            F.count(F.lit(1)).alias("cnt")
+        banded = values.select(
+            *POPULATION, *[feature_band(name, cuts.get(name)).alias(name) for name in batch]
         )
-        edges = {name: F.lit(feature_edges(cuts.get(name))) for name in batch}
-        n_bands = {name: F.lit(feature_band_count(cuts.get(name))) for name in batch}
-        return counts.withColumns(
-            {
-                "n_bands": _by_name(n_bands),
-                "edges": _by_name(edges).cast("array<double>"),
-            }
+        stacked = banded.unpivot(POPULATION, batch, "feature", "band_no")
+        counts = stacked.groupBy(*POPULATION, "feature", "band_no").agg(F.expr("count(*) AS cnt"))
+        cases = [
+            (
+                f"WHEN {text(name)} THEN {feature_band_count(cuts.get(name))}",
+                f"WHEN {text(name)} THEN array({', '.join(map(double, feature_edges(cuts.get(name))))})",
+            )
+            for name in batch
+        ]
+        n_bands, edges = (" ".join(case) for case in zip(*cases))
+        return counts.selectExpr(
+            "*",
+            f"CASE feature {n_bands} END AS n_bands",
+            f"CAST(CASE feature {edges} END AS ARRAY<DOUBLE>) AS edges",
         )
 
-    return by_batch(list(features), count)
-
-
-def _by_name(values: Mapping[str, Column]) -> Column:
-    """The value that belongs to the row's feature."""
-    return F.coalesce(*[F.when(F.col("feature") == name, value) for name, value in values.items()])
+    return by_batch(features, count, lambda name: STACKED + feature_band_count(cuts.get(name)))
 
 
 def feature_shares(counts: DataFrame, wanted: Mapping[str, Sequence[str]]) -> DataFrame:
@@ -89,34 +102,28 @@ def feature_shares(counts: DataFrame, wanted: Mapping[str, Sequence[str]]) -> Da
 
     ``wanted`` maps each of the two metric names to the features it is asked for.
     """
-    whole = Window.partitionBy(*POPULATION, "feature")
-    rows = F.sum("cnt").over(whole)
-    shares = counts.withColumn("rows", rows).withColumn(
-        "pct", F.round(F.col("cnt") / F.col("rows") * 100, 4)
-    )
-    shares = shares.withColumn("pct_sum", F.sum("pct").over(whole))
+    whole = f"{WHOLE_POPULATION}, feature"
+    shares = counts.selectExpr("*", f"sum(cnt) OVER ({whole}) AS rows")
+    shares = shares.selectExpr("*", "round(cnt / rows * 100, 4) AS pct")
+    shares = shares.selectExpr("*", f"sum(pct) OVER ({whole}) AS pct_sum")
     columns = {"CSI": ("pct", "pct_sum"), "FEATURE_RANGE_DRIFT": ("cnt", "rows")}
-    structs = [
-        F.struct(
-            F.lit(metric).alias("metric_name"),
-            F.col(columns[metric][0]).cast("double").alias("metric_value"),
-            F.col(columns[metric][1]).cast("double").alias("total"),
-        )
-        for metric in wanted
-    ]
-    asked = reduce(
-        lambda left, right: left | right,
+    stacked = rows_from(
+        shares,
+        ["feature", "band_no", "cnt", "n_bands", "edges"],
         [
-            (F.col("metric_name") == metric) & F.col("feature").isin(*names)
-            for metric, names in wanted.items()
+            {
+                "metric_name": text(metric),
+                "metric_value": f"CAST({columns[metric][0]} AS DOUBLE)",
+                "total": f"CAST({columns[metric][1]} AS DOUBLE)",
+            }
+            for metric in wanted
         ],
     )
-    stacked = rows_from(shares, ["feature", "band_no", "cnt", "n_bands", "edges"], structs)
-    return to_long(
-        stacked.filter(asked),
-        value_name=F.col("feature"),
-        band_label=F.col("band_no").cast("string"),
-    )
+    asked = [
+        f"(metric_name = {text(metric)} AND feature IN ({', '.join(text(name) for name in names)}))"
+        for metric, names in wanted.items()
+    ]
+    return to_long(stacked.filter(" OR ".join(asked)), value_name="feature", band_label="band_no")
 
 
 def null_rates(df: DataFrame, features: Sequence[str], fills: Mapping[str, Fill]) -> DataFrame:
@@ -125,20 +132,19 @@ def null_rates(df: DataFrame, features: Sequence[str], fills: Mapping[str, Fill]
 
     def count(batch: list[str]) -> DataFrame:
         flags = [
-            F.count_if(F.col(f"`{name}`").isNull() | equals_fill(df, name, fills[name])).alias(name)
-            for name in batch
-        ]
-        wide = df.groupBy(*POPULATION).agg(F.count(F.lit(1)).alias("total"), *flags)
-        structs = [
-            F.struct(F.lit(name).alias("value_name"), F.col(f"`{name}`").alias("cnt"))
+            F.expr(
+                f"count_if({quoted(name)} IS NULL OR {equals_fill(df, name, fills[name])}) AS {quoted(name)}"
+            )
             for name in batch
         ]
-        return rows_from(wide, ["total"], structs)
+        wide = df.groupBy(*POPULATION).agg(F.expr("count(*) AS total"), *flags)
+        rows = [{"value_name": text(name), "cnt": quoted(name)} for name in batch]
+        return rows_from(wide, ["total"], rows)
 
     return to_long(
-        by_batch(list(features), count, WIDE),
-        metric_name=F.lit("NULL_RATE"),
-        metric_value=F.col("cnt"),
+        by_batch(features, count, lambda name: COUNTED),
+        metric_name="'NULL_RATE'",
+        metric_value="cnt",
     )
 
 
@@ -154,10 +160,12 @@ def distinct_rates(df: DataFrame, features: Sequence[str]) -> DataFrame:
         kinds.setdefault(_kind(column_type(df, name)), []).append(name)
 
     def count(batch: list[str], kind: str) -> DataFrame:
-        values = df.select(*POPULATION, *[F.col(f"`{name}`").cast(kind).alias(name) for name in batch])
+        values = df.selectExpr(
+            *POPULATION, *[f"CAST({quoted(name)} AS {kind}) AS {quoted(name)}" for name in batch]
+        )
         stacked = values.unpivot(POPULATION, batch, "value_name", "value")
         return stacked.groupBy(*POPULATION, "value_name").agg(
-            F.count_distinct("value").alias("cnt"), F.count(F.lit(1)).alias("total")
+            F.expr("count(DISTINCT value) AS cnt"), F.expr("count(*) AS total")
         )
 
     counted = [
@@ -167,15 +175,15 @@ def distinct_rates(df: DataFrame, features: Sequence[str]) -> DataFrame:
         raise ValueError("at least one feature is needed")
     return to_long(
         reduce(DataFrame.unionAll, counted),
-        metric_name=F.lit("DISTINCT_RATE"),
-        metric_value=F.col("cnt"),
+        metric_name="'DISTINCT_RATE'",
+        metric_value="cnt",
     )
 
 
 def _kind(dtype: T.DataType) -> str:
     """A type that holds every value of the given one apart: doubles, longs, or text."""
     if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return "long"
+        return "bigint"
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
         return "double"
     return "string"

@@ -6,39 +6,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from collections.abc import Mapping, Sequence
 
-from .rows import POPULATION
-
-LONG_SCHEMA = T.StructType(
-    [
-        T.StructField("platform", T.StringType()),
-        T.StructField("user_type", T.StringType()),
-        T.StructField("metric_name", T.StringType()),
-        T.StructField("value_name", T.StringType()),
-        T.StructField("band_no", T.IntegerType()),
-        T.StructField("band_label", T.StringType()),
-        T.StructField("cnt", T.LongType()),
-        T.StructField("metric_value", T.DoubleType()),
-        T.StructField("total", T.DoubleType()),
-        T.StructField("n_bands", T.IntegerType()),
-        T.StructField("edges", T.ArrayType(T.DoubleType())),
-    ]
-)
+from pyspark.sql import DataFrame
 
+from ..functions.sql import quoted
+from .rows import POPULATION
 
-def to_long(df: DataFrame, **columns: Column) -> DataFrame:
-    """Project to the long form: given expressions first, then columns of that name, then null."""
+# Columns of the long form and their types, in order.
+LONG_COLUMNS = {
+    "platform": "string",
+    "user_type": "string",
+    "metric_name": "string",
+    "value_name": "string",
+    "band_no": "int",
+    "band_label": "string",
+    "cnt": "bigint",
+    "metric_value": "double",
+    "total": "double",
+    "n_bands": "int",
+    "edges": "array<double>",
+}
+# The same, as a window of SQL text: all rows of one population.
+WHOLE_POPULATION = f"PARTITION BY {', '.join(POPULATION)}"
+
+
+def to_long(df: DataFrame, **columns: str) -> DataFrame:
+    """Project to the long form: given SQL expressions first, then columns of that name, then null."""
     present = set(df.columns)
 
-    def value(field: T.StructField) -> Column:
-        if field.name in columns:
-            return columns[field.name]
-        return F.col(field.name) if field.name in present else F.lit(None)
+    def value(name: str) -> str:
+        return columns.get(name) or (name if name in present else "NULL")
+
+    return df.selectExpr(
+        *[f"CAST({value(name)} AS {kind}) AS {name}" for name, kind in LONG_COLUMNS.items()]
+    )
 
-    return df.select(*[value(f).cast(f.dataType).alias(f.name) for f in LONG_SCHEMA.fields])
 
+def rows_from(df: DataFrame, keep: Sequence[str], rows: Sequence[Mapping[str, str]]) -> DataFrame:
+    """Turn a wide aggregate row into one row per entry of ``rows`` (column name to SQL expression).
 
-def rows_from(df: DataFrame, keep: list[str], structs: list[Column]) -> DataFrame:
-    """Turn a wide aggregate row into one row per struct; runs on aggregates, never on the data."""
-    return df.select(*POPULATION, *keep, F.inline(F.array(*structs)))
+    Runs on aggregates, never on the data.
+    """
+    structs = [
+        "struct(" + ", ".join(f"{value} AS {quoted(name)}" for name, value in row.items()) + ")"
+        for row in rows
+    ]
+    return df.selectExpr(*POPULATION, *keep, f"inline(array({', '.join(structs)}))")

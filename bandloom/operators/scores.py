@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.bands import INVALID_SCORE_LABELS, invalid_score_label, score_band, score_cuts
-from ..functions.columns import number, require_columns
-from .long_form import rows_from, to_long
+from ..functions.columns import require_columns
+from ..functions.sql import double, number, quoted, text
+from .long_form import WHOLE_POPULATION, rows_from, to_long
 from .rows import POPULATION
 
 # Status codes behind the trend names, compared with case.
@@ -48,78 +49,75 @@ def score_metrics(
     require_columns(df, [*POPULATION, score, id_column, *(["status"] if statuses else [])])
 
     edges = score_cuts(cuts)
-    band = score_band(number(score), edges, include_last).alias("band_no")
-    counts = df.groupBy(*POPULATION, band).agg(
-        F.count(id_column).alias("n"),
-        *[F.count_if(F.col("status") == STATUSES[name]).alias(name) for name in statuses],
+    kept = [*POPULATION, quoted(id_column), *(["status"] if statuses else [])]
+    numbers = df.selectExpr(*kept, f"{number(score)} AS score")
+    counts = numbers.groupBy(*POPULATION, score_band("score", edges, include_last).alias("band_no")).agg(
+        F.expr(f"count({quoted(id_column)}) AS n"),
+        *[F.expr(f"count_if(status = {text(STATUSES[name])}) AS {name}") for name in statuses],
     )
 
-    whole = Window.partitionBy(*POPULATION)
-    total = F.sum("n").over(whole)
-    share = F.round(F.try_divide(F.col("n"), total) * 100, 3)
-    measures: dict[str, tuple[Column, Column, Column]] = {
-        "score": (F.col("n"), share, total),
-        "total_population": (F.col("n"), F.col("n"), total),
+    # Each measure: count, value, and total over the bands of the population.
+    measures = {
+        "score": ("n", "round(try_divide(n, sum_n) * 100, 3)", "sum_n"),
+        "total_population": ("n", "n", "sum_n"),
     }
+    sums = ["sum(n) OVER w AS sum_n"]
     for name in statuses:
-        measures[name] = (F.col(name), F.col(name), F.sum(name).over(whole))
+        sums.append(f"sum({name}) OVER w AS sum_{name}")
+        measures[name] = (name, name, f"sum_{name}")
     for name, (top, base) in ratios.items():
-        ratio = F.when(F.col(base) == 0, F.lit(0.0)).otherwise(F.col(top) / F.col(base))
-        measures[name] = (F.lit(None), ratio, F.sum(ratio).over(whole))
-
-    # Window results first, one column per measure; then a row for each requested metric and value.
-    used = [name for name in measures if name in names]
-    wide = counts.select(
-        *POPULATION,
-        "band_no",
-        *[
-            F.struct(
-                cnt.cast("long").alias("cnt"),
-                value.cast("double").alias("metric_value"),
-                sum_.cast("double").alias("total"),
-            ).alias(name)
-            for name, (cnt, value, sum_) in ((name, measures[name]) for name in used)
+        ratio = f"CASE WHEN {base} = 0 THEN 0D ELSE {top} / {base} END"
+        sums.append(f"{ratio} AS {top}_{base}")
+        sums.append(f"sum({ratio}) OVER w AS sum_{top}_{base}")
+        measures[name] = ("NULL", f"{top}_{base}", f"sum_{top}_{base}")
+    wide = counts.selectExpr("*", *[sum_.replace("OVER w", f"OVER ({WHOLE_POPULATION})") for sum_ in sums])
+    long = rows_from(
+        wide,
+        ["band_no"],
+        [
+            {
+                "metric_name": text(metric),
+                "value_name": text(value),
+                "cnt": f"CAST({cnt} AS BIGINT)",
+                "metric_value": f"CAST({measure} AS DOUBLE)",
+                "total": f"CAST({total} AS DOUBLE)",
+            }
+            for metric, values in wanted.items()
+            for value in values
+            for cnt, measure, total in [measures[value.lower()]]
         ],
     )
-    structs = [
-        F.struct(
-            F.lit(metric).alias("metric_name"),
-            F.lit(value).alias("value_name"),
-            F.col(f"`{value.lower()}`.cnt").alias("cnt"),
-            F.col(f"`{value.lower()}`.metric_value").alias("metric_value"),
-            F.col(f"`{value.lower()}`.total").alias("total"),
-        )
-        for metric, values in wanted.items()
-        for value in values
-    ]
     return to_long(
-        rows_from(wide, ["band_no"], structs),
-        band_label=F.col("band_no").cast("string"),
-        n_bands=F.lit(len(edges) - 1),
-        edges=F.array(*[F.lit(edge) for edge in edges]),
+        long,
+        band_label="band_no",
+        n_bands=str(len(edges) - 1),
+        edges=f"array({', '.join(double(edge) for edge in edges)})",
     )
 
 
 def invalid_scores(df: DataFrame, score: str = "output_value") -> DataFrame:
     """Rows by score validity. Five conditional counts make every label appear, also with count 0."""
     require_columns(df, [*POPULATION, score])
-    label = invalid_score_label(number(score))
-    counted = df.select(*POPULATION, label.alias("label")).groupBy(*POPULATION)
-    wide = counted.agg(
-        F.count(F.lit(1)).alias("total"),
-        *[F.count_if(F.col("label") == text).alias(text) for text in INVALID_SCORE_LABELS],
+    numbers = df.selectExpr(*POPULATION, f"{number(score)} AS score")
+    labels = numbers.select(*POPULATION, invalid_score_label("score").alias("label"))
+    wide = labels.groupBy(*POPULATION).agg(
+        F.expr("count(*) AS total"),
+        *[
+            F.expr(f"count_if(label = {text(label)}) AS {quoted(label)}")
+            for label in INVALID_SCORE_LABELS
+        ],
+    )
+    long = rows_from(
+        wide,
+        ["total"],
+        [
+            {"band_no": str(position), "band_label": text(label), "cnt": quoted(label)}
+            for position, label in enumerate(INVALID_SCORE_LABELS, start=1)
+        ],
     )
-    structs = [
-        F.struct(
-            F.lit(position).alias("band_no"),
-            F.lit(text).alias("band_label"),
-            F.col(f"`{text}`").alias("cnt"),
-        )
-        for position, text in enumerate(INVALID_SCORE_LABELS, start=1)
-    ]
     return to_long(
-        rows_from(wide, ["total"], structs),
-        metric_name=F.lit("INVALID_SCORE"),
-        value_name=F.lit("total_population"),
-        metric_value=F.col("cnt"),
+        long,
+        metric_name="'INVALID_SCORE'",
+        value_name="'total_population'",
+        metric_value="cnt",
     )

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import require_columns
 from ..functions.segments import SEGMENTS, TEXT_SEGMENTS, Rule, segment_label
-from .features import by_batch
-from .long_form import to_long
+from .features import STACKED, by_batch
+from .long_form import WHOLE_POPULATION, to_long
 from .rows import POPULATION
 
 
@@ -33,14 +33,11 @@ def segment_counts(
             *[segment_label(name, segments, text_segments).alias(name) for name in batch],
         )
         stacked = labels.unpivot(POPULATION, batch, "value_name", "band_label")
-        return stacked.groupBy(*POPULATION, "value_name", "band_label").agg(
-            F.count(F.lit(1)).alias("cnt")
-        )
+        return stacked.groupBy(*POPULATION, "value_name", "band_label").agg(F.expr("count(*) AS cnt"))
 
-    total = F.sum("cnt").over(Window.partitionBy(*POPULATION, "value_name"))
     return to_long(
-        by_batch(list(names), count),
-        metric_name=F.lit("SEGMENT_DISTRIBUTION"),
-        metric_value=F.col("cnt"),
-        total=total,
+        by_batch(names, count, lambda name: 2 * STACKED),
+        metric_name="'SEGMENT_DISTRIBUTION'",
+        metric_value="cnt",
+        total=f"sum(cnt) OVER ({WHOLE_POPULATION}, value_name)",
     )

@@ -43,64 +43,65 @@ ALL_METRICS = {
 }
 
 
+# Schemas of the test tables, so that opening one needs no job to read a file footer.
+SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def item_features(spark: SparkSession, folder: str) -> DataFrame:
     """Three features of an order, from its line items."""
-    return table(spark, folder, "lineitem").groupBy("l_orderkey").agg(
-        F.count(F.lit(1)).cast("double").alias("n_items"),
-        F.sum("l_quantity").alias("sum_qty"),
-        F.max("l_discount").alias("max_discount"),
+    items = table(spark, folder, "lineitem").groupBy("l_orderkey")
+    return items.agg(
+        F.expr("CAST(count(*) AS DOUBLE) AS n_items"),
+        F.expr("sum(l_quantity) AS sum_qty"),
+        F.expr("max(l_discount) AS max_discount"),
     )
 
 
+# The population's columns, from an order (o_), its customer (c_) and its line items.
+COLUMNS = {
+    "id": "o_orderkey",
+    "ref_no": "o_custkey",
+    "created_at": "o_orderdate",
+    "platform": "CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'APP_A' "
+    "WHEN o_orderpriority IN ('3-MEDIUM', '4-NOT SPECIFIED') THEN 'APP_B' ELSE 'WEB_AGG' END",
+    "user_type": "if(c_mktsegment IN ('BUILDING', 'MACHINERY'), 'REPEAT', 'NEW')",
+    "output_value": "CASE WHEN o_orderkey % 97 = 0 THEN NULL WHEN o_orderkey % 89 = 0 THEN 0D "
+    "ELSE (o_totalprice - 5000D) / 450000D END",
+    "status": "CASE o_orderstatus WHEN 'F' THEN 'FINAL_APPROVED' WHEN 'O' THEN 'COND_APPROVED' "
+    "ELSE if(o_orderkey % 2 = 0, 'DENIED_1', 'DENIED_2') END",
+    "employment_type": "CASE WHEN o_orderkey % 11 = 0 THEN 'none' WHEN o_orderkey % 13 = 0 THEN ' ' "
+    "WHEN o_orderkey % 17 != 0 THEN c_mktsegment END",
+    "bureau_score": "if(o_orderkey % 19 = 0, 'n/a', string(680 + c_custkey % 100))",
+    "tenure": "double(o_orderkey % 12)",
+    "bureau_vintage": "double(c_custkey % 90)",
+    "no_of_cc_loan_entries": "double(o_orderkey % 4 - 1)",
+    "unsecured_enquiries_in_last_1_mon": "double(o_orderkey % 14)",
+    "months_since_last_90_dpd": "double(c_custkey % 16)",
+    "bureau_json": "CASE WHEN o_orderkey % 23 = 0 THEN 'bad' WHEN o_orderkey % 29 != 0 THEN "
+    """concat('{"active_cc_count": ', o_orderkey % 4, ', "active_pl_count": "', o_orderkey % 8, '"}') END""",
+    "acctbal": "c_acctbal",
+    "totalprice": "o_totalprice",
+}
+ITEM_COLUMNS = ["n_items", "sum_qty", "max_discount"]
+
+
 def scored(spark: SparkSession, folder: str, items: bool = True) -> DataFrame:
     """One row per order. Queries that use no line-item feature leave that join out."""
-    df = table(spark, folder, "orders").join(
-        table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey")
-    )
+    orders, customer = table(spark, folder, "orders"), table(spark, folder, "customer")
+    df = orders.join(customer, F.expr("o_custkey = c_custkey"))
     if items:
-        features = item_features(spark, folder)
-        df = df.join(features, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    key, cust, segment = F.col("o_orderkey"), F.col("c_custkey"), F.col("c_mktsegment")
-    urgency = F.col("o_orderpriority")
-    order_status = F.col("o_orderstatus")
-    columns = {
-        "id": key,
-        "ref_no": F.col("o_custkey"),
-        "created_at": F.col("o_orderdate"),
-        "platform": F.when(urgency.isin("1-URGENT", "2-HIGH"), "APP_A")
-        .when(urgency.isin("3-MEDIUM", "4-NOT SPECIFIED"), "APP_B")
-        .otherwise("WEB_AGG"),
-        "user_type": F.when(segment.isin("BUILDING", "MACHINERY"), "REPEAT").otherwise("NEW"),
-        "output_value": F.when(key % 97 == 0, F.lit(None))
-        .when(key % 89 == 0, 0.0)
-        .otherwise((F.col("o_totalprice") - 5000.0) / 450000.0),
-        "status": F.when(order_status == "F", "FINAL_APPROVED")
-        .when(order_status == "O", "COND_APPROVED")
-        .when(key % 2 == 0, "DENIED_1")
-        .otherwise("DENIED_2"),
-        "employment_type": F.when(key % 11 == 0, "none")
-        .when(key % 13 == 0, " ")
-        .when(key % 17 == 0, F.lit(None))
-        .otherwise(segment),
-        "bureau_score": F.when(key % 19 == 0, "n/a").otherwise((cust % 100 + 680).cast("string")),
-        "tenure": (key % 12).cast("double"),
-        "bureau_vintage": (cust % 90).cast("double"),
-        "no_of_cc_loan_entries": (key % 4 - 1).cast("double"),
-        "unsecured_enquiries_in_last_1_mon": (key % 14).cast("double"),
-        "months_since_last_90_dpd": (cust % 16).cast("double"),
-        "bureau_json": F.when(key % 23 == 0, "bad")
-        .when(key % 29 == 0, F.lit(None))
-        .otherwise(
-            F.format_string(
-                '{"active_cc_count": %d, "active_pl_count": "%d"}', key % 4, key % 8
-            )
-        ),
-        "acctbal": F.col("c_acctbal"),
-        "totalprice": F.col("o_totalprice"),
-    }
-    kept = ["n_items", "sum_qty", "max_discount"] if items else []
-    return df.select(*[value.alias(name) for name, value in columns.items()], *kept)
+        df = df.join(item_features(spark, folder), F.expr("o_orderkey = l_orderkey"), "left")
+    columns = [f"{value} AS {name}" for name, value in COLUMNS.items()]
+    return df.selectExpr(*columns, *(ITEM_COLUMNS if items else []))
