@@ -58,23 +58,28 @@ SEGMENTS: dict[str, list[Rule]] = {
 TEXT_SEGMENTS: dict[str, list[str]] = {"employment_type": [" ", "none"]}
 NOT_AVAILABLE = "NA"
 
+def segment_value(name: str, text_segments: Mapping[str, Sequence[str]] = TEXT_SEGMENTS) -> str:
+    """SQL for the value a segment is cut by: text, or a number (null where the text is none)."""
+    if name.lower() in text_segments:
+        return f"CAST({quoted(name)} AS STRING)"
+    return number(name)
+
+
 def segment_label(
     name: str,
     segments: Mapping[str, Sequence[Rule]] = SEGMENTS,
     text_segments: Mapping[str, Sequence[str]] = TEXT_SEGMENTS,
 ) -> Column:
-    """The segment label of a column, chosen by the column's name."""
+    """The segment label of a column that holds ``segment_value``, chosen by the column's name."""
     key = name.lower()
-    missing = text(NOT_AVAILABLE)
+    value, missing = quoted(name), text(NOT_AVAILABLE)
     if key in text_segments:
-        given = f"CAST({quoted(name)} AS STRING)"
-        not_given = ", ".join(text(value) for value in text_segments[key])
+        not_given = ", ".join(text(given) for given in text_segments[key])
         return F.expr(
-            f"CASE WHEN {given} IS NULL OR {given} IN ({not_given}) THEN {missing} ELSE {given} END"
+            f"CASE WHEN {value} IS NULL OR {value} IN ({not_given}) THEN {missing} ELSE {value} END"
         )
     if key not in segments:
         raise ValueError(f"no segment rule for {name!r}; known: {segment_names()}")
-    value = number(name)
     rules = [
         f"WHEN {' AND '.join(f'{value} {sign} {double(limit)}' for sign, limit in limits)} THEN {text(label)}"
         for label, limits in segments[key]

@@ -15,7 +15,7 @@ from bandloom.functions.bands import (
     score_band,
 )
 from bandloom.functions.sql import number
-from bandloom.functions.segments import segment_label
+from bandloom.functions.segments import segment_label, segment_value
 
 from .helpers import one_column
 
@@ -123,11 +123,12 @@ def test_bad_text_is_no_number(spark):
 )
 def test_segment_labels(spark, name, values, labels):
     df = spark.createDataFrame(list(enumerate(values)), f"i int, {name} string")
-    assert one_column(df.orderBy("i").select(segment_label(name))) == labels
+    values = df.orderBy("i").selectExpr(f"{segment_value(name)} AS {name}")
+    assert one_column(values.select(segment_label(name))) == labels
 
 
 def test_segment_name_ignores_case_and_unknown_names_are_errors(spark):
-    df = spark.createDataFrame([("7",)], "Tenure string")
+    df = spark.createDataFrame([(7.0,)], "Tenure double")
     assert one_column(df.select(segment_label("Tenure"))) == ["6-8"]
     with pytest.raises(ValueError, match="no segment rule"):
         segment_label("shoe_size")

@@ -24,6 +24,16 @@ def values(names, rows):
     return sorted((tuple(row[i] for i in order) for row in rows), key=repr)
 
 
+KINDS = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
 
@@ -36,5 +46,7 @@ def test_query_agrees_with_its_sql(name, spark, data, duck):
     names = [column[0] for column in answer.description]
     expected = answer.fetchall()
     assert sorted(result.columns) == sorted(names)
+    types = {row[0]: row[1] for row in duck.execute(f"DESCRIBE {ORACLES[name]}").fetchall()}
+    assert {column: KINDS[kind] for column, kind in result.dtypes} == types
     assert len(got) == len(expected) > 0
     assert values(result.columns, got) == values(names, expected)
