@@ -71,25 +71,26 @@ def prepare_source(
     joined copies is as good as another (they share the production row and so its time), and a
     repeated id then never multiplies in the join.
     """
-    needed = {id_column, reference_key, latest_by, *(as_list(tie_break) or []), "platform"}
-    needed = {name.lower() for name in needed}
+    keys = {id_column.lower(), reference_key.lower(), latest_by.lower(), "platform"}
+    ties = {name.lower() for name in as_list(tie_break) or []}
 
-    def trim(df: DataFrame, names: Sequence[str] = ()) -> DataFrame:
+    def trim(df: DataFrame, names: Sequence[str] = (), prefixes: Sequence[str] = ()) -> DataFrame:
         # Unwanted columns go before ties are broken by content, so that they are never read.
-        kept = [name for name in df.columns if name.lower() in needed]
-        unwanted = drop_columns(df.drop(*kept), [*names, *drop], drop_prefixes).columns
-        return df.select(*kept, *unwanted)
+        needed = [name for name in df.columns if name.lower() in keys | ties]
+        return df.select(*needed, *drop_columns(df.drop(*needed), names, prefixes).columns)
 
-    features, outputs = trim(features), trim(outputs)
+    features, outputs = trim(features, drop, drop_prefixes), trim(outputs, drop, drop_prefixes)
     if one_row_per_id:
         features = latest_per_key(features, id_column, None)
         outputs = latest_per_key(outputs, id_column, None)
-    production = trim(production.withColumn("platform", platform), drop_from_production)
+    only_here = [name for name in drop_from_production if name.lower() not in keys]
+    production = production.withColumn("platform", platform)
+    production = trim(production, [*only_here, *drop], drop_prefixes)
     latest = latest_per_key(production, reference_key, latest_by, tie_break)
-    joined = outputs.join(features, on=id_column, how="inner")
-    joined = joined.join(latest, F.col(id_column) == F.col(reference_key), "inner")
-    after = [name for name in drop_from_production if name.lower() != "platform"]
-    return drop_columns(lower_columns(joined), [*after, *drop], drop_prefixes)
+    joined = outputs.join(features, on=id_column, how="inner").join(
+        drop_columns(latest, only_here), F.col(id_column) == F.col(reference_key), "inner"
+    )
+    return drop_columns(lower_columns(joined), drop, drop_prefixes)
 
 
 def json_keys(df: DataFrame, column: str, keys: Sequence[str]) -> DataFrame:

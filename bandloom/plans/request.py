@@ -40,7 +40,8 @@ def expand_metrics(
     """Check the request against the metadata and spell out ``all_features``.
 
     Metric names are given in any case, feature names become lower case, repeated values count once.
-    A name without a rule is an error, or left out with ``on_missing="skip"``.
+    A name without a rule is an error, or left out with ``on_missing="skip"``; ``all_features`` stands
+    for the features that have a rule.
     """
     if on_missing not in ("raise", "skip"):
         raise ValueError("on_missing is 'raise' or 'skip'")
@@ -49,14 +50,14 @@ def expand_metrics(
         metric = given.upper()
         if metric not in METRICS:
             raise ValueError(f"unknown metric {given!r}; known: {METRICS}")
+        known = _known(metric, metadata)
         wanted = as_list(values) or []
         if wanted == [ALL_FEATURES]:
-            wanted = list(metadata.fills)
+            wanted = [name for name in metadata.fills if name in known]
         if metric == VALIDITY_METRIC:
             wanted = ["total_population"]
         elif metric != SEGMENT_METRIC:
             wanted = [value.lower() for value in wanted]
-        known = _known(metric, metadata)
         missing = [value for value in wanted if value.lower() not in known]
         if missing and on_missing == "raise":
             raise ValueError(f"{metric}: no rule for {missing}")

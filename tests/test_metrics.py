@@ -274,6 +274,7 @@ def test_requests_are_normalised():
     assert normalise_metrics("PSI", "score", {"CSI": ["f1"]}) == {"CSI": ["f1"]}
     for word in ("all_features", ["all_features"]):
         assert expand_metrics({"null_rate": word}, metadata) == {"NULL_RATE": ["f1", "f2"]}
+    assert expand_metrics({"CSI": "all_features"}, metadata) == {"CSI": ["f1"]}
     assert expand_metrics({"CSI": ["F1", "f1"]}, metadata) == {"CSI": ["f1"]}
     assert expand_metrics({"INVALID_SCORE": "anything"}, metadata) == {"INVALID_SCORE": ["total_population"]}
     assert expand_metrics({"SEGMENT_DISTRIBUTION": "Tenure"}, metadata) == {"SEGMENT_DISTRIBUTION": ["Tenure"]}

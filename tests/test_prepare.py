@@ -160,6 +160,30 @@ def test_reducing_before_the_join_gives_the_same_rows(spark, sources):
     assert rows(late) == rows(early.select(*late.columns))
 
 
+@pytest.mark.parametrize("reduced", [False, True])
+def test_columns_dropped_from_production_stay_in_the_other_tables(spark, reduced):
+    outputs = spark.createDataFrame([(1, 30, 0.5)], "id int, bureau_vintage int, output_value double")
+    features = spark.createDataFrame([(1, 2.0, "m")], "id int, f double, model_x string")
+    production = spark.createDataFrame(
+        [(1, 5, 99, "OLD", "a", 9.0), (1, 5, 98, "OLD", "b", 8.0)],
+        "BUREAU_REFERENCE_NUMBER int, created_at int, BUREAU_VINTAGE int, PLATFORM string, seq string, OUTPUT_VALUE double",
+    )
+    got = op.prepare_source(
+        features,
+        outputs,
+        production,
+        F.lit("A"),
+        tie_break="seq",
+        drop_from_production=["BUREAU_VINTAGE", "PLATFORM", "output_value", "seq"],
+        drop_prefixes=["model"],
+        one_row_per_id=reduced,
+    )
+    assert set(got.columns) == {
+        "id", "bureau_vintage", "output_value", "f", "bureau_reference_number", "created_at", "platform",
+    }
+    assert rows(got.select("bureau_vintage", "output_value", "platform")) == [(30, 0.5, "A")]
+
+
 def test_a_repeated_id_does_not_multiply(spark, tmp_path):
     """One id on a third of the rows of all three tables: the plain join would give 400^3 rows."""
     ids = [0] * 400 + list(range(1, 801))
