@@ -13,32 +13,41 @@ from ..functions.sql import double, number, quoted, text
 from .long_form import WHOLE_POPULATION, rows_from, to_long
 from .rows import POPULATION
 
-# The JVM leaves methods of more than 8000 bytes of code uncompiled, several times slower. Spark puts the
-# stacking of columns into one method, so many columns are stacked in several branches, each small enough
-# (measured: 60 bytes per unit below). Every branch scans its own columns only; together they read each
-# column once.
+# Stacking many columns needs care about the code Spark generates. The JVM leaves methods of more than
+# 8000 bytes uncompiled, several times slower, and Spark puts the stacking of up to 100 columns into one
+# method. So some dozens of columns are stacked in several branches, each small enough (measured: 60
+# bytes per unit below); every branch scans its own columns only. Above 100 columns Spark generates a
+# method per expression by itself, and one scan with one branch is fastest.
 BRANCH = 110
 # What a stacked column weighs on top of its band edges, and a conditional count without stacking.
 STACKED = 5
 COUNTED = 3
+# The most columns of a wide branch; an executor compiles a little class for each.
+WIDEST = 400
 
 
 def by_batch(
+    df: DataFrame,
     names: Sequence[str],
     make: Callable[[list[str]], DataFrame],
     weight: Callable[[str], int] = lambda name: STACKED,
 ) -> DataFrame:
-    """Union the results of ``make`` over batches of the names, none heavier than a branch may be."""
-    batches: list[list[str]] = []
-    room = 0
-    for name in names:
-        room -= weight(name)
-        if room < 0 or not batches:
-            batches.append([])
-            room = BRANCH - weight(name)
-        batches[-1].append(name)
-    if not batches:
+    """Union the results of ``make`` over batches of the names: light ones, or wide ones if names abound."""
+    if not names:
         raise ValueError("at least one name is needed")
+    many = int(df.sparkSession.conf.get("spark.sql.codegen.maxFields", "100"))
+    batches: list[list[str]] = []
+    if len(names) > many:
+        count = -(-len(names) // WIDEST)
+        batches = [list(names[start::count]) for start in range(count)]
+    else:
+        room = 0
+        for name in names:
+            room -= weight(name)
+            if room < 0 or not batches:
+                batches.append([])
+                room = BRANCH - weight(name)
+            batches[-1].append(name)
     return reduce(DataFrame.unionAll, [make(batch) for batch in batches])
 
 
@@ -94,7 +103,7 @@ def feature_band_counts(
             f"CAST(CASE feature {edges} END AS ARRAY<DOUBLE>) AS edges",
         )
 
-    return by_batch(features, count, lambda name: STACKED + feature_band_count(cuts.get(name)))
+    return by_batch(df, features, count, lambda name: STACKED + feature_band_count(cuts.get(name)))
 
 
 def feature_shares(counts: DataFrame, wanted: Mapping[str, Sequence[str]]) -> DataFrame:
@@ -142,7 +151,7 @@ def null_rates(df: DataFrame, features: Sequence[str], fills: Mapping[str, Fill]
         return rows_from(wide, ["total"], rows)
 
     return to_long(
-        by_batch(features, count, lambda name: COUNTED),
+        by_batch(df, features, count, lambda name: COUNTED),
         metric_name="'NULL_RATE'",
         metric_value="cnt",
     )
@@ -169,7 +178,8 @@ def distinct_rates(df: DataFrame, features: Sequence[str]) -> DataFrame:
         )
 
     counted = [
-        by_batch(names, lambda batch, kind=kind: count(batch, kind)) for kind, names in kinds.items()
+        by_batch(df, names, lambda batch, kind=kind: count(batch, kind))
+        for kind, names in kinds.items()
     ]
     if not counted:
         raise ValueError("at least one feature is needed")

@@ -61,16 +61,17 @@ def score_metrics(
         "score": ("n", "round(try_divide(n, sum_n) * 100, 3)", "sum_n"),
         "total_population": ("n", "n", "sum_n"),
     }
-    sums = ["sum(n) OVER w AS sum_n"]
+    whole = f"OVER ({WHOLE_POPULATION})"
+    sums = [f"sum(n) {whole} AS sum_n"]
     for name in statuses:
-        sums.append(f"sum({name}) OVER w AS sum_{name}")
+        sums.append(f"sum({name}) {whole} AS sum_{name}")
         measures[name] = (name, name, f"sum_{name}")
     for name, (top, base) in ratios.items():
         ratio = f"CASE WHEN {base} = 0 THEN 0D ELSE {top} / {base} END"
         sums.append(f"{ratio} AS {top}_{base}")
-        sums.append(f"sum({ratio}) OVER w AS sum_{top}_{base}")
+        sums.append(f"sum({ratio}) {whole} AS sum_{top}_{base}")
         measures[name] = ("NULL", f"{top}_{base}", f"sum_{top}_{base}")
-    wide = counts.selectExpr("*", *[sum_.replace("OVER w", f"OVER ({WHOLE_POPULATION})") for sum_ in sums])
+    wide = counts.selectExpr("*", *sums)
     long = rows_from(
         wide,
         ["band_no"],

@@ -42,7 +42,7 @@ def segment_counts(
         return stacked.groupBy(*POPULATION, "value_name", "band_label").agg(F.expr("count(*) AS cnt"))
 
     return to_long(
-        by_batch(names, count, lambda name: 2 * STACKED),
+        by_batch(df, names, count, lambda name: 2 * STACKED),
         metric_name="'SEGMENT_DISTRIBUTION'",
         metric_value="cnt",
         total=f"sum(cnt) OVER ({WHOLE_POPULATION}, value_name)",

@@ -12,7 +12,7 @@ from bandloom.operators.rows import POPULATION
 from bandloom.sources.store import fetch, view
 
 from .oracles import SHORT_SEGMENTS
-from .standin import ALL_METRICS, METADATA, SEGMENT_NAMES, item_features, scored, table
+from .standin import ALL_METRICS, METADATA, SEGMENT_NAMES, scored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 CUT_FEATURES = list(METADATA.feature_cuts)

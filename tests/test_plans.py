@@ -91,6 +91,30 @@ def test_many_features_are_each_read_once(population):
     assert sorted(column for columns in read for column in columns if column[0] == "f") == sorted(names)
 
 
+def test_more_than_a_hundred_features_share_a_scan(spark, tmp_path):
+    names = [f"f{n}" for n in range(130)]
+    columns = [f"double((id + {n}) % 10) AS {name}" for n, name in enumerate(names)]
+    spark.range(50).selectExpr("'A' AS platform", "'N' AS user_type", *columns).write.parquet(str(tmp_path / "w"))
+    population = spark.read.parquet(str(tmp_path / "w"))
+    metadata = Metadata([], dict.fromkeys(names, 3), {name: [0, 4, 9] for name in names})
+    request = {"CSI": names, "NULL_RATE": names, "FEATURE_RANGE_DRIFT": names}
+    long = benchmark_long(population, request, metadata)
+    assert len(scans(plan_of(long))) == 2
+    counts = long.groupBy("metric_name", "band_no", "cnt").count().collect()
+    assert sorted((tuple(row) for row in counts), key=repr) == sorted(
+        [
+            ("CSI", 1, 25, 130),
+            ("CSI", 2, 25, 130),
+            ("FEATURE_RANGE_DRIFT", 1, 25, 130),
+            ("FEATURE_RANGE_DRIFT", 2, 25, 130),
+            ("NULL_RATE", None, 5, 130),
+        ],
+        key=repr,
+    )
+    distinct = op.distinct_rates(population, names)
+    assert distinct.filter("cnt = 10").count() == 130
+
+
 def test_counts_are_reduced_before_the_shuffle(population):
     plan = plan_of(op.distinct_rates(population, ["f2"]))
     first = plan.rindex("Exchange hashpartitioning")
