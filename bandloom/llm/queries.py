@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
+from bandloom.sources.files import join_path, scratch_folder
+
+from . import packing, simhash, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,9 +21,29 @@ def simhash_query(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_groups(documents(spark, folder))
 
 
+def vocabulary(name: str) -> str:
+    """Where a public vocabulary file is; every machine has the package that holds them."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def token_files_query(spark: SparkSession, folder: str) -> DataFrame:
+    shards = join_path(scratch_folder(spark), "tokens")
+    token_files.write_tokens(documents(spark, folder), shards, vocabulary("byte_bpe_50k.json"), end_id=0)
+    return token_files.read_tokens(spark, shards, with_ids=False)
+
+
+def packing_query(spark: SparkSession, folder: str) -> DataFrame:
+    path = vocabulary("byte_bpe_50k.json")
+    return packing.pack(documents(spark, folder), path, end_id=1, with_ids=False)
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op2_token_files": token_files_query,
         "op3_simhash": simhash_query,
+        "op6_packing": packing_query,
     }
 
 
