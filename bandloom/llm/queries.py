@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from bandloom.sources.files import join_path, scratch_folder
 
-from . import packing, simhash, token_files
+from . import packing, simhash, token_files, word_bpe
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,11 +39,19 @@ def packing_query(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(documents(spark, folder), path, end_id=1, with_ids=False)
 
 
+def word_bpe_query(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    path = vocabulary("byte_bpe_multi_50k.tiktoken")
+    return word_bpe.encode_documents(documents(spark, folder), path, public_tokenizers.PATTERN)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_token_files": token_files_query,
         "op3_simhash": simhash_query,
         "op6_packing": packing_query,
+        "op9_word_bpe": word_bpe_query,
     }
 
 
