@@ -3,10 +3,10 @@
 import duckdb
 import pytest
 
-import __spark_entry__ as contract
+from checks import oracles, queries
 from tests.conftest import DATA
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = queries.queries(), oracles.oracle_sql()
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 
 
