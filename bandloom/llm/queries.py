@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from bandloom.sources.files import join_path, scratch_folder
 
-from . import packing, simhash, token_files, word_bpe
+from . import line_dedup, packing, simhash, token_files, word_bpe
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,14 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def line_dedup_query(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document the text that is left, and how many of its lines with content are gone."""
+    n_lines = F.expr("size(filter(split(__doc.text, '\\n', -1), x -> length(trim(x)) > 0))").cast("long")
+    n_dropped = F.coalesce(F.expr("size(dropped)"), F.lit(0)).cast("long")
+    docs = documents(spark, folder).select("doc_id", "text")
+    return line_dedup.dedup_lines(docs, n_lines.alias("n_lines"), n_dropped.alias("n_dropped"))
+
+
 def token_files_query(spark: SparkSession, folder: str) -> DataFrame:
     shards = join_path(scratch_folder(spark), "tokens")
     token_files.write_tokens(documents(spark, folder), shards, vocabulary("byte_bpe_50k.json"), end_id=0)
@@ -48,6 +56,7 @@ def word_bpe_query(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_line_dedup": line_dedup_query,
         "op2_token_files": token_files_query,
         "op3_simhash": simhash_query,
         "op6_packing": packing_query,

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from bandloom.sources.files import join_path, scratch_folder, write_table
 
@@ -37,6 +37,15 @@ def written(df: DataFrame, folder: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows up to which a written table of a few narrow columns may be copied to every executor.
+MOST_BROADCAST = 1_000_000
+
+
+def broadcast_if_small(table: DataFrame, most_rows: int = MOST_BROADCAST) -> DataFrame:
+    """Copy a written table to all executors if it has few rows; else it is joined by a shuffle."""
+    return F.broadcast(table) if table.limit(most_rows + 1).count() <= most_rows else table
+
+
 def batches_of(
     batches: Iterator[pa.RecordBatch], weight: str, most_bytes: int, most_rows: int = 100_000
 ) -> Iterator[pa.RecordBatch]:
