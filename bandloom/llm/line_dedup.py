@@ -34,7 +34,8 @@ LEAST = 0.8
 SMALL = 8
 BINS = BANDS * ROWS
 EMPTY = np.uint32(0xFFFFFFFF)
-BLOCK = 1 << 20  # code points hashed at once
+BLOCK = 1 << 17  # code points hashed at once
+KEPT = 500_000  # shingles of lines that a task keeps while it checks pairs
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -95,20 +96,30 @@ def signatures(lines: list[str]) -> np.ndarray:
 def _fill(sig: np.ndarray, lines: list[str], first: int) -> None:
     points = np.frombuffer("".join(lines).encode("utf-32-le"), dtype="<u4").astype(np.uint64)
     lengths = np.array([len(line) for line in lines])
-    counts = lengths - SHINGLE + 1
-    h = np.zeros(len(points) - SHINGLE + 1, dtype=np.uint64)
-    for k in range(SHINGLE):
-        h += points[k : k + len(h)] * FACTORS[k]
+    two = points[:-1] * FACTORS[0]
+    two += points[1:]
+    four = two[:-2] * FACTORS[1]
+    four += two[2:]
+    h = four[:-2] * FACTORS[2]
+    h += two[4:]  # the SHINGLE = 6 characters, in three steps
     of = np.repeat(np.arange(len(lines)), lengths)[: len(h)]
     inside = np.ones(len(points), dtype=bool)  # starts whose shingle ends in the same line
     ends = np.cumsum(lengths)
     for k in range(1, SHINGLE):
         inside[ends - k] = False
     inside = inside[: len(h)]
-    h, of = mixed(h[inside]), of[inside]
-    assert len(h) == counts.sum()
-    place = (first + of) * BINS + ((h >> np.uint64(32)) * np.uint64(BINS) >> np.uint64(32)).astype(np.int64)
-    np.minimum.at(sig, place, h.astype(np.uint32))
+    h, of = h[inside], of[inside]
+    h ^= h >> np.uint64(32)
+    h *= FACTORS[3]
+    low = (h ^ (h >> np.uint64(29))).astype(np.uint32)
+    h >>= np.uint64(32)
+    h *= np.uint64(BINS)
+    h >>= np.uint64(32)
+    place = h.view(np.int64)
+    of += first
+    of *= BINS
+    place += of
+    np.minimum.at(sig, place, low)
 
 
 def bands(sig: np.ndarray) -> np.ndarray:
@@ -120,20 +131,24 @@ def bands(sig: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def salted(band: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """The ids with some high bits turned, so that they sort otherwise in other bands; its own inverse."""
+    return line ^ ((band & 3) << 61)
+
+
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each line with content: its id, its document and its place there."""
     for batch in batches_of(batches, "text", 8 << 20):
-        ids, docs, rows, places = [], [], [], []
-        for doc_id, row, text in zip(*(column.to_pylist() for column in batch.columns)):
+        ids, of, places = [], [], []
+        for number, text in enumerate(batch.column(2).to_pylist()):
             for place, line in enumerate((text or "").split("\n")):
                 if line := plain(line):
                     ids.append(line_id(line))
-                    docs.append(doc_id)
-                    rows.append(row)
+                    of.append(number)
                     places.append(place)
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32())
-        columns = [pa.array(x, k) for x, k in zip((ids, docs, rows, places), kinds)]
-        yield pa.record_batch(columns, names=["id", "doc_id", "row", "place"])
+        taken = pa.array(of, pa.int64())
+        columns = [pa.array(ids, pa.int64()), batch.column(0).take(taken), batch.column(1).take(taken)]
+        yield pa.record_batch([*columns, pa.array(places, pa.int32())], names=["id", "doc_id", "row", "place"])
 
 
 def _distinct_lines(batch: pa.RecordBatch, seen: set[int]) -> tuple[list[int], list[str]]:
@@ -157,7 +172,7 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if ids:
             keys = bands(signatures(lines))
             own = np.repeat(np.array(ids, dtype=np.int64), BANDS)
-            yield pa.record_batch([keys.ravel(), own], names=["band", "id"])
+            yield pa.record_batch([keys.ravel(), salted(keys.ravel(), own)], names=["band", "id"])
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,7 +210,7 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     going_on = False  # the first of the rows held leads a large band whose earlier rows are paired
     for batch in batches:
         new = [column.to_numpy(zero_copy_only=False) for column in batch.columns]
-        band, line = np.concatenate([band, new[0]]), np.concatenate([line, new[1]])
+        band, line = np.concatenate([band, new[0]]), np.concatenate([line, salted(*new)])
         once = np.concatenate([[True], (band[1:] != band[:-1]) | (line[1:] != line[:-1])])[: len(band)]
         band, line = band[once], line[once]
         if not len(band):
@@ -217,15 +232,22 @@ def _ordered(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
 
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    before, known = None, set()
+    kept: dict[int, set[str]] = {}
+    held = 0
+
+    def of(line_id: int, line: str) -> set[str]:
+        nonlocal held
+        if (own := kept.get(line_id)) is None:
+            if held > KEPT:
+                kept.clear()
+                held = 0
+            own = kept[line_id] = shingles(line)
+            held += len(own)
+        return own
+
     for batch in batches:
-        keep = []
-        for src, a, b in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3))):
-            if src != before:
-                before, known = src, shingles(a)
-            # a line with too few characters cannot have enough shingles
-            enough = len(b) - SHINGLE + 1 >= LEAST * len(known) or len(b) < 2 * SHINGLE
-            keep.append(enough and _jaccard(known, shingles(b)))
+        rows = zip(*(column.to_pylist() for column in batch.columns))
+        keep = [_jaccard(of(src, a), of(dst, b)) for src, dst, a, b in rows]
         yield pa.RecordBatch.from_arrays(
             [column.filter(pa.array(keep, pa.bool_())) for column in batch.columns[:2]], names=["src", "dst"]
         )
@@ -241,9 +263,8 @@ def line_links(docs: DataFrame, text: str = "text") -> DataFrame:
     ship(docs.sparkSession)
     source = docs.select(F.col(text).cast("string").alias("text"))
     banded = source.mapInArrow(_bands, "band long, id long").repartition("band")
-    order = F.xxhash64("id", F.pmod("band", F.lit(4)))
     pairs = written(
-        banded.sortWithinPartitions("band", order, "id").mapInArrow(_pairs, LINKS).distinct()
+        banded.sortWithinPartitions("band", "id").mapInArrow(_pairs, LINKS).distinct()
     )
     wanted = pairs.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
     found = source.mapInArrow(_texts, "id long, line string").join(
