@@ -9,8 +9,8 @@ component one line is kept, the first by (doc_id, position).
   band are candidates: at a similarity of 0.8 a pair misses all bands with a probability of 0.2 %.
 * Candidates of a band are rows sorted by band. Up to ``SMALL`` lines of a band are all paired; more are
   paired with their neighbour and with a leader, both by an order that differs between bands, so a
-  group of m lines gives 2 m pairs at most in a band and is never held in memory.
-* Candidates are checked on their exact shingle sets, and the links joined by ``components``.
+  group of m lines gives 2 m pairs at most in a band; a task holds ``HELD`` rows of it at most.
+* Candidates are checked on their whole shingle sets, as 64-bit hashes, and the links joined by ``components``.
 
 Equal lines never meet as pairs: they share a 64-bit id, are counted by an aggregate that combines
 before the shuffle, and enter a band once per task.
@@ -35,7 +35,8 @@ SMALL = 8
 BINS = BANDS * ROWS
 EMPTY = np.uint32(0xFFFFFFFF)
 BLOCK = 1 << 17  # code points hashed at once
-KEPT = 500_000  # shingles of lines that a task keeps while it checks pairs
+KEPT = 2_000_000  # shingles of lines that a task keeps while it checks pairs
+HELD = 500_000  # rows of one band that a task holds
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -93,15 +94,21 @@ def signatures(lines: list[str]) -> np.ndarray:
     return full
 
 
-def _fill(sig: np.ndarray, lines: list[str], first: int) -> None:
-    points = np.frombuffer("".join(lines).encode("utf-32-le"), dtype="<u4").astype(np.uint64)
-    lengths = np.array([len(line) for line in lines])
+def hashed(points: np.ndarray) -> np.ndarray:
+    """A hash of every SHINGLE = 6 code points, in three steps."""
     two = points[:-1] * FACTORS[0]
     two += points[1:]
     four = two[:-2] * FACTORS[1]
     four += two[2:]
     h = four[:-2] * FACTORS[2]
-    h += two[4:]  # the SHINGLE = 6 characters, in three steps
+    h += two[4:]
+    return h
+
+
+def _fill(sig: np.ndarray, lines: list[str], first: int) -> None:
+    points = np.frombuffer("".join(lines).encode("utf-32-le"), dtype="<u4").astype(np.uint64)
+    lengths = np.array([len(line) for line in lines])
+    h = hashed(points)
     of = np.repeat(np.arange(len(lines)), lengths)[: len(h)]
     inside = np.ones(len(points), dtype=bool)  # starts whose shingle ends in the same line
     ends = np.cumsum(lengths)
@@ -165,8 +172,8 @@ def _distinct_lines(batch: pa.RecordBatch, seen: set[int]) -> tuple[list[int], l
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: set[int] = set()
-    for batch in batches_of(batches, "text", 4 << 20):
-        if len(seen) > 500_000:
+    for batch in batches_of(batches, "text", 2 << 20):
+        if len(seen) > 250_000:
             seen.clear()  # a line met again enters its bands again; that only costs time
         ids, lines = _distinct_lines(batch, seen)
         if ids:
@@ -177,15 +184,15 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: set[int] = set()
-    for batch in batches_of(batches, "text", 4 << 20):
-        if len(seen) > 500_000:
+    for batch in batches_of(batches, "text", 2 << 20):
+        if len(seen) > 250_000:
             seen.clear()
         ids, lines = _distinct_lines(batch, seen)
         yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(lines, pa.string())], names=["id", "line"])
 
 
 def band_pairs(band: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of lines of whole bands. Rows are sorted by band; a line stands once in a band."""
+    """Pairs of lines of whole bands. Rows are sorted by band and line; a line stands once in a band."""
     starts = np.flatnonzero(np.concatenate([[True], band[1:] != band[:-1]]))
     sizes = np.diff(np.concatenate([starts, [len(band)]]))
     left, right = [], []
@@ -204,26 +211,36 @@ def band_pairs(band: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.concatenate(left), np.concatenate(right)
 
 
+def _in_order(band: np.ndarray, salted_line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows that are sorted by band, those of bands with several lines, each line once, by line."""
+    same = band[1:] == band[:-1]
+    several = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+    band, salted_line = band[several], salted_line[several]
+    order = np.lexsort((salted_line, band))
+    band, salted_line = band[order], salted_line[order]
+    once = np.ones(len(band), dtype=bool)
+    once[1:] = (band[1:] != band[:-1]) | (salted_line[1:] != salted_line[:-1])
+    return band[once], salted(band[once], salted_line[once])
+
+
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs of rows sorted by band and, in it, by an order that puts a line's rows together."""
+    """Candidate pairs of rows sorted by band. The last band of a batch waits for the next batch; one of
+    more than HELD rows is paired piece by piece, the pieces by their leaders."""
     band, line = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    going_on = False  # the first of the rows held leads a large band whose earlier rows are paired
     for batch in batches:
         new = [column.to_numpy(zero_copy_only=False) for column in batch.columns]
-        band, line = np.concatenate([band, new[0]]), np.concatenate([line, salted(*new)])
-        once = np.concatenate([[True], (band[1:] != band[:-1]) | (line[1:] != line[:-1])])[: len(band)]
-        band, line = band[once], line[once]
+        band, line = np.concatenate([band, new[0]]), np.concatenate([line, new[1]])
         if not len(band):
             continue
         last = int(np.searchsorted(band, band[-1]))  # where the last band begins
-        if len(band) - last > SMALL:  # pair it now and keep the leader and the last row
-            yield _ordered(*band_pairs(band, line))
-            band, line, going_on = band[[last, -1]], line[[last, -1]], True
+        if len(band) - last > HELD:
+            yield _ordered(*band_pairs(*_in_order(band, line)))
+            band, line = band[-1:], np.min(line[last:], keepdims=True)
         elif last:
-            yield _ordered(*band_pairs(band[:last], line[:last]))
-            band, line, going_on = band[last:], line[last:], False
-    if len(band) > 1 and not (going_on and len(band) == 2):
-        yield _ordered(*band_pairs(band, line))
+            yield _ordered(*band_pairs(*_in_order(band[:last], line[:last])))
+            band, line = band[last:], line[last:]
+    if len(band):
+        yield _ordered(*band_pairs(*_in_order(band, line)))
 
 
 def _ordered(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
@@ -231,31 +248,41 @@ def _ordered(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["src", "dst"])
 
 
+def codes(line: str) -> np.ndarray:
+    """The shingles of a line as sorted 64-bit hashes."""
+    points = np.frombuffer(line.ljust(SHINGLE, "\0").encode("utf-32-le"), dtype="<u4").astype(np.uint64)
+    return np.unique(hashed(points))
+
+
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kept: dict[int, set[str]] = {}
+    kept: dict[int, np.ndarray] = {}
     held = 0
 
-    def of(line_id: int, line: str) -> set[str]:
+    def of(line_id: int, line: str) -> np.ndarray:
         nonlocal held
         if (own := kept.get(line_id)) is None:
             if held > KEPT:
                 kept.clear()
                 held = 0
-            own = kept[line_id] = shingles(line)
+            own = kept[line_id] = codes(line)
             held += len(own)
         return own
 
     for batch in batches:
         rows = zip(*(column.to_pylist() for column in batch.columns))
-        keep = [_jaccard(of(src, a), of(dst, b)) for src, dst, a, b in rows]
+        keep = [similar(of(src, a), of(dst, b)) for src, dst, a, b in rows]
         yield pa.RecordBatch.from_arrays(
             [column.filter(pa.array(keep, pa.bool_())) for column in batch.columns[:2]], names=["src", "dst"]
         )
 
 
-def _jaccard(a: set[str], b: set[str]) -> bool:
-    common = len(a & b)
-    return common >= LEAST * (len(a) + len(b) - common)
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether the Jaccard similarity of two sets of codes is LEAST or more."""
+    if min(len(a), len(b)) < LEAST * max(len(a), len(b)):
+        return False
+    both = np.sort(np.concatenate([a, b]))
+    common = np.count_nonzero(both[1:] == both[:-1])
+    return bool(common >= LEAST * (len(both) - common))
 
 
 def line_links(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -264,7 +291,7 @@ def line_links(docs: DataFrame, text: str = "text") -> DataFrame:
     source = docs.select(F.col(text).cast("string").alias("text"))
     banded = source.mapInArrow(_bands, "band long, id long").repartition("band")
     pairs = written(
-        banded.sortWithinPartitions("band", "id").mapInArrow(_pairs, LINKS).distinct()
+        banded.sortWithinPartitions("band").mapInArrow(_pairs, LINKS).distinct()
     )
     wanted = pairs.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
     found = source.mapInArrow(_texts, "id long, line string").join(
