@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from bandloom.sources.files import join_path, scratch_folder
 
-from . import line_dedup, packing, simhash, token_files, word_bpe
+from . import line_dedup, packing, perplexity, simhash, token_files, word_bpe
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +42,10 @@ def token_files_query(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_tokens(spark, shards, with_ids=False)
 
 
+def quality_query(spark: SparkSession, folder: str) -> DataFrame:
+    return perplexity.quality(documents(spark, folder)).drop("key")
+
+
 def packing_query(spark: SparkSession, folder: str) -> DataFrame:
     path = vocabulary("byte_bpe_50k.json")
     return packing.pack(documents(spark, folder), path, end_id=1, with_ids=False)
@@ -59,6 +63,7 @@ def queries() -> dict[str, Query]:
         "op1_line_dedup": line_dedup_query,
         "op2_token_files": token_files_query,
         "op3_simhash": simhash_query,
+        "op4_perplexity": quality_query,
         "op6_packing": packing_query,
         "op9_word_bpe": word_bpe_query,
     }
