@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from bandloom.sources.files import join_path, scratch_folder
 
-from . import line_dedup, packing, perplexity, simhash, token_files, word_bpe
+from . import language, line_dedup, packing, perplexity, simhash, token_files, word_bpe
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +46,14 @@ def quality_query(spark: SparkSession, folder: str) -> DataFrame:
     return perplexity.quality(documents(spark, folder)).drop("key")
 
 
+def language_query(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    held_out = F.expr("crc32(encode(cast(doc_id as string), 'UTF-8')) % 4 = 2")
+    model = language.learned(docs.where(~held_out))
+    found = language.identify(docs, model, with_spans=False)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def packing_query(spark: SparkSession, folder: str) -> DataFrame:
     path = vocabulary("byte_bpe_50k.json")
     return packing.pack(documents(spark, folder), path, end_id=1, with_ids=False)
@@ -64,6 +72,7 @@ def queries() -> dict[str, Query]:
         "op2_token_files": token_files_query,
         "op3_simhash": simhash_query,
         "op4_perplexity": quality_query,
+        "op5_language": language_query,
         "op6_packing": packing_query,
         "op9_word_bpe": word_bpe_query,
     }
