@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from bandloom.sources.files import join_path, scratch_folder
 
-from . import language, line_dedup, packing, perplexity, simhash, token_files, word_bpe
+from . import html_tree, language, line_dedup, packing, perplexity, simhash, token_files, word_bpe
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,7 +48,7 @@ def quality_query(spark: SparkSession, folder: str) -> DataFrame:
 
 def language_query(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
-    held_out = F.expr("crc32(encode(cast(doc_id as string), 'UTF-8')) % 4 = 2")
+    held_out = F.expr("coalesce(crc32(encode(cast(doc_id as string), 'UTF-8')) % 4 = 2, false)")
     model = language.learned(docs.where(~held_out))
     found = language.identify(docs, model, with_spans=False)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
@@ -66,6 +66,10 @@ def word_bpe_query(spark: SparkSession, folder: str) -> DataFrame:
     return word_bpe.encode_documents(documents(spark, folder), path, public_tokenizers.PATTERN)
 
 
+def html_query(spark: SparkSession, folder: str) -> DataFrame:
+    return html_tree.main_texts(spark.read.parquet(f"{folder}/pages.parquet"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_line_dedup": line_dedup_query,
@@ -75,6 +79,7 @@ def queries() -> dict[str, Query]:
         "op5_language": language_query,
         "op6_packing": packing_query,
         "op9_word_bpe": word_bpe_query,
+        "op10_html_tree": html_query,
     }
 
 
