@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from bandloom.sources.files import join_path, scratch_folder
 
-from . import html_tree, language, line_dedup, packing, perplexity, simhash, token_files, word_bpe
+from . import html_tree, language, line_dedup, packing, perplexity, secrets, simhash, token_files, word_bpe
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,6 +66,10 @@ def word_bpe_query(spark: SparkSession, folder: str) -> DataFrame:
     return word_bpe.encode_documents(documents(spark, folder), path, public_tokenizers.PATTERN)
 
 
+def secrets_query(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.find_secrets(documents(spark, folder))
+
+
 def html_query(spark: SparkSession, folder: str) -> DataFrame:
     return html_tree.main_texts(spark.read.parquet(f"{folder}/pages.parquet"))
 
@@ -78,6 +82,7 @@ def queries() -> dict[str, Query]:
         "op4_perplexity": quality_query,
         "op5_language": language_query,
         "op6_packing": packing_query,
+        "op7_secrets": secrets_query,
         "op9_word_bpe": word_bpe_query,
         "op10_html_tree": html_query,
     }
