@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from bandloom.sources.files import join_path, scratch_folder
 
-from . import html_tree, language, line_dedup, packing, perplexity, secrets, simhash, token_files, word_bpe
+from . import html_tree, language, line_dedup, packing, perplexity, secrets, simhash, spotsigs, token_files, word_bpe
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,6 +70,10 @@ def secrets_query(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.find_secrets(documents(spark, folder))
 
 
+def spotsigs_query(spark: SparkSession, folder: str) -> DataFrame:
+    return spotsigs.fingerprints(documents(spark, folder))
+
+
 def html_query(spark: SparkSession, folder: str) -> DataFrame:
     return html_tree.main_texts(spark.read.parquet(f"{folder}/pages.parquet"))
 
@@ -83,6 +87,7 @@ def queries() -> dict[str, Query]:
         "op5_language": language_query,
         "op6_packing": packing_query,
         "op7_secrets": secrets_query,
+        "op8_spotsigs": spotsigs_query,
         "op9_word_bpe": word_bpe_query,
         "op10_html_tree": html_query,
     }
