@@ -1,38 +1,47 @@
 """Byte-level BPE encoding of whole texts with the tokenizers library.
 
 Before merging, such a tokenizer splits a text so that a single space between two other characters
-always begins a new piece, whatever stands before it. A text is therefore cut at those spaces, every
-distinct cut is encoded once by the library and kept, and the ids are joined.
+always begins a new piece, whatever stands before it, and so does punctuation behind letters. A text is
+therefore cut at those spaces, every distinct part is encoded once by the library and kept, with the
+punctuation at its end apart, and the ids are joined.
 """
 
 from __future__ import annotations
 
 import json
 import os
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 import numpy as np
 import regex
 
-#: Characters that any part of the tools takes for white space.
-SPACES = [chr(c) for c in range(0x110000) if chr(c).isspace() or regex.match(r"\s", chr(c))]
-BESIDE = [f" {c}" for c in SPACES] + [f"{c} " for c in SPACES if c != " "]
-MOST_KEPT, LONGEST_KEPT = 400_000, 64
+MOST_KEPT, LONGEST_KEPT = 600_000, 64
+AT_ONCE = 4096  # parts given to the library in one call
+CUT = regex.compile(r"(?<=[^\s\x1c-\x1f])(?= [^\s\x1c-\x1f])", regex.V1)
+WORD = regex.compile(r"(\p{L}+)([.,;:!?]+)")
+MARKS = ".,;:!?"
 
 
 def pieces(text: str) -> list[str]:
     """Parts that are encoded apart from each other; joined they are the text."""
-    if not text:
-        return []
-    if text[0] == " " or text[-1] == " " or any(pair in text for pair in BESIDE):
-        return loose_pieces(text)
-    first, *rest = text.split(" ")
-    return [first, *[f" {part}" for part in rest]]
+    return CUT.split(text) if text else []
 
 
-def loose_pieces(text: str) -> list[str]:
-    """The same where white space stands together: only single spaces between other characters cut."""
-    return regex.split(r"(?<=[^\s\x1c-\x1f])(?= [^\s\x1c-\x1f])", text, flags=regex.V1)
+class Kept(dict):
+    """Two generations: what was not asked for while MOST_KEPT others were learned is forgotten."""
+
+    def __init__(self):
+        super().__init__()
+        self.old: dict = {}
+
+    def __missing__(self, part: str) -> bytes | None:
+        ids = self[part] = self.old[part]
+        return ids
+
+    def age(self) -> None:
+        if len(self) > MOST_KEPT // 2:
+            self.old = dict(self)
+            self.clear()
 
 
 class Encoder:
@@ -59,7 +68,13 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.kept: dict[str, bytes] = {}
+        #: Ids of the parts that follow a single space, without it. None: the part does not stand alone.
+        self.kept = Kept()
+        pieces_ = self.tokenizer.get_vocab(with_added_tokens=False)
+        #: Whether a token begins with a space, by its id.
+        self.begins = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        self.begins[[i for piece, i in pieces_.items() if piece.startswith("\u0120")]] = True
+        self.marks: dict[str, bytes] = {}
 
     @classmethod
     def at(cls, path: str) -> Encoder:
@@ -68,21 +83,63 @@ class Encoder:
         return cls._open[path]
 
     def _whole(self, texts: Sequence[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(one.ids, dtype=self.dtype).tobytes() for one in found]
+        out = []
+        for at in range(0, len(texts), AT_ONCE):
+            found = self.tokenizer.encode_batch_fast(texts[at : at + AT_ONCE], add_special_tokens=False)
+            out += [np.array(one.ids, dtype=self.dtype).tobytes() for one in found]
+        return out
+
+    def _behind_spaces(self, words: list[str]) -> list[bytes]:
+        """Ids of words that stand behind a space each, and have none inside."""
+        out: list[bytes] = []
+        for at in range(0, len(words), AT_ONCE):
+            some = words[at : at + AT_ONCE]
+            (found,) = self.tokenizer.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)
+            ids = np.array(found.ids, dtype=self.dtype)
+            starts = np.flatnonzero(self.begins[ids])
+            if len(starts) != len(some):
+                raise RuntimeError("the tokenizer does not begin a token at every space")
+            raw, ends = ids.tobytes(), [*(starts[1:] * ids.itemsize).tolist(), ids.nbytes]
+            out += [raw[a:b] for a, b in zip((starts * ids.itemsize).tolist(), ends)]
+        return out
+
+    def _learn(self, parts: Iterable[str]) -> None:
+        """Keep the ids of parts behind a space."""
+        kept, marked, words = self.kept, {}, []
+        for part in parts:
+            if not part or part != part.strip() or len(part) > LONGEST_KEPT:
+                kept[part] = None
+            elif part[-1] in MARKS and (found := WORD.fullmatch(part)):
+                marked[part] = found.groups()
+            else:
+                words.append(part)
+        words += {word for word, _ in marked.values()}.difference(kept, kept.old, words)
+        kept.update(zip(words, self._behind_spaces(words)))
+        for part, (word, mark) in marked.items():
+            if mark not in self.marks:
+                self.marks[mark] = self._whole([mark])[0]
+            kept[part] = kept[word] + self.marks[mark]
+
+    def _loose(self, text: str) -> bytes:
+        """A text where white space stands together, or with very long parts."""
+        return b"".join(self._whole(pieces(text)))
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """The ids of each text; of none for a null or empty text."""
         if not self.cuts:
             return self._whole([text or "" for text in texts])
-        parts = [pieces(text or "") for text in texts]
-        if len(self.kept) > MOST_KEPT:
-            self.kept.clear()
         kept = self.kept
-        new = list({part for some in parts for part in some if part not in kept})
-        found = dict(zip(new, self._whole(new)))
-        own = {part: ids for part, ids in found.items() if len(part) > LONGEST_KEPT}
-        kept.update((part, ids) for part, ids in found.items() if part not in own)
-        if not own:
-            return [b"".join([kept[part] for part in some]) for some in parts]
-        return [b"".join([kept.get(p) or own.get(p, b"") for p in some]) for some in parts]
+        kept.age()
+        split = [(text or "").split(" ") for text in texts]
+        seen = set().union(*(parts[1:] for parts in split))
+        if new := seen.difference(kept, kept.old):
+            self._learn(new)
+        heads = self._whole([parts[0] for parts in split])
+        out = []
+        for text, head, (first, *rest) in zip(texts, heads, split):
+            try:  # a part that does not stand alone has no ids, and cannot be joined
+                alone = not rest or (first != "" and not first[-1].isspace())
+                out.append(head + b"".join(map(kept.__getitem__, rest)) if alone else self._loose(text))
+            except TypeError:
+                out.append(self._loose(text))
+        return out

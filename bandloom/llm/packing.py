@@ -4,11 +4,11 @@ The documents of a partition, by ascending id, are one stream of tokens. Windows
 tokens cover it without gaps. A window may end after a document (free), after a sentence (``SENTENCE``)
 or, in a long sentence, after every ``STEP`` tokens (``INSIDE``). The windows chosen have the least sum
 of padding and of these penalties. Padding is what a window lacks to ``LONGEST``; a window whose length
-is a power of two has none.
+is a power of two from ``SHORTEST`` on has none.
 
 The least cost up to a cut j is its penalty plus the least, over earlier cuts i no further than LONGEST,
 of cost(i) + LONGEST - (j - i): the minimum of cost(i) + i over a sliding range, which a monotone queue
-gives in constant time; the powers of two are twelve looked-up cuts more. The stream is worked off in
+gives in constant time; the powers of two are a few looked-up cuts more. The stream is worked off in
 stretches of ``STRETCH`` tokens. The last windows of a stretch are not fixed but begin the next one, so
 a partition has one end only.
 """
@@ -28,6 +28,7 @@ from .encode import Encoder
 from .shared import batches_of, ship
 
 LONGEST = 2048
+SHORTEST = 256  # the shortest power of two that a window without padding may have
 SENTENCE, INSIDE, STEP = 8, 64, 128
 STRETCH = 1 << 20
 KEPT = 4 * LONGEST  # tokens before the end of a stretch whose windows are not yet fixed
@@ -38,26 +39,27 @@ PIECES = (
 
 def cut_points(length: int, doc_ends: np.ndarray, sentence_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ascending cuts with 0 and ``length``, and their penalties."""
-    cuts = np.unique(np.concatenate([[0, length], doc_ends, sentence_ends]).astype(np.int64))
+    rank = np.zeros(length + 1, dtype=np.uint8)  # of a cut: 1 inside, 2 after a sentence, 3 after a document
+    rank[sentence_ends] = 2
+    rank[doc_ends] = 3
+    rank[[0, length]] = 3
+    cuts = np.flatnonzero(rank)
     gaps = np.diff(cuts)
     long = np.flatnonzero(gaps > STEP)
     if len(long):
         more = (gaps[long] - 1) // STEP
         base = np.repeat(cuts[long], more)
-        rank = np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more)
-        cuts = np.unique(np.concatenate([cuts, base + (rank + 1) * STEP]))
-    penalty = np.full(len(cuts), INSIDE, dtype=np.int64)
-    penalty[np.isin(cuts, sentence_ends)] = SENTENCE
-    penalty[np.isin(cuts, doc_ends)] = 0
-    penalty[[0, -1]] = 0
-    return cuts, penalty
+        step = np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more)
+        rank[base + (step + 1) * STEP] = 1
+        cuts = np.flatnonzero(rank)
+    return cuts, np.array([0, INSIDE, SENTENCE, 0])[rank[cuts]]
 
 
 def best_cuts(cuts: np.ndarray, penalty: np.ndarray, longest: int = LONGEST) -> list[int]:
     """Ends of the cheapest windows that cover from the first cut to the last."""
     exact: dict[int, list[int]] = {}
-    size = 1
-    while size <= longest:
+    size = SHORTEST
+    while size < longest:
         at = np.searchsorted(cuts, cuts - size)
         hit = np.flatnonzero((cuts - size >= cuts[0]) & (cuts[at] == cuts - size))
         for j, i in zip(hit.tolist(), at[hit].tolist()):
@@ -161,7 +163,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, with_ids: bool = True
             ends = encoder.ends_sentence = sentence_end_ids(encoder)
         packer = Packer(ends, TaskContext.get().partitionId() << 36)
         end = np.array([end_id], dtype=encoder.dtype).tobytes()
-        for batch in batches_of(batches, "text", 4 << 20, 4096):
+        for batch in batches_of(batches, "text", 4 << 20, 1024):
             for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist())):
                 packer.add(doc_id, np.frombuffer(ids + end, encoder.dtype))
                 if packer.held >= STRETCH:

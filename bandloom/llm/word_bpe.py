@@ -46,6 +46,10 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
 
 
+def stands_alone(part: str) -> bool:
+    return part != "" and not part[0].isspace() and not part[-1].isspace()
+
+
 class Block:
     """Documents as sequences of word numbers. Words are numbered by bucket, then by first place."""
 
@@ -57,7 +61,10 @@ class Block:
         digest = xxhash.xxh64()
         for text in batch.column(1).to_pylist():
             own = []
-            for part in pieces(text or ""):
+            first, *rest = (text or "").split(" ")
+            # a single space between other characters always begins a word
+            alone = first == first.rstrip() and first and all(map(stands_alone, rest))
+            for part in [first, *[f" {x}" for x in rest]] if alone else pieces(text or ""):
                 found = parts.get(part)
                 if found is None:
                     found = parts[part] = np.array(
