@@ -10,12 +10,12 @@ from __future__ import annotations
 
 import json
 import os
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import regex
 
-MOST_KEPT, LONGEST_KEPT = 600_000, 64
+MOST_KEPT, LONGEST_KEPT = 100_000, 64
 AT_ONCE = 4096  # parts given to the library in one call
 CUT = regex.compile(r"(?<=[^\s\x1c-\x1f])(?= [^\s\x1c-\x1f])", regex.V1)
 WORD = regex.compile(r"(\p{L}+)([.,;:!?]+)")
@@ -103,16 +103,15 @@ class Encoder:
             out += [raw[a:b] for a, b in zip((starts * ids.itemsize).tolist(), ends)]
         return out
 
-    def _learn(self, parts: Iterable[str]) -> None:
+    def _learn(self, parts: set[str]) -> None:
         """Keep the ids of parts behind a space."""
-        kept, marked, words = self.kept, {}, []
-        for part in parts:
-            if not part or part != part.strip() or len(part) > LONGEST_KEPT:
-                kept[part] = None
-            elif part[-1] in MARKS and (found := WORD.fullmatch(part)):
-                marked[part] = found.groups()
-            else:
-                words.append(part)
+        kept = self.kept
+        stands = [part for part in parts if part.strip() == part != "" and len(part) <= LONGEST_KEPT]
+        if len(stands) < len(parts):
+            kept.update(dict.fromkeys(parts.difference(stands)))
+        ended = [part for part in stands if part[-1] in MARKS]
+        marked = {part: found.groups() for part in ended if (found := WORD.fullmatch(part))}
+        words = [part for part in stands if part not in marked]
         words += {word for word, _ in marked.values()}.difference(kept, kept.old, words)
         kept.update(zip(words, self._behind_spaces(words)))
         for part, (word, mark) in marked.items():

@@ -16,7 +16,6 @@ a partition has one end only.
 from __future__ import annotations
 
 import zlib
-from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -67,21 +66,25 @@ def best_cuts(cuts: np.ndarray, penalty: np.ndarray, longest: int = LONGEST) ->
         size *= 2
     where, fine = cuts.tolist(), penalty.tolist()
     cost, back = [0] * len(where), [0] * len(where)
-    queue: deque[tuple[int, int]] = deque([(where[0], 0)])  # cost(i) + i ascending, i ascending
+    keys, at, head = [where[0]], [0], 0  # the queue: cost(i) + i ascending, i ascending
     for j in range(1, len(where)):
         here = where[j]
-        while here - where[queue[0][1]] > longest:
-            queue.popleft()
-        key, i = queue[0]
-        least = key + longest - here
-        for k in exact.get(j, ()):
-            if cost[k] < least:
-                least, i = cost[k], k
-        cost[j], back[j] = least + fine[j], i
-        key = cost[j] + here
-        while queue and queue[-1][0] > key:
-            queue.pop()
-        queue.append((key, j))
+        while here - where[at[head]] > longest:
+            head += 1
+        i = at[head]
+        least = keys[head] + longest - here
+        if j in exact:
+            for k in exact[j]:
+                if cost[k] < least:
+                    least, i = cost[k], k
+        least += fine[j]
+        cost[j], back[j] = least, i
+        key = least + here
+        while len(keys) > head and keys[-1] > key:
+            keys.pop()
+            at.pop()
+        keys.append(key)
+        at.append(j)
     ends, j = [], len(where) - 1
     while j:
         ends.append(where[j])
