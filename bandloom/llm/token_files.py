@@ -121,7 +121,10 @@ def read_shard(
         if sought is not None and np.searchsorted(sought, first) == np.searchsorted(sought, last, "right"):
             start = -1
             continue
-        content = zstandard.ZstdDecompressor().decompress(read(offset, packed), max_output_size=full)
+        try:
+            content = zstandard.ZstdDecompressor().decompress(read(offset, packed), max_output_size=full)
+        except zstandard.ZstdError as error:
+            raise ValueError(f"the frame at {offset} is damaged, so its checksum cannot fit") from error
         if len(content) != full or _sum(content) != check:
             raise ValueError(f"the frame at {offset} does not fit its checksum")
         (n,) = struct.unpack_from("<q", content)
