@@ -59,8 +59,10 @@ def equals_fill(df: DataFrame, name: str, fill: Fill) -> str:
     """SQL for whether a value is the one written in place of a missing value.
 
     Each column gets a literal of its own kind: a number is looked for in a text column by reading the
-    text as a number, and a text fill is compared with the value's text.
+    text as a number, and a text fill is compared with the value's text. No value equals a null fill.
     """
+    if fill is None:
+        return "false"
     if isinstance(fill, str):
         return f"CAST({quoted(name)} AS STRING) = {text(fill)}"
     dtype = column_type(df, name)

@@ -46,8 +46,12 @@ def created_now() -> str:
 
 
 def benchmark_id(*key: str) -> Column:
-    """A row id made from the row's key, so that a rerun (or a retried task) gives the same id."""
-    return F.sha2(F.concat_ws("|", *[F.col(name).cast("string") for name in key]), 256)
+    """A row id made from the row's key, so that a rerun (or a retried task) gives the same id.
+
+    The key is hashed as a JSON array, so nulls and separators inside a text keep different keys apart.
+    """
+    parts = F.array(*[F.col(name).cast("string") for name in key])
+    return F.sha2(F.to_json(parts, {"ignoreNullFields": "false"}), 256)
 
 
 def stamp(
@@ -98,7 +102,7 @@ def to_table(long: DataFrame) -> DataFrame:
         F.max("n_bands").alias("n_bands"),
         F.max("edges").alias("edges"),
     )
-    by_number = F.map_from_arrays(F.col("bands.no"), F.col("bands.value"))
+    rows = rows.withColumn("by_number", F.map_from_arrays(F.col("bands.no"), F.col("bands.value")))
     numbers = F.sequence(F.lit(0), F.col("n_bands"))
     banded = F.col("n_bands").isNotNull()
     rows = rows.withColumns(
@@ -107,7 +111,7 @@ def to_table(long: DataFrame) -> DataFrame:
             "counts": F.when(
                 banded,
                 F.transform(
-                    numbers, lambda no: F.coalesce(F.try_element_at(by_number, no), F.lit(0.0))
+                    numbers, lambda no: F.coalesce(F.try_element_at(F.col("by_number"), no), F.lit(0.0))
                 ),
             ).otherwise(F.col("bands.value")),
         }
@@ -138,8 +142,7 @@ def to_table(long: DataFrame) -> DataFrame:
 
 def result_rows(table: DataFrame) -> DataFrame:
     """Stamped table rows as the typed result columns, in their fixed order."""
-    key = [*STORE_KEY, "benchmark_created_at"]
-    table = table.withColumn("benchmark_id", benchmark_id(*key))
+    table = table.withColumn("benchmark_id", benchmark_id(*STORE_KEY))
     return table.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RESULT_SCHEMA.fields])
 
 

@@ -12,12 +12,19 @@ from .result import STORE_KEY
 
 
 def with_active_flag(df: DataFrame) -> DataFrame:
-    """Rows that do not say whether they are active are."""
+    """Rows that do not say whether they are active are, whether the column is absent or null."""
     if "is_active" in {name.lower() for name in df.columns}:
-        return df
+        return df.withColumn("is_active", F.coalesce("is_active", F.lit(True)))
     return df.withColumn("is_active", F.lit(True))
 
 
+def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
+    """Raise if two active rows have the same key; a null is a key like any other."""
+    twice = df.filter("is_active").groupBy(*keys).count().filter("count > 1").head()
+    if twice is not None:
+        raise ValueError(f"more than one active row with the key {twice.asDict()}")
+
+
 def retire_matches(
     existing: DataFrame, incoming: DataFrame, keys: Sequence[str] = tuple(STORE_KEY)
 ) -> DataFrame:

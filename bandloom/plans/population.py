@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.columns import require_columns
 from ..operators.prepare import (
     JSON_COLUMN,
     JSON_KEYS,
@@ -85,7 +86,9 @@ def build_population(
         # only if it is on a single column, so the second name of the key is put back at the end.
         prepared.append(frame.drop(source.reference_key).withColumn(_SOURCE, F.lit(-position)))
     merged = merge_sources(prepared, json_column=json_column, keys=json_keys, renames=renames)
-    ties = [name for name in as_list(tie_break) or [] if name in merged.columns]
+    named = {old.lower(): new for old, new in (renames or {}).items()}
+    ties = [named.get(name.lower(), name.lower()) for name in as_list(tie_break) or []]
+    require_columns(merged, ties)
     population = latest_per_key(merged, id_column, latest_by, [*ties, _SOURCE]).drop(_SOURCE)
     names = {source.reference_key.lower() for source in sources}
     return population.withColumns({name: F.col(id_column) for name in names})

@@ -59,18 +59,39 @@ def _small_rows(df: DataFrame, path: str) -> list:
     return rows
 
 
+def _once(pairs: list[tuple[str, Any]]) -> dict[str, Any]:
+    """A dictionary of pairs, none of whose keys may be repeated."""
+    found = dict(pairs)
+    if len(found) < len(pairs):
+        keys = [key for key, _ in pairs]
+        raise ValueError(f"given twice: {sorted({key for key in keys if keys.count(key) > 1})}")
+    return found
+
+
+def _merged(parts: list[Any], path: str) -> Any:
+    """Several files of one part: lists are joined in order of values, dictionaries by key."""
+    if all(isinstance(part, list) for part in parts):
+        return sorted(value for part in parts for value in part)
+    if all(isinstance(part, dict) for part in parts):
+        return _once([pair for part in parts for pair in part.items()])
+    raise ValueError(f"{path}: some files hold lists and some dictionaries")
+
+
 def _load(spark: SparkSession, path: str) -> Any:
     """A JSON document, or Parquet with one column (a list) or two (a dictionary)."""
     if path.endswith(".json"):
-        lines = _small_rows(spark.read.text(path, wholetext=True), path)
-        return json.loads(lines[0].value)
+        files = _small_rows(spark.read.text(path, wholetext=True), path)
+        parts = [json.loads(file.value, object_pairs_hook=_once) for file in files if file.value.strip()]
+        if not parts:
+            raise ValueError(f"{path}: no metadata found")
+        return parts[0] if len(parts) == 1 else _merged(parts, path)
     table = spark.read.parquet(path)
     if len(table.columns) == 1:
         column = F.col(f"`{table.columns[0]}`")
         return [row[0] for row in _small_rows(table.select(column).orderBy(column), path)]
     if len(table.columns) != 2:
         raise ValueError(f"{path}: metadata tables have one or two columns, not {table.columns}")
-    return {row[0]: row[1] for row in _small_rows(table, path)}
+    return _once([(row[0], row[1]) for row in _small_rows(table, path)])
 
 
 def load_metadata(

@@ -1,22 +1,30 @@
 """The store of benchmark results: files with versions, soft deletes, views and snapshots.
 
-Layout: ``<path>/version=N/state=active`` is every active row as of version N and
-``<path>/version=N/state=retired`` the rows that version N made inactive. A version is one Spark write
-job; it counts once Spark has put its ``_SUCCESS`` marker, so a failed upload changes nothing and the
-rows it replaces stay active. An upload rewrites the active rows only, not the history.
+Layout: a version is one Spark write job into a folder with a name of its own, whose ``state=active``
+holds every active row as of that version and ``state=retired`` the rows that it made inactive. It counts
+once ``commits/N.json`` lists it behind all folders before it. That file is created without overwriting,
+which file systems like HDFS do for one writer only, so a failed upload changes nothing and of two uploads
+at once one fails. An upload rewrites the active rows only, not the history.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.columns import require_columns
 from ..operators.result import RESULT_SCHEMA, STORE_KEY
-from ..operators.upsert import upsert, verify_counts, with_active_flag
+from ..operators.upsert import require_unique, upsert, verify_counts, with_active_flag
 from .files import file_system, is_folder, join_path, write_table
 
+class UploadConflict(RuntimeError):
+    """Another upload took the version that this one was to be."""
+
+
 VIEW_FILTERS = [
     "benchmark_name",
     "platform",
@@ -81,22 +89,39 @@ class BenchmarkStore:
         self.path = path
         self.keys = list(keys)
 
-    def _versions(self) -> tuple[list[int], int]:
-        """Committed versions in order, and the highest number in use (failed uploads included)."""
-        system, root = file_system(self.spark, self.path)
+    def _commits(self) -> list[str]:
+        """The data folders of all committed versions, in order.
+
+        One listing and one small file: the newest commit names all folders up to its own.
+        """
+        system, root = file_system(self.spark, join_path(self.path, "commits"))
         if not system.exists(root):
-            return [], 0
-        names = [status.getPath().getName() for status in system.listStatus(root)]
-        numbers = sorted(int(n.removeprefix("version=")) for n in names if n.startswith("version="))
-        committed = [
-            number
-            for number in numbers
-            if system.exists(file_system(self.spark, join_path(self._folder(number), "_SUCCESS"))[1])
-        ]
-        return committed, max(numbers, default=0)
-
-    def _folder(self, version: int) -> str:
-        return join_path(self.path, f"version={version}")
+            return []
+        files = {status.getPath().getName(): status for status in system.listStatus(root)}
+        for name in sorted((n for n in files if n.endswith(".json")), reverse=True):
+            if files[name].getLen():  # an empty one is just being written
+                stream = system.open(files[name].getPath())
+                try:
+                    return json.loads(bytes(stream.readAllBytes()))
+                finally:
+                    stream.close()
+        return []
+
+    def _commit(self, folders: list[str]) -> None:
+        """Claim the next version by creating its file, which only one of several uploads can do."""
+        name = f"{len(folders):012d}.json"
+        system, path = file_system(self.spark, join_path(join_path(self.path, "commits"), name))
+        try:
+            stream = system.create(path, False)
+        except Py4JJavaError as error:
+            raise UploadConflict(f"version {len(folders)} was uploaded meanwhile; upload again") from error
+        try:
+            stream.write(bytearray(json.dumps(folders).encode()))
+        finally:
+            stream.close()
+
+    def _folder(self, name: str) -> str:
+        return join_path(self.path, name)
 
     def _read(self, folders: Sequence[str]) -> DataFrame:
         present = [folder for folder in folders if is_folder(self.spark, folder)]
@@ -106,38 +131,45 @@ class BenchmarkStore:
 
     def exists(self) -> bool:
         """Whether anything has been uploaded."""
-        return bool(self._versions()[0])
+        return bool(self._commits())
 
     def active(self) -> DataFrame:
         """The active rows of the latest version; history is not read."""
-        committed, _ = self._versions()
-        return self._read([join_path(self._folder(n), "state=active") for n in committed[-1:]])
+        return self._active(self._commits())
+
+    def _active(self, folders: list[str]) -> DataFrame:
+        return self._read([join_path(self._folder(name), "state=active") for name in folders[-1:]])
 
     def rows(self) -> DataFrame:
         """All rows: the active ones and everything that was replaced."""
-        committed, _ = self._versions()
-        folders = [join_path(self._folder(n), "state=active") for n in committed[-1:]]
-        folders += [join_path(self._folder(n), "state=retired") for n in committed]
+        committed = self._commits()
+        folders = [join_path(self._folder(name), "state=active") for name in committed[-1:]]
+        folders += [join_path(self._folder(name), "state=retired") for name in committed]
         return self._read(folders)
 
     def upload(self, incoming: DataFrame, verify: bool = False) -> DataFrame | None:
         """Make active rows with the same key inactive and add the incoming rows, in one job.
 
-        A second upload that starts from the same version fails because its folder exists.
+        The rows are written to a folder of their own and count once the version's commit file names it.
+        Of two uploads that start from the same version one raises UploadConflict and leaves no trace in
+        the results. Several active rows with one key are an error.
         """
         require_columns(incoming, self.keys)
         incoming = with_active_flag(incoming)
         absent = {f.name: F.lit(None) for f in RESULT_SCHEMA if f.name not in incoming.columns}
         incoming = incoming.withColumns(absent) if absent else incoming
         incoming = incoming.select(*[F.col(f.name).cast(f.dataType) for f in RESULT_SCHEMA])
-        _, last = self._versions()
-        after = upsert(self.active(), incoming, self.keys)
+        require_unique(incoming, self.keys)
+        before = self._commits()
+        after = upsert(self._active(before), incoming, self.keys)
         state = F.when(F.col("is_active"), "active").otherwise("retired")
         # Rebalanced so that a version is a few well-sized files, however the join was run.
         after = after.withColumn("state", state).hint("rebalance", "state")
+        name = f"data-{uuid.uuid4().hex}"
         after.write.mode("errorifexists").partitionBy("state").option(
             "compression", "snappy"
-        ).parquet(self._folder(last + 1))
+        ).parquet(self._folder(name))
+        self._commit([*before, name])
         return self.verify() if verify else None
 
     def verify(self) -> DataFrame:

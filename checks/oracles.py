@@ -143,7 +143,7 @@ RATIO_ROWS = f"""SELECT {POP}, model_band,
   CASE WHEN fa = 0 THEN 0e0 ELSE CAST(d1 AS DOUBLE) / fa END AS d1_fa
 FROM ({BAND_ROWS}) b"""
 
-RESULT_ROWS = f"""SELECT sha256(concat_ws('|', 'MODEL_X', platform, user_type, metric_name, value_name)) AS benchmark_id,
+RESULT_ROWS = f"""SELECT sha256(CAST(to_json(['MODEL_X', platform, user_type, metric_name, value_name]) AS VARCHAR)) AS benchmark_id,
   'MODEL_X' AS model_name, {POP}, metric_name, value_name, band_label, cnt,
   CAST(sum(cnt) OVER (PARTITION BY {POP}, metric_name, value_name) AS BIGINT) AS total_count, TRUE AS is_active
 FROM (

@@ -97,6 +97,14 @@ def test_creation_time_defaults_to_now(spark):
     assert len(stamp) == 19 and stamp[4] == stamp[7] == "-" and stamp[13] == ":"
 
 
+def test_ids_do_not_hang_on_the_clock_and_keep_odd_keys_apart(spark):
+    ids = [rows(table(spark, created_at=x).select("benchmark_id")) for x in (None, "2024-01-02 03:04:05")]
+    assert ids[0] == ids[1]
+    keys = [("A", None), (None, "A"), ("A|B", None), ("A", "B"), (None, None), ("", None)]
+    df = spark.createDataFrame(keys, "a string, b string")
+    assert df.select(op.benchmark_id("a", "b")).distinct().count() == len(keys)
+
+
 def test_ids_are_unique_and_stay_the_same_on_a_rerun(spark):
     first, second = (rows(table(spark).select("benchmark_id")) for _ in range(2))
     assert first == second

@@ -4,6 +4,8 @@ import json
 
 import pytest
 
+from bandloom import operators as op
+
 from bandloom import load_metadata
 from bandloom.sources import metadata as metadata_module
 from bandloom.sources.extract import export_query
@@ -75,3 +77,23 @@ def test_scratch_folder_is_in_the_shared_checkpoint_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_folder(spark), scratch_folder(spark)
     assert first.startswith(shared + "/") and first != second
+
+
+def test_metadata_of_several_files_is_merged_and_repeated_keys_are_errors(spark, tmp_path):
+    folder = tmp_path / "fills.json"
+    folder.mkdir()
+    (folder / "1.json").write_text('{"a": 1}')
+    (folder / "2.json").write_text('{"b": null}')
+    assert load_metadata(spark, fills=str(folder)).fills == {"a": 1, "b": None}
+    (folder / "3.json").write_text('{"a": 2}')
+    with pytest.raises(ValueError, match="given twice"):
+        load_metadata(spark, fills=str(folder))
+    spark.createDataFrame([("a", 1), ("a", 2)], "k string, v int").write.parquet(str(tmp_path / "t"))
+    with pytest.raises(ValueError, match="given twice"):
+        load_metadata(spark, fills=str(tmp_path / "t"))
+
+
+def test_a_null_fill_counts_nulls_only(spark):
+    df = spark.createDataFrame([("A", "N", None), ("A", "N", 1.0)], "platform string, user_type string, f double")
+    (row,) = op.null_rates(df, ["f"], {"f": None}).collect()
+    assert (row.cnt, row.total) == (1, 2.0)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from bandloom import BenchmarkStore
 from bandloom import operators as op
 from bandloom.operators.result import RESULT_SCHEMA
-from bandloom.sources.store import snapshot_path, view
+from bandloom.sources.store import UploadConflict, snapshot_path, view
 
 from .helpers import rows
 
@@ -84,16 +84,50 @@ def test_a_failed_upload_changes_nothing(spark, store):
     assert state(store.rows()) == [("A", "score", 1.0, False), ("A", "score", 3.0, True)]
 
 
-def test_an_unfinished_version_is_ignored(spark, store):
+def test_a_version_without_commit_is_ignored(spark, store):
     store.upload(results(spark, ("A", "score", 1.0)))
-    results(spark, ("B", "score", 2.0)).write.option(
-        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false"
-    ).parquet(f"{store.path}/version=2/state=active")
+    results(spark, ("B", "score", 2.0)).write.parquet(f"{store.path}/data-left/state=active")
     assert state(store.rows()) == [("A", "score", 1.0, True)]
     store.upload(results(spark, ("C", "score", 3.0)))
     assert state(store.rows()) == [("A", "score", 1.0, True), ("C", "score", 3.0, True)]
 
 
+@pytest.mark.parametrize("first", ["A", "B"])
+def test_of_two_uploads_at_once_one_fails(spark, store, first, monkeypatch):
+    store.upload(results(spark, ("X", "score", 1.0)))
+    other = {"A": "B", "B": "A"}[first]
+    commit = type(store)._commit
+
+    def meanwhile(self, folders):
+        monkeypatch.setattr(type(store), "_commit", commit)
+        store.upload(results(spark, (first, "score", 2.0)))
+        commit(self, folders)
+
+    monkeypatch.setattr(type(store), "_commit", meanwhile)
+    with pytest.raises(UploadConflict):
+        store.upload(results(spark, (other, "score", 3.0)))
+    assert {row[0] for row in state(store.rows())} == {"X", first}
+    store.upload(results(spark, (other, "score", 3.0)))
+    assert {row[0] for row in state(store.active())} == {"X", "A", "B"}
+
+
+def test_uploads_without_success_marker_count(spark, store):
+    hadoop = spark._jsc.hadoopConfiguration()
+    hadoop.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        store.upload(results(spark, ("A", "score", 1.0)))
+    finally:
+        hadoop.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    assert state(store.rows()) == [("A", "score", 1.0, True)]
+
+
+def test_repeated_keys_and_null_flags(spark, store):
+    with pytest.raises(ValueError, match="more than one active row"):
+        store.upload(results(spark, ("A", "score", 1.0), ("A", "score", 2.0)))
+    store.upload(results(spark, ("A", "score", 1.0)).withColumn("is_active", F.lit(None).cast("boolean")))
+    assert state(store.rows()) == [("A", "score", 1.0, True)]
+
+
 def test_verification_counts(spark, store):
     store.upload(results(spark, ("A", "score", 1.0)))
     counts = store.upload(results(spark, ("A", "score", 2.0)), verify=True)
