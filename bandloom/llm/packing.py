@@ -166,8 +166,9 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, with_ids: bool = True
             ends = encoder.ends_sentence = sentence_end_ids(encoder)
         packer = Packer(ends, TaskContext.get().partitionId() << 36)
         end = np.array([end_id], dtype=encoder.dtype).tobytes()
-        for batch in batches_of(batches, "text", 4 << 20, 1024):
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist())):
+        for batch in batches_of(batches, "text", 4 << 20, 1024, keep_encoders=True):
+            found = encoder.encode(batch.column(1).to_pylist())
+            for doc_id, ids in zip(batch.column(0).to_pylist(), found):
                 packer.add(doc_id, np.frombuffer(ids + end, encoder.dtype))
                 if packer.held >= STRETCH:
                     yield _table(packer.pack(last=False), with_ids)

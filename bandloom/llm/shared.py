@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
+import sys
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -46,11 +50,34 @@ def broadcast_if_small(table: DataFrame, most_rows: int = MOST_BROADCAST) -> Dat
     return F.broadcast(table) if table.limit(most_rows + 1).count() <= most_rows else table
 
 
+def release_memory(keep_encoders: bool) -> None:
+    """Give back what earlier tasks of this worker have left: Spark uses a worker for many stages."""
+    encoding = sys.modules.get(f"{__package__}.encode")
+    if encoding is not None and not keep_encoders:
+        encoding.Encoder._open.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only the GNU C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def batches_of(
-    batches: Iterator[pa.RecordBatch], weight: str, most_bytes: int, most_rows: int = 100_000
+    batches: Iterator[pa.RecordBatch],
+    weight: str,
+    most_bytes: int,
+    most_rows: int = 100_000,
+    keep_encoders: bool = False,
 ) -> Iterator[pa.RecordBatch]:
     """Cut or join batches so that column ``weight`` holds about ``most_bytes`` in each; a longer
     value comes alone."""
+    release_memory(keep_encoders)
+    yield from _resized(batches, weight, most_bytes, most_rows)
+    release_memory(keep_encoders)
+
+
+def _resized(
+    batches: Iterator[pa.RecordBatch], weight: str, most_bytes: int, most_rows: int
+) -> Iterator[pa.RecordBatch]:
     held: list[pa.RecordBatch] = []
     size = count = 0
     for batch in batches:

@@ -153,8 +153,9 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0)
         encoder = Encoder.at(tokenizer)
         end = np.array([end_id], dtype=encoder.dtype).tobytes()
         shard = ShardWriter(encoder.dtype.itemsize)
-        for batch in batches_of(batches, "text", 4 << 20, 1024):
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist())):
+        for batch in batches_of(batches, "text", 4 << 20, 1024, keep_encoders=True):
+            found = encoder.encode(batch.column(1).to_pylist())
+            for doc_id, ids in zip(batch.column(0).to_pylist(), found):
                 shard.add(doc_id, ids + end)
                 if shard.size >= SHARD_BYTES:
                     yield pa.record_batch([[shard.finish()]], names=["value"])
