@@ -17,6 +17,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,8 @@ from .encode import pieces
 from .shared import batches_of, ship
 
 BLOCK_BYTES = 8 << 20
-BUCKETS = 1024
+BUCKET_BITS = 10
+BUCKETS = 1 << BUCKET_BITS
 PACKETS = "block long, bucket int, content binary"
 ROWS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -50,47 +52,52 @@ def stands_alone(part: str) -> bool:
     return part != "" and not part[0].isspace() and not part[-1].isspace()
 
 
+LOOSE = -1
+
+
 class Block:
-    """Documents as sequences of word numbers. Words are numbered by bucket, then by first place."""
+    """Documents as sequences of words. Words are ordered by a hash, whose first bits are their bucket."""
 
     def __init__(self, batch: pa.RecordBatch, pattern: regex.Pattern):
         self.ids = batch.column(0)
         numbers: dict[str, int] = {}
-        parts: dict[str, np.ndarray] = {}  # a part of a text splits the same way wherever it stands
-        sequences, lengths = [], []
+        words_of: list[list[int]] = []  # of a part, which splits the same way wherever it stands
+        behind: dict[str, int] = {}  # parts that follow a single space, without it
+        whole: dict[str, int] = {}
+
+        def learn(part: str) -> int:
+            words_of.append([numbers.setdefault(word, len(numbers)) for word in pattern.findall(part)])
+            return len(words_of) - 1
+
+        self.parts: list[np.ndarray] = []
         digest = xxhash.xxh64()
         for text in batch.column(1).to_pylist():
-            own = []
-            first, *rest = (text or "").split(" ")
+            text = text or ""
+            first, *rest = text.split(" ")
+            for part in set(rest).difference(behind):
+                behind[part] = learn(f" {part}") if stands_alone(part) else LOOSE
+            own = np.fromiter(map(behind.__getitem__, rest), np.int64, len(rest))
             # a single space between other characters always begins a word
-            alone = first == first.rstrip() and first and all(map(stands_alone, rest))
-            for part in [first, *[f" {x}" for x in rest]] if alone else pieces(text or ""):
-                found = parts.get(part)
-                if found is None:
-                    found = parts[part] = np.array(
-                        [numbers.setdefault(word, len(numbers)) for word in pattern.findall(part)],
-                        dtype=np.uint32,
-                    )
-                own.append(found)
-            sequences.extend(own)
-            lengths.append(sum(map(len, own)))
-            digest.update(f"{len(text or '')},".encode())
-            digest.update((text or "").encode())
+            alone = first != "" and not first[-1].isspace() and bool((own != LOOSE).all())
+            heads = [first] if alone else pieces(text)
+            for part in set(heads).difference(whole):
+                whole[part] = learn(part)
+            head = np.fromiter(map(whole.__getitem__, heads), np.int64, len(heads))
+            self.parts.append(np.concatenate([head, own]) if alone else head)
+            digest.update(f"{len(text)},".encode())
+            digest.update(text.encode())
         digest.update(str(self.ids.to_pylist()).encode())
         self.key = digest.intdigest() - (1 << 63)
-        self.lengths = np.array(lengths, dtype="<u4")
+        self.sizes = np.array([len(x) for x in words_of], dtype=np.int64)
+        self.flat = np.fromiter(chain.from_iterable(words_of), np.int64, int(self.sizes.sum()))
         words = [word.encode() for word in numbers]
-        bucket = np.array([xxhash.xxh32_intdigest(w) % BUCKETS for w in words], dtype=np.int64)
-        self.order = np.argsort(bucket, kind="stable")
+        hashed = np.array([xxhash.xxh64_intdigest(w) for w in words], dtype=np.uint64)
+        self.order = np.argsort(hashed, kind="stable")
+        if (np.diff(hashed[self.order]) == 0).any():  # numbers follow no order that another task repeats
+            self.order = np.array(sorted(range(len(words)), key=lambda i: (hashed[i], words[i])))
         self.words = [words[i] for i in self.order.tolist()]
-        self.bounds = np.searchsorted(bucket[self.order], np.arange(BUCKETS + 1))
-        sequence = np.concatenate([np.zeros(0, np.uint32), *sequences])
-        counts = np.bincount(sequence, minlength=len(words))
-        by_use = np.argsort(-counts, kind="stable")  # frequent words get small numbers in the packed form
-        rank, place = np.empty(len(words), np.uint32), np.empty(len(words), np.uint32)
-        rank[by_use] = np.arange(len(words))
-        place[self.order] = np.arange(len(words))
-        self.sequence, self.places = rank[sequence], place[by_use]
+        bucket = (hashed[self.order] >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+        self.bounds = np.searchsorted(bucket, np.arange(BUCKETS + 1))
 
     def packets(self) -> Iterator[tuple[int, bytes]]:
         for bucket, (a, b) in enumerate(zip(self.bounds.tolist(), self.bounds[1:].tolist())):
@@ -101,11 +108,21 @@ class Block:
         """The ids of the documents, their lengths and the sequences, in planes of bytes."""
         ids = np.array([0 if x is None else x for x in self.ids.to_pylist()], dtype="<i8")
         there = np.array(self.ids.is_valid(), dtype=np.uint8)
-        planes = self.sequence.astype("<u4").view(np.uint8).reshape(-1, 4).T
+        bounds = np.cumsum([0, *map(len, self.parts)])
+        parts = np.concatenate([np.zeros(0, np.int64), *self.parts])
+        words = np.concatenate([[0], np.cumsum(self.sizes[parts])])[bounds]  # words before each document
+        sequence = self.flat[ragged((np.cumsum(self.sizes) - self.sizes)[parts], self.sizes[parts])]
+        # frequent words get small numbers in the packed form
+        by_use = np.argsort(-np.bincount(sequence, minlength=len(self.words)), kind="stable")
+        rank, place = np.empty(len(by_use), "<u4"), np.empty(len(by_use), "<u4")
+        rank[by_use] = np.arange(len(by_use))
+        place[self.order] = np.arange(len(by_use))
+        planes = rank[sequence].view(np.uint8).reshape(-1, 4).T
+        lengths = np.diff(words).astype("<u4")
         press = zstandard.ZstdCompressor(level=3).compress
-        parts = [press(x.tobytes()) for x in (ids, there, self.lengths, self.places.astype("<u4"), *planes)]
-        sizes = np.array([len(x) for x in parts], dtype="<u4").tobytes()
-        return sizes + b"".join(parts)
+        packed = [press(x.tobytes()) for x in (ids, there, lengths, place[by_use], *planes)]
+        sizes = np.array([len(x) for x in packed], dtype="<u4").tobytes()
+        return sizes + b"".join(packed)
 
 
 def unpacked(content: bytes) -> list[bytes]:
