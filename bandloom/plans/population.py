@@ -22,18 +22,24 @@ from ..operators.rows import as_list, latest_per_key
 from ..sources.files import delete_folder, read_table, scratch_folder, write_table
 
 _SOURCE = "__source"
+#: Paths or a glob of Parquet files, or rows from anywhere else (see ``read_rows``).
+Table = str | Sequence[str] | DataFrame
+
+
+def _rows(spark: SparkSession, table: Table) -> DataFrame:
+    return table if isinstance(table, DataFrame) else read_table(spark, table)
 
 
 @dataclass
 class SourceTables:
-    """Where the tables of one source are and what to keep of them.
+    """The tables of one source, by path or as DataFrames, and what to keep of them.
 
     The platform is one name, or comes from the production log's channel.
     """
 
-    features: str | Sequence[str]
-    outputs: str | Sequence[str]
-    production: str | Sequence[str]
+    features: Table
+    outputs: Table
+    production: Table
     platform: str
     channels: Mapping[str, str] = field(default_factory=dict)
     channel_column: str = "channel"
@@ -69,9 +75,9 @@ def build_population(
     prepared = []
     for position, source in enumerate(sources):
         frame = prepare_source(
-            read_table(spark, source.features),
-            read_table(spark, source.outputs),
-            read_table(spark, source.production),
+            _rows(spark, source.features),
+            _rows(spark, source.outputs),
+            _rows(spark, source.production),
             source.platform_column(),
             id_column=id_column,
             reference_key=source.reference_key,

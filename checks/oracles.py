@@ -221,12 +221,55 @@ PREPARED_B = PREPARED.format(
     platform="CASE WHEN e.event_type = 'purchase' THEN 'APP_B' ELSE 'WEB_AGG' END",
     which="event_type NOT IN ('view','click')",
 )
+PREPARED_ALL = PREPARED.format(
+    platform="CASE WHEN e.event_type = 'purchase' THEN 'APP_B' ELSE 'WEB_AGG' END", which="TRUE"
+)
 MERGED = f"""SELECT id, created_at, platform, acctbal, n_orders, v30_pred_prob AS output_value,
   CASE WHEN json_valid(new_bureau_variables) THEN json_extract_string(new_bureau_variables, '$.k') END AS k
 FROM ({PREPARED_A}
 UNION ALL
 {PREPARED_B}) m"""
 
+# The latest event of a customer over both sources.
+POPULATION_ROWS = """SELECT id, event_id, created_at, platform, user_type, acctbal, n_orders, output_value, status,
+  CASE WHEN json_valid(props) THEN json_extract_string(props, '$.k') END AS k
+FROM (
+  SELECT c.c_custkey AS id, e.event_id, e.ts AS created_at, e.props, c.c_mktsegment AS user_type,
+    CASE WHEN e.event_type IN ('view','click') THEN 'APP_A' WHEN e.event_type = 'purchase' THEN 'APP_B'
+         ELSE 'WEB_AGG' END AS platform,
+    c.c_acctbal AS acctbal, o.n_orders, o.output_value, o.status,
+    row_number() OVER (PARTITION BY c.c_custkey ORDER BY e.ts DESC NULLS LAST, e.event_id DESC) AS rn
+  FROM customer c
+  JOIN (SELECT o_custkey, count(*) AS n_orders, max(o_totalprice) / 500000e0 AS output_value,
+          CASE WHEN max(o_orderstatus) = 'P' THEN 'FINAL_APPROVED' ELSE 'COND_APPROVED' END AS status
+        FROM orders GROUP BY 1) o ON o.o_custkey = c.c_custkey
+  JOIN (SELECT * FROM events WHERE event_type IS NOT NULL) e ON e.user_id = c.c_custkey) x WHERE rn = 1"""
+CREATED = f"""WITH scored AS ({POPULATION_ROWS}),
+shown AS (
+  SELECT p.platform, p.user_type, r.no, coalesce(b.cnt, 0) AS cnt,
+    CAST(sum(coalesce(b.cnt, 0)) OVER (PARTITION BY p.platform, p.user_type) AS BIGINT) AS total
+  FROM (SELECT DISTINCT {POP} FROM scored) p CROSS JOIN range(0, 11) r(no)
+  LEFT JOIN ({BAND_ROWS}) b ON b.platform = p.platform AND b.user_type = p.user_type
+    AND coalesce(b.model_band, 0) = r.no),
+results AS (
+  SELECT {POP}, 'PSI' AS metric_name, 'total_population' AS value_name, '1,2,3,4,5,6,7,8,9,10' AS categories,
+    '' AS cutpoints, string_agg(CAST(cnt * 1000 AS VARCHAR), ',' ORDER BY no) AS counts,
+    CAST(max(total) AS DOUBLE) AS total_count FROM shown GROUP BY 1, 2
+  UNION ALL
+  SELECT {POP}, 'PSI', 'score', '', '0,100,200,300,400,500,600,700,800,900,1000',
+    string_agg(CAST(CAST(round(round(CAST(cnt AS DOUBLE) / total * 100e0, 3) * 1000) AS BIGINT) AS VARCHAR), ','
+      ORDER BY no), CAST(max(total) AS DOUBLE) FROM shown GROUP BY 1, 2
+  UNION ALL
+  SELECT {POP}, 'INVALID_SCORE', 'total_population', '<0,=0,0-1,>=1,NULL', '',
+    string_agg(CAST(cnt * 1000 AS VARCHAR), ',' ORDER BY band_no), CAST(sum(cnt) AS DOUBLE)
+  FROM ({INVALID_ROWS}) i GROUP BY 1, 2
+  UNION ALL
+  SELECT {POP}, 'NULL_RATE', 'acctbal', '', '',
+    CAST(1000 * count(*) FILTER (WHERE acctbal IS NULL OR acctbal = 0e0) AS VARCHAR), CAST(count(*) AS DOUBLE)
+  FROM scored GROUP BY 1, 2)
+SELECT sha256(CAST(to_json(['MODEL_X', platform, user_type, metric_name, value_name, 'b']) AS VARCHAR)) AS benchmark_id,
+  'MODEL_X' AS model_name, * FROM results"""
+
 STORED = "SELECT platform, employment_type, count(*) AS n FROM scored GROUP BY 1, 2"
 INCOMING = "SELECT platform, employment_type, count(*) AS n FROM scored WHERE platform = 'APP_A' GROUP BY 1, 2"
 
@@ -299,8 +342,12 @@ def oracle_sql() -> dict[str, str]:
             "AS active_cc_count, CASE WHEN json_valid(bureau_json) THEN "
             "json_extract_string(bureau_json, '$.active_pl_count') END AS active_pl_count FROM scored"
         ),
-        "prepare_source": PREPARED_B,
+        "prepare_source": PREPARED_ALL,
         "merge_sources": MERGED,
+        "build_population": POPULATION_ROWS,
+        "create_benchmark": f"SELECT *, TRUE AS is_active FROM ({CREATED}) r",
+        "stored_benchmark": f"SELECT *, TRUE AS is_active FROM ({CREATED}) r UNION ALL "
+        f"SELECT *, FALSE AS is_active FROM ({CREATED}) r WHERE platform = 'APP_A'",
         "row_null_count_dedup": over_scored(
             f"SELECT {POP}, id FROM (SELECT {POP}, id, row_number() OVER (PARTITION BY {POP} ORDER BY "
             "CASE WHEN output_value IS NULL THEN 1 ELSE 0 END + CASE WHEN employment_type IS NULL THEN 1 ELSE 0 END "

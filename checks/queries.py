@@ -7,8 +7,9 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from bandloom import benchmark_long, operators as op
+from bandloom import Benchmark, ModelConfig, SourceTables, benchmark_long, build_population, operators as op
 from bandloom.operators.rows import POPULATION
+from bandloom.sources.files import scratch_folder
 from bandloom.sources.store import fetch, view
 
 from .oracles import SHORT_SEGMENTS
@@ -218,18 +219,80 @@ def two_sources(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]
         drop_prefixes=["model"],
     )
     channel = op.platform_from_channel(F.col("channel"), {"purchase": "APP_B"}, "WEB_AGG")
-    return source(log.filter(in_app), F.lit("APP_A")), source(log.filter(~in_app), channel)
+    return source(log.filter(in_app), F.lit("APP_A")), source(log.filter(~in_app), channel), source(log, channel)
 
 
 def prepare_source(spark: SparkSession, folder: str) -> DataFrame:
-    return two_sources(spark, folder)[1]
+    """One source that takes the whole log."""
+    return two_sources(spark, folder)[2]
 
 
 def merge_sources(spark: SparkSession, folder: str) -> DataFrame:
-    merged = op.merge_sources(two_sources(spark, folder), keys=["k"])
+    merged = op.merge_sources(two_sources(spark, folder)[:2], keys=["k"])
     return merged.select("id", "created_at", "platform", "acctbal", "n_orders", "output_value", "k")
 
 
+def source_tables(spark: SparkSession, folder: str) -> list[SourceTables]:
+    """The two sources as a user names them; every customer stands twice in the features."""
+    customer = table(spark, folder, "customer").selectExpr(
+        "c_custkey AS id", "c_acctbal AS acctbal", "c_mktsegment AS user_type_final"
+    )
+    outputs = table(spark, folder, "orders").groupBy(F.col("o_custkey").alias("id")).agg(
+        F.expr("count(*) AS n_orders"),
+        F.expr("max(o_totalprice) / 500000D AS v30_pred_prob"),
+        F.expr("if(max(o_orderstatus) = 'P', 'FINAL_APPROVED', 'COND_APPROVED') AS status"),
+    )
+    log = table(spark, folder, "events").selectExpr(
+        "user_id AS BUREAU_REFERENCE_NUMBER", "ts AS created_at", "event_id", "event_type AS channel",
+        "props AS NEW_BUREAU_VARIABLES",
+    )
+    in_app = F.col("channel").isin("view", "click")
+    source = partial(SourceTables, customer.union(customer), outputs, drop=["channel"])
+    return [
+        source(production=log.filter(in_app), platform="APP_A"),
+        source(production=log.filter(~in_app), platform="WEB_AGG", channels={"purchase": "APP_B"}),
+    ]
+
+
+def whole_population(spark: SparkSession, folder: str) -> DataFrame:
+    rows = build_population(spark, source_tables(spark, folder), tie_break="EVENT_ID", json_keys=["k"])
+    return rows.select(
+        "id", "event_id", "created_at", *POPULATION, "acctbal", "n_orders", "output_value", "status", "k"
+    )
+
+
+def created(spark: SparkSession, folder: str) -> tuple[Benchmark, DataFrame]:
+    model = ModelConfig(source_tables(spark, folder), METADATA, tie_break="event_id")
+    place = scratch_folder(spark)
+    bench = Benchmark(spark, {"MODEL_X": model}, f"{place}/store", f"{place}/bench")
+    request = {"PSI": ["score", "total_population"], "NULL_RATE": "acctbal", "INVALID_SCORE": None}
+    return bench, bench.create_benchmark(
+        model_name="MODEL_X", benchmark_name="b", metric_dict=request, save_intermediate=False
+    )
+
+
+def flat(rows: DataFrame) -> DataFrame:
+    """Result rows with their arrays as text; numbers are in thousandths."""
+    whole = lambda name: f"concat_ws(',', transform({name}, x -> string(bigint(round(x * 1000)))))"
+    return rows.selectExpr(
+        "benchmark_id", "model_name", *POPULATION, "metric_name", "value_name",
+        "concat_ws(',', categories) AS categories", f"{whole('cutpoints')} AS cutpoints",
+        f"{whole('coalesce(bin_counts, category_count)')} AS counts", "total_count", "is_active",
+    )
+
+
+def create_benchmark(spark: SparkSession, folder: str) -> DataFrame:
+    return flat(created(spark, folder)[1])
+
+
+def stored_benchmark(spark: SparkSession, folder: str) -> DataFrame:
+    """A result in the store, and that of one platform uploaded once more."""
+    bench, result = created(spark, folder)
+    bench.store.upload(result)
+    bench.store.upload(result.filter("platform = 'APP_A'"))
+    return flat(bench.view_benchmark(model_name="model_x"))
+
+
 def row_null_count_dedup(spark: SparkSession, folder: str) -> DataFrame:
     measured = ["output_value", "employment_type", "sum_qty"]
     kept = op.keep_fullest(
@@ -321,6 +384,9 @@ def queries() -> dict[str, Query]:
         "json_map_extract": json_map_extract,
         "prepare_source": prepare_source,
         "merge_sources": merge_sources,
+        "build_population": whole_population,
+        "create_benchmark": create_benchmark,
+        "stored_benchmark": stored_benchmark,
         "row_null_count_dedup": row_null_count_dedup,
         "result_table": result_table,
         "result_arrays": result_arrays,
