@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .operators.rows import as_list
 from .plans.benchmark import benchmark_table
 from .plans.population import SourceTables, build_population, materialise
-from .plans.request import Request, normalise_metrics
+from .plans.request import Request, normalise_metrics, required_columns
 from .sources.files import join_path, write_table
 from .sources.metadata import Metadata
 from .sources.store import BenchmarkStore
@@ -65,7 +65,8 @@ class Benchmark:
 
         Two writes happen: the prepared population, once, and the result of all metrics and
         populations. ``save_intermediate`` keeps the population next to the result; otherwise it only
-        lives in the shared checkpoint folder during the call. Returns the written result.
+        lives in the shared checkpoint folder during the call, in the columns that the metrics read.
+        Returns the written result.
         """
         if model_name not in self.models:
             raise KeyError(f"model {model_name!r} is not configured; available: {list(self.models)}")
@@ -74,7 +75,10 @@ class Benchmark:
             raise ValueError("give a bench_path for the result")
         model = self.models[model_name]
         request = normalise_metrics(metric_name, value_name, metric_dict)
-        population = build_population(self.spark, model.sources, tie_break=model.tie_break)
+        columns = None if save_intermediate else required_columns(request, model.metadata, on_missing)
+        population = build_population(
+            self.spark, model.sources, tie_break=model.tie_break, columns=columns
+        )
         kept = join_path(folder, POPULATION_FILE) if save_intermediate else None
         with materialise(population, kept) as rows:
             result = benchmark_table(

@@ -63,21 +63,25 @@ def prepare_source(
     drop: Sequence[str] = (),
     drop_prefixes: Sequence[str] = (),
     one_row_per_id: bool = False,
+    only: Sequence[str] | None = None,
 ) -> DataFrame:
     """Join the scores and features of one source with the latest production row of each id.
 
     All three tables meet on the id. With ``one_row_per_id`` features and scores are reduced to a row
     per id before they are joined. When the caller keeps one row per id afterwards anyway, any of the
     joined copies is as good as another (they share the production row and so its time), and a
-    repeated id then never multiplies in the join.
+    repeated id then never multiplies in the join. With ``only`` no column is read beside these, the keys
+    and the tie-breaks; which of an id's differing copies is kept then depends on these columns.
     """
     keys = {id_column.lower(), reference_key.lower(), latest_by.lower(), "platform"}
     ties = {name.lower() for name in as_list(tie_break) or []}
+    asked = None if only is None else {name.lower() for name in only}
 
     def trim(df: DataFrame, names: Sequence[str] = (), prefixes: Sequence[str] = ()) -> DataFrame:
         # Unwanted columns go before ties are broken by content, so that they are never read.
         needed = [name for name in df.columns if name.lower() in keys | ties]
-        return df.select(*needed, *drop_columns(df.drop(*needed), names, prefixes).columns)
+        rest = drop_columns(df.drop(*needed), names, prefixes).columns
+        return df.select(*needed, *(name for name in rest if asked is None or name.lower() in asked))
 
     features, outputs = trim(features, drop, drop_prefixes), trim(outputs, drop, drop_prefixes)
     if one_row_per_id:

@@ -64,14 +64,23 @@ def build_population(
     json_column: str | None = JSON_COLUMN,
     json_keys: Sequence[str] = JSON_KEYS,
     renames: Mapping[str, str] = RENAMES,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Join every source, stack them, and keep the latest row of each id.
 
     Since one row per id is kept in the end, each table is brought to one row per id *before* it is
     joined, so that joins are one-to-one and no repeated id can blow up. All tables are shuffled on the
     id once; joins, union and the last choice run on that partitioning. Of rows with the same time in
-    several sources, the one from the source listed first is kept (after ``tie_break``, if given).
+    several sources, the one from the source listed first is kept (after ``tie_break``, if given). With
+    ``columns`` the population has these only (and the id), and no others are read, hashed or shuffled.
     """
+    wanted = None if columns is None else {name.lower() for name in [id_column, *columns]}
+    only = None
+    if wanted is not None:
+        if json_column is not None and wanted.isdisjoint([json_column.lower(), *map(str.lower, json_keys)]):
+            json_column = None
+        only = [*wanted, *[old for old, new in renames.items() if new.lower() in wanted]]
+        only += [] if json_column is None else [json_column]
     prepared = []
     for position, source in enumerate(sources):
         frame = prepare_source(
@@ -87,6 +96,7 @@ def build_population(
             drop=source.drop,
             drop_prefixes=source.drop_prefixes,
             one_row_per_id=True,
+            only=only,
         )
         # The join made the reference key equal to the id. Spark keeps the partitioning of a union
         # only if it is on a single column, so the second name of the key is put back at the end.
@@ -97,7 +107,10 @@ def build_population(
     require_columns(merged, ties)
     population = latest_per_key(merged, id_column, latest_by, [*ties, _SOURCE]).drop(_SOURCE)
     names = {source.reference_key.lower() for source in sources}
-    return population.withColumns({name: F.col(id_column) for name in names})
+    population = population.withColumns({name: F.col(id_column) for name in names})
+    if wanted is not None:
+        population = population.select([name for name in population.columns if name.lower() in wanted])
+    return population
 
 
 @contextmanager

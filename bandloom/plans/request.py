@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from ..functions.segments import segment_names
-from ..operators.rows import as_list
+from ..operators.rows import POPULATION, as_list
 from ..operators.scores import SCORE_VALUES
 from ..sources.metadata import Metadata
 
@@ -69,6 +69,20 @@ def expand_metrics(
     return expanded
 
 
+def required_columns(request: Request, metadata: Metadata, on_missing: str = "raise") -> list[str]:
+    """The columns of a population that the requested metrics read."""
+    wanted = expand_metrics(request, metadata, on_missing)
+    columns = [*POPULATION]
+    for metric, values in wanted.items():
+        if metric in (*SCORE_METRICS, VALIDITY_METRIC):
+            columns.append("output_value")
+            if set(values) - {"score", "total_population"}:
+                columns.append("status")
+        else:
+            columns += values
+    return list(dict.fromkeys(columns))
+
+
 def _known(metric: str, metadata: Metadata) -> set[str]:
     if metric in SCORE_METRICS:
         return set(SCORE_VALUES)

@@ -10,6 +10,7 @@ import __spark_entry__ as contract
 from checks import queries as named
 from bandloom import Metadata, SourceTables, benchmark_long, build_population
 from bandloom import operators as op
+from bandloom.plans.request import required_columns
 from checks.standin import METADATA
 
 from .conftest import ROOT
@@ -160,6 +161,22 @@ def test_population_is_shuffled_once_per_table(shuffled, tmp_path):
     }
 
 
+def test_a_population_reads_what_the_request_needs(spark, data):
+    for request, read, unread in [
+        ({"INVALID_SCORE": None}, {"o_totalprice", "c_mktsegment"}, {"c_acctbal", "o_orderstatus", "props"}),
+        ({"NULL_RATE": "acctbal"}, {"c_acctbal"}, {"o_totalprice", "o_orderstatus", "props"}),
+        ({"PSI": "fa"}, {"o_orderstatus", "o_totalprice"}, {"c_acctbal", "props"}),
+        ({"SEGMENT_DISTRIBUTION": "active_cc_count"}, {"props"}, {"c_acctbal", "o_totalprice"}),
+    ]:
+        columns = required_columns(request, METADATA)
+        population = build_population(
+            spark, named.source_tables(spark, data), tie_break="Event_ID", columns=columns
+        )
+        assert set(population.columns) == {"id", *columns}
+        found = set().union(*scans(plan_of(population)))
+        assert read <= found and not unread & found
+
+
 def test_creating_a_benchmark_takes_two_writes(spark, population, tmp_path):
     from bandloom import benchmark_table
     from bandloom.plans.population import materialise
