@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import require_columns
 from ..functions.segments import SEGMENTS, TEXT_SEGMENTS, Rule, segment_label, segment_value
 from ..functions.sql import quoted
 from .features import STACKED, by_batch
-from .long_form import WHOLE_POPULATION, to_long
+from .long_form import to_long
 from .rows import POPULATION
 
 
@@ -41,9 +42,18 @@ def segment_counts(
         stacked = labels.unpivot(POPULATION, batch, "value_name", "band_label")
         return stacked.groupBy(*POPULATION, "value_name", "band_label").agg(F.expr("count(*) AS cnt"))
 
+    counts = by_batch(df, names, count, lambda name: 2 * STACKED)
     return to_long(
-        by_batch(df, names, count, lambda name: 2 * STACKED),
-        metric_name="'SEGMENT_DISTRIBUTION'",
-        metric_value="cnt",
-        total=f"sum(cnt) OVER ({WHOLE_POPULATION}, value_name)",
+        _with_totals(counts), metric_name="'SEGMENT_DISTRIBUTION'", metric_value="cnt"
     )
+
+
+def _with_totals(counts: DataFrame) -> DataFrame:
+    """Add the rows of each population and segment. A segment of free text can have any number of
+    labels, so its total is an aggregate of its own (combined before the shuffle) and joined back, not
+    a window that holds all labels in one task."""
+    group = [*POPULATION, "value_name"]
+    totals = counts.groupBy(*group).agg(F.sum("cnt").alias("total"))
+    totals = totals.select(*[F.col(name).alias(f"of_{name}") for name in group], "total")
+    same = reduce(Column.__and__, [F.col(name).eqNullSafe(F.col(f"of_{name}")) for name in group])
+    return counts.join(totals, same).select(*counts.columns, "total")

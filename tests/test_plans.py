@@ -124,6 +124,21 @@ def test_counts_are_reduced_before_the_shuffle(population):
     assert "HashAggregate" in plan[first:]
 
 
+def test_segment_totals_gather_no_labels(spark, shuffled):
+    df = spark.range(60).selectExpr(
+        "if(id % 3 = 0, NULL, 'A') AS platform", "'N' AS user_type", "concat('job ', id) AS employment_type",
+        "id AS tenure",
+    )
+    counts = op.segment_counts(df, ["employment_type", "tenure"])
+    assert "Window" not in plan_of(counts)
+    totals = counts.groupBy("platform", "value_name").agg(F.sum("cnt"), F.min("total"), F.max("total"))
+    assert {tuple(row) for row in totals.collect()} == {
+        (platform, name, n, float(n), float(n))
+        for platform, n in ((None, 20), ("A", 40))
+        for name in ("employment_type", "tenure")
+    }
+
+
 def test_latest_row_is_chosen_before_the_shuffle(spark, data):
     plan = plan_of(QUERIES["latest_per_key"](spark, data))
     assert plan.count("Exchange") == 1
