@@ -22,6 +22,7 @@ from .shared import written
 
 CHAIN = 2
 LEAST = 0.05
+NEAR = 0.8
 NO_WORD = r"[^\p{L}\p{N}]+"
 #: Frequent words of English, French, German and Spanish, lower case.
 ANCHORS = (
@@ -75,13 +76,66 @@ def length_class(size: Column) -> Column:
     return F.floor(F.log(size.cast("double")) / math.log(1 / LEAST))
 
 
+def jaccard(a: Column, b: Column) -> Column:
+    shared = F.size(F.array_intersect(a, b)).cast("double")
+    return shared / (F.size(a) + F.size(b) - shared)
+
+
 def likeness(a: Column, b: Column) -> Column:
     """Jaccard similarity of two signatures, 0 where their lengths bound it below LEAST."""
-    shared = F.size(F.array_intersect(a, b)).cast("double")
     near = (F.abs(length_class(F.size(a)) - length_class(F.size(b))) <= 1) & (
         F.least(F.size(a), F.size(b)) >= LEAST * F.greatest(F.size(a), F.size(b))
     )
-    return F.when(near, shared / (F.size(a) + F.size(b) - shared)).otherwise(F.lit(0.0))
+    return F.when(near, jaccard(a, b)).otherwise(F.lit(0.0))
+
+
+def near_pairs(docs: DataFrame, least: float = NEAR) -> tuple[DataFrame, DataFrame]:
+    """All pairs of different signatures at a Jaccard similarity of ``least`` or more, and membership.
+
+    Gives ``src``, ``dst`` and ``similarity`` (``src`` < ``dst``, ids of signatures), and ``doc_id`` with
+    ``signature_id`` of every row; texts of equal signatures are one class and never meet as pairs.
+
+    Signatures are partitioned by length, so that similar ones are in the same class of lengths or the
+    next. Of each, its rarest spots are enough to find all partners: two similar signatures share one of
+    the first ``size - ceil(least * size) + 1`` (prefix filter). A meeting is dropped if the spots behind
+    it cannot add up to the similarity any more; the rest is checked on whole signatures. No meeting is
+    capped. A null text is empty; null ids stay; an empty table gives two empty tables.
+    """
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    signed = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), signature(text).alias("spots")))
+    members = signed.select("doc_id", F.xxhash64("spots").alias("signature_id"))
+    classes = written(
+        signed.groupBy(F.xxhash64("spots").alias("id")).agg(F.first("spots").alias("spots"))
+    )
+    single = classes.select("id", F.size("spots").alias("size"), F.explode("spots").alias("spot"))
+    often = single.groupBy("spot").agg(F.count("*").alias("n"))
+    ranked = single.join(often, "spot").groupBy("id", "size").agg(
+        F.array_sort(F.collect_list(F.struct("n", "spot"))).alias("ranked")
+    )  # no longer than the signature
+    needed = F.ceil(F.col("size") * least - 1e-9).cast("int")
+    first = ranked.select("id", "size", F.posexplode(F.slice("ranked", F.lit(1), F.col("size") - needed + 1)))
+    band = F.floor(F.log(F.col("size").cast("double")) / math.log(1 / least) + 1e-9)
+    index = written(first.select("id", "size", F.col("pos").alias("at"), F.col("col.spot").alias("spot"),
+                                 band.alias("band")))
+    probes = index.select(
+        *(F.col(x).alias(f"{x}_2") for x in ("id", "size", "at")), "spot",
+        F.explode(F.array("band", F.col("band") + 1)).alias("band"),
+    )
+    shortest = (F.col("size_2") < F.col("size")) | ((F.col("size_2") == F.col("size")) & (F.col("id_2") < F.col("id")))
+    most = F.least(F.col("size") - F.col("at"), F.col("size_2") - F.col("at_2"))
+    enough = (F.col("size_2") >= least * F.col("size") - 1e-9) & (
+        most * (1 + least) >= least * (F.col("size") + F.col("size_2")) - 1e-9
+    )
+    meetings = index.join(probes, ["spot", "band"]).where(shortest & enough)
+    pairs = written(
+        meetings.select(F.least("id", "id_2").alias("src"), F.greatest("id", "id_2").alias("dst")).distinct()
+    )
+    left = classes.select(F.col("id").alias("src"), F.col("spots").alias("a"))
+    right = classes.select(F.col("id").alias("dst"), F.col("spots").alias("b"))
+    compared = pairs.join(left, "src").join(right, "dst").select(
+        "src", "dst", jaccard(F.col("a"), F.col("b")).alias("similarity")
+    )
+    return compared.where(F.col("similarity") >= least), members
 
 
 def shown(spots: Column) -> Column:

@@ -14,6 +14,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -396,6 +397,31 @@ def test_spotsigs_likeness(spark, docs):
     assert (same == 1).all()
 
 
+def test_spotsigs_pairs_equal_brute_force(spark):
+    random.seed(8)
+    words = [f"word{i}" for i in range(60)] + ["the", "of", "and"] * 8
+    texts = []
+    for _ in range(25):
+        base = random.choices(words, k=random.choice([8, 30, 90, 200]))
+        for _ in range(8):
+            copy = list(base)
+            for _ in range(random.randint(0, 5)):
+                copy[random.randrange(len(copy))] = random.choice(words)
+            texts.append(" ".join(copy[: len(copy) - random.randint(0, 3)]))
+    texts += ["", None, texts[0]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spots = {r.doc_id: frozenset(r.s) for r in df.select(
+        "doc_id", spotsigs.signature(F.coalesce("text", F.lit(""))).alias("s")).collect()}
+    pairs, members = spotsigs.near_pairs(df)
+    of = {r.signature_id: spots[r.doc_id] for r in members.collect()}
+    assert members.count() == len(texts) and set(of.values()) == set(spots.values())
+    want = {frozenset((a, b)) for a, b in itertools.combinations(set(spots.values()), 2)
+            if len(a & b) >= 0.8 * len(a | b)}
+    got = [frozenset((of[r.src], of[r.dst])) for r in pairs.collect()]
+    assert len(want) > 50 and len(got) == len(set(got)) and set(got) == want
+    assert all(x.count() == 0 for x in spotsigs.near_pairs(df.limit(0)))
+
+
 def test_spotsigs_of_odd_rows(spark, odd):
     got = spotsigs.fingerprints(odd).collect()
     assert len(got) == len(ODD) and all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in got)
