@@ -7,10 +7,13 @@ component one line is kept, the first by (doc_id, position).
 * A signature has ``BANDS * ROWS`` values from one hash of each shingle (one-permutation MinHash with
   empty bins filled from full ones), so its cost does not grow with its size. Lines that agree in a
   band are candidates: at a similarity of 0.8 a pair misses all bands with a probability of 0.2 %.
-* Candidates of a band are rows sorted by band. Up to ``SMALL`` lines of a band are all paired; more are
-  paired with their neighbour and with a leader, both by an order that differs between bands, so a
-  group of m lines gives 2 m pairs at most in a band; a task holds ``HELD`` rows of it at most.
+* Candidates of a band are rows sorted by band. Up to ``SMALL`` lines of a band are all paired; more, the
+  crowded ones, are paired with their neighbour and with a leader, both by an order that differs between
+  bands; a task holds ``HELD`` rows of a band at most.
 * Candidates are checked on their whole shingle sets, as 64-bit hashes, and the links joined by ``components``.
+* All crowded lines then go through an exact search (``crowded_links``) for links between different
+  components of these: pairs that share a shingle among the rarest of each, checked like the others. Lines
+  of one component need no further link, so a family of near copies does not meet itself.
 
 Equal lines never meet as pairs: they share a 64-bit id, are counted by an aggregate that combines
 before the shuffle, and enter a band once per task.
@@ -37,6 +40,7 @@ EMPTY = np.uint32(0xFFFFFFFF)
 BLOCK = 1 << 17  # code points hashed at once
 KEPT = 2_000_000  # shingles of lines that a task keeps while it checks pairs
 HELD = 500_000  # rows of one band that a task holds
+PLACES = 1 << 20  # of the table of how often shingles occur
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -139,8 +143,17 @@ def bands(sig: np.ndarray) -> np.ndarray:
 
 
 def salted(band: np.ndarray, line: np.ndarray) -> np.ndarray:
-    """The ids with some high bits turned, so that they sort otherwise in other bands; its own inverse."""
-    return line ^ ((band & 3) << 61)
+    """The ids times an odd number of the band, so that they sort otherwise in other bands."""
+    return (line.view(np.uint64) * (mixed(band.view(np.uint64)) | np.uint64(1))).view(np.int64)
+
+
+def unsalted(band: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """The inverse of ``salted``."""
+    odd = mixed(band.view(np.uint64)) | np.uint64(1)
+    inverse = odd.copy()  # right in 3 bits; each step doubles them
+    for _ in range(5):
+        inverse *= np.uint64(2) - odd * inverse
+    return (line.view(np.uint64) * inverse).view(np.int64)
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,23 +204,28 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(lines, pa.string())], names=["id", "line"])
 
 
-def band_pairs(band: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of lines of whole bands. Rows are sorted by band and line; a line stands once in a band."""
+def band_pairs(band: np.ndarray, line: np.ndarray, goes_on: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of lines of whole bands, and each crowded line with itself. Rows are sorted by band and line; a
+    line stands once in a band. If the first band ``goes_on`` from an earlier piece, its lines are crowded."""
+    if not len(band):
+        return band, line
     starts = np.flatnonzero(np.concatenate([[True], band[1:] != band[:-1]]))
     sizes = np.diff(np.concatenate([starts, [len(band)]]))
     left, right = [], []
+    crowded = sizes > SMALL
+    crowded[0] |= goes_on
     for size in range(2, SMALL + 1):
-        group = line[starts[sizes == size][:, None] + np.arange(size)]
+        group = line[starts[(sizes == size) & ~crowded][:, None] + np.arange(size)]
         i, j = np.triu_indices(size, 1)
         left.append(group[:, i].ravel())
         right.append(group[:, j].ravel())
-    large = np.repeat(sizes > SMALL, sizes)
+    large = np.repeat(crowded, sizes)
     if large.any():
         leader = np.repeat(line[starts], sizes)
         later = large.copy()
         later[starts] = False
-        left += [leader[later], line[np.flatnonzero(later) - 1]]
-        right += [line[later], line[later]]
+        left += [leader[later], line[np.flatnonzero(later) - 1], line[large]]
+        right += [line[later], line[later], line[large]]
     return np.concatenate(left), np.concatenate(right)
 
 
@@ -220,13 +238,14 @@ def _in_order(band: np.ndarray, salted_line: np.ndarray) -> tuple[np.ndarray, np
     band, salted_line = band[order], salted_line[order]
     once = np.ones(len(band), dtype=bool)
     once[1:] = (band[1:] != band[:-1]) | (salted_line[1:] != salted_line[:-1])
-    return band[once], salted(band[once], salted_line[once])
+    return band[once], unsalted(band[once], salted_line[once])
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs of rows sorted by band. The last band of a batch waits for the next batch; one of
-    more than HELD rows is paired piece by piece, the pieces by their leaders."""
+    """Candidate pairs of rows sorted by band, and each crowded line with itself. The last band of a batch
+    waits for the next batch; one of more than HELD rows is paired piece by piece, the pieces by their leaders."""
     band, line = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    goes_on = False
     for batch in batches:
         new = [column.to_numpy(zero_copy_only=False) for column in batch.columns]
         band, line = np.concatenate([band, new[0]]), np.concatenate([line, new[1]])
@@ -234,13 +253,13 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         last = int(np.searchsorted(band, band[-1]))  # where the last band begins
         if len(band) - last > HELD:
-            yield _ordered(*band_pairs(*_in_order(band, line)))
-            band, line = band[-1:], np.min(line[last:], keepdims=True)
+            yield _ordered(*band_pairs(*_in_order(band, line), goes_on))
+            band, line, goes_on = band[-1:], np.min(line[last:], keepdims=True), True
         elif last:
-            yield _ordered(*band_pairs(*_in_order(band[:last], line[:last])))
-            band, line = band[last:], line[last:]
+            yield _ordered(*band_pairs(*_in_order(band[:last], line[:last]), goes_on))
+            band, line, goes_on = band[last:], line[last:], False
     if len(band):
-        yield _ordered(*band_pairs(*_in_order(band, line)))
+        yield _ordered(*band_pairs(*_in_order(band, line), goes_on))
 
 
 def _ordered(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
@@ -285,23 +304,141 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return bool(common >= LEAST * (len(both) - common))
 
 
-def line_links(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``src`` and ``dst``: ids of different lines at a similarity of LEAST or more."""
+def _coded(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The codes of several lines, without repeats, and the number of the line of each; sorted by both."""
+    lines = [line.ljust(SHINGLE, "\0") for line in lines]
+    points = np.frombuffer("".join(lines).encode("utf-32-le"), dtype="<u4").astype(np.uint64)
+    lengths = np.array([len(line) for line in lines])
+    inside = np.ones(len(points), dtype=bool)
+    for k in range(1, SHINGLE):
+        inside[np.cumsum(lengths) - k] = False
+    inside = inside[: len(points) - SHINGLE + 1]
+    code, of = hashed(points)[inside], np.repeat(np.arange(len(lines)), lengths)[: len(inside)][inside]
+    order = np.lexsort((code, of))
+    code, of = code[order], of[order]
+    once = np.ones(len(code), dtype=bool)
+    once[1:] = (code[1:] != code[:-1]) | (of[1:] != of[:-1])
+    return of[once], code[once]
+
+
+def _place(code: np.ndarray) -> np.ndarray:
+    return (mixed(code) % np.uint64(PLACES)).astype(np.int64)
+
+
+def _often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many lines of the task the shingles of a place are."""
+    n = np.zeros(PLACES, np.int64)
+    for batch in batches_of(batches, "line", 1 << 20):
+        if batch.num_rows:
+            n += np.bincount(_place(_coded(batch.column(0).to_pylist())[1]), minlength=PLACES)
+    at = np.flatnonzero(n)
+    yield pa.record_batch([at, n[at]], names=["place", "n"])
+
+
+def least_of(size: np.ndarray, share: float) -> np.ndarray:
+    """The whole number of codes that ``share`` of ``size`` demands; never one too many by rounding."""
+    return np.ceil(size * share - 1e-9).astype(np.int64)
+
+
+def rarest(lines: list[str], often: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of each line the first codes by rarity: number of the line, code, place in that order, number of codes.
+
+    Two lines at LEAST or more share one of the first ``size - ceil(LEAST * size) + 1`` by any order of all
+    codes, so ``often``, which may take codes together, bears on the work only and not on what is found.
+    """
+    of, code = _coded(lines)
+    order = np.lexsort((code, often[_place(code)], of))
+    size = np.bincount(of, minlength=len(lines))
+    at = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
+    first = at <= (size - least_of(size, LEAST))[of]
+    return of[first], code[order][first], at[first], size[of[first]]
+
+
+#: Of the shorter line of a pair so many codes fewer are needed, as all that is shared must be in both.
+SHORTER = 2 * LEAST / (1 + LEAST)
+
+
+def crowded_links(crowd: DataFrame) -> DataFrame:
+    """``src`` and ``dst`` of all pairs of different ``root`` that may be at LEAST or more, once each.
+
+    ``crowd`` has ``id``, ``line`` and ``root``, and no id twice. A shingle whose lines all have one root is
+    left out before anything meets. Meetings are a join on the shingle, whose hot keys Spark splits; a
+    meeting is left out if the codes behind it cannot add up to the similarity any more. None is capped.
+    """
+    spark = crowd.sparkSession
+    counts = crowd.select("line").mapInArrow(_often, "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
+    table = counts.toArrow()  # PLACES rows at most, however large the corpus is
+    often = np.zeros(PLACES, np.int64)
+    often[table["place"].to_numpy()] = table["n"].to_numpy()
+    shared = spark.sparkContext.broadcast(often)
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches_of(batches, "line", 1 << 20):
+            if batch.num_rows:
+                of, code, at, size = rarest(batch.column(2).to_pylist(), shared.value)
+                taken = pa.array(of)
+                yield pa.record_batch(
+                    [batch.column(0).take(taken), batch.column(1).take(taken), pa.array(code.view(np.int64)),
+                     pa.array(at.astype(np.int32)), pa.array(size.astype(np.int32)),
+                     pa.array(at <= size - least_of(size, SHORTER))],
+                    names=["id", "root", "code", "at", "size", "short"],
+                )
+
+    index = written(crowd.select("id", "root", "line").mapInArrow(
+        first, "id long, root long, code long, at int, size int, short boolean"
+    ))
+    several = index.groupBy("code").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a != b")
+    index = written(index.join(several.select("code"), "code"))
+    longer = index.select("code", *(F.col(x).alias(f"{x}_2") for x in ("id", "root", "at", "size")))
+    behind = F.least(F.col("size") - F.col("at"), F.col("size_2") - F.col("at_2"))
+    meetings = index.where("short").join(longer, "code").where(
+        (F.col("root") != F.col("root_2"))
+        & ((F.col("size") < F.col("size_2")) | ((F.col("size") == F.col("size_2")) & (F.col("id") < F.col("id_2"))))
+        & (F.col("size") >= LEAST * F.col("size_2") - 1e-9)
+        & (behind * (1 + LEAST) >= LEAST * (F.col("size") + F.col("size_2")) - 1e-9)
+    )
+    return meetings.select(F.least("id", "id_2").alias("src"), F.greatest("id", "id_2").alias("dst")).distinct()
+
+
+def _checked(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+    left = lines.select(F.col("id").alias("src"), F.col("line").alias("a"))
+    right = lines.select(F.col("id").alias("dst"), F.col("line").alias("b"))
+    both = pairs.join(left, "src").join(right, "dst").select("src", "dst", "a", "b")
+    return both.mapInArrow(_similar, LINKS)
+
+
+def line_components(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``vertex`` and ``root`` of the ids of different lines that are linked at a similarity of LEAST or more."""
     ship(docs.sparkSession)
     source = docs.select(F.col(text).cast("string").alias("text"))
     banded = source.mapInArrow(_bands, "band long, id long").repartition("band")
-    pairs = written(
+    found = written(
         banded.sortWithinPartitions("band").mapInArrow(_pairs, LINKS).distinct()
     )
-    wanted = pairs.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
-    found = source.mapInArrow(_texts, "id long, line string").join(
+    wanted = found.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+    texts = source.mapInArrow(_texts, "id long, line string").join(
         broadcast_if_small(written(wanted)), "id", "left_semi"
     )
-    lines = written(found.groupBy("id").agg(F.first("line").alias("line")))
-    left = lines.select(F.col("id").alias("src"), F.col("line").alias("a"))
-    right = lines.select(F.col("id").alias("dst"), F.col("line").alias("b"))
-    both = pairs.join(left, "src").join(right, "dst").select("src", "dst", "a", "b")
-    return both.mapInArrow(_similar, LINKS)
+    lines = written(texts.groupBy("id").agg(F.first("line").alias("line")))
+    linked = written(components(_checked(found.where("src != dst"), lines)))
+    crowded = found.where("src = dst").select(F.col("src").alias("id"))
+    if crowded.isEmpty():
+        return linked
+    crowd = written(
+        lines.join(crowded, "id").join(linked, F.col("id") == F.col("vertex"), "left").select(
+            "id", "line", F.coalesce("root", "id").alias("root")
+        )
+    )
+    roots = crowd.select("id", "root")
+    more = _checked(written(crowded_links(crowd)), lines)
+    between = written(
+        more.join(roots.toDF("src", "a"), "src").join(roots.toDF("dst", "b"), "dst").select(
+            F.col("a").alias("src"), F.col("b").alias("dst")
+        )
+    )
+    if between.isEmpty():
+        return linked
+    return components(linked.select(F.col("vertex").alias("src"), F.col("root").alias("dst")).union(between))
 
 
 def dropped_lines(docs: DataFrame, row: str = "row") -> DataFrame:
@@ -318,7 +455,7 @@ def dropped_lines(docs: DataFrame, row: str = "row") -> DataFrame:
     )
     where = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "place")
     lines = seen.groupBy("id").agg(F.min(where).alias("first"), F.count("*").alias("n"))
-    linked = written(components(line_links(docs)))
+    linked = written(line_components(docs))
     rooted = lines.join(linked, lines.id == linked.vertex, "left").select(
         "id", "first", "n", F.coalesce("root", "id").alias("root")
     )

@@ -134,6 +134,46 @@ def test_near_lines_share_a_band():
         assert (a == b).any()
 
 
+def templated_lines():
+    """Pairs at 0.85 in a family of one template, below 0.8 to all others of it."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6))
+    names = [(a, x) for a, *both in ([word() for _ in range(3)] for _ in range(300)) for x in both]
+    return [f"copyright holder {a} grants use of the enclosed text under the general terms of the open agreement, "
+            f"as signed by {x} for the whole association" for a, x in names]
+
+
+def test_templated_lines_equal_brute_force(spark):
+    lines = templated_lines()
+    sets = [line_dedup.shingles(x) for x in lines]
+    find = union_find(len(lines), [
+        (a, b) for a, b in itertools.combinations(range(len(lines)), 2)
+        if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    ])
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").repartition(6)
+    got = {r.doc_id for r in line_dedup.dedup_lines(docs).collect() if r.text}
+    assert got == {k for k in range(len(lines)) if find(k) == k}
+    assert len(got) == 300
+
+
+def test_salted_ids_come_back():
+    rng = np.random.default_rng(2)
+    band, line = rng.integers(-(2**63), 2**63 - 1, (2, 1000))
+    assert (line_dedup.unsalted(band, line_dedup.salted(band, line)) == line).all()
+
+
+def test_pieces_of_a_band_are_crowded(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(line_dedup, "HELD", 20)
+    band = np.full(23, 5)
+    line = line_dedup.salted(band, np.arange(23))
+    batches = [pa.record_batch([band[:21], line[:21]], names=["band", "id"]),
+               pa.record_batch([band[21:], line[21:]], names=["band", "id"])]
+    pairs = {p for b in line_dedup._pairs(iter(batches)) for p in zip(*(c.to_pylist() for c in b.columns))}
+    assert {a for a, b in pairs if a == b} == set(range(23))
+
+
 def test_token_files_round_trip(spark, docs):
     coder = Tokenizer.from_file(JSON)
     got = result(spark, "op2_token_files").set_index("doc_id")
