@@ -302,6 +302,31 @@ def test_a_model_too_large_to_copy_gives_the_same(spark):
     assert np.allclose(a.bits, b.bits, atol=1e-4) and (a.kept == b.kept).all()
 
 
+def test_fences_by_language_and_length(spark):
+    rows = [(k, "en", 100, 2 + (k % 21 - 10) / 100) for k in range(210)]
+    rows += [(k, "en", 3000, 2 + (k % 21 - 10) / 1000) for k in range(210, 420)]
+    rows += [(900, "en", 100, 2.15), (901, "en", 3000, 2.15), (902, "en", 100, 1.5), (903, "en", 100, 2.5), (904, "fr", 9, 3.0)]
+    table = spark.createDataFrame(rows, "doc_id long, lang string, n_words long, bits double")
+    got = perplexity.judged(table.withColumn("base_failed", F.lit(False)))
+    assert {r.doc_id for r in got.where("not kept").collect()} == {901, 902, 903}
+
+
+def test_model_learns_from_documents_that_pass():
+    import pyarrow as pa
+
+    junk = pa.record_batch([["en"] * 2, ["zq " * 300, "zqx"]], names=["lang", "text"])
+    assert not list(perplexity._counts(iter([junk])))
+
+
+def test_perplexity_rejects_bad_documents(spark):
+    folder = "/root/testdata/sf0.1"
+    got = perplexity.quality(spark.read.parquet(f"{folder}/documents.parquet")).toPandas()
+    both = got.merge(pd.read_parquet(f"{folder}/labels.parquet"), on="doc_id")
+    both = both[~both.base_failed]
+    good, bad = both[both.quality == 1], both[both.quality == 0]
+    assert (~bad.kept).mean() > 0.4 and (~good.kept).mean() < 0.02
+
+
 def test_quality_of_odd_rows(spark, odd):
     assert perplexity.quality(odd).count() == len(ODD)
     assert perplexity.keep_good(odd).columns == odd.columns
