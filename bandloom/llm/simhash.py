@@ -107,6 +107,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     left out, unless it may go on in a neighbouring partition."""
     part, number, first = TaskContext.get().partitionId(), 0, True
     held: tuple[np.ndarray, ...] | None = None
+    goes_on = False  # whether the held rows continue a place that has been cut
 
     def cut(choice, bits, prints, last):
         nonlocal number, first
@@ -117,7 +118,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stops = np.concatenate([new, [len(prints)]])
         out = []
         for k, (a, b) in enumerate(zip(starts.tolist(), stops.tolist())):
-            edge = (first and k == 0) or (last and k == len(starts) - 1)
+            edge = ((first or goes_on) and k == 0) or (last and k == len(starts) - 1)
             if b - a > 1 or edge:
                 for at in range(a, b, RUN):
                     some = prints[at : min(b, at + RUN)]
@@ -154,6 +155,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start = len(same) - int(np.argmin(same[::-1])) if not same.all() else 0
         stop = start + (len(prints) - start - 1) // RUN * RUN
         yield from cut(choice[:stop], bits[:stop], prints[:stop], last=False)
+        goes_on = stop > start or (goes_on and stop == 0)
         held = choice[stop:], bits[stop:], prints[stop:]
     if held is not None:
         yield from cut(*held, last=True)

@@ -250,6 +250,28 @@ def test_simhash_links_of_crowded_places(spark, monkeypatch):
     assert {r.vertex: r.root for r in simhash.print_components(table).collect()} == want
 
 
+def test_runs_of_any_batches(monkeypatch):
+    import pyarrow as pa
+
+    class Context:
+        get = staticmethod(lambda: Context)
+        partitionId = staticmethod(lambda: 0)  # noqa: N815
+
+    monkeypatch.setattr(simhash, "TaskContext", Context)
+    monkeypatch.setattr(simhash, "RUN", 4)
+    bits = np.repeat(np.arange(6), [2, 5, 9, 1, 4, 3])
+    prints = np.arange(len(bits))
+
+    def kept(cut):
+        batches = [pa.record_batch(
+            [np.zeros(len(x), np.int32), bits[x], prints[x], prints[x]], names=["choice", "bits", "rank", "print"]
+        ) for x in np.split(prints, range(cut, len(prints), cut))]
+        return [p for b in simhash._runs(iter(batches)) for row in b.column("prints").to_pylist() for p in row]
+
+    assert all(kept(cut) == kept(len(bits)) for cut in range(1, len(bits)))
+    assert set(prints) - set(kept(7)) == {16}
+
+
 def test_one_near_duplicate_stays(spark, odd):
     got = simhash.drop_near_duplicates(odd)
     assert got.columns == odd.columns
