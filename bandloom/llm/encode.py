@@ -1,22 +1,24 @@
 """Byte-level BPE encoding of whole texts with the tokenizers library.
 
 Before merging, such a tokenizer splits a text so that a single space between two other characters
-always begins a new piece, whatever stands before it, and so does punctuation behind letters. A text is
-therefore cut at those spaces, every distinct part is encoded once by the library and kept, with the
-punctuation at its end apart, and the ids are joined.
+always begins a new piece, whatever stands before it, and so does punctuation behind letters. The texts of
+a batch are therefore cut at their spaces, every distinct part is encoded once by the library and kept,
+with the punctuation at its end apart, and the ids of the texts are gathered from those of their parts.
 """
 
 from __future__ import annotations
 
 import json
 import os
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 MOST_KEPT, LONGEST_KEPT = 600_000, 64
-AT_ONCE = 4096  # parts given to the library in one call
+AT_ONCE = 256  # parts given to the library in one call
 CUT = regex.compile(r"(?<=[^\s\x1c-\x1f])(?= [^\s\x1c-\x1f])", regex.V1)
 WORD = regex.compile(r"(\p{L}+)([.,;:!?]+)")
 MARKS = ".,;:!?"
@@ -27,23 +29,6 @@ def pieces(text: str) -> list[str]:
     return CUT.split(text) if text else []
 
 
-class Kept(dict):
-    """Two generations: what was not asked for while MOST_KEPT others were learned is forgotten."""
-
-    def __init__(self):
-        super().__init__()
-        self.old: dict = {}
-
-    def __missing__(self, part: str) -> bytes | None:
-        ids = self[part] = self.old[part]
-        return ids
-
-    def age(self) -> None:
-        if len(self) > MOST_KEPT // 2:
-            self.old = dict(self)
-            self.clear()
-
-
 class Encoder:
     """Token ids of texts, as little-endian integers of ``dtype``. One per process and file."""
 
@@ -68,12 +53,14 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        #: Ids of the parts that follow a single space, without it. None: the part does not stand alone.
-        self.kept = Kept()
+        #: Ids of the parts that follow a single space, without it, in two generations: what was not asked
+        #: for while MOST_KEPT / 2 others were learned is forgotten. None: the part does not stand alone.
+        self.kept: dict[str, bytes | None] = {}
+        self.old: dict[str, bytes | None] = {}
         pieces_ = self.tokenizer.get_vocab(with_added_tokens=False)
         #: Whether a token begins with a space, by its id.
         self.begins = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
-        self.begins[[i for piece, i in pieces_.items() if piece.startswith("\u0120")]] = True
+        self.begins[[i for piece, i in pieces_.items() if piece.startswith("Ġ")]] = True
         self.marks: dict[str, bytes] = {}
 
     @classmethod
@@ -89,9 +76,8 @@ class Encoder:
             out += [np.array(one.ids, dtype=self.dtype).tobytes() for one in found]
         return out
 
-    def _behind_spaces(self, words: list[str]) -> list[bytes]:
+    def _behind_spaces(self, words: list[str]) -> Iterable[bytes]:
         """Ids of words that stand behind a space each, and have none inside."""
-        out: list[bytes] = []
         for at in range(0, len(words), AT_ONCE):
             some = words[at : at + AT_ONCE]
             (found,) = self.tokenizer.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)
@@ -99,22 +85,29 @@ class Encoder:
             starts = np.flatnonzero(self.begins[ids])
             if len(starts) != len(some):
                 raise RuntimeError("the tokenizer does not begin a token at every space")
-            raw, ends = ids.tobytes(), [*(starts[1:] * ids.itemsize).tolist(), ids.nbytes]
-            out += [raw[a:b] for a, b in zip((starts * ids.itemsize).tolist(), ends)]
-        return out
+            raw, bounds = ids.tobytes(), [*(starts * ids.itemsize).tolist(), ids.nbytes]
+            for begin, end in zip(bounds, bounds[1:]):
+                yield raw[begin:end]
 
-    def _learn(self, parts: set[str]) -> None:
-        """Keep the ids of parts behind a space."""
+    def _learn(self, parts: list[str]) -> None:
+        """Keep the ids of parts behind a space. ``parts`` has none twice, and none that is kept."""
         kept = self.kept
-        stands = [part for part in parts if part.strip() == part != "" and len(part) <= LONGEST_KEPT]
-        if len(stands) < len(parts):
-            kept.update(dict.fromkeys(parts.difference(stands)))
-        ended = [part for part in stands if part[-1] in MARKS]
-        marked = {part: found.groups() for part in ended if (found := WORD.fullmatch(part))}
-        words = [part for part in stands if part not in marked]
-        words += {word for word, _ in marked.values()}.difference(kept, kept.old, words)
+        words: list[str] = []
+        marked: list[tuple[str, str, str]] = []
+        for part in parts:
+            if part == "" or len(part) > LONGEST_KEPT or part[0].isspace() or part[-1].isspace():
+                kept[part] = None
+            elif part[-1] in MARKS and (found := WORD.fullmatch(part)):
+                marked.append((part, *found.groups()))
+            else:
+                words.append(part)
+        known = set(words)
+        for _, word, _ in marked:
+            if word not in known and word not in kept:
+                known.add(word)
+                words.append(word)
         kept.update(zip(words, self._behind_spaces(words)))
-        for part, (word, mark) in marked.items():
+        for part, word, mark in marked:
             if mark not in self.marks:
                 self.marks[mark] = self._whole([mark])[0]
             kept[part] = kept[word] + self.marks[mark]
@@ -123,22 +116,67 @@ class Encoder:
         """A text where white space stands together, or with very long parts."""
         return b"".join(self._whole(pieces(text)))
 
-    def encode(self, texts: Sequence[str | None]) -> list[bytes]:
+    def _of(self, parts: list[str]) -> list[bytes | None]:
+        """Ids of distinct parts behind a space."""
+        if len(self.kept) > MOST_KEPT // 2:
+            self.old, self.kept = self.kept, {}
+        kept, old = self.kept, self.old
+        new = []
+        for part in parts:
+            if part not in kept:
+                if part in old:
+                    kept[part] = old[part]
+                else:
+                    new.append(part)
+        self._learn(new)
+        return [kept[part] for part in parts]
+
+    def encode_flat(self, texts: pa.Array | Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and where each text's begin (one more: their end)."""
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        if not self.cuts or not len(column):
+            return self._joined(self._whole([text or "" for text in column.to_pylist()]))
+        split = pc.split_pattern(pc.fill_null(column, ""), " ")
+        coded = split.flatten().dictionary_encode()
+        first = split.offsets.to_numpy() - split.offsets[0].as_py()
+        place = coded.indices.to_numpy().astype(np.int64)
+        parts = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        heads, head = np.unique(place[first[:-1]], return_inverse=True)  # they have no space before them
+        behind = np.ones(len(place), dtype=bool)
+        behind[first[:-1]] = False
+        used = np.zeros(len(parts), dtype=bool)
+        used[place[behind]] = True
+        ids: list[bytes | None] = [b""] * len(parts)
+        at = np.flatnonzero(used).tolist()
+        for i, found in zip(at, self._of([parts[i] for i in at])):
+            ids[i] = found
+        loose = np.array([found is None for found in ids], dtype=bool)[place] & behind
+        rest = np.diff(first) > 1
+        open_end = np.array([part == "" or part[-1].isspace() for part in map(parts.__getitem__, heads.tolist())],
+                            dtype=bool)
+        alone = ~np.logical_or.reduceat(loose, first[:-1]) & ~(rest & open_end[head])
+        ids = [found or b"" for found in ids] + self._whole([parts[i] for i in heads.tolist()])
+        place[first[:-1]] = len(parts) + head
+        if not alone.all():  # these texts are encoded as they are, and stand for all of their parts
+            nothing = len(ids)
+            ids.append(b"")
+            for row in np.flatnonzero(~alone).tolist():
+                place[first[row] : first[row + 1]] = nothing
+                place[first[row]] = len(ids)
+                ids.append(self._loose(column[row].as_py() or ""))
+        values, bounds = self._joined(ids)
+        lengths = np.diff(bounds)[place]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        source = np.repeat(bounds[place] - ends[:-1], lengths)
+        source += np.arange(len(source))
+        return values[source], ends[first]
+
+    def _joined(self, ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        lengths = np.array([len(x) for x in ids], dtype=np.int64) // self.dtype.itemsize
+        return np.frombuffer(b"".join(ids), self.dtype), np.concatenate([[0], np.cumsum(lengths)])
+
+    def encode(self, texts: pa.Array | Sequence[str | None]) -> list[bytes]:
         """The ids of each text; of none for a null or empty text."""
-        if not self.cuts:
-            return self._whole([text or "" for text in texts])
-        kept = self.kept
-        kept.age()
-        split = [(text or "").split(" ") for text in texts]
-        seen = set().union(*(parts[1:] for parts in split))
-        if new := seen.difference(kept, kept.old):
-            self._learn(new)
-        heads = self._whole([parts[0] for parts in split])
-        out = []
-        for text, head, (first, *rest) in zip(texts, heads, split):
-            try:  # a part that does not stand alone has no ids, and cannot be joined
-                alone = not rest or (first != "" and not first[-1].isspace())
-                out.append(head + b"".join(map(kept.__getitem__, rest)) if alone else self._loose(text))
-            except TypeError:
-                out.append(self._loose(text))
-        return out
+        values, bounds = self.encode_flat(texts)
+        raw, cuts = values.tobytes(), (bounds * self.dtype.itemsize).tolist()
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]

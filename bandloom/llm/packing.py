@@ -21,10 +21,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from .encode import Encoder
-from .shared import batches_of, ship
+from .shared import batches_of, by_id, ship
 
 LONGEST = 2048
 SHORTEST = 256  # the shortest power of two that a window without padding may have
@@ -154,8 +154,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, with_ids: bool = True
     """A row for each piece of a document in a sequence; with ``with_ids`` also its token ``ids``.
 
     A document is its text's ids and ``end_id``; a null or empty text is the end id alone. Order is by
-    ``doc_id`` (null first), equal ids by text; sequences of a later partition have larger numbers.
-    Repeated rows are packed each. Other columns are left out. An empty table gives no rows.
+    ``doc_id`` (null first), equal ids by a hash of the text, so that rows of one id may be dealt to several
+    tasks; sequences of a later partition have larger numbers. A text of any length is cut like others. Repeated rows are packed each. Other columns are left out. An empty table gives no rows.
     """
     ship(docs.sparkSession)
 
@@ -166,18 +166,15 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, with_ids: bool = True
             ends = encoder.ends_sentence = sentence_end_ids(encoder)
         packer = Packer(ends, TaskContext.get().partitionId() << 36)
         end = np.array([end_id], dtype=encoder.dtype).tobytes()
-        for batch in batches_of(batches, "text", 4 << 20, 1024, keep_encoders=True):
-            found = encoder.encode(batch.column(1).to_pylist())
+        for batch in batches_of(batches, "text", 8 << 20, 4096, keep_encoders=True):
+            found = encoder.encode(batch.column(1))
             for doc_id, ids in zip(batch.column(0).to_pylist(), found):
                 packer.add(doc_id, np.frombuffer(ids + end, encoder.dtype))
                 if packer.held >= STRETCH:
                     yield _table(packer.pack(last=False), with_ids)
         yield _table(packer.pack(last=True), with_ids)
 
-    ordered = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).repartitionByRange(
-        "doc_id"
-    ).sortWithinPartitions("doc_id", "text")
-    return ordered.mapInArrow(pieces, PIECES + ", ids array<int>" * with_ids)
+    return by_id(docs).mapInArrow(pieces, PIECES + ", ids array<int>" * with_ids)
 
 
 def _table(found: Iterator[tuple[tuple, np.ndarray]], with_ids: bool) -> pa.RecordBatch:

@@ -50,6 +50,14 @@ def broadcast_if_small(table: DataFrame, most_rows: int = MOST_BROADCAST) -> Dat
     return F.broadcast(table) if table.limit(most_rows + 1).count() <= most_rows else table
 
 
+def by_id(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text`` dealt into ranges and sorted: by id (null first), rows of one id by a hash of
+    their text, so that an id (or null) with very many rows is split like any other range."""
+    keyed = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    order = ("doc_id", F.xxhash64("text"), "text")
+    return keyed.repartitionByRange(*order[:2]).sortWithinPartitions(*order)
+
+
 def release_memory(keep_encoders: bool) -> None:
     """Give back what earlier tasks of this worker have left: Spark uses a worker for many stages."""
     encoding = sys.modules.get(f"{__package__}.encode")

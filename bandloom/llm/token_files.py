@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .encode import Encoder
-from .shared import batches_of, ship
+from .shared import batches_of, by_id, ship
 
 FRAME_BYTES = 256 << 10
 SHARD_BYTES = 16 << 20
@@ -37,6 +37,8 @@ LEVEL = 3
 INDEX_MAGIC, SEEK_MAGIC, CLOSING_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 WITH_CHECKSUMS = 0x80
 CLOSING = struct.pack("<I", CLOSING_MAGIC)
+#: The numbers of the task and of its file in the names that Spark's writers give; as text, -c1000 is before -c101.
+PART, FILE = r"part-(\d+)-[^/]*$", r"-c(\d+)[^/]*$"
 
 
 def _sum(content: bytes) -> int:
@@ -140,12 +142,15 @@ def read_shard(
             start = start + tokens if start >= 0 else -1
 
 
-def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0) -> None:
+def write_tokens(
+    docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0, shard_bytes: int = SHARD_BYTES
+) -> None:
     """Write ``folder`` with the ids of every ``text`` and ``end_id`` after each, by ascending ``doc_id``.
 
-    Files sort by name as documents do by id (null first; equal ids by text). A null or empty text is
-    the end id alone. Every row is written, repeated rows too; other columns are left out. An empty
-    table makes a folder without shards.
+    Files sort by the two numbers in their names (task, file of the task) as documents do by id (null
+    first; equal ids by a hash of the text, so that they may be dealt to several tasks). A null or empty
+    text is the end id alone, a text of any length is one document of one frame. Every row is written,
+    repeated rows too; other columns are left out. An empty table makes a folder without shards.
     """
     ship(docs.sparkSession)
 
@@ -153,19 +158,17 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0)
         encoder = Encoder.at(tokenizer)
         end = np.array([end_id], dtype=encoder.dtype).tobytes()
         shard = ShardWriter(encoder.dtype.itemsize)
-        for batch in batches_of(batches, "text", 4 << 20, 1024, keep_encoders=True):
-            found = encoder.encode(batch.column(1).to_pylist())
+        for batch in batches_of(batches, "text", 8 << 20, 4096, keep_encoders=True):
+            found = encoder.encode(batch.column(1))
             for doc_id, ids in zip(batch.column(0).to_pylist(), found):
                 shard.add(doc_id, ids + end)
-                if shard.size >= SHARD_BYTES:
+                if shard.size + shard.held >= shard_bytes:
                     yield pa.record_batch([[shard.finish()]], names=["value"])
                     shard = ShardWriter(encoder.dtype.itemsize)
         if shard.size or shard.ids:
             yield pa.record_batch([[shard.finish()]], names=["value"])
 
-    ordered = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).repartitionByRange(
-        "doc_id"
-    ).sortWithinPartitions("doc_id", "text")
+    ordered = by_id(docs)
     made = ordered.mapInArrow(shards, "value binary").select(F.col("value").cast("string"))
     made.write.option("maxRecordsPerFile", 1).option("encoding", "ISO-8859-1").option(
         "lineSep", CLOSING.decode("latin-1")
@@ -202,7 +205,8 @@ def read_tokens(
     if wanted is not None:
         return found.withColumn("start", F.lit(None).cast("long")).drop("shard")
     totals = found.groupBy("shard").agg(F.sum("n_tokens").alias("n"))  # a row for each shard
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    number = lambda pattern: F.regexp_extract("shard", pattern, 1).cast("long")
+    before = Window.orderBy(number(PART), number(FILE)).rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     return found.join(starts, "shard").select(
         "doc_id", (F.col("start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32",

@@ -208,6 +208,25 @@ def test_token_files_read_only_wanted_frames(spark, odd, tmp_path):
         list(token_files.read_shard(lambda a, n: broken[a : a + n], len(broken)))
 
 
+def test_token_files_of_more_than_a_thousand_shards_in_a_task(spark, tmp_path):
+    """Names of files sort by their numbers, so starts go on in ascending order of ids."""
+    rows = spark.range(1205).select(F.col("id").alias("doc_id"), F.repeat(F.lit("a b "), F.col("id") % 7).alias("text"))
+    rows = rows.withColumn("text", F.when(F.col("doc_id") < 1203, F.col("text")))
+    with_parts = {"spark.sql.shuffle.partitions": "1"}
+    before = {k: spark.conf.get(k) for k in with_parts}
+    try:
+        for k, v in with_parts.items():
+            spark.conf.set(k, v)
+        token_files.write_tokens(rows, str(tmp_path / "many"), JSON, shard_bytes=1)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    files = [p for p in (tmp_path / "many").iterdir() if p.name.startswith("part-")]
+    assert len(files) == 1205 and any("-c1000" in p.name for p in files)
+    found = token_files.read_tokens(spark, str(tmp_path / "many"), with_ids=False).toPandas().sort_values("doc_id")
+    assert found.start.tolist() == np.concatenate([[0], np.cumsum(found.n_tokens)[:-1]]).tolist()
+
+
 def test_encoder_equals_the_library():
     random.seed(3)
     parts = [*"ab. ,'s\n\t 12é\x1c\x85\xa0　😀  ", " the", "'ll", "<|endoftext|>", "²"]
