@@ -1,16 +1,16 @@
 """Byte-level BPE encoding of whole texts with the tokenizers library.
 
 Before merging, such a tokenizer splits a text so that a single space between two other characters
-always begins a new piece, whatever stands before it, and so does punctuation behind letters. The texts of
-a batch are therefore cut at their spaces, every distinct part is encoded once by the library and kept,
-with the punctuation at its end apart, and the ids of the texts are gathered from those of their parts.
+always begins a new piece, whatever stands before it, and so does punctuation behind a letter or a digit.
+The texts of a batch are therefore cut at their spaces, every distinct part is encoded once by the library
+and kept, without the punctuation at its end, and the ids of the texts are gathered by index.
 """
 
 from __future__ import annotations
 
 import json
 import os
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -19,9 +19,8 @@ import regex
 
 MOST_KEPT, LONGEST_KEPT = 600_000, 64
 AT_ONCE = 256  # parts given to the library in one call
-CUT = regex.compile(r"(?<=[^\s\x1c-\x1f])(?= [^\s\x1c-\x1f])", regex.V1)
-WORD = regex.compile(r"(\p{L}+)([.,;:!?]+)")
 MARKS = ".,;:!?"
+CUT = regex.compile(r"(?<=[^\s\x1c-\x1f])(?= [^\s\x1c-\x1f])", regex.V1)
 
 
 def pieces(text: str) -> list[str]:
@@ -29,6 +28,20 @@ def pieces(text: str) -> list[str]:
     return CUT.split(text) if text else []
 
 
+def in_a_row(ids: list[np.ndarray], dtype: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    bounds = np.cumsum([0, *map(len, ids)], dtype=np.int64)
+    return np.concatenate([np.zeros(0, dtype), *ids]), bounds
+
+
+def gathered(values: np.ndarray, bounds: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches ``at`` of values, one behind the other, and where each begins."""
+    lengths = (bounds[1:] - bounds[:-1])[at]
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    source = np.repeat(bounds[at] - ends[:-1], lengths)
+    source += np.arange(len(source))
+    return values[source], ends
+
+
 class Encoder:
     """Token ids of texts, as little-endian integers of ``dtype``. One per process and file."""
 
@@ -53,15 +66,14 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        #: Ids of the parts that follow a single space, without it, in two generations: what was not asked
-        #: for while MOST_KEPT / 2 others were learned is forgotten. None: the part does not stand alone.
-        self.kept: dict[str, bytes | None] = {}
-        self.old: dict[str, bytes | None] = {}
+        #: Numbers of the parts that follow a single space, without it, and the ids of part n: from bounds[n] on.
+        self.kept: dict[str, int] = {}
+        self.values, self.bounds = np.zeros(0, self.dtype), np.zeros(1, np.int64)
+        self._mark("")  # number 0, without ids
         pieces_ = self.tokenizer.get_vocab(with_added_tokens=False)
         #: Whether a token begins with a space, by its id.
         self.begins = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         self.begins[[i for piece, i in pieces_.items() if piece.startswith("Ġ")]] = True
-        self.marks: dict[str, bytes] = {}
 
     @classmethod
     def at(cls, path: str) -> Encoder:
@@ -69,111 +81,107 @@ class Encoder:
             cls._open[path] = cls(path)
         return cls._open[path]
 
-    def _whole(self, texts: Sequence[str]) -> list[bytes]:
+    def _whole(self, texts: Sequence[str]) -> list[np.ndarray]:
         out = []
         for at in range(0, len(texts), AT_ONCE):
             found = self.tokenizer.encode_batch_fast(texts[at : at + AT_ONCE], add_special_tokens=False)
-            out += [np.array(one.ids, dtype=self.dtype).tobytes() for one in found]
+            out += [np.array(one.ids, dtype=self.dtype) for one in found]
         return out
 
-    def _behind_spaces(self, words: list[str]) -> Iterable[bytes]:
-        """Ids of words that stand behind a space each, and have none inside."""
+    def _learn(self, words: list[str]) -> None:
+        """Keep the ids of words that stand behind a space each, have none inside and are not kept yet."""
+        ids, starts, total = [self.values], [self.bounds[:-1]], len(self.values)
         for at in range(0, len(words), AT_ONCE):
             some = words[at : at + AT_ONCE]
             (found,) = self.tokenizer.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)
-            ids = np.array(found.ids, dtype=self.dtype)
-            starts = np.flatnonzero(self.begins[ids])
-            if len(starts) != len(some):
+            new = np.array(found.ids, dtype=self.dtype)
+            begins = np.flatnonzero(self.begins[new])
+            if len(begins) != len(some):
                 raise RuntimeError("the tokenizer does not begin a token at every space")
-            raw, bounds = ids.tobytes(), [*(starts * ids.itemsize).tolist(), ids.nbytes]
-            for begin, end in zip(bounds, bounds[1:]):
-                yield raw[begin:end]
-
-    def _learn(self, parts: list[str]) -> None:
-        """Keep the ids of parts behind a space. ``parts`` has none twice, and none that is kept."""
-        kept = self.kept
-        words: list[str] = []
-        marked: list[tuple[str, str, str]] = []
-        for part in parts:
-            if part == "" or len(part) > LONGEST_KEPT or part[0].isspace() or part[-1].isspace():
-                kept[part] = None
-            elif part[-1] in MARKS and (found := WORD.fullmatch(part)):
-                marked.append((part, *found.groups()))
-            else:
-                words.append(part)
-        known = set(words)
-        for _, word, _ in marked:
-            if word not in known and word not in kept:
-                known.add(word)
-                words.append(word)
-        kept.update(zip(words, self._behind_spaces(words)))
-        for part, word, mark in marked:
-            if mark not in self.marks:
-                self.marks[mark] = self._whole([mark])[0]
-            kept[part] = kept[word] + self.marks[mark]
-
-    def _loose(self, text: str) -> bytes:
+            ids.append(new)
+            starts.append(begins + total)
+            total += len(new)
+        self.kept.update(zip(words, range(len(self.bounds) - 1, len(self.bounds) - 1 + len(words))))
+        self.values, self.bounds = np.concatenate(ids), np.concatenate([*starts, [total]])
+
+    def _loose(self, text: str) -> np.ndarray:
         """A text where white space stands together, or with very long parts."""
-        return b"".join(self._whole(pieces(text)))
-
-    def _of(self, parts: list[str]) -> list[bytes | None]:
-        """Ids of distinct parts behind a space."""
-        if len(self.kept) > MOST_KEPT // 2:
-            self.old, self.kept = self.kept, {}
-        kept, old = self.kept, self.old
-        new = []
-        for part in parts:
-            if part not in kept:
-                if part in old:
-                    kept[part] = old[part]
-                else:
-                    new.append(part)
-        self._learn(new)
-        return [kept[part] for part in parts]
+        return np.concatenate(self._whole(pieces(text)) or [np.zeros(0, self.dtype)])
+
+    def _numbers(self, parts: list[str]) -> np.ndarray:
+        """Numbers of distinct parts that stand alone."""
+        if len(self.kept) + len(parts) > MOST_KEPT:  # what is not asked for now is forgotten
+            known = [" ", *(part for part in parts if part in self.kept)]
+            at = np.array([self.kept[part] for part in known], dtype=np.int64)
+            self.kept = dict(zip(known, range(len(known))))
+            self.values, self.bounds = gathered(self.values, self.bounds, at)
+        get = self.kept.get
+        numbers = np.array([get(part, -1) for part in parts], dtype=np.int64)
+        new = np.flatnonzero(numbers < 0)
+        if len(new):
+            numbers[new] = np.arange(len(new)) + len(self.kept)
+            self._learn([parts[i] for i in new.tolist()])
+        return numbers
+
+    def _mark(self, mark: str) -> int:
+        """The number of punctuation that follows a letter or a digit."""
+        key = " " + mark  # no part has a space
+        if key not in self.kept:
+            self.kept[key] = len(self.bounds) - 1
+            (ids,) = self._whole([mark])
+            self.values, self.bounds = np.concatenate([self.values, ids]), np.append(self.bounds, len(self.values) + len(ids))
+        return self.kept[key]
 
     def encode_flat(self, texts: pa.Array | Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and where each text's begin (one more: their end)."""
         column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
         if not self.cuts or not len(column):
-            return self._joined(self._whole([text or "" for text in column.to_pylist()]))
+            return in_a_row(self._whole([text or "" for text in column.to_pylist()]), self.dtype)
         split = pc.split_pattern(pc.fill_null(column, ""), " ")
         coded = split.flatten().dictionary_encode()
         first = split.offsets.to_numpy() - split.offsets[0].as_py()
-        place = coded.indices.to_numpy().astype(np.int64)
-        parts = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        heads, head = np.unique(place[first[:-1]], return_inverse=True)  # they have no space before them
-        behind = np.ones(len(place), dtype=bool)
-        behind[first[:-1]] = False
-        used = np.zeros(len(parts), dtype=bool)
-        used[place[behind]] = True
-        ids: list[bytes | None] = [b""] * len(parts)
-        at = np.flatnonzero(used).tolist()
-        for i, found in zip(at, self._of([parts[i] for i in at])):
-            ids[i] = found
-        loose = np.array([found is None for found in ids], dtype=bool)[place] & behind
-        rest = np.diff(first) > 1
-        open_end = np.array([part == "" or part[-1].isspace() for part in map(parts.__getitem__, heads.tolist())],
-                            dtype=bool)
-        alone = ~np.logical_or.reduceat(loose, first[:-1]) & ~(rest & open_end[head])
-        ids = [found or b"" for found in ids] + self._whole([parts[i] for i in heads.tolist()])
-        place[first[:-1]] = len(parts) + head
-        if not alone.all():  # these texts are encoded as they are, and stand for all of their parts
-            nothing = len(ids)
-            ids.append(b"")
-            for row in np.flatnonzero(~alone).tolist():
+        part = coded.indices.to_numpy()
+        names = coded.dictionary
+        lengths = pc.utf8_length(names).to_numpy()
+        stands = pc.equal(names, pc.utf8_trim_whitespace(names)).to_numpy(zero_copy_only=False)
+        stands &= (lengths > 0) & (lengths <= LONGEST_KEPT)
+        ends_open = (lengths == 0) | ~pc.equal(names, pc.utf8_rtrim_whitespace(names)).to_numpy(zero_copy_only=False)
+        behind = np.ones(len(part), dtype=bool)
+        behind[first[:-1]] = False  # the first part of a text has no space before it
+        used = np.zeros(len(names), dtype=bool)
+        used[part[behind]] = True
+        stems = pc.utf8_rtrim(names, MARKS)
+        marked = stands & pc.not_equal(stems, names).to_numpy(zero_copy_only=False)
+        marked &= pc.match_substring_regex(stems, r"[\pL\pN]$").to_numpy(zero_copy_only=False)
+        at = np.flatnonzero(used & stands)
+        stems = pc.if_else(pa.array(marked), stems, names).take(pa.array(at)).dictionary_encode()
+        number, mark = np.zeros((2, len(names)), dtype=np.int64)
+        number[at] = self._numbers(stems.dictionary.to_numpy(zero_copy_only=False).tolist())[stems.indices.to_numpy()]
+        marked &= used
+        tails = pc.replace_substring_regex(names.filter(pa.array(marked)), r"(?s)^.*[\pL\pN]", "").dictionary_encode()
+        mark[marked] = np.array([self._mark(x) for x in tails.dictionary.to_pylist()], np.int64)[tails.indices.to_numpy()]
+        heads, head = np.unique(part[first[:-1]], return_inverse=True)
+        loose = np.logical_or.reduceat(behind & ~stands[part], first[:-1])
+        loose |= (np.diff(first) > 1) & ends_open[part[first[:-1]]]
+        more = self._whole([names[i].as_py() for i in heads.tolist()])
+        place = number[part]
+        place[first[:-1]] = len(self.bounds) - 1 + head
+        second = np.where(behind, mark[part], 0)  # what stands behind the letters of a part; most have nothing
+        if loose.any():  # these texts are encoded as they are, and stand for all of their parts
+            nothing = len(self.bounds) - 1 + len(more)
+            more.append(np.zeros(0, self.dtype))
+            for row in np.flatnonzero(loose).tolist():
                 place[first[row] : first[row + 1]] = nothing
-                place[first[row]] = len(ids)
-                ids.append(self._loose(column[row].as_py() or ""))
-        values, bounds = self._joined(ids)
-        lengths = np.diff(bounds)[place]
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        source = np.repeat(bounds[place] - ends[:-1], lengths)
-        source += np.arange(len(source))
-        return values[source], ends[first]
-
-    def _joined(self, ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        lengths = np.array([len(x) for x in ids], dtype=np.int64) // self.dtype.itemsize
-        return np.frombuffer(b"".join(ids), self.dtype), np.concatenate([[0], np.cumsum(lengths)])
+                second[first[row] : first[row + 1]] = 0
+                place[first[row]] = len(self.bounds) - 1 + len(more)
+                more.append(self._loose(column[row].as_py() or ""))
+        values, bounds = in_a_row(more, self.dtype)
+        bounds = np.concatenate([self.bounds, bounds[1:] + self.bounds[-1]])
+        ended = np.flatnonzero(second)
+        place = np.insert(place, ended + 1, second[ended])
+        first = first + np.searchsorted(ended, first)
+        found, ends = gathered(np.concatenate([self.values, values]), bounds, place)
+        return found, ends[first]
 
     def encode(self, texts: pa.Array | Sequence[str | None]) -> list[bytes]:
         """The ids of each text; of none for a null or empty text."""
