@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from bandloom.sources.files import join_path, scratch_folder
 
-from . import html_tree, language, line_dedup, packing, perplexity, secrets, simhash, spotsigs, token_files, word_bpe
+from . import (
+    best_fit, collocations, hard_negatives, html_tree, language, line_dedup, packing, perplexity, secrets, simhash,
+    spotsigs, token_files, word_bpe,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,6 +81,22 @@ def html_query(spark: SparkSession, folder: str) -> DataFrame:
     return html_tree.main_texts(spark.read.parquet(f"{folder}/pages.parquet"))
 
 
+def best_fit_query(spark: SparkSession, folder: str) -> DataFrame:
+    path = vocabulary("byte_bpe_50k.json")
+    return best_fit.pack_best_fit(documents(spark, folder), path, end_id=0, with_ids=False)
+
+
+def collocations_query(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.mine_phrases(documents(spark, folder))
+
+
+def hard_negatives_query(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    relabelled = vectors.select("vec_id", label.cast("long").alias("label"), "embedding")
+    return hard_negatives.mine_hard_negatives(relabelled, F.col("vec_id") % 50 == 0)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_line_dedup": line_dedup_query,
@@ -90,6 +109,9 @@ def queries() -> dict[str, Query]:
         "op8_spotsigs": spotsigs_query,
         "op9_word_bpe": word_bpe_query,
         "op10_html_tree": html_query,
+        "op11_bin_completion": best_fit_query,
+        "op12_setm_phrases": collocations_query,
+        "op13_lemp_negatives": hard_negatives_query,
     }
 
 
