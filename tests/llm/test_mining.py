@@ -79,15 +79,20 @@ def test_phrases_of_odd_texts(spark, share, first, longest):
 
 
 def test_scores_pass_64_bits(spark):
-    big = 4_000_000_000_000
-    found = spark.createDataFrame(
-        [(1, "en", big - 7, ["a", "b", "c"], [big + 11, big + 1], [big + 13, big + 5], 0, 0)],
-        "id long, lang string, f long, words array<string>, firsts array<long>, lasts array<long>, a long, b long",
-    )
-    totals = spark.createDataFrame([("en", 9 * big + 3)], "lang string, n long")
-    row = collocations.ranked([found], totals, found, 100, 10).first()
-    cuts = [(1000 * (big - 7) * (9 * big + 3) // (x * y), x, y) for x, y in [(big + 11, big + 5), (big + 1, big + 13)]]
-    assert (row.score, row.l, row.r) == min(cuts, key=lambda cut: cut[0])
+    f, n, left, right = 3_999_999_999_993, 36_000_000_000_003, 4_000_000_000_011, 4_000_000_000_005
+    row = spark.sql(f"SELECT {f}L AS f, {n}L AS n, {left}L AS l, {right}L AS r")
+    assert row.selectExpr(f"{collocations.SCORE} AS s").first().s == 1000 * f * n // (left * right)
+
+
+def test_a_full_field_of_marks_loses_nothing(spark, monkeypatch):
+    """Where every bit is set, all entries stay and the counts decide alone."""
+    rng = random.Random(10)
+    rows = [(" ".join(rng.choice("abcdefgh") for _ in range(40)), "en") for _ in range(60)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    full = collocations.Marks(16, np.arange(2048), np.full(2048, 0xFFFFFFFF, "<u4"))
+    monkeypatch.setattr(collocations, "marks_of", lambda frequent: full)
+    got = mined(collocations.mine_phrases(docs, 20))
+    assert got == sorted(phrases_of(rows, 20)) and got
 
 
 def negatives_of(rows):
