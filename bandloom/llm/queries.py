@@ -115,5 +115,74 @@ def queries() -> dict[str, Query]:
     }
 
 
+#: Phrases of k words and their counts, for all languages; candidates are those that occur 100 times or more.
+PHRASES = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), split AS (
+    SELECT lang, [w for w in string_split_regex(piece, '[\x20\x09]+') if w <> ''] AS words FROM pieces
+), spans AS (
+    SELECT lang, words, unnest(generate_series(1, len(words))) AS i FROM split
+), phrases AS (
+    SELECT lang, k, words[i : i + k - 1] AS phrase, count(*) AS f
+    FROM spans CROSS JOIN generate_series(1, 5) AS sizes(k)
+    WHERE i + k - 1 <= len(words)
+    GROUP BY lang, k, words[i : i + k - 1]
+    HAVING count(*) >= 100
+), totals AS (
+    SELECT lang, sum(len(words))::BIGINT AS n FROM split GROUP BY lang
+), candidates AS (
+    SELECT * FROM phrases c WHERE k > 1 AND NOT EXISTS (
+        SELECT 1 FROM phrases o
+        WHERE o.lang = c.lang AND o.k = c.k + 1 AND 100 * o.f >= 100 * c.f
+            AND (o.phrase[1 : c.k] = c.phrase OR o.phrase[2 : c.k + 1] = c.phrase))
+), cuts AS (
+    SELECT c.lang, c.phrase, c.f AS a, j, l.f AS l, r.f AS r, n,
+        ((1000::HUGEINT * c.f * n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+    FROM candidates c
+    JOIN generate_series(1, 4) AS places(j) ON j < c.k
+    JOIN phrases l ON l.lang = c.lang AND l.k = j AND l.phrase = c.phrase[1 : j]
+    JOIN phrases r ON r.lang = c.lang AND r.k = c.k - j AND r.phrase = c.phrase[j + 1 : c.k]
+    JOIN totals t ON t.lang = c.lang
+), best AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS nth FROM cuts
+), ranked AS (
+    SELECT lang, row_number() OVER (
+            PARTITION BY lang ORDER BY score DESC, a DESC, encode(array_to_string(phrase, ' '))) AS rank,
+        array_to_string(phrase, ' ') AS phrase, a, l, r, n, score
+    FROM best WHERE nth = 1
+)
+SELECT * FROM ranked WHERE rank <= 2000
+"""
+
+#: The definition word for word: scores of all anchors with all rows, in whole numbers.
+NEGATIVES = """
+WITH vectors AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+        [floor(256 * x::DOUBLE) for x in embedding] AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, o.vec_id, o.label = a.label AS same,
+        list_sum([p[1] * p[2] for p in list_zip(a.v, o.v)])::BIGINT AS score
+    FROM vectors a JOIN vectors o ON a.vec_id % 50 = 0
+), positives AS (
+    SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS nth
+    FROM scored WHERE same AND vec_id <> anchor_id
+), pairs AS (
+    SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score,
+        n.score AS negative_score, row_number() OVER (
+            PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id)::INTEGER AS rank
+    FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+    WHERE p.nth <= 5 AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+)
+SELECT * FROM pairs WHERE rank <= 3
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op12_setm_phrases": PHRASES, "op13_lemp_negatives": NEGATIVES}
