@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 from .shared import ship, written
 
 LINKS = "src long, dst long"
+AT_ONCE = 1 << 18  # links that a task contracts at once
 
 
 def roots(src: np.ndarray, dst: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -39,13 +40,22 @@ def roots(src: np.ndarray, dst: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Replace the links of each batch by stars: as many rows at most, the same components."""
+    """Replace the links of some batches at a time by stars: as many rows at most, the same components."""
+    held: list[pa.RecordBatch] = []
     for batch in batches:
-        if batch.num_rows:
-            src, dst = (column.to_numpy(zero_copy_only=False) for column in batch.columns)
-            vertex, root = roots(src, dst)
-            far = vertex != root
-            yield pa.record_batch([vertex[far], root[far]], names=["src", "dst"])
+        held.append(batch)
+        if sum(one.num_rows for one in held) >= AT_ONCE:
+            yield _stars(held)
+            held = []
+    if held:
+        yield _stars(held)
+
+
+def _stars(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    src, dst = (np.concatenate([one.column(i).to_numpy() for one in held]) for i in range(2))
+    vertex, root = roots(src, dst)
+    far = vertex != root
+    return pa.record_batch([vertex[far], root[far]], names=["src", "dst"])
 
 
 def _large_star(links: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .components import LINKS, components
-from .shared import batches_of, broadcast_if_small, ship, written
+from .shared import batches_of, scratch_tables, ship, written
 
 SHINGLE = 6
 BANDS, ROWS = 16, 5
@@ -41,6 +41,7 @@ BLOCK = 1 << 17  # code points hashed at once
 KEPT = 2_000_000  # shingles of lines that a task keeps while it checks pairs
 HELD = 500_000  # rows of one band that a task holds
 PLACES = 1 << 20  # of the table of how often shingles occur
+WORDS = 4  # of 64 bits, in which the codes of a line are marked
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -157,53 +158,38 @@ def unsalted(band: np.ndarray, line: np.ndarray) -> np.ndarray:
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each line with content: its id, its document and its place there."""
-    for batch in batches_of(batches, "text", 8 << 20):
-        ids, of, places = [], [], []
-        for number, text in enumerate(batch.column(2).to_pylist()):
+    """A row for each line with content: its id, its document, its place there, and the line itself where the task
+    has not met it lately."""
+    seen: set[int] = set()
+    for batch in batches_of(batches, "text", 4 << 20):
+        if len(seen) > 250_000:
+            seen.clear()  # a line met again is only written again
+        ids, of, places, lines = [], [], [], []
+        for number, text in enumerate(batch.column(2).to_numpy(zero_copy_only=False).tolist()):
             for place, line in enumerate((text or "").split("\n")):
                 if line := plain(line):
-                    ids.append(line_id(line))
+                    own = line_id(line)
+                    ids.append(own)
                     of.append(number)
                     places.append(place)
-        taken = pa.array(of, pa.int64())
-        columns = [pa.array(ids, pa.int64()), batch.column(0).take(taken), batch.column(1).take(taken)]
-        yield pa.record_batch([*columns, pa.array(places, pa.int32())], names=["id", "doc_id", "row", "place"])
-
-
-def _distinct_lines(batch: pa.RecordBatch, seen: set[int]) -> tuple[list[int], list[str]]:
-    ids, lines = [], []
-    for text in batch.column(0).to_pylist():
-        for line in (text or "").split("\n"):
-            if line := plain(line):
-                if (own := line_id(line)) not in seen:
+                    lines.append(None if own in seen else line)
                     seen.add(own)
-                    ids.append(own)
-                    lines.append(line)
-    return ids, lines
+        taken = pa.array(of, pa.int64())
+        yield pa.record_batch(
+            [pa.array(ids, pa.int64()), batch.column(0).take(taken), batch.column(1).take(taken),
+             pa.array(places, pa.int32()), pa.array(lines, pa.string())],
+            names=["id", "doc_id", "row", "place", "line"],
+        )
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: set[int] = set()
-    for batch in batches_of(batches, "text", 2 << 20):
-        if len(seen) > 250_000:
-            seen.clear()  # a line met again enters its bands again; that only costs time
-        ids, lines = _distinct_lines(batch, seen)
-        if ids:
-            keys = bands(signatures(lines))
-            own = np.repeat(np.array(ids, dtype=np.int64), BANDS)
+    for batch in batches_of(batches, "line", 2 << 20):
+        if batch.num_rows:
+            keys = bands(signatures(batch.column(1).to_numpy(zero_copy_only=False).tolist()))
+            own = np.repeat(batch.column(0).to_numpy(), BANDS)
             yield pa.record_batch([keys.ravel(), salted(keys.ravel(), own)], names=["band", "id"])
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: set[int] = set()
-    for batch in batches_of(batches, "text", 2 << 20):
-        if len(seen) > 250_000:
-            seen.clear()
-        ids, lines = _distinct_lines(batch, seen)
-        yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(lines, pa.string())], names=["id", "line"])
-
-
 def band_pairs(band: np.ndarray, line: np.ndarray, goes_on: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of lines of whole bands, and each crowded line with itself. Rows are sorted by band and line; a
     line stands once in a band. If the first band ``goes_on`` from an earlier piece, its lines are crowded."""
@@ -341,7 +327,8 @@ def least_of(size: np.ndarray, share: float) -> np.ndarray:
 
 
 def rarest(lines: list[str], often: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Of each line the first codes by rarity: number of the line, code, place in that order, number of codes.
+    """Of each line the first codes by rarity: number of the line, code, place in that order, number of codes, and
+    the field of bits of all its codes.
 
     Two lines at LEAST or more share one of the first ``size - ceil(LEAST * size) + 1`` by any order of all
     codes, so ``often``, which may take codes together, bears on the work only and not on what is found.
@@ -351,7 +338,10 @@ def rarest(lines: list[str], often: np.ndarray) -> tuple[np.ndarray, ...]:
     size = np.bincount(of, minlength=len(lines))
     at = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
     first = at <= (size - least_of(size, LEAST))[of]
-    return of[first], code[order][first], at[first], size[of[first]]
+    bits = np.zeros((len(lines), WORDS), dtype=np.uint64)
+    place = mixed(code) % np.uint64(64 * WORDS)
+    np.bitwise_or.at(bits, (of, (place >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (place & np.uint64(63)))
+    return of[first], code[order][first], at[first], size[of[first]], bits[of[first]].view(np.int64)
 
 
 #: Of the shorter line of a pair so many codes fewer are needed, as all that is shared must be in both.
@@ -363,7 +353,8 @@ def crowded_links(crowd: DataFrame) -> DataFrame:
 
     ``crowd`` has ``id``, ``line`` and ``root``, and no id twice. A shingle whose lines all have one root is
     left out before anything meets. Meetings are a join on the shingle, whose hot keys Spark splits; a
-    meeting is left out if the codes behind it cannot add up to the similarity any more. None is capped.
+    meeting is left out if the codes behind it cannot add up to the similarity any more, or if the lines' fields
+    of bits differ in more places than their codes may. None is capped.
     """
     spark = crowd.sparkSession
     counts = crowd.select("line").mapInArrow(_often, "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
@@ -375,27 +366,29 @@ def crowded_links(crowd: DataFrame) -> DataFrame:
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_of(batches, "line", 1 << 20):
             if batch.num_rows:
-                of, code, at, size = rarest(batch.column(2).to_pylist(), shared.value)
+                of, code, at, size, bits = rarest(batch.column(2).to_pylist(), shared.value)
                 taken = pa.array(of)
                 yield pa.record_batch(
                     [batch.column(0).take(taken), batch.column(1).take(taken), pa.array(code.view(np.int64)),
                      pa.array(at.astype(np.int32)), pa.array(size.astype(np.int32)),
-                     pa.array(at <= size - least_of(size, SHORTER))],
-                    names=["id", "root", "code", "at", "size", "short"],
+                     pa.array(at <= size - least_of(size, SHORTER)), *(pa.array(x.copy()) for x in bits.T)],
+                    names=["id", "root", "code", "at", "size", "short", *fields],
                 )
 
-    index = written(crowd.select("id", "root", "line").mapInArrow(
-        first, "id long, root long, code long, at int, size int, short boolean"
-    ))
+    fields = [f"bits_{i}" for i in range(WORDS)]
+    schema = "id long, root long, code long, at int, size int, short boolean" + "".join(f", {x} long" for x in fields)
+    index = written(crowd.select("id", "root", "line").mapInArrow(first, schema))
     several = index.groupBy("code").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a != b")
     index = written(index.join(several.select("code"), "code"))
-    longer = index.select("code", *(F.col(x).alias(f"{x}_2") for x in ("id", "root", "at", "size")))
+    longer = index.select("code", *(F.col(x).alias(f"{x}_2") for x in ("id", "root", "at", "size", *fields)))
+    apart = F.expr(" + ".join(f"bit_count({x} ^ {x}_2)" for x in fields))  # codes of one line only, at least
     behind = F.least(F.col("size") - F.col("at"), F.col("size_2") - F.col("at_2"))
     meetings = index.where("short").join(longer, "code").where(
         (F.col("root") != F.col("root_2"))
         & ((F.col("size") < F.col("size_2")) | ((F.col("size") == F.col("size_2")) & (F.col("id") < F.col("id_2"))))
         & (F.col("size") >= LEAST * F.col("size_2") - 1e-9)
         & (behind * (1 + LEAST) >= LEAST * (F.col("size") + F.col("size_2")) - 1e-9)
+        & (apart * (1 + LEAST) <= (1 - LEAST) * (F.col("size") + F.col("size_2")) + 1e-9)
     )
     return meetings.select(F.least("id", "id_2").alias("src"), F.greatest("id", "id_2").alias("dst")).distinct()
 
@@ -407,18 +400,16 @@ def _checked(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     return both.mapInArrow(_similar, LINKS)
 
 
-def line_components(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``vertex`` and ``root`` of the ids of different lines that are linked at a similarity of LEAST or more."""
-    ship(docs.sparkSession)
-    source = docs.select(F.col(text).cast("string").alias("text"))
-    banded = source.mapInArrow(_bands, "band long, id long").repartition("band")
+def line_components(lines: DataFrame) -> DataFrame:
+    """``vertex`` and ``root`` of the ids of different lines that are linked at a similarity of LEAST or more.
+
+    ``lines`` has ``id`` and ``line``, a written table; a line may stand in several rows."""
+    banded = lines.select("id", "line").mapInArrow(_bands, "band long, id long").repartition("band")
     found = written(
         banded.sortWithinPartitions("band").mapInArrow(_pairs, LINKS).distinct()
     )
     wanted = found.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
-    texts = source.mapInArrow(_texts, "id long, line string").join(
-        broadcast_if_small(written(wanted)), "id", "left_semi"
-    )
+    texts = lines.join(wanted, "id", "left_semi")
     lines = written(texts.groupBy("id").agg(F.first("line").alias("line")))
     linked = written(components(_checked(found.where("src != dst"), lines)))
     crowded = found.where("src = dst").select(F.col("src").alias("id"))
@@ -442,27 +433,39 @@ def line_components(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def dropped_lines(docs: DataFrame, row: str = "row") -> DataFrame:
-    """``row`` and ``dropped`` (positions, ascending) of documents that lose lines.
+    """``row`` and ``dropped`` (positions, ascending) of documents that lose lines, as a written table.
 
-    ``docs`` has ``doc_id``, ``text`` and ``row``, which is equal only for rows that are equal in both.
+    ``docs`` has ``doc_id``, ``text`` and ``row``, which is equal only for rows that are equal in both. All tables
+    in between are removed.
     """
     spark = docs.sparkSession
     ship(spark)
-    seen = written(
-        docs.select(F.col("doc_id").cast("long"), row, "text").mapInArrow(
-            _occurrences, "id long, doc_id long, row long, place int"
+    with scratch_tables(spark):
+        seen = written(
+            docs.select(F.col("doc_id").cast("long"), row, "text").mapInArrow(
+                _occurrences, "id long, doc_id long, row long, place int, line string"
+            )
         )
+        linked = written(line_components(seen.where("line is not null").select("id", "line")))
+        where = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "place")
+        lines = seen.groupBy("id").agg(F.min(where).alias("first"), F.count("*").alias("n"))
+        rooted = lines.join(linked, lines.id == linked.vertex, "left").select(
+            "id", "first", "n", F.coalesce("root", "id").alias("root")
+        )
+        classes = rooted.groupBy("root").agg(F.min("first").alias("kept"), F.sum("n").alias("n"))
+        repeated = rooted.select("id", "root").join(classes.where("n > 1"), "root").select("id", "kept")
+        gone = seen.drop("line").join(repeated, "id").where(where != F.col("kept"))
+        rows = gone.groupBy("row").agg(F.array_sort(F.collect_set("place")).alias("dropped"))
+        return written(rows, lasting=True)
+
+
+def without(text: str, dropped: str) -> Column:
+    """The lines of a text but those at the dropped positions; the text is split once, in time with its length."""
+    kept = f"array_except(sequence(0, size(lines) - 1), {dropped})"
+    return F.expr(
+        f"element_at(transform(array(split({text}, '\n', -1)), "
+        f"lines -> array_join(transform({kept}, i -> get(lines, i)), '\n')), 1)"
     )
-    where = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "place")
-    lines = seen.groupBy("id").agg(F.min(where).alias("first"), F.count("*").alias("n"))
-    linked = written(line_components(docs))
-    rooted = lines.join(linked, lines.id == linked.vertex, "left").select(
-        "id", "first", "n", F.coalesce("root", "id").alias("root")
-    )
-    classes = rooted.groupBy("root").agg(F.min("first").alias("kept"), F.sum("n").alias("n"))
-    repeated = rooted.select("id", "root").join(classes.where("n > 1"), "root").select("id", "kept")
-    gone = seen.join(repeated, "id").where(where != F.col("kept"))
-    return gone.groupBy("row").agg(F.array_sort(F.collect_set("place")).alias("dropped"))
 
 
 def dedup_lines(docs: DataFrame, *extra: Column) -> DataFrame:
@@ -473,14 +476,13 @@ def dedup_lines(docs: DataFrame, *extra: Column) -> DataFrame:
     Lines without content stay. A null text stays null. A document that loses all lines has an empty
     text. Rows that are equal in id and text are one document: all of them keep the same lines. A null
     ``doc_id`` comes after all others. Columns of any name stay as they are; an empty table stays empty.
-    Two different lines share an id with a probability of 2**-64.
+    A text of any length, and a line of any length, is taken whole. Two different lines share an id with a
+    probability of 2**-64.
     """
     row = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     keyed = docs.select(F.struct(*(F.col(f"`{x}`") for x in docs.columns)).alias("__doc"), row.alias("__row"))
-    gone = written(dropped_lines(docs.select("doc_id", "text", row.alias("row"))))
-    joined = keyed.join(broadcast_if_small(gone.withColumnRenamed("row", "__row")), "__row", "left")
-    text = F.when(F.col("dropped").isNull(), F.col("__doc.text")).otherwise(
-        F.expr("array_join(filter(split(__doc.text, '\\n', -1), (x, i) -> not array_contains(dropped, i)), '\\n')")
-    )
+    gone = dropped_lines(docs.select("doc_id", "text", row.alias("row")))
+    joined = keyed.join(gone.withColumnRenamed("row", "__row"), "__row", "left")
+    text = F.when(F.col("dropped").isNull(), F.col("__doc.text")).otherwise(without("__doc.text", "dropped"))
     return joined.select(*((text if x == "text" else F.col(f"__doc.`{x}`")).alias(x) for x in docs.columns),
                          *extra)

@@ -14,7 +14,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from bandloom.sources.files import join_path, scratch_folder, write_table
+from bandloom.sources.files import delete_folder, join_path, scratch_folder
 
 PACKAGE = Path(__file__).resolve().parent.parent
 
@@ -32,24 +32,34 @@ def ship(spark: SparkSession) -> None:
     context._bandloom_shipped = True
 
 
-def written(df: DataFrame, folder: str | None = None) -> DataFrame:
+#: Folders of the tables that the innermost open ``scratch_tables`` removes.
+_SCOPES: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables that are ``written`` inside are removed at the end, but those that last."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for folder in _SCOPES.pop():
+            delete_folder(spark, folder)
+
+
+def written(df: DataFrame, folder: str | None = None, lasting: bool = False) -> DataFrame:
     """The rows as a Parquet table in the shared folder: a later job never computes them again, and
-    loses nothing with an executor."""
+    loses nothing with an executor. Inside ``scratch_tables`` the table is removed at its end; one that is
+    ``lasting`` goes to the scope around it, if there is one."""
     spark = df.sparkSession
     path = join_path(scratch_folder(spark), "table") if folder is None else folder
     df.write.option("compression", "zstd").parquet(path)
+    scopes = _SCOPES[:-1] if lasting else _SCOPES
+    if folder is None and scopes:
+        scopes[-1].append(path.rsplit("/", 1)[0])
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: Rows up to which a written table of a few narrow columns may be copied to every executor.
-MOST_BROADCAST = 1_000_000
-
-
-def broadcast_if_small(table: DataFrame, most_rows: int = MOST_BROADCAST) -> DataFrame:
-    """Copy a written table to all executors if it has few rows; else it is joined by a shuffle."""
-    return F.broadcast(table) if table.limit(most_rows + 1).count() <= most_rows else table
-
-
 def by_id(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``text`` dealt into ranges and sorted: by id (null first), rows of one id by a hash of
     their text, so that an id (or null) with very many rows is split like any other range."""
@@ -119,5 +129,3 @@ def one_batch(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         return held[0]
     return pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
-
-__all__ = ["batches_of", "ship", "written", "write_table"]
