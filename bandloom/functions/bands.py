@@ -1,8 +1,9 @@
 """Cutting a number into bands.
 
-Score bands are closed on the left, feature bands on the right. Both are written as one nested
-``CASE`` that halves the edges at each step, so a value costs log2(edges) comparisons and the whole
-expression stays in generated code. The functions take the name of a numeric column.
+Score bands are closed on the left, feature bands on the right. The functions for single columns take the
+name of a numeric column and write one nested ``CASE`` that halves the edges at each step, so a value costs
+log2(edges) comparisons and stays in generated code. Metrics take the edges as data instead, see
+``operators.counting``.
 """
 
 from __future__ import annotations
@@ -78,14 +79,15 @@ def feature_edges(edges: Iterable[float | None] | None) -> list[float]:
     return distinct
 
 
-def _inner_edges(edges: Iterable[float | None] | None) -> list[float]:
+def inner_edges(edges: Iterable[float | None] | None) -> list[float]:
+    """The edges between the bands of a feature: all distinct ones but the outermost, if there are three."""
     distinct = feature_edges(edges)
     return distinct[1:-1] if len(distinct) > 2 else distinct[-1:]
 
 
 def feature_band_count(edges: Iterable[float | None] | None) -> int:
     """How many bands ``feature_band`` can give for these edges."""
-    return len(_inner_edges(edges)) + 1
+    return len(inner_edges(edges)) + 1
 
 
 def feature_band(name: str, edges: Iterable[float | None] | None) -> Column:
@@ -94,15 +96,19 @@ def feature_band(name: str, edges: Iterable[float | None] | None) -> Column:
     The outermost edges are dropped when there are three or more; two distinct edges split at the
     larger one, one edge splits there, and a feature without edges is one single band.
     """
-    inner = _inner_edges(edges)
+    inner = inner_edges(edges)
     return _band(name, inner, [str(band) for band in range(1, len(inner) + 2)], "right")
 
 
-def invalid_score_label(name: str) -> Column:
-    """Which kind of validity a score has; every row gets exactly one label (NaN counts as >=1)."""
-    score = quoted(name)
+def validity_of(score: str) -> str:
+    """SQL for which kind of validity a number has; every row gets exactly one label (NaN counts as >=1)."""
     below, zero, valid, above, missing = (text(label) for label in INVALID_SCORE_LABELS)
-    return F.expr(
+    return (
         f"CASE WHEN {score} IS NULL THEN {missing} WHEN {score} < 0 THEN {below} "
         f"WHEN {score} = 0 THEN {zero} WHEN {score} >= 1 THEN {above} ELSE {valid} END"
     )
+
+
+def invalid_score_label(name: str) -> Column:
+    """The validity label of a numeric column."""
+    return F.expr(validity_of(quoted(name)))

@@ -65,26 +65,33 @@ def segment_value(name: str, text_segments: Mapping[str, Sequence[str]] = TEXT_S
     return number(name)
 
 
-def segment_label(
+def label_of(
     name: str,
+    value: str,
     segments: Mapping[str, Sequence[Rule]] = SEGMENTS,
     text_segments: Mapping[str, Sequence[str]] = TEXT_SEGMENTS,
-) -> Column:
-    """The segment label of a column that holds ``segment_value``, chosen by the column's name."""
-    key = name.lower()
-    value, missing = quoted(name), text(NOT_AVAILABLE)
+) -> str:
+    """SQL for the label of ``value``, a ``segment_value``, by the rules of the segment of that name."""
+    key, missing = name.lower(), text(NOT_AVAILABLE)
     if key in text_segments:
         not_given = ", ".join(text(given) for given in text_segments[key])
-        return F.expr(
-            f"CASE WHEN {value} IS NULL OR {value} IN ({not_given}) THEN {missing} ELSE {value} END"
-        )
+        return f"CASE WHEN {value} IS NULL OR {value} IN ({not_given}) THEN {missing} ELSE {value} END"
     if key not in segments:
         raise ValueError(f"no segment rule for {name!r}; known: {segment_names()}")
     rules = [
         f"WHEN {' AND '.join(f'{value} {sign} {double(limit)}' for sign, limit in limits)} THEN {text(label)}"
         for label, limits in segments[key]
     ]
-    return F.expr(f"CASE {' '.join(rules)} ELSE {missing} END")
+    return f"CASE {' '.join(rules)} ELSE {missing} END"
+
+
+def segment_label(
+    name: str,
+    segments: Mapping[str, Sequence[Rule]] = SEGMENTS,
+    text_segments: Mapping[str, Sequence[str]] = TEXT_SEGMENTS,
+) -> Column:
+    """The segment label of a column that holds ``segment_value``, chosen by the column's name."""
+    return F.expr(label_of(name, quoted(name), segments, text_segments))
 
 
 def segment_names() -> list[str]:

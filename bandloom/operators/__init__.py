@@ -1,17 +1,15 @@
-from .features import distinct_rates, feature_band_counts, feature_shares, null_rates, unpivot_features
+from .counting import feature_shares, invalid_scores, null_rates, score_metrics, segment_counts
+from .features import distinct_rates, unpivot_features
 from .joins import join_on_prefixed_key
 from .prepare import json_keys, merge_sources, platform_from_channel, prepare_source
 from .result import benchmark_id, keep_fullest, stamp, to_table
 from .rows import duplicate_count, filter_population, latest_per_key
-from .scores import invalid_scores, score_metrics
-from .segments import segment_counts
 from .upsert import upsert, verify_counts
 
 __all__ = [
     "benchmark_id",
     "distinct_rates",
     "duplicate_count",
-    "feature_band_counts",
     "feature_shares",
     "filter_population",
     "invalid_scores",

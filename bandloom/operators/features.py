@@ -1,55 +1,17 @@
-"""Feature metrics: shares and counts per band, null and distinct rates."""
+"""Features side by side: stacking them, and counting their distinct values."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
-from functools import reduce
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ..functions.bands import feature_band, feature_band_count, feature_edges
-from ..functions.columns import Fill, column_type, equals_fill, require_columns
-from ..functions.sql import double, number, quoted, text
-from .long_form import WHOLE_POPULATION, rows_from, to_long
+from ..functions.columns import column_type, require_columns
+from ..functions.sql import quoted, text
+from .counting import values_table
+from .long_form import to_long
 from .rows import POPULATION
 
-# Stacking many columns needs care about the code Spark generates. The JVM leaves methods of more than
-# 8000 bytes uncompiled, several times slower, and Spark puts the stacking of up to 100 columns into one
-# method. So some dozens of columns are stacked in several branches, each small enough (measured: 60
-# bytes per unit below); every branch scans its own columns only. Above 100 columns Spark generates a
-# method per expression by itself, and one scan with one branch is fastest.
-BRANCH = 110
-# What a stacked column weighs on top of its band edges, and a conditional count without stacking.
-STACKED = 5
-COUNTED = 3
-# The most columns of a wide branch; an executor compiles a little class for each.
-WIDEST = 400
-
-
-def by_batch(
-    df: DataFrame,
-    names: Sequence[str],
-    make: Callable[[list[str]], DataFrame],
-    weight: Callable[[str], int] = lambda name: STACKED,
-) -> DataFrame:
-    """Union the results of ``make`` over batches of the names: light ones, or wide ones if names abound."""
-    if not names:
-        raise ValueError("at least one name is needed")
-    many = int(df.sparkSession.conf.get("spark.sql.codegen.maxFields", "100"))
-    batches: list[list[str]] = []
-    if len(names) > many:
-        count = -(-len(names) // WIDEST)
-        batches = [list(names[start::count]) for start in range(count)]
-    else:
-        room = 0
-        for name in names:
-            room -= weight(name)
-            if room < 0 or not batches:
-                batches.append([])
-                room = BRANCH - weight(name)
-            batches[-1].append(name)
-    return reduce(DataFrame.unionAll, [make(batch) for batch in batches])
-
 
 def unpivot_features(df: DataFrame, features: Sequence[str], ids: Sequence[str] = ()) -> DataFrame:
     """One row per input row and feature: ids, feature, value (the features share one type)."""
@@ -57,143 +19,42 @@ def unpivot_features(df: DataFrame, features: Sequence[str], ids: Sequence[str]
     return df.unpivot(list(ids), list(features), "feature", "value")
 
 
-def filled(name: str, fill: Fill | None) -> str:
-    """SQL for the feature as a double, with the fill in place of null and NaN."""
-    value = number(name)
-    if fill is None:
-        return value
-    put = f"try_cast({text(fill)} AS DOUBLE)" if isinstance(fill, str) else double(fill)
-    return f"CASE WHEN {value} IS NULL OR isnan({value}) THEN {put} ELSE {value} END"
-
-
-def feature_band_counts(
-    df: DataFrame,
-    features: Sequence[str],
-    cuts: Mapping[str, Sequence[float | None] | None],
-    fills: Mapping[str, Fill] | None = None,
-) -> DataFrame:
-    """Rows per population, feature and band, with the edges and number of bands of each feature.
-
-    Bands are computed before the features are stacked: all stacked columns are then small integers,
-    whatever the types of the features, and partial counts collapse them in the scanning task.
-    """
-    require_columns(df, [*POPULATION, *features])
-    fills = fills or {}
-
-    def count(batch: list[str]) -> DataFrame:
-        values = df.selectExpr(
-            *POPULATION, *[f"{filled(name, fills.get(name))} AS {quoted(name)}" for name in batch]
-        )
-        banded = values.select(
-            *POPULATION, *[feature_band(name, cuts.get(name)).alias(name) for name in batch]
-        )
-        stacked = banded.unpivot(POPULATION, batch, "feature", "band_no")
-        counts = stacked.groupBy(*POPULATION, "feature", "band_no").agg(F.expr("count(*) AS cnt"))
-        cases = [
-            (
-                f"WHEN {text(name)} THEN {feature_band_count(cuts.get(name))}",
-                f"WHEN {text(name)} THEN array({', '.join(map(double, feature_edges(cuts.get(name))))})",
-            )
-            for name in batch
-        ]
-        n_bands, edges = (" ".join(case) for case in zip(*cases))
-        return counts.selectExpr(
-            "*",
-            f"CASE feature {n_bands} END AS n_bands",
-            f"CAST(CASE feature {edges} END AS ARRAY<DOUBLE>) AS edges",
-        )
-
-    return by_batch(df, features, count, lambda name: STACKED + feature_band_count(cuts.get(name)))
-
-
-def feature_shares(counts: DataFrame, wanted: Mapping[str, Sequence[str]]) -> DataFrame:
-    """CSI (share in percent) and FEATURE_RANGE_DRIFT (count) from the same band counts.
-
-    ``wanted`` maps each of the two metric names to the features it is asked for.
-    """
-    whole = f"{WHOLE_POPULATION}, feature"
-    shares = counts.selectExpr("*", f"sum(cnt) OVER ({whole}) AS rows")
-    shares = shares.selectExpr("*", "round(cnt / rows * 100, 4) AS pct")
-    shares = shares.selectExpr("*", f"sum(pct) OVER ({whole}) AS pct_sum")
-    columns = {"CSI": ("pct", "pct_sum"), "FEATURE_RANGE_DRIFT": ("cnt", "rows")}
-    stacked = rows_from(
-        shares,
-        ["feature", "band_no", "cnt", "n_bands", "edges"],
-        [
-            {
-                "metric_name": text(metric),
-                "metric_value": f"CAST({columns[metric][0]} AS DOUBLE)",
-                "total": f"CAST({columns[metric][1]} AS DOUBLE)",
-            }
-            for metric in wanted
-        ],
-    )
-    asked = [
-        f"(metric_name = {text(metric)} AND feature IN ({', '.join(text(name) for name in names)}))"
-        for metric, names in wanted.items()
-    ]
-    return to_long(stacked.filter(" OR ".join(asked)), value_name="feature", band_label="band_no")
-
-
-def null_rates(df: DataFrame, features: Sequence[str], fills: Mapping[str, Fill]) -> DataFrame:
-    """Values that are null or equal to the feature's fill, counted without stacking the data."""
-    require_columns(df, [*POPULATION, *features])
-
-    def count(batch: list[str]) -> DataFrame:
-        flags = [
-            F.expr(
-                f"count_if({quoted(name)} IS NULL OR {equals_fill(df, name, fills[name])}) AS {quoted(name)}"
-            )
-            for name in batch
-        ]
-        wide = df.groupBy(*POPULATION).agg(F.expr("count(*) AS total"), *flags)
-        rows = [{"value_name": text(name), "cnt": quoted(name)} for name in batch]
-        return rows_from(wide, ["total"], rows)
-
-    return to_long(
-        by_batch(df, features, count, lambda name: COUNTED),
-        metric_name="'NULL_RATE'",
-        metric_value="cnt",
-    )
-
-
 def distinct_rates(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Exact number of distinct non-null values per feature, and the number of rows.
+    """Exact number of distinct non-null values per feature, and the number of rows, from one scan.
 
-    Features of one kind are stacked together. The shuffle is on population, feature *and* value, so
-    neither a large population nor a frequent value gathers in one task.
+    An entry holds a value as a number, a whole number or a text, whichever keeps all values of its feature
+    apart. The shuffle is on population, feature *and* value, so neither a large population nor a frequent
+    value gathers in one task, and repeated values collapse before it.
     """
     require_columns(df, [*POPULATION, *features])
-    kinds: dict[str, list[str]] = {}
-    for name in features:
-        kinds.setdefault(_kind(column_type(df, name)), []).append(name)
-
-    def count(batch: list[str], kind: str) -> DataFrame:
-        values = df.selectExpr(
-            *POPULATION, *[f"CAST({quoted(name)} AS {kind}) AS {quoted(name)}" for name in batch]
-        )
-        stacked = values.unpivot(POPULATION, batch, "value_name", "value")
-        return stacked.groupBy(*POPULATION, "value_name").agg(
-            F.expr("count(DISTINCT value) AS cnt"), F.expr("count(*) AS total")
-        )
-
-    counted = [
-        by_batch(df, names, lambda batch, kind=kind: count(batch, kind))
-        for kind, names in kinds.items()
-    ]
-    if not counted:
+    if not features:
         raise ValueError("at least one feature is needed")
-    return to_long(
-        reduce(DataFrame.unionAll, counted),
-        metric_name="'DISTINCT_RATE'",
-        metric_value="cnt",
+    kinds = {name: _kind(column_type(df, name)) for name in features}
+    ordered = sorted(features, key=lambda name: list(_KINDS).index(kinds[name]))
+    arrays, before = [], 0
+    for kind in _KINDS:
+        names = [name for name in ordered if kinds[name] == kind]
+        values = [f"CAST({quoted(name)} AS {kind})" for name in names]
+        arrays.append(f"array({', '.join([*[f'CAST(NULL AS {kind})'] * before, *values])})" if names
+                      else f"CAST(array() AS ARRAY<{kind}>)")
+        before += len(names)
+    stacked = df.selectExpr(*POPULATION, f"posexplode(arrays_zip({', '.join(arrays)})) AS (m, entry)")
+    parts = [f"entry.`{i}` AS {letter}" for i, letter in enumerate("lds")]
+    values = stacked.selectExpr(*POPULATION, "m", *parts).groupBy(*POPULATION, "m", *"lds").agg(F.expr("count(*) AS n"))
+    counts = values.groupBy(*POPULATION, "m").agg(
+        F.expr("count_if(l IS NOT NULL OR d IS NOT NULL OR s IS NOT NULL) AS cnt"), F.expr("sum(n) AS total")
     )
+    names = values_table(df.sparkSession, "m, value_name", [[str(m), text(name)] for m, name in enumerate(ordered)])
+    return to_long(counts.join(names, "m"), metric_name="'DISTINCT_RATE'", metric_value="cnt")
+
+
+# Types that hold every value of the others apart, in the order of their arrays.
+_KINDS = {
+    "bigint": (T.ByteType, T.ShortType, T.IntegerType, T.LongType),
+    "double": (T.FloatType, T.DoubleType),
+    "string": (T.DataType,),
+}
 
 
 def _kind(dtype: T.DataType) -> str:
-    """A type that holds every value of the given one apart: doubles, longs, or text."""
-    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return "bigint"
-    if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        return "double"
-    return "string"
+    return next(kind for kind, types in _KINDS.items() if isinstance(dtype, types))

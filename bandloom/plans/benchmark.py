@@ -7,11 +7,11 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 
-from ..operators.features import distinct_rates, feature_band_counts, feature_shares, null_rates
+from ..functions.segments import SEGMENTS, TEXT_SEGMENTS
+from ..operators.counting import Counting
+from ..operators.features import distinct_rates
 from ..operators.result import result_rows, stamp, to_table
 from ..operators.rows import filter_population
-from ..operators.scores import invalid_scores, score_metrics
-from ..operators.segments import segment_counts
 from ..sources.metadata import Metadata
 from .request import CUT_METRICS, SCORE_METRICS, SEGMENT_METRIC, VALIDITY_METRIC, Request
 from .request import expand_metrics
@@ -29,33 +29,28 @@ def benchmark_long(
 ) -> DataFrame:
     """The long form of every requested metric.
 
-    Populations are grouping columns, so their number does not matter. Metrics that count the same
-    thing share an aggregate: one for everything per score band, one for both feature-band metrics. A
-    population without rows gives no rows.
+    Populations are grouping columns, so their number does not matter. All that counts rows is one pass over
+    the population (see ``operators.counting``), distinct values are another. A population without rows gives
+    no rows.
     """
     wanted = expand_metrics(request, metadata, on_missing)
     if not wanted:
         raise ValueError("no metric is left to compute")
     rows = filter_population(population, platforms, user_types)
-    parts: list[DataFrame] = []
-
+    counting = Counting(rows)
     by_score = {metric: wanted[metric] for metric in SCORE_METRICS if metric in wanted}
     if by_score:
-        cuts = metadata.score_cuts
-        parts.append(score_metrics(rows, cuts, by_score, include_last=include_last))
+        counting.by_score(metadata.score_cuts, by_score, "output_value", "id", include_last)
     by_cut = {metric: wanted[metric] for metric in CUT_METRICS if metric in wanted}
-    if by_cut:
-        features = list(dict.fromkeys(name for names in by_cut.values() for name in names))
-        counts = feature_band_counts(rows, features, metadata.feature_cuts, metadata.fills)
-        parts.append(feature_shares(counts, by_cut))
-    if "NULL_RATE" in wanted:
-        parts.append(null_rates(rows, wanted["NULL_RATE"], metadata.fills))
-    if "DISTINCT_RATE" in wanted:
-        parts.append(distinct_rates(rows, wanted["DISTINCT_RATE"]))
+    if by_cut or "NULL_RATE" in wanted:
+        counting.by_feature(by_cut, wanted.get("NULL_RATE", []), metadata.feature_cuts, metadata.fills)
     if SEGMENT_METRIC in wanted:
-        parts.append(segment_counts(rows, wanted[SEGMENT_METRIC]))
+        counting.by_segment(wanted[SEGMENT_METRIC], SEGMENTS, TEXT_SEGMENTS)
     if VALIDITY_METRIC in wanted:
-        parts.append(invalid_scores(rows))
+        counting.by_validity("output_value")
+    parts = [counting.long()] if counting.outputs else []
+    if "DISTINCT_RATE" in wanted:
+        parts.append(distinct_rates(rows, wanted["DISTINCT_RATE"]))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from ..functions.segments import segment_names
 from ..operators.rows import POPULATION, as_list
-from ..operators.scores import SCORE_VALUES
+from ..operators.counting import SCORE_VALUES
 from ..sources.metadata import Metadata
 
 # Metric names, and the word that stands for every feature with a fill value.

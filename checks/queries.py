@@ -89,15 +89,12 @@ def invalid_score(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def band_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return op.feature_band_counts(
-        scored(spark, folder), CUT_FEATURES, METADATA.feature_cuts, METADATA.fills
-    )
+def shares(spark: SparkSession, folder: str, metric: str) -> DataFrame:
+    return op.feature_shares(scored(spark, folder), {metric: CUT_FEATURES}, METADATA.feature_cuts, METADATA.fills)
 
 
 def csi(spark: SparkSession, folder: str) -> DataFrame:
-    shares = op.feature_shares(band_counts(spark, folder), {"CSI": CUT_FEATURES})
-    return shares.select(
+    return shares(spark, folder, "CSI").select(
         *POPULATION,
         F.col("value_name").alias("feature"),
         F.col("band_no").alias("feature_band"),
@@ -106,8 +103,7 @@ def csi(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def feature_range_drift(spark: SparkSession, folder: str) -> DataFrame:
-    shares = op.feature_shares(band_counts(spark, folder), {"FEATURE_RANGE_DRIFT": CUT_FEATURES})
-    return shares.select(
+    return shares(spark, folder, "FEATURE_RANGE_DRIFT").select(
         *POPULATION,
         F.col("value_name").alias("feature"),
         F.col("band_no").alias("feature_band"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from bandloom import Metadata, benchmark_long
 from bandloom import operators as op
+from bandloom.functions.bands import feature_band, score_band
 from bandloom.functions.columns import equals_fill
 from bandloom.plans.request import expand_metrics, normalise_metrics
 
@@ -133,8 +134,8 @@ def mixed(spark):
 def test_feature_bands_of_mixed_types_with_fills(mixed):
     cuts = {"whole": [0, 1], "real": [0, 1, 2], "txt": [0, 5, 10], "flag": None}
     fills = {"whole": -1.5, "real": 9.0}
-    counts = op.feature_band_counts(mixed, list(cuts), cuts, fills)
-    assert pick(counts, "feature", "band_no", "cnt", "n_bands") == sorted(
+    counts = op.feature_shares(mixed, {"FEATURE_RANGE_DRIFT": list(cuts)}, cuts, fills)
+    assert pick(counts, "value_name", "band_no", "cnt", "n_bands") == sorted(
         [
             ("whole", 1, 4, 2),
             ("real", 1, 2, 2),
@@ -150,8 +151,7 @@ def test_feature_bands_of_mixed_types_with_fills(mixed):
 
 def test_only_asked_metrics_and_features_are_returned(mixed):
     cuts = {"whole": [0, 1], "real": [0, 1, 2]}
-    counts = op.feature_band_counts(mixed, ["whole", "real"], cuts)
-    long = op.feature_shares(counts, {"CSI": ["real"], "FEATURE_RANGE_DRIFT": ["whole"]})
+    long = op.feature_shares(mixed, {"CSI": ["real"], "FEATURE_RANGE_DRIFT": ["whole"]}, cuts)
     got = pick(long, "metric_name", "value_name", "band_no", "metric_value", "total")
     assert got == sorted(
         [
@@ -192,7 +192,7 @@ def test_distinct_counts_keep_types_apart(mixed):
     ]
 
 
-def test_many_features_span_several_branches(spark):
+def test_many_features_at_once(spark):
     names = [f"f{i}" for i in range(20)]
     df = spark.range(50).select(
         F.lit("A").alias("platform"),
@@ -200,14 +200,33 @@ def test_many_features_span_several_branches(spark):
         *[((F.col("id") + i) % 10).cast("double").alias(name) for i, name in enumerate(names)],
     )
     cuts = {name: [0.0, 4.0, 9.0] for name in names}
-    counts = op.feature_band_counts(df, names, cuts)
-    assert pick(counts, "feature", "band_no", "cnt") == sorted(
+    counts = op.feature_shares(df, {"FEATURE_RANGE_DRIFT": names}, cuts)
+    assert pick(counts, "value_name", "band_no", "cnt") == sorted(
         [row for name in names for row in ((name, 1, 25), (name, 2, 25))], key=repr
     )
     assert op.null_rates(df, names, dict.fromkeys(names, 3)).filter("cnt = 5").count() == 20
     assert op.distinct_rates(df, names).filter("cnt = 10").count() == 20
 
 
+def test_edges_as_data_give_the_bands_of_the_single_column_functions(spark):
+    """A thousand edges, edges that repeat, infinite ones, NaN and null, on both sides of every edge."""
+    many = [round(i / 7, 6) for i in range(1000)]
+    values = [None, NAN, math.inf, -math.inf, -0.0, *many[::37], *(x + 1e-7 for x in many[::41]), 142.8, 1e9]
+    df = spark.createDataFrame(
+        [("A", "N", i, x, x) for i, x in enumerate(values)],
+        "platform string, user_type string, id long, f double, output_value double",
+    )
+    for edges in (many, [0.0, 1.0], [3.0, None, 3.0], [5.0, 1.0, 1.0, 2.0, math.inf, -math.inf], None):
+        want = df.groupBy(feature_band("f", edges).alias("b")).count()
+        got = op.feature_shares(df, {"FEATURE_RANGE_DRIFT": ["f"]}, {"f": edges})
+        assert pick(got, "band_no", "cnt") == pick(want, "b", "count")
+    for cuts in (many, [0.0, 0.0, 1.0], [-math.inf, 0.0, math.inf]):
+        for last in (False, True):
+            want = df.groupBy(score_band("f", cuts, last).alias("b")).count()
+            got = op.score_metrics(df, cuts, {"PSI": ["total_population"]}, include_last=last)
+            assert pick(got, "band_no", "cnt") == pick(want, "b", "count")
+
+
 def test_one_population_and_one_value_may_hold_most_rows(spark):
     """Brute force over a population where a third of the rows share key, band and label."""
     random.seed(7)
