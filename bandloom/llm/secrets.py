@@ -1,6 +1,7 @@
 """Secrets in text: patterns, and a battery of randomness tests under false-discovery control.
 
-Everything is DataFrame functions on the row: there is no shuffle but that of a small histogram.
+Everything is DataFrame functions on the row: there is no shuffle but that of a small histogram. The time for a
+row is in proportion to its length and its spans.
 
 Three patterns give spans by themselves: an assignment to a name like ``token``, an access key, a long
 run of hexadecimal digits. The battery looks at every other run of at least ``SHORTEST`` characters of
@@ -22,6 +23,8 @@ hundred numbers for each class; the threshold of each class is all that returns
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: The base kinds, in the order in which they are listed, and their patterns.
@@ -33,7 +36,9 @@ HEX = r"[0-9a-f]{32,}"
 KINDS = ["assign", "access", "hex", "random"]
 LEAST_VALUE = 8
 SHORTEST = 20
-RUN = rf"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{{{SHORTEST},}}+"
+MASK = "\x01"  # stands for the characters of base spans while runs are looked for
+RUN = rf"(?<![A-Za-z0-9+/_=\x01-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{{{SHORTEST},}}+(?!\x01)"
+CHUNK = 256
 ENCODINGS = [  # pattern, alphabet size, alphabet, index of coincidence of text written in it
     (r"^[0-9a-f]+$", 16, "0123456789abcdef", 0.2),
     (r"^[0-9A-F]+$", 16, "0123456789ABCDEF", 0.2),
@@ -47,24 +52,76 @@ FALSE_SHARE = 0.01
 STEPS, MOST_STEPS = 10, 400  # of the histogram: tenths of a power of ten
 
 
-def spans_of(text: Column, pattern: str, kind: int, group: int = 0) -> Column:
-    """(start, kind, end, value) of the leftmost matches that do not overlap, in code points."""
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, also where lambdas inside ask for it again and again."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def scanned(items: Column, state: Column, out: str, step: Callable[[Column, Column], Column]) -> Column:
+    """What ``step`` collects over the items (one at least) in order.
+
+    ``step`` gives a struct of ``state`` and ``out``, an array of type ``out``, to which it appends. To append
+    copies an array, so items are taken in chunks, whose results are put together once: the time is in
+    proportion to the items, up to millions of them."""
+    chunks = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(items) - 1) / CHUNK).cast("int")),
+        lambda k: F.slice(items, k * CHUNK + 1, F.lit(CHUNK)),
+    )
+    none = F.array().cast(f"array<{out}>")
+
+    def whole_chunk(acc: Column, chunk: Column) -> Column:
+        inside = F.aggregate(chunk, F.struct(acc["state"].alias("state"), none.alias("out")), step)
+        return let(
+            inside,
+            lambda x: F.struct(x["state"].alias("state"), F.array_append(acc["out"], x["out"]).alias("out")),
+        )
+
+    begin = F.struct(state.alias("state"), F.array().cast(f"array<array<{out}>>").alias("out"))
+    return F.aggregate(chunks, begin, whole_chunk, lambda acc: F.flatten(acc["out"]))
+
+
+def parts_of(text: Column, pattern: str, group: int = 0) -> Column:
+    """The text in order as structs of a ``gap`` and the ``hit`` behind it with its group's ``value``; the last gap
+    has no hit. Matches are leftmost and do not overlap."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), found.alias("hit"), values.alias("value"))
-    none = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
-    empty = F.struct(F.lit(0).alias("at"), none.alias("out"))
+    return F.arrays_zip(F.split(text, pattern, -1).alias("gap"), found.alias("hit"), values.alias("value"))
+
+
+SPAN = "struct<start:int,kind:int,end:int,value:string>"
+
+
+def spans_of(text: Column, pattern: str, kind: int, group: int = 0) -> Column:
+    """(start, kind, end, value) of the leftmost matches that do not overlap, in code points."""
 
     def step(acc: Column, part: Column) -> Column:
-        start = acc["at"] + F.length(part["gap"])
+        start = acc["state"] + F.length(part["gap"])
         end = start + F.coalesce(F.length(part["hit"]), F.lit(0))
         span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), part["value"].alias("value"))
         return F.struct(
-            end.alias("at"),
+            end.alias("state"),
             F.when(part["hit"].isNull(), acc["out"]).otherwise(F.array_append(acc["out"], span)).alias("out"),
         )
 
-    return F.when(text.rlike(pattern), F.aggregate(parts, empty, step, lambda acc: acc["out"])).otherwise(none)
+    all_of = let(parts_of(text, pattern, group), lambda parts: scanned(parts, F.lit(0), SPAN, step))
+    return F.when(text.rlike(pattern), all_of).otherwise(F.array().cast(f"array<{SPAN}>"))
+
+
+def masked(text: Column, pattern: str, group: int = 0, least: int = 0) -> Column:
+    """The text with every character of the matches whose group has ``least`` characters replaced by MASK."""
+    put = lambda x: F.when(F.length(x["value"]) >= least, F.repeat(F.lit(MASK), F.length(x["hit"]))).otherwise(x["hit"])
+    filled = F.transform(
+        parts_of(text, pattern, group), lambda x: F.concat(x["gap"], F.coalesce(put(x), F.lit("")))
+    )
+    return F.when(text.rlike(pattern), F.array_join(filled, "")).otherwise(text)
+
+
+def without_base(text: Column) -> Column:
+    """The text with its base spans masked: no run touches a masked character."""
+    return let(
+        masked(text, ASSIGN, 2, LEAST_VALUE),
+        lambda x: let(masked(x, ACCESS), lambda y: masked(y, HEX)),
+    )
 
 
 def with_base(docs: DataFrame, text: Column) -> DataFrame:
@@ -95,10 +152,7 @@ def _extended(x: Column, fields: dict) -> Column:
 
 def with_candidates(found: DataFrame) -> DataFrame:
     """``__runs``: the runs outside base spans with ``p_random``, ``p_text`` and ``length_class``."""
-    runs = F.filter(
-        spans_of(F.col("__text"), RUN, 3),
-        lambda x: ~F.exists("__base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])),
-    )
+    runs = let(without_base(F.col("__text")), lambda text: spans_of(text, RUN, 3))
     found = found.withColumn("__runs", runs)
 
     def by_encoding(pick) -> object:
@@ -231,8 +285,8 @@ def listed(spans: Column) -> Column:
 def find_secrets(docs: DataFrame) -> DataFrame:
     """``doc_id``, counts of the base kinds, ``base_sha256`` of the listed base spans and all ``spans``.
 
-    A null or empty text has no spans. Repeated rows each give a row; a null ``doc_id`` stays null; other
-    columns are left out; an empty table gives no rows.
+    A null or empty text has no spans; a text of any length is searched whole. Repeated rows each give a row; a null
+    ``doc_id`` stays null; other columns are left out; an empty table gives no rows.
     """
     found = with_spans(docs.select("doc_id", "text"), F.col("text"))
     count = lambda k: F.size(F.filter("__base", lambda x: x["kind"] == k)).cast("long")
@@ -249,17 +303,23 @@ def redact(docs: DataFrame) -> DataFrame:
     overlapping spans are one. Texts without spans, null too, stay as they are."""
     row = F.struct(*(F.col(f"`{x}`") for x in docs.columns))
     found = with_spans(docs.select(row.alias("__doc")), F.col("__doc.text"))
-    text = F.col("__text")
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        gap = F.substring(text, acc["at"] + 1, x["start"] - acc["at"])
-        mark = F.concat(gap, F.lit("["), F.element_at(F.array(*map(F.lit, KINDS)), x["kind"] + 1), F.lit("]"))
-        return F.struct(
-            F.greatest(acc["at"], x["end"]).alias("at"),
-            F.when(x["start"] < acc["at"], acc["out"]).otherwise(F.array_append(acc["out"], mark)).alias("out"),
-        )
-
-    rest = lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text)))
-    clean = F.when(F.size("__spans") > 0, F.aggregate("__spans", start, step, rest)).otherwise(F.col("__doc.text"))
-    return found.select(*((clean if x == "text" else F.col(f"__doc.`{x}`")).alias(x) for x in docs.columns))
+    # four bytes a character: a piece is cut out in time with its own length
+    piece = lambda wide, begin, length: F.decode(F.substring(wide, begin * 4 + 1, length * 4), "UTF-32")
+
+    def clean(wide: Column) -> Column:
+        def step(acc: Column, x: Column) -> Column:
+            mark = F.concat(
+                piece(wide, acc["state"], x["start"] - acc["state"]),
+                F.lit("["), F.element_at(F.array(*map(F.lit, KINDS)), x["kind"] + 1), F.lit("]"),
+            )
+            return F.struct(
+                F.greatest(acc["state"], x["end"]).alias("state"),
+                F.when(x["start"] < acc["state"], acc["out"]).otherwise(F.array_append(acc["out"], mark)).alias("out"),
+            )
+
+        last = F.array_max(F.transform("__spans", lambda x: x["end"]))
+        rest = piece(wide, last, F.length("__text") - last)
+        return F.concat(F.array_join(scanned(F.col("__spans"), F.lit(0), "string", step), ""), rest)
+
+    text = F.when(F.size("__spans") > 0, let(F.encode("__text", "UTF-32"), clean)).otherwise(F.col("__doc.text"))
+    return found.select(*((text if x == "text" else F.col(f"__doc.`{x}`")).alias(x) for x in docs.columns))

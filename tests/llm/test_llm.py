@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -488,6 +489,24 @@ def test_random_strings_are_found_and_words_are_not(spark):
     assert secrets.find_secrets(df.limit(0)).count() == 0
 
 
+def test_secrets_of_long_rows_in_time_with_their_spans(spark):
+    """A checksum list: spans of a text are found and replaced in order, in seconds for tens of thousands."""
+    hashes = [hashlib.md5(str(i).encode()).hexdigest() for i in range(20_000)]
+    text = "\n".join(f"é {h} token = abcdefgh{i}" for i, h in enumerate(hashes))
+    docs = spark.createDataFrame([(1, text), (2, "no secret"), (3, None)], "doc_id long, text string")
+    started = time.monotonic()
+    row = secrets.find_secrets(docs).where("doc_id = 1").first()
+    assert time.monotonic() - started < 120
+    assert (row.n_hex, row.n_assign) == (20_000, 20_000)
+    want, at = [], 0
+    for line in text.split("\n"):
+        want += [f"hex:{at + 2}:{at + 34}", f"assign:{at + 35}:{at + len(line)}"]
+        at += len(line) + 1
+    assert row.spans == ",".join(want)
+    clean = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    assert clean == {1: "\n".join(["é [hex] [assign]"] * 20_000), 2: "no secret", 3: None}
+
+
 def test_spotsigs_likeness(spark, docs):
     got = result(spark, "op8_spotsigs").set_index("doc_id")
     texts, ids = docs.text.tolist(), docs.doc_id.tolist()
