@@ -5,8 +5,8 @@ is the set of its spots, as 64-bit hashes. Boilerplate such as menus has few com
 spots. A text without an anchor has the chain at each of its words, a text without a word one spot for
 the whole text, so equal texts always have equal signatures and no text has none.
 
-Two signatures are compared by their Jaccard similarity. Their lengths bound it from above, so pairs
-whose lengths are classes apart are not compared: they have a likeness of 0 instead of one below ``LEAST``.
+Two signatures are compared by their Jaccard similarity. Near pairs of a corpus are found by length classes,
+since the lengths bound the similarity, and the rarest spots.
 
 All of it is DataFrame functions. The words of a text never leave its row.
 """
@@ -14,6 +14,7 @@ All of it is DataFrame functions. The words of a text never leave its row.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -21,7 +22,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .shared import written
 
 CHAIN = 2
-LEAST = 0.05
 NEAR = 0.8
 NO_WORD = r"[^\p{L}\p{N}]+"
 #: Frequent words of English, French, German and Spanish, lower case.
@@ -71,24 +71,11 @@ def _spots(x: Column) -> Column:
     return F.array_sort(F.array_distinct(F.coalesce(spots, F.array(F.xxhash64(x["text"])))))
 
 
-def length_class(size: Column) -> Column:
-    """Signatures more than one class apart are less similar than LEAST."""
-    return F.floor(F.log(size.cast("double")) / math.log(1 / LEAST))
-
-
 def jaccard(a: Column, b: Column) -> Column:
     shared = F.size(F.array_intersect(a, b)).cast("double")
     return shared / (F.size(a) + F.size(b) - shared)
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """Jaccard similarity of two signatures, 0 where their lengths bound it below LEAST."""
-    near = (F.abs(length_class(F.size(a)) - length_class(F.size(b))) <= 1) & (
-        F.least(F.size(a), F.size(b)) >= LEAST * F.greatest(F.size(a), F.size(b))
-    )
-    return F.when(near, jaccard(a, b)).otherwise(F.lit(0.0))
-
-
 def near_pairs(docs: DataFrame, least: float = NEAR) -> tuple[DataFrame, DataFrame]:
     """All pairs of different signatures at a Jaccard similarity of ``least`` or more, and membership.
 
@@ -142,31 +129,64 @@ def shown(spots: Column) -> Column:
     return F.array_join(F.transform(spots, lambda x: F.lower(F.hex(x))), ",")
 
 
-def successors(keys: DataFrame) -> DataFrame:
-    """``key`` of every document with ``before``, the key of the one ahead of it, and that one's ``n_chars``.
-
-    Order is by ``doc_id`` (null first), then ``key``; before the first stands the last. Only ids move:
-    they are dealt into ranges, each range is shifted by one by itself, and the ends of the ranges, a row
-    for each, are tied together.
-    """
-    ranged = written(
-        keys.repartitionByRange("doc_id", "key").withColumn("part", F.spark_partition_id())
-    )
-    inside = Window.partitionBy("part").orderBy("doc_id", "key")
-    shifted = ranged.withColumn("before", F.lag("key").over(inside)).withColumn(
-        "length_before", F.lag("n_chars").over(inside)
+def ranges(docs: DataFrame, many: int) -> tuple[list[int], dict[int | None, int]]:
+    """Ids at which to cut the documents into about ``many`` ranges, and the ids (null too) that hold more than one
+    range's share of the rows, with their number of shares. ``many`` numbers come to the driver."""
+    shares = [k / many for k in range(1, many)] or [0.5]
+    found = docs.agg(
+        F.percentile_approx("doc_id", shares, 10_000).alias("at"), F.count("*").alias("n"),
+        F.count_if(F.col("doc_id").isNull()).alias("none"),
+    ).first()
+    times = Counter(found.at or [])
+    hot: dict[int | None, int] = {i: n + 1 for i, n in times.items() if n > 1}
+    if found.none * many > found.n:
+        hot[None] = found.none * many // found.n + 1
+    return sorted(times), hot
+
+
+def in_ranges(docs: DataFrame) -> DataFrame:
+    """The documents with ``part``, the number of their range, and ``at``, their place among equal ids.
+
+    Ranges ascend with the id. An id that holds more than a range's share is dealt to several ranges of its own, in
+    an order by hash of where its rows are read, so that repeated rows of one text are dealt as well."""
+    cuts, hot = ranges(docs, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    steps = max(1, math.ceil(math.log2(len(cuts) + 1)))
+    edges = [*cuts, *[cuts[-1] if cuts else 0] * (2**steps - 1 - len(cuts))]
+    bounds = f"array({', '.join(f'{x}L' for x in edges)})"
+    read = docs.withColumn("at", F.monotonically_increasing_id()).withColumn("below", F.lit(0))
+    for step in range(steps - 1, -1, -1):
+        less = f"get({bounds}, below + {2**step - 1}) < doc_id"
+        read = read.withColumn("below", F.expr(f"below + IF({less}, {2**step}, 0)"))
+    salt = F.lit(0)
+    for doc_id, n in hot.items():
+        own = F.col("doc_id").isNull() if doc_id is None else F.col("doc_id") == doc_id
+        salt = F.when(own, F.pmod(F.xxhash64("at"), F.lit(n))).otherwise(salt)
+    own_range = F.expr(f"IF(get({bounds}, below) = doc_id, 1, 0)") if cuts else F.lit(0)
+    slot = F.when(F.col("doc_id").isNull(), -1).otherwise(F.least("below", F.lit(len(cuts))) * 2 + own_range)
+    return read.select(
+        (slot.cast("long") * SALTS + salt).alias("part"), "doc_id", "at", "text"
     )
-    order = F.struct("doc_id", "key")
-    ends = ranged.groupBy("part").agg(
-        F.max(F.struct(order.alias("at"), "key", "n_chars")).alias("end")
-    )
-    around = Window.orderBy("part")
-    last = F.last("end").over(around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    ahead = ends.select("part", F.coalesce(F.lag("end").over(around), last).alias("ahead"))
-    return shifted.join(ahead, "part").select(
-        "key",
-        F.coalesce("before", F.col("ahead.key")).alias("before"),
-        F.coalesce("length_before", F.col("ahead.n_chars")).alias("length_before"),
+
+
+SALTS = 1 << 20
+ORDER = ["doc_id", "at"]
+
+
+def with_next(docs: DataFrame) -> DataFrame:
+    """Every document with ``next_text``, the text of the one behind it; behind the last stands the first.
+
+    Texts move once, to their range, and are shifted there. The end of a range gets the first text of the next one,
+    a row for each range."""
+    placed = in_ranges(docs)
+    order = F.struct(F.col("doc_id").isNotNull(), "doc_id", "at")  # null ids first
+    firsts = written(placed.groupBy("part").agg(F.min_by("text", order).alias("text")))
+    around = Window.orderBy("part")  # of a few rows, one for each range
+    whole = around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    behind = firsts.select("part", F.coalesce(F.lead("text").over(around), F.first("text").over(whole)).alias("behind"))
+    inside = Window.partitionBy("part").orderBy(*ORDER)
+    shifted = placed.repartition("part").withColumn("inside", F.lead("text").over(inside))
+    return shifted.join(behind, "part").select(
+        "doc_id", "text", F.coalesce("inside", "behind").alias("next_text")
     )
 
 
@@ -174,33 +194,24 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """For every row its fingerprint, that of the edited text, and their likeness, and that of the next.
 
     The edited text has the last half of the code points (rounded down) replaced by the first as many, or
-    all, of the next document by ``doc_id``. A null text is empty. Rows that are equal in id and text are
-    one document with several rows; different texts of one id, and null ids (first), follow each other by
-    a hash. Of a single document the next is itself. Other columns are left out; an empty table gives none.
+    all, of the next document by ``doc_id``. A null text is empty; a text of any length is taken whole. Null ids come
+    first. Rows of one id, repeated rows too, are documents that follow each other in an order fixed by the input
+    (where they are read). Of a single document the next is itself. Other columns are left out; an empty table
+    gives none.
     """
     doc_id, text = F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit(""))
-    plain = docs.select(F.xxhash64(doc_id, text).alias("key"), doc_id.alias("doc_id"), text.alias("text"))
-    keys = plain.select("key", "doc_id", F.length("text").cast("long").alias("n_chars")).distinct()
-    wanted = written(successors(keys))
-    by_key = plain.repartition("key")
-    once = by_key.dropDuplicates(["key"])
-    given = once.join(wanted, "key").select(
-        F.col("before").alias("key"),
-        F.expr("left(text, cast(length_before div 2 as int))").alias("put_in"),
-        signature(F.col("text")).alias("next_spots"),
-    )
+    both = with_next(docs.select(doc_id.alias("doc_id"), text.alias("text")))
     kept = F.expr("left(text, length(text) - length(text) div 2)")
-    both = by_key.join(given, "key").select(
-        "doc_id", F.length("text").cast("long").alias("n_chars"), "text", "next_spots",
-        F.concat(kept, "put_in").alias("edited"),
-    )
-    signed = both.select(
-        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        signature(F.col("text")).alias("spots"), signature(F.col("edited")).alias("edited_spots"), "next_spots",
+    put_in = F.expr("left(next_text, cast(length(text) div 2 as int))")
+    edited = both.withColumn("edited", F.concat(kept, put_in))
+    signed = edited.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), signature(F.col("text")).alias("spots"),
+        signature(F.col("edited")).alias("edited_spots"), signature(F.col("next_text")).alias("next_spots"),
     )
     return signed.select(
         "doc_id", "n_chars", "edited_sha256",
         shown(F.col("spots")).alias("fingerprint"), shown(F.col("edited_spots")).alias("edited_fingerprint"),
-        likeness(F.col("spots"), F.col("edited_spots")).alias("near_edited"),
-        likeness(F.col("spots"), F.col("next_spots")).alias("near_next"),
+        jaccard(F.col("spots"), F.col("edited_spots")).alias("near_edited"),
+        jaccard(F.col("spots"), F.col("next_spots")).alias("near_next"),
     )

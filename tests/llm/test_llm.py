@@ -517,7 +517,9 @@ def test_spotsigs_likeness(spark, docs):
         assert (row.n_chars, row.edited_sha256) == (len(text), sha(edited.encode()))
         a, b = (set(x.split(",")) for x in (row.fingerprint, row.edited_fingerprint))
         near = len(a & b) / len(a | b)
-        assert row.near_edited == pytest.approx(near) or (row.near_edited == 0 and near < spotsigs.LEAST)
+        assert row.near_edited == pytest.approx(near)
+        after = set(got.loc[ids[(k + 1) % len(ids)]].fingerprint.split(","))
+        assert row.near_next == pytest.approx(len(a & after) / len(a | after))
     same = docs.assign(f=got.fingerprint.loc[docs.doc_id].values).groupby("text").f.nunique()
     assert (same == 1).all()
 
@@ -554,6 +556,22 @@ def test_spotsigs_of_odd_rows(spark, odd):
     assert spotsigs.fingerprints(odd.limit(1)).count() == 1
 
 
+def test_successors_of_hot_and_repeated_ids(spark):
+    """A third of the rows have one id, a third none; every text is the next one of exactly one row, in order."""
+    rows = [(7, f"the hot {i % 20}") for i in range(900)] + [(None, f"the none {i}") for i in range(900)]
+    rows += [(i, f"the id {i}") for i in range(-450, 450) if i != 7]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    placed = spotsigs.in_ranges(docs)
+    sizes = {r.part: r["count"] for r in placed.groupBy("part").count().collect()}
+    assert max(sizes.values()) < 700
+    found = [(r.doc_id, r.text, r.next_text) for r in spotsigs.with_next(docs).collect()]
+    assert Counter(t for _, t, _ in found) == Counter(t for _, _, t in found) == Counter(t for _, t in rows)
+    by_text = {t: i for i, t in rows}
+    key = lambda i: -1e9 if i is None else i
+    backwards = [(i, by_text[t]) for i, _, t in found if key(by_text[t]) < key(i)]
+    assert backwards == [(449, None)]
+
+
 def test_word_bpe_equals_the_library(spark, odd, docs):
     ranks = word_bpe.read_ranks(RANKS)
     coder = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
