@@ -37,12 +37,14 @@ class Benchmark:
         self,
         spark: SparkSession,
         models: Mapping[str, ModelConfig],
-        store_path: str,
+        store: str,
         bench_path: str | None = None,
+        store_path: str | None = None,
     ):
+        """``store`` names the catalog table of the results; ``store_path`` is where its files are to be kept."""
         self.spark = spark
         self.models = dict(models)
-        self.store = BenchmarkStore(spark, store_path)
+        self.store = BenchmarkStore(spark, store, path=store_path)
         self.bench_path = bench_path
 
     def create_benchmark(

@@ -58,6 +58,34 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     system.delete(hadoop_path, True)
 
 
+def replace_table(df: DataFrame, path: str) -> str:
+    """Write rows in place of the table at ``path``, which they may be read from.
+
+    The rows are written beside it first; only when they are there is the old table moved aside, the new one
+    put in its place and the old one deleted. A job that fails leaves the old table as it was.
+    """
+    spark = df.sparkSession
+    folder, name = path.rstrip("/").rsplit("/", 1)
+    mark = uuid.uuid4().hex
+    staged, old = (join_path(folder, f"_{name}.{kind}-{mark}") for kind in ("new", "old"))
+    try:
+        write_table(df, staged)
+        system, target = file_system(spark, path)
+        aside = file_system(spark, old)[1]
+        had_one = system.exists(target)
+        if had_one and not system.rename(target, aside):
+            raise OSError(f"cannot move {path} aside")
+        if not system.rename(file_system(spark, staged)[1], target):
+            if had_one:
+                system.rename(aside, target)
+            raise OSError(f"cannot put the new table at {path}")
+    except BaseException:
+        delete_folder(spark, staged)
+        raise
+    delete_folder(spark, old)
+    return path
+
+
 def join_path(folder: str, name: str) -> str:
     return f"{folder.rstrip('/')}/{name}"
 

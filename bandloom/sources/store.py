@@ -1,28 +1,40 @@
-"""The store of benchmark results: files with versions, soft deletes, views and snapshots.
+"""The store of benchmark results: a catalog table with soft deletes, views and snapshots.
 
-Layout: a version is one Spark write job into a folder with a name of its own, whose ``state=active``
-holds every active row as of that version and ``state=retired`` the rows that it made inactive. It counts
-once ``commits/N.json`` lists it behind all folders before it. That file is created without overwriting,
-which file systems like HDFS do for one writer only, so a failed upload changes nothing and of two uploads
-at once one fails. An upload rewrites the active rows only, not the history.
+The table is partitioned by model, state and upload. The active rows of a model are one partition, which an
+upload overwrites; the rows that it makes inactive are a new partition of their own. Both are one write job
+with dynamic partition overwrite: Spark stages the files and moves them when all tasks are through, so a job
+that fails, or whose driver dies, leaves the table as it was. History is neither read nor written. Uploads of
+one model are to follow each other; where several writers meet, use a catalog whose tables have transactions.
 """
 
 from __future__ import annotations
 
-import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.columns import require_columns
+from ..functions.sql import quoted, text
 from ..operators.result import RESULT_SCHEMA, STORE_KEY
 from ..operators.upsert import require_unique, upsert, verify_counts, with_active_flag
-from .files import file_system, is_folder, join_path, write_table
+from .files import is_folder, join_path, replace_table
 
-class UploadConflict(RuntimeError):
-    """Another upload took the version that this one was to be."""
+PARTITIONS = ["model", "state", "upload"]
+ACTIVE, RETIRED, CURRENT = "active", "retired", "current"
+MODE = "spark.sql.sources.partitionOverwriteMode"
+
+
+@contextmanager
+def overwriting_partitions(spark: SparkSession) -> Iterator[None]:
+    """Inside, an overwriting insert replaces the partitions that get rows, and no others."""
+    before = spark.conf.get(MODE)
+    spark.conf.set(MODE, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(MODE, before)
 
 
 VIEW_FILTERS = [
@@ -74,85 +86,72 @@ def snapshot_path(spark: SparkSession, path: str) -> str:
 def fetch(
     rows: DataFrame, path: str | None = None, model_name: str | None = None
 ) -> tuple[DataFrame, str | None]:
-    """The rows (of one model, if named) and, when a path is given, the path of their snapshot."""
+    """The rows (of one model, if named) and, when a path is given, the path of their snapshot.
+
+    The snapshot may be the very table that the rows are read from."""
     rows = view(rows, model_name=model_name)
     if path is None:
         return rows, None
-    return rows, write_table(rows, snapshot_path(rows.sparkSession, path))
+    return rows, replace_table(rows, snapshot_path(rows.sparkSession, path))
 
 
 class BenchmarkStore:
-    """A result store below a path on any file system Spark can write to."""
+    """A result store in a table of the session's catalog; with ``path`` its files are kept there.
+
+    A catalog that does not know a table whose files are at ``path`` finds its partitions again."""
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str] = tuple(STORE_KEY)):
+    def __init__(
+        self, spark: SparkSession, table: str, keys: Sequence[str] = tuple(STORE_KEY), path: str | None = None
+    ):
         self.spark = spark
-        self.path = path
+        self.table = table
         self.keys = list(keys)
+        self.path = path
 
-    def _commits(self) -> list[str]:
-        """The data folders of all committed versions, in order.
-
-        One listing and one small file: the newest commit names all folders up to its own.
-        """
-        system, root = file_system(self.spark, join_path(self.path, "commits"))
-        if not system.exists(root):
-            return []
-        files = {status.getPath().getName(): status for status in system.listStatus(root)}
-        for name in sorted((n for n in files if n.endswith(".json")), reverse=True):
-            if files[name].getLen():  # an empty one is just being written
-                stream = system.open(files[name].getPath())
-                try:
-                    return json.loads(bytes(stream.readAllBytes()))
-                finally:
-                    stream.close()
-        return []
-
-    def _commit(self, folders: list[str]) -> None:
-        """Claim the next version by creating its file, which only one of several uploads can do."""
-        name = f"{len(folders):012d}.json"
-        system, path = file_system(self.spark, join_path(join_path(self.path, "commits"), name))
-        try:
-            stream = system.create(path, False)
-        except Py4JJavaError as error:
-            raise UploadConflict(f"version {len(folders)} was uploaded meanwhile; upload again") from error
-        try:
-            stream.write(bytearray(json.dumps(folders).encode()))
-        finally:
-            stream.close()
-
-    def _folder(self, name: str) -> str:
-        return join_path(self.path, name)
-
-    def _read(self, folders: Sequence[str]) -> DataFrame:
-        present = [folder for folder in folders if is_folder(self.spark, folder)]
-        if not present:
-            return self.spark.createDataFrame([], RESULT_SCHEMA)
-        return self.spark.read.schema(RESULT_SCHEMA).parquet(*present)
+    def _open(self) -> None:
+        if self.spark.catalog.tableExists(self.table):
+            return
+        columns = [f"{quoted(f.name)} {f.dataType.simpleString()}" for f in RESULT_SCHEMA]
+        columns += [f"{name} STRING" for name in PARTITIONS]
+        place = "" if self.path is None else f" LOCATION {text(self.path)}"
+        self.spark.sql(
+            f"CREATE TABLE {self.table} ({', '.join(columns)}) USING parquet "
+            f"PARTITIONED BY ({', '.join(PARTITIONS)}){place}"
+        )
+        if self._has_files():
+            self.spark.catalog.recoverPartitions(self.table)
+
+    def _has_files(self) -> bool:
+        return self.path is not None and is_folder(self.spark, self.path)
 
     def exists(self) -> bool:
-        """Whether anything has been uploaded."""
-        return bool(self._commits())
+        """Whether there is a table, or files of one."""
+        return self.spark.catalog.tableExists(self.table) or self._has_files()
 
-    def active(self) -> DataFrame:
-        """The active rows of the latest version; history is not read."""
-        return self._active(self._commits())
+    def _stored(self, model_name: str | None = None, active_only: bool = False) -> DataFrame:
+        if not self.exists():
+            return self.spark.createDataFrame([], RESULT_SCHEMA)
+        self._open()
+        rows = self.spark.read.table(self.table)
+        if model_name is not None:
+            rows = rows.filter(F.col("model") == model_name.upper())
+        if active_only:
+            rows = rows.filter(F.col("state") == ACTIVE)
+        return rows.select(*RESULT_SCHEMA.names)
 
-    def _active(self, folders: list[str]) -> DataFrame:
-        return self._read([join_path(self._folder(name), "state=active") for name in folders[-1:]])
+    def active(self) -> DataFrame:
+        """The active rows; history is not read."""
+        return self._stored(active_only=True)
 
     def rows(self) -> DataFrame:
         """All rows: the active ones and everything that was replaced."""
-        committed = self._commits()
-        folders = [join_path(self._folder(name), "state=active") for name in committed[-1:]]
-        folders += [join_path(self._folder(name), "state=retired") for name in committed]
-        return self._read(folders)
+        return self._stored()
 
     def upload(self, incoming: DataFrame, verify: bool = False) -> DataFrame | None:
-        """Make active rows with the same key inactive and add the incoming rows, in one job.
+        """Make active rows with the same key inactive and add the incoming rows, in one write job.
 
-        The rows are written to a folder of their own and count once the version's commit file names it.
-        Of two uploads that start from the same version one raises UploadConflict and leaves no trace in
-        the results. Several active rows with one key are an error.
+        Only the active rows of the models that come in are read and written again. Several active rows with one
+        key are an error.
         """
         require_columns(incoming, self.keys)
         incoming = with_active_flag(incoming)
@@ -160,29 +159,44 @@ class BenchmarkStore:
         incoming = incoming.withColumns(absent) if absent else incoming
         incoming = incoming.select(*[F.col(f.name).cast(f.dataType) for f in RESULT_SCHEMA])
         require_unique(incoming, self.keys)
-        before = self._commits()
-        after = upsert(self._active(before), incoming, self.keys)
-        state = F.when(F.col("is_active"), "active").otherwise("retired")
-        # Rebalanced so that a version is a few well-sized files, however the join was run.
-        after = after.withColumn("state", state).hint("rebalance", "state")
-        name = f"data-{uuid.uuid4().hex}"
-        after.write.mode("errorifexists").partitionBy("state").option(
-            "compression", "snappy"
-        ).parquet(self._folder(name))
-        self._commit([*before, name])
+        self._open()
+        model = F.upper("model_name").alias("model")
+        models = [row[0] for row in incoming.select(model).distinct().collect()]
+        named = F.col("model").isin([name for name in models if name is not None])
+        before = self.spark.read.table(self.table).filter(F.col("state") == ACTIVE)
+        before = before.filter(named | F.col("model").isNull() if None in models else named)
+        after = upsert(before.select(*RESULT_SCHEMA.names), incoming, self.keys)
+        state = F.when(F.col("is_active"), ACTIVE).otherwise(RETIRED).alias("state")
+        upload = F.when(F.col("is_active"), CURRENT).otherwise(uuid.uuid4().hex).alias("upload")
+        placed = after.select("*", model, state, upload)
+        emptied = placed.groupBy("model").agg(F.max("is_active").alias("left")).filter("NOT left").collect()
+        # Rebalanced so that a partition is a few well-sized files, however the join was run.
+        with overwriting_partitions(self.spark):
+            placed.hint("rebalance", *PARTITIONS).write.insertInto(self.table, overwrite=True)
+        for row in emptied:
+            self._empty(row.model)
         return self.verify() if verify else None
 
+    def _empty(self, model: str | None) -> None:
+        """Overwrite the active rows of a model with none, as a write of partitions without rows changes nothing."""
+        none = self.spark.createDataFrame([], RESULT_SCHEMA).createOrReplaceTempView
+        none("bandloom_no_rows")
+        own = "NULL" if model is None else text(model)
+        self.spark.sql(
+            f"INSERT OVERWRITE TABLE {self.table} PARTITION (model = {own}, state = {text(ACTIVE)}, "
+            f"upload = {text(CURRENT)}) SELECT * FROM bandloom_no_rows"
+        )
+
     def verify(self) -> DataFrame:
         """Rows per key, id and active flag."""
         return verify_counts(self.rows(), [*self.keys, "benchmark_id"])
 
     def view(self, **filters) -> DataFrame:
-        """See ``view``; with ``active_only`` the history is not read."""
-        rows = self.active() if filters.get("active_only") else self.rows()
-        return view(rows, **filters)
+        """See ``view``; a model and ``active_only`` read the partitions that hold such rows."""
+        return view(self._stored(filters.get("model_name"), bool(filters.get("active_only"))), **filters)
 
     def fetch(
         self, path: str | None = None, model_name: str | None = None
     ) -> tuple[DataFrame, str | None]:
-        """See ``fetch``."""
-        return fetch(self.rows(), path, model_name)
+        """See ``fetch``; the partitions of other models are not read."""
+        return fetch(self._stored(model_name), path, model_name)

@@ -348,6 +348,7 @@ def oracle_sql() -> dict[str, str]:
         "create_benchmark": f"SELECT *, TRUE AS is_active FROM ({CREATED}) r",
         "stored_benchmark": f"SELECT *, TRUE AS is_active FROM ({CREATED}) r UNION ALL "
         f"SELECT *, FALSE AS is_active FROM ({CREATED}) r WHERE platform = 'APP_A'",
+        "store_snapshot": f"SELECT *, TRUE AS is_active FROM ({CREATED}) r",
         "row_null_count_dedup": over_scored(
             f"SELECT {POP}, id FROM (SELECT {POP}, id, row_number() OVER (PARTITION BY {POP} ORDER BY "
             "CASE WHEN output_value IS NULL THEN 1 ELSE 0 END + CASE WHEN employment_type IS NULL THEN 1 ELSE 0 END "

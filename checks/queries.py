@@ -260,7 +260,8 @@ def whole_population(spark: SparkSession, folder: str) -> DataFrame:
 def created(spark: SparkSession, folder: str) -> tuple[Benchmark, DataFrame]:
     model = ModelConfig(source_tables(spark, folder), METADATA, tie_break="event_id")
     place = scratch_folder(spark)
-    bench = Benchmark(spark, {"MODEL_X": model}, f"{place}/store", f"{place}/bench")
+    table = f"bandloom_store_{place.rsplit('-', 1)[1]}"
+    bench = Benchmark(spark, {"MODEL_X": model}, table, f"{place}/bench", store_path=f"{place}/store")
     request = {"PSI": ["score", "total_population"], "NULL_RATE": "acctbal", "INVALID_SCORE": None}
     return bench, bench.create_benchmark(
         model_name="MODEL_X", benchmark_name="b", metric_dict=request, save_intermediate=False
@@ -357,6 +358,16 @@ def store_fetch(spark: SparkSession, folder: str) -> DataFrame:
     return fetch(result_table(spark, folder), model_name="model_x")[0]
 
 
+def store_snapshot(spark: SparkSession, folder: str) -> DataFrame:
+    """Two models in the store; a snapshot of one is written, and written over itself."""
+    bench, result = created(spark, folder)
+    bench.store.upload(result)
+    bench.store.upload(result.withColumn("model_name", F.lit("OTHER")))
+    place = scratch_folder(spark)
+    path = bench.get_benchmark("model_x", f"{place}/")[1]
+    return flat(spark.read.parquet(fetch(spark.read.parquet(path), path)[1]))
+
+
 def queries() -> dict[str, Query]:
     named: dict[str, Query] = {
         "benchmark_long": long_result,
@@ -389,6 +400,7 @@ def queries() -> dict[str, Query]:
         "store_upsert": store_upsert,
         "store_view": store_view,
         "store_fetch": store_fetch,
+        "store_snapshot": store_snapshot,
         "store_verify_counts": store_verify_counts,
     }
     for short, name in SHORT_SEGMENTS.items():

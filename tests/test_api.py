@@ -1,5 +1,7 @@
 """The whole path: sources on disk, result table, store, view, snapshot."""
 
+import uuid
+
 import pytest
 
 from bandloom import Benchmark, Metadata, ModelConfig, SourceTables
@@ -30,7 +32,7 @@ def bench(spark, tmp_path_factory):
     )
     metadata = Metadata([0, 0.5, 1], {"F1": 0.0}, {"F1": [0, 2, 4, 6]})
     models = {"v1": ModelConfig([source], metadata, ["A", "WEB"], ["NEW", "OLD"], tie_break="channel")}
-    return Benchmark(spark, models, str(folder / "store"), str(folder / "bench"))
+    return Benchmark(spark, models, f"store_{uuid.uuid4().hex}", str(folder / "bench"), str(folder / "store"))
 
 
 REQUEST = {"PSI": ["score", "total_population", "fa"], "CSI": "f1", "NULL_RATE": "all_features", "INVALID_SCORE": None}

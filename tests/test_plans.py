@@ -259,4 +259,6 @@ def test_the_library_collects_control_data_only():
     assert found == [
         ("upsert.py", 'twice = df.filter("is_active").groupBy(*keys).count().filter("count > 1").head()'),
         ("metadata.py", "rows = df.limit(MAX_ENTRIES + 1).collect()"),
+        ("store.py", "models = [row[0] for row in incoming.select(model).distinct().collect()]"),
+        ("store.py", 'emptied = placed.groupBy("model").agg(F.max("is_active").alias("left")).filter("NOT left").collect()'),
     ]

@@ -1,5 +1,8 @@
 """Upsert, versions, views, snapshots."""
 
+import re
+import uuid
+
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -7,9 +10,10 @@ from pyspark.sql import functions as F
 from bandloom import BenchmarkStore
 from bandloom import operators as op
 from bandloom.operators.result import RESULT_SCHEMA
-from bandloom.sources.store import UploadConflict, snapshot_path, view
+from bandloom.sources.files import replace_table
+from bandloom.sources.store import snapshot_path, view
 
-from .helpers import rows
+from .helpers import plan_of, rows
 
 KEY = ["model_name", "platform", "user_type", "metric_name", "value_name", "benchmark_name"]
 
@@ -30,7 +34,7 @@ def state(df):
 
 @pytest.fixture
 def store(spark, tmp_path):
-    return BenchmarkStore(spark, str(tmp_path / "store"))
+    return BenchmarkStore(spark, f"store_{uuid.uuid4().hex}", path=str(tmp_path / "store"))
 
 
 def test_first_upload_creates_the_store(spark, store):
@@ -84,41 +88,56 @@ def test_a_failed_upload_changes_nothing(spark, store):
     assert state(store.rows()) == [("A", "score", 1.0, False), ("A", "score", 3.0, True)]
 
 
-def test_a_version_without_commit_is_ignored(spark, store):
+def test_a_writer_that_dies_leaves_a_usable_store(spark, store):
+    """Files that a dead driver has staged are no rows, and the next upload works."""
     store.upload(results(spark, ("A", "score", 1.0)))
-    results(spark, ("B", "score", 2.0)).write.parquet(f"{store.path}/data-left/state=active")
+    left = f"{store.path}/.spark-staging-0/model=M/state=active/upload=current"
+    results(spark, ("B", "score", 2.0)).drop("model").write.parquet(left)
+    results(spark, ("B", "score", 2.0)).write.parquet(f"{store.path}/_temporary/0")
     assert state(store.rows()) == [("A", "score", 1.0, True)]
     store.upload(results(spark, ("C", "score", 3.0)))
     assert state(store.rows()) == [("A", "score", 1.0, True), ("C", "score", 3.0, True)]
 
 
-@pytest.mark.parametrize("first", ["A", "B"])
-def test_of_two_uploads_at_once_one_fails(spark, store, first, monkeypatch):
-    store.upload(results(spark, ("X", "score", 1.0)))
-    other = {"A": "B", "B": "A"}[first]
-    commit = type(store)._commit
-
-    def meanwhile(self, folders):
-        monkeypatch.setattr(type(store), "_commit", commit)
-        store.upload(results(spark, (first, "score", 2.0)))
-        commit(self, folders)
-
-    monkeypatch.setattr(type(store), "_commit", meanwhile)
-    with pytest.raises(UploadConflict):
-        store.upload(results(spark, (other, "score", 3.0)))
-    assert {row[0] for row in state(store.rows())} == {"X", first}
-    store.upload(results(spark, (other, "score", 3.0)))
-    assert {row[0] for row in state(store.active())} == {"X", "A", "B"}
-
-
-def test_uploads_without_success_marker_count(spark, store):
-    hadoop = spark._jsc.hadoopConfiguration()
-    hadoop.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
-    try:
-        store.upload(results(spark, ("A", "score", 1.0)))
-    finally:
-        hadoop.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
-    assert state(store.rows()) == [("A", "score", 1.0, True)]
+def test_a_store_is_found_again_by_its_files(spark, store):
+    store.upload(results(spark, ("A", "score", 1.0)))
+    store.upload(results(spark, ("A", "score", 2.0)))
+    again = BenchmarkStore(spark, f"{store.table}_again", path=store.path)
+    assert state(again.rows()) == state(store.rows()) == [("A", "score", 1.0, False), ("A", "score", 2.0, True)]
+
+
+def test_a_store_in_the_warehouse(spark):
+    store = BenchmarkStore(spark, f"store_{uuid.uuid4().hex}")
+    assert store.active().collect() == []
+    store.upload(results(spark, ("A", "score", 1.0), model_name=None))
+    store.upload(results(spark, ("A", "score", 2.0), model_name=None, is_active=False))
+    assert state(store.rows()) == [("A", "score", 1.0, False), ("A", "score", 2.0, False)]
+    spark.sql(f"DROP TABLE {store.table}")
+
+
+def test_other_models_and_history_are_not_read(spark, store):
+    for model in ("M", "OTHER"):
+        for total in (1.0, 2.0):
+            store.upload(results(spark, ("A", "score", total), model_name=model))
+    plan = plan_of(store.view(model_name="other", active_only=True))
+    assert re.search(r"PartitionFilters: \[[^\]]*model[^\]]*OTHER[^\]]*state[^\]]*active", plan)
+    found = store.fetch(model_name="other")[0]
+    read = found._jdf.queryExecution().executedPlan()
+    found.collect()
+    assert "OTHER" in read.toString() and state(found) == [("A", "score", 1.0, False), ("A", "score", 2.0, True)]
+
+
+def test_a_snapshot_may_replace_what_it_is_read_from(spark, store, tmp_path):
+    path = str(tmp_path / "s.parquet")
+    store.upload(results(spark, ("A", "score", 1.0), ("B", "score", 2.0)))
+    store.fetch(path)
+    broken = spark.read.parquet(path).withColumn("total_count", F.raise_error(F.lit("lost")).cast("double"))
+    with pytest.raises(Exception, match="lost"):
+        replace_table(broken, path)
+    assert spark.read.parquet(path).count() == 2
+    replace_table(spark.read.parquet(path).filter("platform = 'A'"), path)
+    assert state(spark.read.parquet(path)) == [("A", "score", 1.0, True)]
+    assert [p.name for p in tmp_path.iterdir() if "s.parquet" in p.name and p.name != "s.parquet"] == []
 
 
 def test_repeated_keys_and_null_flags(spark, store):
