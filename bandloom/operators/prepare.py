@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.columns import lower_columns
-from .rows import as_list, latest_per_key
+from ..functions.columns import lower_columns, row_digest
+from .rows import as_list, first_per_key, latest_per_key
 
 # Names the sources use, and the names of the common model.
 RENAMES = {
@@ -64,29 +65,42 @@ def prepare_source(
     drop_prefixes: Sequence[str] = (),
     one_row_per_id: bool = False,
     only: Sequence[str] | None = None,
+    features_order: str | Sequence[str] | None = None,
+    outputs_order: str | Sequence[str] | None = None,
 ) -> DataFrame:
     """Join the scores and features of one source with the latest production row of each id.
 
     All three tables meet on the id. With ``one_row_per_id`` features and scores are reduced to a row
-    per id before they are joined. When the caller keeps one row per id afterwards anyway, any of the
-    joined copies is as good as another (they share the production row and so its time), and a
-    repeated id then never multiplies in the join. With ``only`` no column is read beside these, the keys
-    and the tie-breaks; which of an id's differing copies is kept then depends on these columns.
+    per id before they are joined, and a repeated id then never multiplies in the join. Which copy of an id is
+    kept does not depend on what else is asked for: the highest by ``features_order`` or ``outputs_order``, or
+    else, of a table read from files, the last by file name and place in the file, or else the highest by
+    a hash of the whole row. With ``only`` no column is read beside these, the keys, the orders and, for want of an
+    order or a place, the columns of that hash.
     """
     keys = {id_column.lower(), reference_key.lower(), latest_by.lower(), "platform"}
     ties = {name.lower() for name in as_list(tie_break) or []}
     asked = None if only is None else {name.lower() for name in only}
 
-    def trim(df: DataFrame, names: Sequence[str] = (), prefixes: Sequence[str] = ()) -> DataFrame:
-        # Unwanted columns go before ties are broken by content, so that they are never read.
-        needed = [name for name in df.columns if name.lower() in keys | ties]
+    def trim(
+        df: DataFrame, names: Sequence[str] = (), prefixes: Sequence[str] = (), kept: Sequence[str] = ()
+    ) -> DataFrame:
+        # Unwanted columns go before rows are chosen, so that they are never read.
+        own = keys | ties | {name.lower() for name in kept}
+        needed = [name for name in df.columns if name.lower() in own]
         rest = drop_columns(df.drop(*needed), names, prefixes).columns
         return df.select(*needed, *(name for name in rest if asked is None or name.lower() in asked))
 
-    features, outputs = trim(features, drop, drop_prefixes), trim(outputs, drop, drop_prefixes)
+    def one_per_id(df: DataFrame, order: str | Sequence[str] | None) -> DataFrame:
+        df, places = with_place(df, as_list(order) or [])
+        trimmed = trim(df, drop, drop_prefixes, [*places, *(as_list(order) or [])])
+        by = [F.col(name).desc_nulls_last() for name in [*(as_list(order) or []), *places]]
+        chosen = first_per_key(trimmed, id_column, by)
+        return chosen.select(*trim(df.drop(*places), drop, drop_prefixes).columns)
+
     if one_row_per_id:
-        features = latest_per_key(features, id_column, None)
-        outputs = latest_per_key(outputs, id_column, None)
+        features, outputs = one_per_id(features, features_order), one_per_id(outputs, outputs_order)
+    else:
+        features, outputs = trim(features, drop, drop_prefixes), trim(outputs, drop, drop_prefixes)
     only_here = [name for name in drop_from_production if name.lower() not in keys]
     production = production.withColumn("platform", platform)
     production = trim(production, [*only_here, *drop], drop_prefixes)
@@ -97,6 +111,19 @@ def prepare_source(
     return drop_columns(lower_columns(joined), drop, drop_prefixes)
 
 
+def with_place(df: DataFrame, order: Sequence[str] = ()) -> tuple[DataFrame, list[str]]:
+    """The rows with columns that tell rows of one key apart, whatever columns are read of them later: with an order
+    none, else the place in their file, else a hash of the whole row."""
+    if order:
+        return df, []
+    try:
+        placed = df.select("*", F.xxhash64("_metadata.file_name").alias("__file"), F.col("_metadata.row_index").alias("__place"))
+        placed.schema  # noqa: B018 - only rows straight from files have a place
+        return placed, ["__file", "__place"]
+    except AnalysisException:
+        return df.withColumn("__digest", row_digest(df)), ["__digest"]
+
+
 def json_keys(df: DataFrame, column: str, keys: Sequence[str]) -> DataFrame:
     """Read a column of JSON objects as a map and give each wanted key a text column.
 

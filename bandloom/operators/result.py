@@ -84,12 +84,22 @@ def stamp(
     return df.withColumns({**columns, "is_active": F.lit(is_active)})
 
 
+# The range of each number of ``numbers``, from all edges: the outermost are dropped if there are three.
+RANGES = """transform(numbers, no -> CASE WHEN no > 0 THEN concat(
+    '(', coalesce(string(get(CASE WHEN size(edges) > 2 THEN slice(edges, 2, size(edges) - 2)
+                               WHEN size(edges) > 0 THEN slice(edges, -1, 1) END, no - 2)), '-inf'),
+    ', ', coalesce(string(get(CASE WHEN size(edges) > 2 THEN slice(edges, 2, size(edges) - 2)
+                               WHEN size(edges) > 0 THEN slice(edges, -1, 1) END, no - 1)), 'inf'),
+    IF(no = n_bands, ')', ']')) END)"""
+
+
 def to_table(long: DataFrame) -> DataFrame:
     """One row per population, metric and value, with its bands as arrays in band order.
 
     Arrays of banded values start with the rows that fall in no band, then hold one entry for each
-    band, 0 for an empty one; position i is band i. Other arrays are in label order. A row is as long
-    as the value has bands, or labels in the case of a segment of free text.
+    band, 0 for an empty one; position i is band i. Categories stand beside the counts they describe: band
+    numbers, or ranges of values for FEATURE_RANGE_DRIFT, and null for no band. Other arrays are in label
+    order. A row is as long as the value has bands, or labels in the case of a segment of free text.
     """
     entry = F.struct(
         F.coalesce("band_no", F.lit(0)).alias("no"),
@@ -119,8 +129,9 @@ def to_table(long: DataFrame) -> DataFrame:
     metric, value = F.col("metric_name"), F.lower("value_name")
     as_share = metric.isin("CSI") | (metric.isin("PSI", "DRIFT_IN_MB") & (value == "score"))
     as_bins = as_share | metric.isin("NULL_RATE", "DISTINCT_RATE")
+    ranged = metric == "FEATURE_RANGE_DRIFT"
     labels = (
-        F.when(metric == "FEATURE_RANGE_DRIFT", F.col("edges").cast("array<string>"))
+        F.when(ranged, F.expr(RANGES))
         .when(
             banded,
             F.transform("numbers", lambda no: F.when(no > 0, no.cast("string"))),
@@ -132,7 +143,7 @@ def to_table(long: DataFrame) -> DataFrame:
         "user_type",
         "metric_name",
         "value_name",
-        F.when(as_share, F.col("edges")).alias("cutpoints"),
+        F.when(as_share | ranged, F.col("edges")).alias("cutpoints"),
         F.when(as_bins, F.col("counts")).alias("bin_counts"),
         F.when(~as_bins, labels).alias("categories"),
         F.when(~as_bins, F.col("counts")).alias("category_count"),

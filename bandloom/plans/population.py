@@ -47,6 +47,9 @@ class SourceTables:
     drop: Sequence[str] = ()
     drop_prefixes: Sequence[str] = ()
     reference_key: str = REFERENCE_KEY
+    #: Columns by which one of several rows of an id is chosen, highest first; see ``prepare_source``.
+    features_order: str | Sequence[str] | None = None
+    outputs_order: str | Sequence[str] | None = None
 
     def platform_column(self) -> Column:
         if not self.channels:
@@ -97,6 +100,8 @@ def build_population(
             drop_prefixes=source.drop_prefixes,
             one_row_per_id=True,
             only=only,
+            features_order=source.features_order,
+            outputs_order=source.outputs_order,
         )
         # The join made the reference key equal to the id. Spark keeps the partitioning of a union
         # only if it is on a single column, so the second name of the key is put back at the end.

@@ -229,10 +229,12 @@ def merge_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def source_tables(spark: SparkSession, folder: str) -> list[SourceTables]:
-    """The two sources as a user names them; every customer stands twice in the features."""
+    """The two sources as a user names them; every customer stands twice in the features, with another balance
+    in the row that is not to be kept."""
     customer = table(spark, folder, "customer").selectExpr(
-        "c_custkey AS id", "c_acctbal AS acctbal", "c_mktsegment AS user_type_final"
+        "c_custkey AS id", "c_acctbal AS acctbal", "c_mktsegment AS user_type_final", "1 AS revision"
     )
+    earlier = customer.withColumns({"acctbal": -F.col("acctbal"), "revision": F.lit(0)})
     outputs = table(spark, folder, "orders").groupBy(F.col("o_custkey").alias("id")).agg(
         F.expr("count(*) AS n_orders"),
         F.expr("max(o_totalprice) / 500000D AS v30_pred_prob"),
@@ -243,7 +245,10 @@ def source_tables(spark: SparkSession, folder: str) -> list[SourceTables]:
         "props AS NEW_BUREAU_VARIABLES",
     )
     in_app = F.col("channel").isin("view", "click")
-    source = partial(SourceTables, customer.union(customer), outputs, drop=["channel"])
+    source = partial(
+        SourceTables, earlier.union(customer), outputs, drop=["channel"], features_order="revision",
+        outputs_order="id",
+    )
     return [
         source(production=log.filter(in_app), platform="APP_A"),
         source(production=log.filter(~in_app), platform="WEB_AGG", channels={"purchase": "APP_B"}),

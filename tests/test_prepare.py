@@ -208,3 +208,30 @@ def test_materialised_table_is_removed_unless_it_has_a_path(spark, tmp_path):
     with materialise(spark.range(3), str(tmp_path / "p.parquet")):
         pass
     assert spark.read.parquet(str(tmp_path / "p.parquet")).count() == 3
+
+
+@pytest.mark.parametrize("how", ["files", "frame", "order"])
+def test_the_kept_copy_does_not_depend_on_the_request(spark, tmp_path, how):
+    """Copies of an id that differ in every column: whatever is asked for comes from one and the same copy."""
+    folder = str(tmp_path)
+    copies = [(i, i * 10 + k, f"{i}-{k}", k) for k in range(3) for i in range(20)]
+    features = spark.createDataFrame(copies, "id long, f long, g string, k int")
+    features.repartition(4).write.parquet(f"{folder}/f")
+    spark.range(20).selectExpr("id", "0.5 AS v30_pred_prob").write.parquet(f"{folder}/o")
+    spark.range(20).selectExpr("id AS bureau_reference_number", "1 AS created_at").write.parquet(f"{folder}/p")
+    source = SourceTables(
+        features if how == "frame" else f"{folder}/f", f"{folder}/o", f"{folder}/p", platform="A",
+        features_order="k" if how == "order" else None,
+    )
+
+    def kept(*columns):
+        rows = build_population(spark, [source], json_column=None, columns=columns).select("id", *columns).collect()
+        return {row.id: row for row in rows}
+
+    whole, f_only, g_only = kept("f", "g"), kept("f"), kept("g")
+    assert len(whole) == 20
+    for i, row in whole.items():
+        assert row.g == f"{i}-{row.f - 10 * i}"
+        assert f_only[i].f == row.f and g_only[i].g == row.g
+        if how == "order":
+            assert row.f == 10 * i + 2

@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from bandloom import Metadata, benchmark_table
@@ -62,9 +63,9 @@ def test_bands_are_in_order_and_empty_ones_are_zero(spark):
         ("DRIFT_IN_MB", "ca/fa"): (None, None, [None, "1", "2"], [0.0, 0.0, 1.0], 1.0),
         ("CSI", "f"): ([0, 10, 20, 30], [0.0, 33.3333, 0.0, 66.6667], None, None, 100.0),
         ("FEATURE_RANGE_DRIFT", "f"): (
+            [0, 10, 20, 30],
             None,
-            None,
-            ["0.0", "10.0", "20.0", "30.0"],
+            [None, "(-inf, 10.0]", "(10.0, 20.0]", "(20.0, inf)"],
             [0.0, 1.0, 0.0, 2.0],
             3.0,
         ),
@@ -81,6 +82,21 @@ def test_bands_are_in_order_and_empty_ones_are_zero(spark):
     }
 
 
+@pytest.mark.parametrize(
+    "edges, labels",
+    [
+        ([1.0, 2.0], [None, "(-inf, 2.0]", "(2.0, inf)"]),
+        ([3.0, 3.0], [None, "(-inf, 3.0]", "(3.0, inf)"]),
+        (None, [None, "(-inf, inf)"]),
+        ([-1.0, 0.0, 5.0], [None, "(-inf, 0.0]", "(0.0, inf)"]),
+    ],
+)
+def test_ranges_stand_beside_their_counts(spark, edges, labels):
+    df = spark.sql("SELECT 'A' AS platform, 'N' AS user_type, double(id) AS f FROM range(4)")
+    row = op.to_table(op.feature_shares(df, {"FEATURE_RANGE_DRIFT": ["f"]}, {"f": edges})).first()
+    assert row.categories == labels and len(row.category_count) == len(labels) and sum(row.category_count) == 4
+
+
 def test_run_attributes(spark):
     row = table(
         spark, benchmark_name="b1", start_time="s", end_time="e", tracking_type="WEEKLY", end_date="z"
