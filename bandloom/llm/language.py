@@ -14,13 +14,13 @@ the corpus, and it is copied to the executors.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, functions as F
 
 from .line_dedup import mixed
@@ -33,7 +33,8 @@ LEAST_SHARE = 0.01
 FAR = -1e4  # instead of the score of a language that does not use the script
 LONGEST_WORD = 40
 UNKNOWN = "und"
-WORD = re.compile(rf"[^\W\d_]{{1,{LONGEST_WORD}}}")
+#: A letter with the letters and marks behind it: vowel signs belong to the word, numbers in circles do not.
+WORD = regex.compile(rf"\p{{L}}[\p{{L}}\p{{M}}]{{0,{LONGEST_WORD - 1}}}")
 
 #: First code points of blocks that hold one script, ascending.
 SCRIPTS = [

@@ -400,6 +400,16 @@ def test_viterbi_is_best():
             at += n
 
 
+def test_words_have_letters_and_their_marks(spark):
+    assert language.WORD.findall("² ½ Ⅳ 12 ① _") == []
+    assert language.WORD.findall("हिन्दी भाषा, été e\u0301te\u0301") == ["हिन्दी", "भाषा", "été", "e\u0301te\u0301"]
+    docs = spark.createDataFrame([(0, "the cat and the dog", "en"), (1, "der Hund und die Katze", "de")],
+                                 "doc_id long, text string, lang string")
+    none = spark.createDataFrame([(2, "² ½ Ⅳ"), (3, "12 ①"), (4, "\u093f"), (5, "")], "doc_id long, text string")
+    found = language.identify(none, language.learned(docs), with_spans=False).collect()
+    assert [r.lang_pred for r in found] == ["und"] * 4
+
+
 def test_language_of_odd_rows(spark, odd):
     model = language.learned(odd)
     got = {(r.doc_id, r.lang_pred) for r in language.identify(odd, model).collect()}
