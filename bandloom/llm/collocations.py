@@ -9,7 +9,7 @@ The next length is a merge-join of the relation with itself on neighbouring plac
 begin at neighbouring words overlap in all but their ends and are together a phrase of k + 1 words. These
 are grouped and counted, in the task first and then by a shuffle of counts; the frequent groups are a table.
 Before the next length is made the relation is semi-joined with its frequent groups. For this their keys
-are marked in a field of at most ``MOST_BITS`` bits, which every task gets whatever the corpus holds: an entry without its
+are marked in a field of bounded size, which every task gets whatever the corpus holds: an entry without its
 mark goes. One that shares a mark by chance stays and costs work only, since the counts of all groups are exact.
 
 Keys are 128-bit hashes of the language and the words, so occurrences never move: a shuffle carries counts
@@ -27,12 +27,10 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .line_dedup import mixed
-from .shared import batches_of, ship, written
+from .shared import Marks, batches_of, marks_of, ship, written
 
 LEAST, LONGEST, SHARE, FIRST, FACTOR = 100, 5, 100, 2000, 1000
 BATCH = 8 << 20
-MOST_BITS = 28  # the logarithm of the bits of the field; this many are 32 MB
-SPARSE = 4  # and of the bits for each key as long as there are fewer
 #: What ends a piece, and what stands between words.
 BREAKS, SPACES = b".,;:!?\n\x0b\x0c\r", b" \t"
 KEYS = "a long, b long"
@@ -101,29 +99,6 @@ class Words:
         return [" ".join(row) for row in words[code.reshape(-1, length)]]
 
 
-class Marks:
-    """A field of bits in which the keys of frequent phrases are marked."""
-
-    def __init__(self, width: int, words: np.ndarray, values: np.ndarray):
-        self.shift = np.uint64(64 - width)
-        self.bits = np.zeros((1 << width) // 8, dtype=np.uint8)
-        self.bits.view("<u4")[words] = values
-
-    def hit(self, a: np.ndarray) -> np.ndarray:
-        at = a >> self.shift
-        return (self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1) > 0
-
-
-def marks_of(frequent: DataFrame) -> Marks:
-    """At most 2**MOST_BITS / 32 rows come to the driver, however many phrases there are."""
-    width = min(MOST_BITS, max(16, (frequent.count() << SPARSE).bit_length()))
-    at = F.shiftrightunsigned("a", 64 - width)
-    word = F.shiftright(at, 5).alias("word")
-    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(a, {64 - width}) & 31 as int))")
-    table = frequent.groupBy(word).agg(F.bit_or(bit).alias("bits")).toArrow()
-    return Marks(width, table["word"].to_numpy(), table["bits"].to_numpy().astype("<u4"))
-
-
 def merged(place: np.ndarray, keys: Keys) -> tuple[np.ndarray, Keys]:
     """The relation of the next length: entries at neighbouring places, together."""
     hit = np.flatnonzero(place[1:] == place[:-1] + 1)

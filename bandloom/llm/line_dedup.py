@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .components import LINKS, components
-from .shared import batches_of, scratch_tables, ship, written
+from .shared import batches_of, marks_of, scratch_tables, ship, written
 
 SHINGLE = 6
 BANDS, ROWS = 16, 5
@@ -393,11 +393,40 @@ def crowded_links(crowd: DataFrame) -> DataFrame:
     return meetings.select(F.least("id", "id_2").alias("src"), F.greatest("id", "id_2").alias("dst")).distinct()
 
 
+#: The fields of bits of a line, in which its codes are marked, and the number of its codes, repeats included.
+FIELDS = [f"field_{i}" for i in range(16)]
+LINES = "id long, line string, codes int" + "".join(f", {x} long" for x in FIELDS)
+
+
+def _with_fields(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches_of(batches, "line", 1 << 20):
+        if batch.num_rows:
+            lines = [line.ljust(SHINGLE, "\0") for line in batch.column(1).to_numpy(zero_copy_only=False).tolist()]
+            points = np.frombuffer("".join(lines).encode("utf-32-le"), dtype="<u4").astype(np.uint64)
+            lengths = np.array([len(line) for line in lines])
+            of = np.repeat(np.arange(len(lines)), lengths)[: len(points) - SHINGLE + 1]
+            inside = of == np.repeat(np.arange(len(lines)), lengths)[SHINGLE - 1 :]
+            bit = hashed(points)[inside] >> np.uint64(64 - 10)  # 1024 bits
+            seen = np.zeros(len(lines) << 10, dtype=bool)
+            seen[(of[inside] << 10) + bit.astype(np.int64)] = True
+            fields = np.packbits(seen.reshape(len(lines), -1), axis=1, bitorder="little").view("<i8")
+            yield pa.record_batch(
+                [*batch.columns, pa.array((lengths - SHINGLE + 1).astype(np.int32)), *(pa.array(x.copy()) for x in fields.T)],
+                names=["id", "line", "codes", *FIELDS],
+            )
+
+
 def _checked(pairs: DataFrame, lines: DataFrame) -> DataFrame:
-    left = lines.select(F.col("id").alias("src"), F.col("line").alias("a"))
-    right = lines.select(F.col("id").alias("dst"), F.col("line").alias("b"))
-    both = pairs.join(left, "src").join(right, "dst").select("src", "dst", "a", "b")
-    return both.mapInArrow(_similar, LINKS)
+    """The pairs at LEAST or more. Where fields differ in more bits than codes may, the codes need not be compared:
+    a bit that only one line has is a code that only this line has."""
+    left = lines.select(F.col("id").alias("src"), F.col("line").alias("a"), F.col("codes").alias("n"), *FIELDS)
+    right = lines.select(F.col("id").alias("dst"), F.col("line").alias("b"), F.col("codes").alias("m"),
+                         *(F.col(x).alias(f"{x}_b") for x in FIELDS))
+    apart = F.expr(" + ".join(f"bit_count({x} ^ {x}_b)" for x in FIELDS))
+    both = pairs.join(left, "src").join(right, "dst").where(
+        apart * (1 + LEAST) <= (1 - LEAST) * (F.col("n") + F.col("m")) + 1e-9
+    )
+    return both.select("src", "dst", "a", "b").mapInArrow(_similar, LINKS)
 
 
 def line_components(lines: DataFrame) -> DataFrame:
@@ -408,9 +437,15 @@ def line_components(lines: DataFrame) -> DataFrame:
     found = written(
         banded.sortWithinPartitions("band").mapInArrow(_pairs, LINKS).distinct()
     )
-    wanted = found.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
-    texts = lines.join(wanted, "id", "left_semi")
-    lines = written(texts.groupBy("id").agg(F.first("line").alias("line")))
+    wanted = written(found.select(F.explode(F.array("src", "dst")).alias("id")).distinct())
+    marks = lines.sparkSession.sparkContext.broadcast(marks_of(wanted, "id"))
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:  # the others never move
+            yield batch.filter(pa.array(marks.value.hit(batch.column(0).to_numpy().view(np.uint64))))
+
+    texts = lines.select("id", "line").mapInArrow(marked, "id long, line string").join(wanted, "id", "left_semi")
+    lines = written(texts.dropDuplicates(["id"]).mapInArrow(_with_fields, LINES))
     linked = written(components(_checked(found.where("src != dst"), lines)))
     crowded = found.where("src = dst").select(F.col("src").alias("id"))
     if crowded.isEmpty():

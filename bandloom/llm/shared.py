@@ -11,6 +11,7 @@ import zipfile
 from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -68,6 +69,34 @@ def by_id(docs: DataFrame) -> DataFrame:
     return keyed.repartitionByRange(*order[:2]).sortWithinPartitions(*order)
 
 
+MOST_BITS = 28  # the logarithm of the bits of a field of marks; this many are 32 MB
+SPARSE = 4  # and of the bits for each key as long as there are fewer
+
+
+class Marks:
+    """A field of bits in which keys, 64-bit hashes, are marked: who is not marked is certainly not among them."""
+
+    def __init__(self, width: int, words: np.ndarray, values: np.ndarray):
+        self.shift = np.uint64(64 - width)
+        self.bits = np.zeros((1 << width) // 8, dtype=np.uint8)
+        self.bits.view("<u4")[words] = values
+
+    def hit(self, a: np.ndarray) -> np.ndarray:
+        at = a >> self.shift
+        return (self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1) > 0
+
+
+def marks_of(keys: DataFrame, a: str = "a") -> Marks:
+    """The marks of a written table's keys. At most 2**MOST_BITS / 32 rows come to the driver, whatever the table holds."""
+    frequent = keys.select(F.col(a).alias("a"))
+    width = min(MOST_BITS, max(16, (frequent.count() << SPARSE).bit_length()))
+    at = F.shiftrightunsigned("a", 64 - width)
+    word = F.shiftright(at, 5).alias("word")
+    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(a, {64 - width}) & 31 as int))")
+    table = frequent.groupBy(word).agg(F.bit_or(bit).alias("bits")).toArrow()
+    return Marks(width, table["word"].to_numpy(), table["bits"].to_numpy().astype("<u4"))
+
+
 def release_memory(keep_encoders: bool) -> None:
     """Give back what earlier tasks of this worker have left: Spark uses a worker for many stages."""
     encoding = sys.modules.get(f"{__package__}.encode")
