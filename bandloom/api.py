@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from .operators.rows import as_list
 from .plans.benchmark import benchmark_table
@@ -46,6 +46,7 @@ class Benchmark:
         self.models = dict(models)
         self.store = BenchmarkStore(spark, store, path=store_path)
         self.bench_path = bench_path
+        self.row_counts: dict[str, int] = {}
 
     def create_benchmark(
         self,
@@ -68,7 +69,8 @@ class Benchmark:
         Two writes happen: the prepared population, once, and the result of all metrics and
         populations. ``save_intermediate`` keeps the population next to the result; otherwise it only
         lives in the shared checkpoint folder during the call, in the columns that the metrics read.
-        Returns the written result.
+        Returns the written result. ``row_counts`` then has the rows of all sources, of the population, and how many
+        duplicates were left out, counted while the population was written.
         """
         if model_name not in self.models:
             raise KeyError(f"model {model_name!r} is not configured; available: {list(self.models)}")
@@ -78,11 +80,14 @@ class Benchmark:
         model = self.models[model_name]
         request = normalise_metrics(metric_name, value_name, metric_dict)
         columns = None if save_intermediate else required_columns(request, model.metadata, on_missing)
+        merged, chosen = Observation(), Observation()
         population = build_population(
-            self.spark, model.sources, tie_break=model.tie_break, columns=columns
-        )
+            self.spark, model.sources, tie_break=model.tie_break, columns=columns, observation=merged
+        ).observe(chosen, F.count(F.lit(1)).alias("rows"))
         kept = join_path(folder, POPULATION_FILE) if save_intermediate else None
         with materialise(population, kept) as rows:
+            before, after = merged.get["rows"], chosen.get["rows"]
+            self.row_counts = {"rows": before, "population": after, "duplicates": before - after}
             result = benchmark_table(
                 rows,
                 request,

@@ -6,7 +6,7 @@ from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ..functions.columns import require_columns
 from ..operators.prepare import (
@@ -68,6 +68,7 @@ def build_population(
     json_keys: Sequence[str] = JSON_KEYS,
     renames: Mapping[str, str] = RENAMES,
     columns: Sequence[str] | None = None,
+    observation: Observation | None = None,
 ) -> DataFrame:
     """Join every source, stack them, and keep the latest row of each id.
 
@@ -75,7 +76,8 @@ def build_population(
     joined, so that joins are one-to-one and no repeated id can blow up. All tables are shuffled on the
     id once; joins, union and the last choice run on that partitioning. Of rows with the same time in
     several sources, the one from the source listed first is kept (after ``tie_break``, if given). With
-    ``columns`` the population has these only (and the id), and no others are read, hashed or shuffled.
+    ``columns`` the population has these only (and the id), and no others are read, hashed or shuffled. An
+    ``observation`` gets the number of ``rows`` of all sources together when the population is written.
     """
     wanted = None if columns is None else {name.lower() for name in [id_column, *columns]}
     only = None
@@ -107,6 +109,8 @@ def build_population(
         # only if it is on a single column, so the second name of the key is put back at the end.
         prepared.append(frame.drop(source.reference_key).withColumn(_SOURCE, F.lit(-position)))
     merged = merge_sources(prepared, json_column=json_column, keys=json_keys, renames=renames)
+    if observation is not None:
+        merged = merged.observe(observation, F.count(F.lit(1)).alias("rows"))
     named = {old.lower(): new for old, new in (renames or {}).items()}
     ties = [named.get(name.lower(), name.lower()) for name in as_list(tie_break) or []]
     require_columns(merged, ties)

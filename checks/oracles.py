@@ -360,6 +360,17 @@ def oracle_sql() -> dict[str, str]:
             "string_agg(CAST(cnt AS VARCHAR), ',' ORDER BY segment_band) AS category_count, "
             f"CAST(sum(cnt) AS DOUBLE) AS total_count FROM ({ALL_SEGMENT_ROWS}) s GROUP BY 1, 2, 3"
         ),
+        "result_texts": over_scored(
+            f"SELECT {POP}, value_name, '[' || string_agg('\"' || segment_band || '\"', ',' ORDER BY segment_band) || ']' "
+            "AS categories, '[' || string_agg(CAST(cnt AS VARCHAR) || '.0', ',' ORDER BY segment_band) || ']' "
+            f"AS category_count FROM ({ALL_SEGMENT_ROWS}) s GROUP BY 1, 2, 3"
+        ),
+        "glob_read": "SELECT r_regionkey, r_name FROM region",
+        "exported_query": "SELECT o_orderpriority, count(*) AS n, max(o_orderkey) AS last_key FROM orders GROUP BY 1",
+        "created_stamp": over_scored(
+            "SELECT '2024-01-31 08:00:00' AS benchmark_created_at, 'DAILY' AS tracking_type, 'MODEL_X' AS model_name, "
+            f"count(*) AS n FROM ({RESULT_ROWS}) r"
+        ),
         "store_upsert": over_scored(
             f"SELECT e.platform, e.employment_type, e.n, i.hit IS NULL AS is_active FROM ({STORED}) e LEFT JOIN "
             f"(SELECT platform, employment_type, 1 AS hit FROM ({INCOMING}) q) i "

@@ -8,8 +8,10 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from bandloom import Benchmark, ModelConfig, SourceTables, benchmark_long, build_population, operators as op
+from bandloom.operators.result import arrays_to_text
 from bandloom.operators.rows import POPULATION
-from bandloom.sources.files import scratch_folder
+from bandloom.sources.extract import export_query
+from bandloom.sources.files import read_table, scratch_folder
 from bandloom.sources.store import fetch, view
 
 from .oracles import SHORT_SEGMENTS
@@ -335,6 +337,30 @@ def result_arrays(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def result_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """The arrays of result rows as JSON text."""
+    arrays = op.to_table(op.segment_counts(segment_population(spark, folder), SEGMENT_NAMES))
+    return arrays_to_text(arrays.select(*POPULATION, "value_name", "categories", "category_count"))
+
+
+def glob_read(spark: SparkSession, folder: str) -> DataFrame:
+    """Files found by a pattern."""
+    return read_table(spark, f"{folder}/reg*.parquet", ["r_regionkey", "r_name"])
+
+
+def exported_query(spark: SparkSession, folder: str) -> DataFrame:
+    """A query's result, written as part files and read again."""
+    table(spark, folder, "orders").createOrReplaceTempView("bandloom_orders")
+    query = "SELECT o_orderpriority, count(*) AS n, max(o_orderkey) AS last_key FROM bandloom_orders GROUP BY 1;"
+    return spark.read.parquet(export_query(spark, query, scratch_folder(spark), "orders", "daily"))
+
+
+def created_stamp(spark: SparkSession, folder: str) -> DataFrame:
+    """The creation stamp on every row of a result, a given one in place of the clock's."""
+    stamped = op.stamp(two_metrics(spark, folder), "model_x", created_at="2024-01-31 08:00:00")
+    return stamped.groupBy("benchmark_created_at", "tracking_type", "model_name").agg(F.count(F.lit(1)).alias("n"))
+
+
 def store_upsert(spark: SparkSession, folder: str) -> DataFrame:
     key = ["platform", "employment_type"]
     stored = scored(spark, folder, items=False).groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
@@ -402,6 +428,10 @@ def queries() -> dict[str, Query]:
         "row_null_count_dedup": row_null_count_dedup,
         "result_table": result_table,
         "result_arrays": result_arrays,
+        "result_texts": result_texts,
+        "glob_read": glob_read,
+        "exported_query": exported_query,
+        "created_stamp": created_stamp,
         "store_upsert": store_upsert,
         "store_view": store_view,
         "store_fetch": store_fetch,

@@ -41,6 +41,8 @@ REQUEST = {"PSI": ["score", "total_population", "fa"], "CSI": "f1", "NULL_RATE":
 def test_create_upload_view_get(spark, bench, tmp_path):
     result = bench.create_benchmark(model_name="v1", benchmark_name="b", metric_dict=REQUEST)
     assert result.count() == 2 * 6
+    assert bench.row_counts["population"] == 40
+    assert bench.row_counts["rows"] - bench.row_counts["duplicates"] == 40
     assert spark.read.parquet(f"{bench.bench_path}/bench_input.parquet").count() == 40
     again = bench.create_benchmark("A", "NEW", "CSI", "all_features", "v1", "b", bench_path=str(tmp_path / "again"))
     assert rows(again.select("model_name", "platform", "user_type", "total_count")) == [("V1", "A", "NEW", 100.0)]
