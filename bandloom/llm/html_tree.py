@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -97,15 +98,19 @@ def parse(page: str) -> Tree:
     """Blocks of a page in order; whatever is not well-formed is read as browsers do, roughly."""
     nodes, texts = [Node("html", -1, False)], []
     open_: list[tuple[str, int]] = [("html", 0)]  # name and block; inline elements share their block's
+    opened: Counter[str] = Counter()  # how often each name is open, so that what is not is not looked for
     links = 0
     at = 0
 
     def close(depth: int) -> None:
         nonlocal links
         links -= sum(name == "a" for name, _ in open_[depth:])
+        opened.subtract(name for name, _ in open_[depth:])
         del open_[depth:]
 
     def end(names: set[str], within: set[str]) -> None:
+        if not any(opened[name] > 0 for name in names):
+            return None
         for depth in range(len(open_) - 1, 0, -1):
             if open_[depth][0] in names:
                 return close(depth)
@@ -116,9 +121,12 @@ def parse(page: str) -> Tree:
         if raw:
             texts.append((open_[-1][1], links > 0, html.unescape(raw) if "&" in raw else raw))
 
-    while found := TAG.search(page, at):
+    last = page.rfind(">") + 1  # no tag ends behind it
+    while at < last and (found := TAG.search(page, at, last)):
         say(page[at : found.start()])
         at = found.end()
+        if found[0].startswith("<!--") and not found[0].endswith("-->"):
+            at = len(page)
         closing, tag, attributes = found.group(1, 2, 3) if found[2] else found.group(4, 5, 6)
         if not tag:
             continue
@@ -131,8 +139,8 @@ def parse(page: str) -> Tree:
                 end({tag}, BLOCKS)
             continue
         if tag in RAW:
-            stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*>?", re.I).search(page, at)
             if not attributes.endswith("/"):
+                stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*>?", re.I).search(page, at)
                 at = stop.end() if stop else len(page)
             continue
         if tag in VOID:
@@ -154,7 +162,8 @@ def parse(page: str) -> Tree:
         else:
             open_.append((tag, open_[-1][1]))
             links += tag == "a"
-    say(page[at:])
+        opened[tag] += 1
+    say(page[at:].split("<!--", 1)[0])
     return Tree(nodes, texts)
 
 

@@ -618,6 +618,24 @@ def test_main_text(page, text):
     assert html_tree.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page",
+    ["<b>" * 150_000 + "</div>" * 90_000, '<a "' * 250_000, "<script/>" * 110_000, "<!--" * 250_000,
+     "<p>" + "<i" * 500_000, "<li><b>" * 140_000],
+)
+def test_hostile_pages_take_time_in_proportion(page):
+    """About 1 MB of tags that are never closed."""
+    started = time.monotonic()
+    html_tree.parse(page)
+    assert time.monotonic() - started < 30
+
+
+def test_an_open_comment_hides_the_rest():
+    for rest in ("<!-- <p>no", "<!-- a > b"):
+        tree = html_tree.parse(f"<p>yes {rest}")
+        assert "".join(t for _, _, t in tree.texts) == "yes "
+
+
 def test_pages(spark):
     got = result(spark, "op10_html_tree")
     docs = pd.read_parquet(f"{SMALL}/documents.parquet").set_index("doc_id").text
