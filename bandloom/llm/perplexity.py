@@ -1,10 +1,12 @@
 """Quality rules: counts of words and repeats, and the perplexity of an n-gram model of the corpus.
 
-The model is one modified Kneser-Ney model of order 4 for each language, over characters folded to
-``SYMBOLS`` classes by rule, so a language has SYMBOLS**4 n-grams at most however large the corpus is.
-Spark counts the n-grams of the documents that pass the base rules (combined in each task before they are shuffled), derives the
-continuation counts of the lower orders, the discounts and the interpolated probabilities by aggregates
-and joins, and stores the model as sorted 64-bit keys with their values. For scoring, the sorted arrays
+The model is one modified Kneser-Ney model for each language, over the characters themselves: UTF-16 units, of
+which a character outside the first plane has two, numbered by the corpus' own alphabet. Nothing is taken together
+but runs of white space, so the model grows with the corpus. A gram is the exact numbers of its units in 64 bits, so
+the order is ``LONGEST`` (5), or 4 for an alphabet of more than 4095 units, which need over 12 bits each.
+Spark finds the alphabet, counts the n-grams of the documents that pass the base rules (combined in each task before
+they are shuffled), derives the continuation counts of the lower orders, the discounts and the interpolated probabilities
+by aggregates and joins, and stores the model as sorted 64-bit hashes with their values. For scoring, the sorted arrays
 are copied to the executors if they have ``MOST_ENTRIES`` at most; a larger model is joined by a shuffle.
 
 A document is rejected if its log perplexity lies outside Tukey's fences of its language and length: ``FENCE``
@@ -22,10 +24,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .line_dedup import mixed
 from .shared import batches_of, ship, written
 
-ORDER, BITS = 4, 6
+ORDER, LONGEST = 4, 5
+BITS = 6  # of a symbol, unless an alphabet needs more
 SYMBOLS = 1 << BITS
+UNITS = 1 << 16
+TOP = np.uint64(1 << 63)
 MOST_ENTRIES = 8_000_000  # of 16 bytes
 FENCE, LEAST_SPREAD, ENOUGH = 1.5, 0.04, 50
 LEAST_WORDS, MOST_REPEATED = 50, 50
@@ -34,40 +40,60 @@ COUNTED = 1 << 21  # symbols counted at once
 SIGNS = "#*$%&|<>"
 
 
-def folded() -> np.ndarray:
-    """The class of each code point of the first plane: 0 white space, 1-26 a-z, 27-52 A-Z, 53 digits,
-    54-57 other ASCII by remainder, 58-63 everything else by remainder."""
-    code = np.arange(1 << 16)
-    of = 58 + code % 6
-    of[:128] = 54 + code[:128] % 4
-    of[[9, 10, 11, 12, 13, 32]] = 0
-    of[48:58] = 53
-    of[97:123] = np.arange(1, 27)
-    of[65:91] = np.arange(27, 53)
-    return of.astype(np.uint8)
+SPACE = np.zeros(UNITS, dtype=bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
-FOLDED = folded()
+class Alphabet:
+    """Numbers of UTF-16 units: 0 is white space, the others follow in order. ``bits`` hold any of them, and 64
+    bits hold ``order`` of them, ``longest`` at most."""
 
+    def __init__(self, units: np.ndarray, longest: int = ORDER):
+        units = np.unique(units)
+        units = units[~SPACE[units]]
+        self.bits = max(BITS, len(units).bit_length())
+        self.order = min(longest, 64 // self.bits)
+        self.number = np.zeros(UNITS, dtype=np.uint16)
+        self.number[units] = np.arange(1, len(units) + 1)
 
-def symbols(text: str) -> np.ndarray:
-    """Classes of the characters, with one 0 for each run of white space and around the text."""
-    points = np.frombuffer(f" {text} ".encode("utf-32-le"), dtype="<u4")
-    of = np.where(points < 1 << 16, FOLDED[points & 0xFFFF], 58 + points % 6).astype(np.uint32)
+
+def units_of(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-16-le"), dtype="<u2")
+
+
+def symbols(text: str, alphabet: Alphabet) -> np.ndarray:
+    """Numbers of the units, with one 0 for each run of white space and around the text."""
+    of = alphabet.number[units_of(f" {text} ")]
     return of[np.concatenate([[True], (of[1:] != 0) | (of[:-1] != 0)])]
 
 
-def grams(text: str) -> np.ndarray:
-    """The n-grams of a text: four classes of six bits each."""
-    of = symbols(text)
-    if len(of) < ORDER:
-        of = np.concatenate([np.zeros(ORDER - len(of), np.uint32), of])
-    out = of[: len(of) - ORDER + 1].copy()
-    for k in range(1, ORDER):
-        out = out << np.uint32(BITS) | of[k : len(of) - ORDER + 1 + k]
+def grams(text: str, alphabet: Alphabet | None = None) -> np.ndarray:
+    """The n-grams of a text: numbers side by side, by the text's own alphabet if none is given."""
+    alphabet = Alphabet(units_of(text)) if alphabet is None else alphabet
+    order, of = alphabet.order, symbols(text, alphabet).astype(np.uint64)
+    if len(of) < order:
+        of = np.concatenate([np.zeros(order - len(of), np.uint64), of])
+    out = of[: len(of) - order + 1].copy()
+    for k in range(1, order):
+        out <<= np.uint64(alphabet.bits)
+        out |= of[k : len(of) - order + 1 + k]
     return out
 
 
+def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The units in a task's texts."""
+    seen = np.zeros(UNITS, dtype=bool)
+    for batch in batches_of(batches, "text", 2 << 20):
+        seen[units_of(" ".join(x for x in batch.column(0).to_pylist() if x))] = True
+    yield pa.record_batch([pa.array(np.flatnonzero(seen).astype(np.int32))], names=["unit"])
+
+
+def alphabet_of(docs: DataFrame) -> Alphabet:
+    """The alphabet of all texts; UTF-16 has UNITS units at most, however large the corpus is."""
+    units = docs.select("text").mapInArrow(_units, "unit int").distinct().toArrow()
+    return Alphabet(units["unit"].to_numpy(), LONGEST)
+
+
 def base_counts(text: str) -> tuple[int, int, int, int, int]:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
     raw = text.encode()
@@ -94,7 +120,7 @@ def fails(n_words: int, n_repeat_words: int) -> bool:
     return n_words < LEAST_WORDS or 100 * n_repeat_words > MOST_REPEATED * n_words
 
 
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _counts(batches: Iterator[pa.RecordBatch], alphabet: Alphabet | None = None) -> Iterator[pa.RecordBatch]:
     """(lang, gram, n) of those of a task's documents that pass the base rules."""
     held: dict[str, list[np.ndarray]] = {}
     sizes: dict[str, int] = {}
@@ -109,28 +135,35 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             new = both
         counted[lang], sizes[lang] = (new, n), 0
 
+    def rows(lang: str) -> pa.RecordBatch:
+        gram, n = counted.pop(lang)
+        return pa.record_batch(
+            [pa.array([lang] * len(gram), pa.string()), pa.array(gram.view(np.int64)), pa.array(n)],
+            names=["lang", "gram", "n"],
+        )
+
     for batch in batches_of(batches, "text", 2 << 20):
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             if text and not fails(*base_counts(text)[::4]):
-                held.setdefault(lang, []).append(own := grams(text))
+                held.setdefault(lang, []).append(own := grams(text, alphabet))
                 sizes[lang] = sizes.get(lang, 0) + len(own)
                 if sizes[lang] >= COUNTED:
                     count(lang)
+                    if len(counted[lang][0]) >= COUNTED:  # no more grams are held than are counted at once
+                        yield rows(lang)
     for lang in list(held):
         count(lang)
-    for lang, (gram, n) in counted.items():
-        yield pa.record_batch(
-            [pa.array([lang] * len(gram), pa.string()), pa.array(gram.astype(np.int32)), pa.array(n)],
-            names=["lang", "gram", "n"],
-        )
+    for lang in list(counted):
+        yield rows(lang)
 
 
-def kneser_ney(counts: DataFrame) -> DataFrame:
+def kneser_ney(counts: DataFrame, bits: int = BITS, order: int = ORDER) -> DataFrame:
     """``lang``, ``size``, ``gram``, ``logp`` (base 2) and ``backoff`` (log of the weight that the gram as
-    a context leaves to shorter grams; null where it is never a context) from counts of 4-grams."""
-    adjusted = {ORDER: counts.select("lang", "gram", "n")}
-    for size in range(ORDER - 1, 0, -1):  # in how many contexts one longer a gram ends
-        short = F.col("gram").bitwiseAND(F.lit((1 << BITS * size) - 1))
+    a context leaves to shorter grams; null where it is never a context) from counts of n-grams of
+    ``order`` symbols of so many ``bits``."""
+    adjusted = {order: counts.select("lang", F.col("gram").cast("long"), "n")}
+    for size in range(order - 1, 0, -1):  # in how many contexts one longer a gram ends
+        short = F.col("gram").bitwiseAND(F.lit((1 << bits * size) - 1))
         adjusted[size] = adjusted[size + 1].groupBy("lang", short.alias("gram")).agg(F.count("*").alias("n"))
     every = None
     for size, table in adjusted.items():
@@ -148,7 +181,7 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
             f"d{k}", F.when(usable & (estimate > 0) & (estimate < k), estimate).otherwise(fallback[k])
         )
     discount = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-    context = F.shiftright("gram", BITS).alias("context")
+    context = F.shiftrightunsigned("gram", bits).alias("context")
     less = every.join(F.broadcast(discounts.select("lang", "size", "d1", "d2", "d3")), ["lang", "size"]).select(
         "lang", "size", "gram", context, "n", discount.alias("d")
     )  # a row for each language and order is broadcast
@@ -159,12 +192,12 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
     )
     parts = written(parts)
     p = None
-    for size in range(1, ORDER + 1):
+    for size in range(1, order + 1):
         own = parts.where(F.col("size") == size)
         if p is None:
-            now = own.withColumn("p", F.col("own") + F.col("weight") / SYMBOLS)
+            now = own.withColumn("p", F.col("own") + F.col("weight") / (1 << bits))
         else:
-            short = F.col("gram").bitwiseAND(F.lit((1 << BITS * (size - 1)) - 1))
+            short = F.col("gram").bitwiseAND(F.lit((1 << bits * (size - 1)) - 1))
             lower = p.select("lang", F.col("gram").alias("short"), F.col("p").alias("below"))
             now = own.withColumn("short", short).join(lower, ["lang", "short"]).withColumn(
                 "p", F.col("own") + F.col("weight") * F.col("below")
@@ -183,54 +216,75 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
 
 
 def key_of(lang: int, size: int | np.ndarray, gram: np.ndarray) -> np.ndarray:
-    """A 64-bit hash without collisions: language, order and gram side by side."""
-    return np.int64(lang) << np.int64(32) | np.int64(size) << np.int64(28) | gram.astype(np.int64)
+    """A 64-bit hash of language, order and gram; one to one for the grams of a language and an order."""
+    of = np.atleast_1d((np.asarray(lang, np.int64) << 3) + size).view(np.uint64)
+    return mixed(gram.astype(np.uint64) ^ mixed(of + np.uint64(1))).view(np.int64)
 
 
 class Model:
     """Sorted keys with log probabilities and back-off weights; languages by their place in ``langs``."""
 
-    def __init__(self, langs: list[str], keys: np.ndarray, logp: np.ndarray, backoff: np.ndarray):
-        self.langs, self.keys, self.logp, self.backoff = langs, keys, logp, backoff
+    def __init__(
+        self, langs: list[str], keys: np.ndarray, logp: np.ndarray, backoff: np.ndarray, alphabet: Alphabet | None = None
+    ):
+        self.langs, self.keys, self.logp, self.backoff, self.alphabet = langs, keys, logp, backoff, alphabet
         self.place = {lang: i for i, lang in enumerate(langs)}
-
-    def bits(self, lang: str, text: str) -> tuple[float, int]:
-        """Minus the log probability of a text, and its number of n-grams."""
-        gram, total, n = grams(text), 0.0, 0
-        n = len(gram)
+        width = max(1, len(keys).bit_length())
+        self.shift = np.uint64(64 - width)
+        edges = np.arange(1 << width, dtype=np.uint64) << self.shift ^ TOP  # the keys are hashes, dealt evenly
+        self.first = np.searchsorted(keys, edges.view(np.int64)).astype(np.int32)
+        self.padded = np.append(keys, np.iinfo(np.int64).max)
+
+    def bits(self, lang: str, texts: list[str]) -> np.ndarray:
+        """Minus the mean log probability of the n-grams of each text."""
+        each = [grams(text, self.alphabet) for text in texts]
+        sizes, bits = np.array([len(x) for x in each]), self.alphabet.bits
         if lang not in self.place:
-            return n * float(BITS), n
-        number = self.place[lang]
-        left, carried = gram, np.zeros(n)
-        for size in range(ORDER, 0, -1):
+            return np.full(len(texts), float(bits))
+        number, left = self.place[lang], np.concatenate(each)
+        log, at_of, carried = np.empty(len(left)), np.arange(len(left)), np.zeros(len(left))
+        for size in range(self.alphabet.order, 0, -1):
             at, found = self._find(key_of(number, size, left))
-            total -= float((self.logp[at[found]] + carried[found]).sum())
-            left, carried = left[~found], carried[~found]
+            log[at_of[found]] = self.logp[at[found]] + carried[found]
+            left, carried, at_of = left[~found], carried[~found], at_of[~found]
             if not len(left):
-                return total, n
-            context = key_of(number, size - 1, left >> np.uint32(BITS))
-            at, found = self._find(context)
-            carried = carried + np.where(found, self.backoff[at], 0.0)
-            left = left & np.uint32((1 << BITS * (size - 1)) - 1)
-        return total - float((carried - BITS).sum()), n
+                break
+            at, found = self._find(key_of(number, size - 1, left >> np.uint64(bits)))
+            carried[found] += self.backoff[at[found]]
+            left = left & np.uint64((1 << bits * (size - 1)) - 1)
+        log[at_of] = carried - bits
+        return -np.add.reduceat(log, np.cumsum(sizes) - sizes) / sizes
 
     def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return at, self.keys[at] == keys
-
-
-def collected(model: DataFrame) -> Model:
-    """The model as sorted arrays. Its size is bounded by the alphabet and checked by the caller."""
+        """Where the keys are, or would be; and whether they are there."""
+        at = self.first[((keys.view(np.uint64) ^ TOP) >> self.shift).view(np.int64)]
+        there = self.padded[at]
+        going = np.flatnonzero(there < keys)
+        while len(going):
+            at[going] += 1
+            there[going] = self.padded[at[going]]
+            going = going[there[going] < keys[going]]
+        return at, (there == keys) & (at < len(self.keys))
+
+
+def collected(model: DataFrame, alphabet: Alphabet | None = None) -> Model:
+    """The model as arrays sorted by the hash of a gram. The caller checks its size: an entry has 16 bytes."""
     langs = sorted(row.lang for row in model.select("lang").distinct().collect())
     place = {lang: i for i, lang in enumerate(langs)}
-    table = model.toArrow()
-    lang = np.array([place[x] for x in table["lang"].to_pylist()], dtype=np.int64)
-    size, gram = (table[x].to_numpy().astype(np.int64) for x in ("size", "gram"))
-    keys = lang << 32 | size << 28 | gram
+
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lang = np.array([place[x] for x in batch.column(0).to_pylist()], dtype=np.int64)
+            size, gram = (batch.column(i).to_numpy().astype(np.int64) for i in (1, 2))
+            keys = key_of(lang, size, gram) if len(lang) else lang
+            yield pa.record_batch([pa.array(keys), batch.column(3), batch.column(4)], names=["key", "logp", "backoff"])
+
+    values = model.select("lang", "size", "gram", F.col("logp").cast("float"),
+                          F.coalesce("backoff", F.lit(0.0)).cast("float").alias("backoff"))
+    table = values.mapInArrow(hashes, "key long, logp float, backoff float").toArrow()
+    keys, logp, backoff = (table[x].to_numpy() for x in ("key", "logp", "backoff"))
     order = np.argsort(keys, kind="stable")
-    backoff = np.nan_to_num(table["backoff"].to_numpy().astype(np.float64))
-    return Model(langs, keys[order], table["logp"].to_numpy()[order].astype(np.float32),
-                 backoff[order].astype(np.float32))
+    return Model(langs, keys[order], logp[order], backoff[order], alphabet)
 
 
 COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
@@ -238,22 +292,28 @@ COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_rep
 
 def scored(docs: DataFrame, most_entries: int = MOST_ENTRIES) -> DataFrame:
     """``doc_id``, ``key``, the base counts, ``base_failed``, ``lang`` and ``bits`` (the log perplexity, per
-    character class) of every row. ``docs`` has ``doc_id``, ``key``, ``lang`` and ``text``."""
+    UTF-16 unit) of every row. ``docs`` has ``doc_id``, ``key``, ``lang`` and ``text``."""
     spark = docs.sparkSession
     ship(spark)
-    counts = docs.select("lang", "text").mapInArrow(_counts, "lang string, gram int, n long")
-    model = written(kneser_ney(written(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")))))
+    alphabet = alphabet_of(docs)
+    counts = docs.select("lang", "text").mapInArrow(
+        lambda batches: _counts(batches, alphabet), "lang string, gram long, n long"
+    )
+    counts = written(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    model = written(kneser_ney(counts, alphabet.bits, alphabet.order))
     small = model.limit(most_entries + 1).count() <= most_entries
-    shared = spark.sparkContext.broadcast(collected(model)) if small else None
+    shared = spark.sparkContext.broadcast(collected(model, alphabet)) if small else None
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_of(batches, "text", 2 << 20):
             langs, texts = batch.column(2).to_pylist(), [x or "" for x in batch.column(3).to_pylist()]
             base = np.array([base_counts(x) for x in texts], dtype=np.int64).reshape(-1, 5)
-            bits = [0.0] * len(texts)
+            bits = np.zeros(len(texts))
             if shared is not None:
-                found = [shared.value.bits(lang, text) for lang, text in zip(langs, texts)]
-                bits = [total / n for total, n in found]
+                of = np.array(langs, dtype=object)
+                for lang in set(langs):
+                    at = np.flatnonzero(of == lang)
+                    bits[at] = shared.value.bits(lang, [texts[i] for i in at.tolist()])
             yield pa.record_batch(
                 [batch.column(0), batch.column(1), batch.column(2), *base.T.copy(), pa.array(bits)],
                 names=["doc_id", "key", "lang", *(x.split()[0] for x in COUNTS.split(", ")), "bits"],
@@ -263,38 +323,38 @@ def scored(docs: DataFrame, most_entries: int = MOST_ENTRIES) -> DataFrame:
         score, f"doc_id long, key long, lang string, {COUNTS}, bits double"
     )
     if shared is None:
-        rows = rows.drop("bits").join(joined_bits(docs, model), "key")
+        rows = rows.drop("bits").join(joined_bits(docs, model, alphabet), "key")
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     return rows.withColumn("base_failed", failed)
 
 
-def joined_bits(docs: DataFrame, model: DataFrame) -> DataFrame:
+def joined_bits(docs: DataFrame, model: DataFrame, alphabet: Alphabet) -> DataFrame:
     """``key`` and ``bits`` by a shuffle, for a model too large to copy: a join for each order, in which the
     n-grams not found go on as shorter ones with the weight of their context."""
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for key, lang, text in zip(*(column.to_pylist() for column in batch.columns)):
-                gram, n = np.unique(grams(text or ""), return_counts=True)
+                gram, n = np.unique(grams(text or "", alphabet), return_counts=True)
                 yield pa.record_batch(
                     [pa.array([key] * len(gram), pa.int64()), pa.array([lang] * len(gram), pa.string()),
-                     pa.array(gram.astype(np.int32)), pa.array(n)], names=["key", "lang", "gram", "n"],
+                     pa.array(gram.view(np.int64)), pa.array(n)], names=["key", "lang", "gram", "n"],
                 )
 
     once = docs.select("key", "lang", "text").dropDuplicates(["key"])
-    counts = once.mapInArrow(own, "key long, lang string, gram int, n long")
+    counts = once.mapInArrow(own, "key long, lang string, gram long, n long")
     left, parts = counts.withColumn("carried", F.lit(0.0)), None
-    for size in range(ORDER, 0, -1):
+    for size in range(alphabet.order, 0, -1):
         top = model.where(F.col("size") == size).select("lang", "gram", "logp")
         found = written(left.join(top, ["lang", "gram"], "left"))
         hit = found.where("logp is not null").select("key", "n", (F.col("logp") + F.col("carried")).alias("log"))
         parts = hit if parts is None else parts.union(hit)
         weights = model.where(F.col("size") == size - 1).select("lang", F.col("gram").alias("context"), "backoff")
-        left = found.where("logp is null").withColumn("context", F.shiftright("gram", BITS)).join(
+        left = found.where("logp is null").withColumn("context", F.shiftrightunsigned("gram", alphabet.bits)).join(
             weights, ["lang", "context"], "left"
-        ).select("key", "lang", F.col("gram").bitwiseAND(F.lit((1 << BITS * (size - 1)) - 1)).alias("gram"), "n",
+        ).select("key", "lang", F.col("gram").bitwiseAND(F.lit((1 << alphabet.bits * (size - 1)) - 1)).alias("gram"), "n",
                  (F.col("carried") + F.coalesce("backoff", F.lit(0.0))).alias("carried"))
-    parts = parts.union(left.select("key", "n", F.col("carried") - BITS))
+    parts = parts.union(left.select("key", "n", F.col("carried") - alphabet.bits))
     return parts.groupBy("key").agg((-F.sum(F.col("n") * F.col("log")) / F.sum("n")).alias("bits"))
 
 

@@ -369,6 +369,69 @@ def test_perplexity_rejects_bad_documents(spark):
     assert (~bad.kept).mean() > 0.4 and (~good.kept).mean() < 0.02
 
 
+def test_the_model_tells_all_letters_apart(spark):
+    random.seed(5)
+    first = 0x430  # Cyrillic; the other letter has the same code by 6, as the digit and the sign by 4
+    words = ["".join(chr(first + random.randrange(18)) for _ in range(random.randint(3, 8))) for _ in range(40)]
+    texts = [" ".join(random.choices(words, k=100)) for _ in range(200)]
+    other = {first + k: first + (k + 6) % 18 for k in range(18)}
+    rows = [(i, "ru", x) for i, x in enumerate(texts)] + [(1000 + i, "ru", texts[i].translate(other)) for i in range(5)]
+    got = perplexity.quality(spark.createDataFrame(rows, "doc_id long, lang string, text string")).toPandas()
+    kept = got.set_index("doc_id").kept
+    assert not kept[kept.index >= 1000].any() and kept[kept.index < 1000].mean() > 0.9
+    for a, b in (("1", "2"), ("&", "*"), ("\u4e00", "\u4e06"), ("\U0001f600", "\U0001f606")):
+        both = perplexity.Alphabet(perplexity.units_of(a + b))
+        assert list(perplexity.grams(a, both)) != list(perplexity.grams(b, both))
+
+
+@pytest.mark.parametrize("order", [5, 4])
+def test_bits_equal_brute_force_kneser_ney(spark, order):
+    random.seed(6)
+    letters = [chr(0x4E00 + k) for k in range(90)] + list("ab1&\U0001f600")
+    words = ["".join(random.choices(letters, k=random.randint(1, 3))) for _ in range(60)]
+    texts = [" ".join(random.choices(words, k=60)) for _ in range(12)]
+    if order == 4:  # so many letters that a number has 16 bits
+        texts.append(" ".join("".join(map(chr, range(x, x + 100))) for x in range(0x3400, 0xD700, 100)))
+    rows = [(i, "zh", x) for i, x in enumerate(texts)] + [(99, "zh", "\u5fff a" * 5)]
+    table = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    got = perplexity.quality(table).toPandas().set_index("doc_id").bits
+
+    def units(text):
+        raw = f" {text} ".encode("utf-16-le")
+        return tuple(raw[i : i + 2] for i in range(0, len(raw), 2))
+
+    def windows(text):
+        return [x[i : i + order] for x in [units(text)] for i in range(len(x) - order + 1)]
+
+    counts = {order: Counter(x for text in texts for x in windows(text))}
+    for size in range(order - 1, 0, -1):
+        counts[size] = Counter(x[1:] for x in counts[size + 1])
+    number = len({x for _, _, text in rows for x in units(text)} - {b" \0"})
+    discount, left = {}, {}
+    for size, table in counts.items():
+        n = Counter(min(x, 5) for x in table.values())
+        for k, fallback in ((1, 0.5), (2, 0.75), (3, 0.9)):
+            discount[size, k] = fallback
+            if n[1] and n[2] and n[k] and n[k + 1]:
+                estimate = k - (k + 1) * n[1] / (n[1] + 2 * n[2]) * n[k + 1] / n[k]
+                discount[size, k] = estimate if 0 < estimate < k else fallback
+        for x, c in table.items():
+            total, weight = left.get((size, x[:-1]), (0, 0.0))
+            left[size, x[:-1]] = (total + c, weight + discount[size, min(c, 3)])
+
+    def p(x):
+        if not x:
+            return 0.5 ** max(6, number.bit_length())
+        if (len(x), x[:-1]) not in left:
+            return p(x[1:])
+        (total, weight), c = left[len(x), x[:-1]], counts[len(x)][x]
+        return ((c - discount[len(x), min(c, 3)] if c else 0) + weight * p(x[1:])) / total
+
+    for i, _, text in rows:
+        want = -np.mean([np.log2(p(x)) for x in windows(text)])
+        assert got[i] == pytest.approx(want, abs=1e-4)
+
+
 def test_quality_of_odd_rows(spark, odd):
     assert perplexity.quality(odd).count() == len(ODD)
     assert perplexity.keep_good(odd).columns == odd.columns
