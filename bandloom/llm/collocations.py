@@ -3,7 +3,8 @@
 An occurrence relation of length k has an entry (place, key) wherever a phrase of k words begins that may be
 frequent. It is sorted by place, and a place tells piece and position at once: neighbouring words of a piece
 have neighbouring places, and between pieces one place is left out. The relation of single words is the text
-itself; longer ones are written, a row for the entries of some megabytes of text, so that a piece is never cut.
+itself; longer ones are written, some hundred thousand entries in a row, cut only where two neighbouring entries
+have no neighbouring places, so that no later phrase is lost between rows. A task holds few of them at once.
 
 The next length is a merge-join of the relation with itself on neighbouring places: two phrases of k words that
 begin at neighbouring words overlap in all but their ends and are together a phrase of k + 1 words. These
@@ -30,7 +31,8 @@ from .line_dedup import mixed
 from .shared import Marks, batches_of, marks_of, ship, written
 
 LEAST, LONGEST, SHARE, FIRST, FACTOR = 100, 5, 100, 2000, 1000
-BATCH = 8 << 20
+BATCH, SMALL_BATCH = 8 << 20, 2 << 20  # bytes of text at once: single words are combined in larger batches
+ENTRIES, COUNTED = 1 << 17, 1 << 20  # entries in a row of a relation, and counted at once
 #: What ends a piece, and what stands between words.
 BREAKS, SPACES = b".,;:!?\n\x0b\x0c\r", b" \t"
 KEYS = "a long, b long"
@@ -112,6 +114,10 @@ def kept(place: np.ndarray, keys: Keys, marks: Marks) -> tuple[np.ndarray, Keys]
     return place[hit], (keys[0][hit], keys[1][hit])
 
 
+def together(held: list[Keys]) -> Keys:
+    return np.concatenate([a for a, _ in held]), np.concatenate([b for _, b in held])
+
+
 def counted(keys: Keys) -> pa.RecordBatch:
     """How often each key occurs. A key may have several rows in the unlikely case of equal first halves."""
     order = np.argsort(keys[0], kind="stable")
@@ -121,13 +127,13 @@ def counted(keys: Keys) -> pa.RecordBatch:
     return pa.record_batch([a[first].view(np.int64), b[first].view(np.int64), n], names=["a", "b", "n"])
 
 
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
-    for batch in batches_of(batches, "text", BATCH):
+def _words(batches: Iterator[pa.RecordBatch], most_bytes: int = SMALL_BATCH) -> Iterator[Words]:
+    for batch in batches_of(batches, "text", most_bytes):
         yield Words(batch.column(0), batch.column(1))
 
 
 def _single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for words in _words(batches):
+    for words in _words(batches, BATCH):
         of, n = np.unique(words.lang * np.int64(len(words.distinct)) + words.code, return_counts=True)
         lang, code = (of // max(1, len(words.distinct)), of % max(1, len(words.distinct)))
         yield pa.record_batch(
@@ -137,9 +143,14 @@ def _single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _relation(place: np.ndarray, keys: Keys) -> pa.RecordBatch:
-    columns = [[place.astype("<i8").tobytes()], [keys[0].tobytes()], [keys[1].tobytes()]]
-    return pa.record_batch([pa.array(x, pa.binary()) for x in columns], names=["place", "a", "b"])
+def _relation(place: np.ndarray, keys: Keys) -> Iterator[pa.RecordBatch]:
+    """Rows of about ENTRIES entries; one ends only where the next place is no neighbour."""
+    gaps = np.append(np.flatnonzero(place[1:] != place[:-1] + 1) + 1, len(place))
+    cuts = gaps[np.searchsorted(gaps, np.arange(ENTRIES, len(place), ENTRIES))]
+    bounds = np.unique([0, *cuts, len(place)]).tolist()
+    for start, end in zip(bounds, bounds[1:]):
+        columns = [[x[start:end].tobytes()] for x in (place.astype("<i8", copy=False), *keys)]
+        yield pa.record_batch([pa.array(x, pa.binary()) for x in columns], names=["place", "a", "b"])
 
 
 def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, Keys]]:
@@ -189,8 +200,14 @@ def mine_phrases(
                 yield merged(*kept(place, keys, shorter.value))
 
         def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: list[Keys] = []
             for _, keys in lengthened(batches):
-                yield counted(keys)
+                held.append(keys)
+                if sum(len(a) for a, _ in held) >= COUNTED:
+                    yield counted(together(held))
+                    held = []
+            if held:
+                yield counted(together(held))
 
         before = source if relation is None else relation
         found = _summed(before.mapInArrow(counts, f"{KEYS}, n long"), least)
@@ -203,7 +220,7 @@ def mine_phrases(
 
             def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for place, keys in lengthened(batches):
-                    yield _relation(*kept(place, keys, longer.value))
+                    yield from _relation(*kept(place, keys, longer.value))
 
             relation = written(before.mapInArrow(entries, "place binary, a binary, b binary"))
     return _ranked(spelled(source, marks, frequent), frequent, totals, share, first)

@@ -164,3 +164,14 @@ def test_coordinate_ranges_lose_no_vector():
                 listed += 1
                 assert set(true) <= set(rows.tolist()) and len(rows) < 200
     assert listed > 60
+
+
+def test_rows_of_a_relation_are_small_and_cut_at_gaps_only():
+    rng = np.random.default_rng(4)
+    place = np.cumsum(np.where(rng.random(1_000_000) < 0.05, 2, 1))
+    keys = place.astype(np.uint64), place.astype(np.uint64) * np.uint64(3)
+    rows = [(at, own) for batch in collocations._relation(place, keys) for at, own in collocations._entries([batch])]
+    assert max(len(at) for at, _ in rows) < 150_000
+    for i, whole in enumerate(collocations.merged(place, keys)[1]):
+        assert np.array_equal(np.concatenate([collocations.merged(*row)[1][i] for row in rows]), whole)
+    assert not list(collocations._relation(place[:0], (keys[0][:0], keys[1][:0])))
