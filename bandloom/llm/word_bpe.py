@@ -16,8 +16,10 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import struct
+from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, compress, count
 
 import numpy as np
 import pyarrow as pa
@@ -60,36 +62,46 @@ class Block:
 
     def __init__(self, batch: pa.RecordBatch, pattern: regex.Pattern):
         self.ids = batch.column(0)
-        numbers: dict[str, int] = {}
-        words_of: list[list[int]] = []  # of a part, which splits the same way wherever it stands
-        behind: dict[str, int] = {}  # parts that follow a single space, without it
-        whole: dict[str, int] = {}
-
-        def learn(part: str) -> int:
-            words_of.append([numbers.setdefault(word, len(numbers)) for word in pattern.findall(part)])
-            return len(words_of) - 1
-
-        self.parts: list[np.ndarray] = []
+        numbers: defaultdict[str, int] = defaultdict(count().__next__)
+        behind: defaultdict[str, int] = defaultdict(count().__next__)  # parts that follow a single space, without it
+        whole: defaultdict[str, int] = defaultdict(count().__next__)
+        texts = [text or "" for text in batch.column(1).to_pylist()]
         digest = xxhash.xxh64()
-        for text in batch.column(1).to_pylist():
-            text = text or ""
+        firsts, after = [], []
+        for text in texts:
             first, *rest = text.split(" ")
-            for part in set(rest).difference(behind):
-                behind[part] = learn(f" {part}") if stands_alone(part) else LOOSE
-            own = np.fromiter(map(behind.__getitem__, rest), np.int64, len(rest))
-            # a single space between other characters always begins a word
-            alone = first != "" and not first[-1].isspace() and bool((own != LOOSE).all())
-            heads = [first] if alone else pieces(text)
-            for part in set(heads).difference(whole):
-                whole[part] = learn(part)
-            head = np.fromiter(map(whole.__getitem__, heads), np.int64, len(heads))
-            self.parts.append(np.concatenate([head, own]) if alone else head)
+            firsts.append(first)
+            after.append(np.fromiter(map(behind.__getitem__, rest), np.int64, len(rest)))
             digest.update(f"{len(text)},".encode())
             digest.update(text.encode())
         digest.update(str(self.ids.to_pylist()).encode())
         self.key = digest.intdigest() - (1 << 63)
-        self.sizes = np.array([len(x) for x in words_of], dtype=np.int64)
-        self.flat = np.fromiter(chain.from_iterable(words_of), np.int64, int(self.sizes.sum()))
+        # a part splits the same way wherever it stands: a single space between other characters always begins a word
+        parts = list(behind)
+        usual = np.fromiter(map(stands_alone, parts), bool, len(parts))
+        place = np.where(usual, np.cumsum(usual) - 1, LOOSE)
+        words = pattern.findall("".join(f" {part}" for part in compress(parts, usual)))
+        begins = np.flatnonzero(np.fromiter((word[0] == " " for word in words), bool, len(words)))
+        if len(begins) != usual.sum():
+            raise RuntimeError("parts do not begin with a word of their own")
+        tails = [place[own] for own in after]
+        heads = [
+            [first] if first != "" and not first[-1].isspace() and bool((own != LOOSE).all()) else None
+            for first, own in zip(firsts, tails)
+        ]
+        own_heads = [
+            np.fromiter(map(whole.__getitem__, pieces(text) if head is None else head), np.int64)
+            for text, head in zip(texts, heads)
+        ]
+        at_start = [pattern.findall(part) for part in whole]
+        # heads are numbered behind the parts that follow a space
+        self.parts: list[np.ndarray] = [
+            own + len(begins) if head is None else np.concatenate([own + len(begins), tail])
+            for own, head, tail in zip(own_heads, heads, tails)
+        ]
+        self.sizes = np.concatenate([np.diff(np.append(begins, len(words))), [len(x) for x in at_start]]).astype(np.int64)
+        words.extend(chain.from_iterable(at_start))
+        self.flat = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
         words = [word.encode() for word in numbers]
         hashed = np.array([xxhash.xxh64_intdigest(w) for w in words], dtype=np.uint64)
         self.order = np.argsort(hashed, kind="stable")
@@ -207,9 +219,8 @@ def encoded(docs: DataFrame, ranks: str, pattern: str, prepare, schema: str) ->
                 for word in words_in(content):
                     ids = known.get(word)
                     if ids is None:
-                        ids = known[word] = np.array(
-                            coder.encode_ordinary(word.decode()), dtype="<u4"
-                        ).tobytes()
+                        found_ids = coder.encode_ordinary(word.decode())
+                        ids = known[word] = struct.pack(f"<{len(found_ids)}I", *found_ids)
                     found.append(ids)
                 rows.append((key, bucket, packed_words(found)))
             if rows:

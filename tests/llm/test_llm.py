@@ -12,7 +12,9 @@ from collections import Counter, defaultdict
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
+import regex
 import tiktoken
 import xxhash
 from pyspark.sql import functions as F
@@ -663,6 +665,28 @@ def test_word_bpe_equals_the_library(spark, odd, docs):
     assert base64.b64encode(b"x")
 
 
+def test_word_bpe_splits_the_parts_of_a_block_together():
+    """The pattern runs over all parts of a block at once, not over each; sequences are the words of the texts."""
+    compiled, calls = regex.compile(public_tokenizers.PATTERN), []
+
+    class Counting:
+        def findall(self, text):
+            calls.append(text)
+            return compiled.findall(text)
+
+    texts = [" ".join(f"w{i}x{n}'s" for n in range(500)) for i in range(4)]
+    texts += [None, "", " ", "a", " a", "a ", "a  b", "a b  c", "it's \x1c b", "a\n b", "we'll 12é　x", "\x85 a b"]
+    block = word_bpe.Block(pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"]), Counting())
+    assert len(calls) < 30
+    words = [None] * len(block.words)
+    for place, number in enumerate(block.order.tolist()):
+        words[number] = block.words[place].decode()
+    starts = np.cumsum(block.sizes) - block.sizes
+    for text, own in zip(texts, block.parts):
+        got = [words[w] for part in own for w in block.flat[starts[part] : starts[part] + block.sizes[part]]]
+        assert got == compiled.findall(text or "")
+
+
 @pytest.mark.parametrize(
     "page, text",
     [
