@@ -440,6 +440,26 @@ def test_quality_of_odd_rows(spark, odd):
     assert perplexity.quality(odd.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("most_entries", [10**7, 0])
+def test_kept_documents_stay_beside_their_scores(spark, data, most_entries):
+    """Nothing is joined but the fences, and rows are those of the verdict, repeated and odd ones too."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang")
+    odd = spark.createDataFrame([(x[0], x[1], x[2]) for x in ODD] * 2, "doc_id long, text string, lang string")
+    docs = docs.union(odd).union(docs.limit(30)).withColumn("tags", F.create_map(F.lit("é.x"), F.col("doc_id")))
+    docs = docs.withColumn("key", F.lit(1)).withColumn("__doc", F.lit("own"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        got = perplexity.keep_good(docs, most_entries)
+        assert "SortMergeJoin" not in got._jdf.queryExecution().executedPlan().toString()
+        assert got.columns == docs.columns
+        verdict = perplexity.quality(docs, most_entries).where("kept")
+        assert Counter(r.doc_id for r in got.collect()) == Counter(r.doc_id for r in verdict.collect())
+        assert got.where("text is null or __doc != 'own' or key != 1").count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_language_held_out_accuracy(spark):
     got = queries.queries()["op5_language"](spark, "/root/testdata/sf0.01").toPandas()
     truth = pd.read_parquet("/root/testdata/sf0.01/documents.parquet")
