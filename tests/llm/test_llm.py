@@ -685,6 +685,34 @@ def test_word_bpe_equals_the_library(spark, odd, docs):
     assert base64.b64encode(b"x")
 
 
+def test_line_dedup_bands_travel_in_packets(monkeypatch):
+    """Far fewer rows than bands leave a task, and the same rows of bands come out, sorted; a band with many lines has
+    packets of its own, which are not gathered."""
+    monkeypatch.setattr(line_dedup, "UNPACKED", 50)
+    lines = [f"line {i * i} of the text {i}" for i in range(3000)]
+    batch = pa.record_batch([pa.array([line_dedup.line_id(x) for x in lines]), pa.array(lines)], names=["id", "line"])
+    keys = line_dedup.bands(line_dedup.signatures(lines)).ravel()
+    want = Counter(zip(keys.tolist(), line_dedup.salted(keys, np.repeat(batch.column(0).to_numpy(), 16)).tolist()))
+    (made,) = line_dedup._bands(iter([batch]))
+    assert made.num_rows <= 1 << 14 < len(keys)
+    rng = np.random.default_rng(5)
+    hot = np.where(rng.random(4000) < 0.5, keys[0], rng.choice(keys[:64], 4000) + rng.integers(0, 200, 4000))
+    more = [line_dedup.packets(x, line_dedup.salted(x, rng.integers(0, 900, len(x)))) for x in np.split(hot, 4)]
+    for one in np.split(hot, 4):
+        assert sum(x == keys[0] for x in line_dedup.packets(one, one).column(1).to_pylist()) == 1
+    rows = [x for one in (made, *more) for x in zip(*(c.to_pylist() for c in one.columns))]
+    want.update(
+        (a, b) for *_, x, y in rows[made.num_rows :] for a, b in zip(*(np.frombuffer(z, "<i8").tolist() for z in (x, y)))
+    )
+    rows.sort(key=lambda x: (x[0], x[1] is not None, x[1] or 0))
+    columns = [pa.array(x, kind) for x, kind in zip(zip(*rows), made.schema.types)]
+    whole = pa.record_batch(columns, names=made.schema.names)
+    got = [(a, b) for x in line_dedup._unpacked(whole.slice(i, 100) for i in range(0, len(rows), 100))
+           for a, b in zip(*(c.to_pylist() for c in x.columns))]
+    assert Counter(got) == want
+    assert [a for a, _ in got] == sorted(a for a, _ in got)
+
+
 def test_word_bpe_splits_the_parts_of_a_block_together():
     """The pattern runs over all parts of a block at once, not over each; sequences are the words of the texts."""
     compiled, calls = regex.compile(public_tokenizers.PATTERN), []
