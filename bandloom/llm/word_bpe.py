@@ -23,6 +23,7 @@ from itertools import chain, compress, count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 import zstandard
@@ -51,7 +52,7 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def stands_alone(part: str) -> bool:
-    return part != "" and not part[0].isspace() and not part[-1].isspace()
+    return part != "" and part.strip() == part
 
 
 LOOSE = -1
@@ -62,29 +63,32 @@ class Block:
 
     def __init__(self, batch: pa.RecordBatch, pattern: regex.Pattern):
         self.ids = batch.column(0)
-        numbers: defaultdict[str, int] = defaultdict(count().__next__)
-        behind: defaultdict[str, int] = defaultdict(count().__next__)  # parts that follow a single space, without it
         whole: defaultdict[str, int] = defaultdict(count().__next__)
-        texts = [text or "" for text in batch.column(1).to_pylist()]
-        digest = xxhash.xxh64()
-        firsts, after = [], []
+        column = pc.fill_null(batch.column(1), "")
+        texts = column.to_numpy(zero_copy_only=False).tolist()
+        digest = xxhash.xxh64(pc.binary_length(column).to_numpy().tobytes())
         for text in texts:
-            first, *rest = text.split(" ")
-            firsts.append(first)
-            after.append(np.fromiter(map(behind.__getitem__, rest), np.int64, len(rest)))
-            digest.update(f"{len(text)},".encode())
             digest.update(text.encode())
         digest.update(str(self.ids.to_pylist()).encode())
         self.key = digest.intdigest() - (1 << 63)
+        split = pc.split_pattern(column, " ")
+        n_parts = pc.list_value_length(split).to_numpy().astype(np.int64)
+        split, begin = split.flatten(), np.cumsum(n_parts) - n_parts
+        firsts = split.take(pa.array(begin)).to_pylist()
+        follows = np.ones(len(split), dtype=bool)
+        follows[begin] = False
+        # parts that follow a single space, without it
+        behind = split.filter(pa.array(follows)).dictionary_encode()
         # a part splits the same way wherever it stands: a single space between other characters always begins a word
-        parts = list(behind)
+        parts = behind.dictionary.to_numpy(zero_copy_only=False).tolist()
         usual = np.fromiter(map(stands_alone, parts), bool, len(parts))
         place = np.where(usual, np.cumsum(usual) - 1, LOOSE)
         words = pattern.findall("".join(f" {part}" for part in compress(parts, usual)))
-        begins = np.flatnonzero(np.fromiter((word[0] == " " for word in words), bool, len(words)))
+        begins = np.flatnonzero(pc.starts_with(pa.array(words, pa.large_string()), " ").to_numpy(zero_copy_only=False))
         if len(begins) != usual.sum():
             raise RuntimeError("parts do not begin with a word of their own")
-        tails = [place[own] for own in after]
+        after = place[behind.indices.to_numpy(zero_copy_only=False)]
+        tails = np.split(after, np.cumsum(n_parts - 1)[:-1]) if texts else []
         heads = [
             [first] if first != "" and not first[-1].isspace() and bool((own != LOOSE).all()) else None
             for first, own in zip(firsts, tails)
@@ -101,8 +105,9 @@ class Block:
         ]
         self.sizes = np.concatenate([np.diff(np.append(begins, len(words))), [len(x) for x in at_start]]).astype(np.int64)
         words.extend(chain.from_iterable(at_start))
-        self.flat = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
-        words = [word.encode() for word in numbers]
+        numbers = pa.array(words, pa.large_string()).dictionary_encode()
+        self.flat = numbers.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        words = numbers.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
         hashed = np.array([xxhash.xxh64_intdigest(w) for w in words], dtype=np.uint64)
         self.order = np.argsort(hashed, kind="stable")
         if (np.diff(hashed[self.order]) == 0).any():  # numbers follow no order that another task repeats

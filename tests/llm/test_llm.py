@@ -6,6 +6,7 @@ import itertools
 import random
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -713,6 +714,20 @@ def test_line_dedup_bands_travel_in_packets(monkeypatch):
     assert [a for a, _ in got] == sorted(a for a, _ in got)
 
 
+def test_word_bpe_numbers_the_parts_of_a_block_outside_python():
+    """A part is no Python string each time it occurs: a million of two kinds take less memory than as strings."""
+    batch = pa.record_batch([pa.array([1]), pa.array(["one two " * 500_000 + "end"])], names=["doc_id", "text"])
+    compiled = regex.compile(public_tokenizers.PATTERN)
+    word_bpe.Block(batch.slice(0, 0), compiled)
+    tracemalloc.start()
+    block = word_bpe.Block(batch, compiled)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    print("most bytes", most)
+    assert block.words and len(block.parts[0]) == 1_000_001
+    assert most < 50_000_000
+
+
 def test_word_bpe_splits_the_parts_of_a_block_together():
     """The pattern runs over all parts of a block at once, not over each; sequences are the words of the texts."""
     compiled, calls = regex.compile(public_tokenizers.PATTERN), []
