@@ -8,7 +8,8 @@ have no neighbouring places, so that no later phrase is lost between rows. A tas
 
 The next length is a merge-join of the relation with itself on neighbouring places: two phrases of k words that
 begin at neighbouring words overlap in all but their ends and are together a phrase of k + 1 words. These
-are grouped and counted, in the task first and then by a shuffle of counts; the frequent groups are a table.
+are grouped and counted, in the task first and then by a shuffle of counts, which travel in packets by the first
+bits of their keys, not as rows; the frequent groups are a table.
 Before the next length is made the relation is semi-joined with its frequent groups. For this their keys
 are marked in a field of bounded size, which every task gets whatever the corpus holds: an entry without its
 mark goes. One that shares a mark by chance stays and costs work only, since the counts of all groups are exact.
@@ -36,6 +37,9 @@ ENTRIES, COUNTED = 1 << 17, 1 << 20  # entries in a row of a relation, and count
 #: What ends a piece, and what stands between words.
 BREAKS, SPACES = b".,;:!?\n\x0b\x0c\r", b" \t"
 KEYS = "a long, b long"
+BUCKET_BITS = 13
+BUCKETS = 1 << BUCKET_BITS
+PACKETS = "bucket int, a binary, b binary, n binary"
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
@@ -118,13 +122,63 @@ def together(held: list[Keys]) -> Keys:
     return np.concatenate([a for a, _ in held]), np.concatenate([b for _, b in held])
 
 
-def counted(keys: Keys) -> pa.RecordBatch:
-    """How often each key occurs. A key may have several rows in the unlikely case of equal first halves."""
-    order = np.argsort(keys[0], kind="stable")
+def counted(keys: Keys, n: np.ndarray | None = None) -> tuple[Keys, np.ndarray]:
+    """The distinct keys, sorted, and how often each occurs: once for each place, or ``n`` times."""
+    order = np.argsort(keys[0])
     a, b = keys[0][order], keys[1][order]
+    if ((a[1:] == a[:-1]) & (b[1:] != b[:-1])).any():
+        order = np.lexsort((keys[1], keys[0]))
+        a, b = keys[0][order], keys[1][order]
     first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else order
-    n = np.diff(np.concatenate([first, [len(a)]]))
-    return pa.record_batch([a[first].view(np.int64), b[first].view(np.int64), n], names=["a", "b", "n"])
+    if n is None:
+        total = np.diff(np.append(first, len(a)))
+    else:
+        total = np.add.reduceat(n[order], first) if len(a) else n
+    return (a[first], b[first]), total
+
+
+def packets(keys: Keys, n: np.ndarray) -> pa.RecordBatch:
+    """Sorted keys and their counts, in a row for each bucket (the first bits of the keys)."""
+    bounds = np.searchsorted(keys[0], np.arange(BUCKETS, dtype=np.uint64) << np.uint64(64 - BUCKET_BITS))
+    used = np.flatnonzero(np.diff(np.append(bounds, len(n))))
+    bounds = np.append(bounds[used], len(n))
+    columns = [
+        pa.Array.from_buffers(
+            pa.binary(), len(used), [None, pa.py_buffer((bounds * 8).astype("<i4").tobytes()), pa.py_buffer(x.tobytes())]
+        )
+        for x in (*keys, n.astype("<i8", copy=False))
+    ]
+    return pa.record_batch([pa.array(used.astype(np.int32)), *columns], names=["bucket", "a", "b", "n"])
+
+
+def sums(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Of packets sorted by bucket the keys with their sums, those of ``least`` or more. What is held of a bucket is
+    summed whenever it has doubled."""
+    now, held, size, most = None, [], 0, COUNTED
+
+    def total() -> tuple[Keys, np.ndarray]:
+        return counted(together([keys for keys, _ in held]), np.concatenate([n for _, n in held]))
+
+    def frequent() -> pa.RecordBatch:
+        (a, b), n = total()
+        enough = n >= least
+        return pa.record_batch([a[enough].view(np.int64), b[enough].view(np.int64), n[enough]], names=["a", "b", "f"])
+
+    for batch in batches:
+        for i, bucket in enumerate(batch.column(0).to_pylist()):
+            if bucket != now:
+                if held:
+                    yield frequent()
+                now, held, size, most = bucket, [], 0, COUNTED
+            a, b, n = (np.frombuffer(batch.column(j)[i].as_buffer(), kind) for j, kind in ((1, "<u8"), (2, "<u8"), (3, "<i8")))
+            held.append(((a, b), n))
+            size += len(n)
+            if size >= most:
+                held = [total()]
+                size = len(held[0][1])
+                most = max(COUNTED, 2 * size)
+    if held:
+        yield frequent()
 
 
 def _words(batches: Iterator[pa.RecordBatch], most_bytes: int = SMALL_BATCH) -> Iterator[Words]:
@@ -161,7 +215,11 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, Ke
 
 
 def _summed(rows: DataFrame, least: int) -> DataFrame:
-    return written(rows.groupBy("a", "b").agg(F.sum("n").alias("f")).where(F.col("f") >= least))
+    def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from sums(batches, least)
+
+    dealt = rows.repartition("bucket").sortWithinPartitions("bucket")
+    return written(dealt.mapInArrow(frequent, f"{KEYS}, f long"))
 
 
 def mine_phrases(
@@ -204,13 +262,13 @@ def mine_phrases(
             for _, keys in lengthened(batches):
                 held.append(keys)
                 if sum(len(a) for a, _ in held) >= COUNTED:
-                    yield counted(together(held))
+                    yield packets(*counted(together(held)))
                     held = []
             if held:
-                yield counted(together(held))
+                yield packets(*counted(together(held)))
 
         before = source if relation is None else relation
-        found = _summed(before.mapInArrow(counts, f"{KEYS}, n long"), least)
+        found = _summed(before.mapInArrow(counts, PACKETS), least)
         if found.isEmpty():
             break
         frequent.append(found)

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -175,3 +176,24 @@ def test_rows_of_a_relation_are_small_and_cut_at_gaps_only():
     for i, whole in enumerate(collocations.merged(place, keys)[1]):
         assert np.array_equal(np.concatenate([collocations.merged(*row)[1][i] for row in rows]), whole)
     assert not list(collocations._relation(place[:0], (keys[0][:0], keys[1][:0])))
+
+
+def test_counts_of_phrases_travel_in_packets(monkeypatch):
+    """A task sends a row for each bucket, not for each phrase, and the sums are exact; equal first halves are no hindrance."""
+    monkeypatch.setattr(collocations, "COUNTED", 50)
+    rng = np.random.default_rng(1)
+    many = rng.integers(0, 2**63, 100_000).astype(np.uint64)
+    made = collocations.packets(*collocations.counted((many, many)))
+    assert made.num_rows <= collocations.BUCKETS
+    assert collocations.packets(*collocations.counted((many[:0], many[:0]))).num_rows == 0
+    want, rows = Counter(), []
+    for _ in range(40):
+        keys = rng.integers(0, 6, 30).astype(np.uint64) * np.uint64(2**61), rng.integers(0, 3, 30).astype(np.uint64)
+        want.update(zip(*(x.tolist() for x in keys)))
+        rows += zip(*(x.to_pylist() for x in collocations.packets(*collocations.counted(keys)).columns))
+    rows.sort(key=lambda x: x[0])
+    columns = [pa.array(x, kind) for x, kind in zip(zip(*rows), made.schema.types)]
+    whole = pa.record_batch(columns, names=made.schema.names)
+    sums = collocations.sums((whole.slice(i, 7) for i in range(0, len(rows), 7)), 66)
+    got = [(np.uint64(a % 2**64), b, n) for one in sums for a, b, n in zip(*(x.to_pylist() for x in one.columns))]
+    assert sorted(got) == sorted((*key, n) for key, n in want.items() if n >= 66)
