@@ -140,14 +140,17 @@ def normal_below(z: Column) -> Column:
 
 
 def _each(array: str, fields: dict[str, object]) -> Column:
-    """The structs of an array with more fields; each maps to a function of the struct so far."""
+    """The structs of an array with more fields; each maps to a function of the struct without the others."""
     return F.transform(array, lambda x: _extended(x, fields))
 
 
 def _extended(x: Column, fields: dict) -> Column:
-    for name, make in fields.items():
-        x = x.withField(name, make(x))
-    return x
+    # made of x as it came: made of the one just extended, each field would repeat the expressions of those before it
+    made = {name: make(x) for name, make in fields.items()}
+    out = x
+    for name, value in made.items():
+        out = out.withField(name, value)
+    return out
 
 
 def with_candidates(found: DataFrame) -> DataFrame:

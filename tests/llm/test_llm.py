@@ -823,3 +823,10 @@ def test_pipeline_of_odd_rows(spark, odd):
     assert Counter(None if np.isnan(i) else int(i) for i in starts) == kept
     assert set(kept) == {5, -2, 7, 8}  # texts without a word are one group
     assert pieces.groupby("sequence_id").length.sum().max() <= 2048
+
+
+def test_secret_expressions_do_not_repeat_each_other(spark):
+    """The driver holds the expressions of a plan several times over, so they must not grow with each other."""
+    df = spark.createDataFrame([(1, "token = abcdefgh12")], "doc_id long, text string")
+    plan = secrets.with_candidates(secrets.with_base(df, F.col("text")))._jdf.queryExecution().analyzed().toString()
+    assert len(plan) < 60_000  # 455 thousand characters when each field was made of the struct with those before it
