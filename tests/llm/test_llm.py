@@ -830,3 +830,52 @@ def test_secret_expressions_do_not_repeat_each_other(spark):
     df = spark.createDataFrame([(1, "token = abcdefgh12")], "doc_id long, text string")
     plan = secrets.with_candidates(secrets.with_base(df, F.col("text")))._jdf.queryExecution().analyzed().toString()
     assert len(plan) < 60_000  # 455 thousand characters when each field was made of the struct with those before it
+
+
+def test_line_dedup_checks_many_pairs_at_once(monkeypatch):
+    """As ``similar`` says of each pair, whatever the cut of the batch; a line of many pairs is coded once."""
+    rng = random.Random(4)
+    lines = ["", "a", "ab cd", "aaaaaaaaaaaaaaaaaa", "aaaaaaa", "é漢字 " * 9, "x" * 9000]
+    for i in range(60):
+        line = "".join(rng.choices("abcdefgh é", k=rng.randrange(1, 90)))
+        lines += [line, line[: len(line) * 9 // 10], line.replace("a", "b", 1) + "tail"]
+    pairs = [*itertools.combinations(range(len(lines)), 2)]
+    src, dst = np.array(pairs).T
+    coded = [line_dedup.codes(x) for x in lines]
+    want = [(a, b) for a, b in pairs if line_dedup.similar(coded[a], coded[b])]
+    assert 50 < len(want) < len(pairs) // 2
+    texts = [lines[i] for i in src] + [lines[i] for i in dst]
+    seen, windows = [], line_dedup._windows
+    monkeypatch.setattr(line_dedup, "_windows", lambda x: seen.extend(x) or windows(x))
+    keep = line_dedup.similar_pairs(src, dst, texts)
+    assert [pairs[i] for i in np.flatnonzero(keep)] == want and len(seen) == len(lines)
+    batch = pa.record_batch([pa.array(src), pa.array(dst), pa.array(texts[: len(src)]), pa.array(texts[len(src) :])],
+                            names=["src", "dst", "a", "b"])
+    for most in (1, 5000, 1 << 30):
+        monkeypatch.setattr(line_dedup, "CHECKED", most)
+        made = line_dedup._similar(iter([batch, batch.slice(0, 0)]))
+        assert [p for x in made for p in zip(*(c.to_pylist() for c in x.columns))] == want
+
+
+def test_line_dedup_packets_are_few_and_lines_plain():
+    """A million rows of bands leave in some thousand packets; ``plain`` is the words of the lower-cased line."""
+    rng = np.random.default_rng(6)
+    assert line_dedup.packets(*rng.integers(-(2**63), 2**63 - 1, (2, 1 << 18))).num_rows <= 1 << 12
+    for line in ("A  b", " a", "a ", "a\tb", "a b", " ", "", "ΑΣ ΑΣ", "İx y", "a​b  c", "one two"):
+        assert line_dedup.plain(line) == " ".join(line.lower().split())
+
+
+def test_line_dedup_classes_of_repeated_and_linked_lines(spark):
+    """Lines that stand once and alone stay; of equal and of similar lines the first by document and place is kept,
+    also under null, repeated and negative ids."""
+    a = "the quick brown fox jumps over the lazy dog and runs far away from the river bank"
+    rows = [
+        (None, f"{a}\nonly here, in the document without an id"), (9, f"x{a}\n{a}"), (-3, f"{a}y\nsame\nsame"),
+        (-3, f"{a}y\nsame\nsame"), (4, "same\nanother line that stands alone in the corpus"),
+    ]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = [
+        (None, "only here, in the document without an id"), (9, ""), (-3, f"{a}y\nsame"), (-3, f"{a}y\nsame"),
+        (4, "another line that stands alone in the corpus"),
+    ]
+    assert Counter(map(tuple, got)) == Counter(want)
