@@ -879,3 +879,67 @@ def test_line_dedup_classes_of_repeated_and_linked_lines(spark):
         (4, "another line that stands alone in the corpus"),
     ]
     assert Counter(map(tuple, got)) == Counter(want)
+
+
+def long_lines(n, rng):
+    """Lines of 8 to 160 words of a few syllables, so that all share shingles, and near copies of some."""
+    syllables = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 3))) for _ in range(15)]
+    word = lambda: "".join(rng.choice(syllables) for _ in range(rng.randint(1, 3)))
+    lines = []
+    for i in range(n):
+        words = [word() for _ in range(rng.choice((8, 30, 100, 160)))]
+        lines.append(" ".join(words))
+        if i % 10 == 0:
+            words[0] = word()
+            lines.append(" ".join(words + [word()]))
+    return lines
+
+
+@pytest.mark.parametrize("cell", [1 << 23, 4000])
+def test_crowded_lines_move_once_for_each_block(spark, monkeypatch, cell):
+    monkeypatch.setattr(line_dedup, "CELL", cell, raising=False)  # 4000: many blocks of a class
+    lines = long_lines(200, random.Random(7))
+    root = [i - i % 3 if i > 150 else i for i in range(len(lines))]
+    crowd = spark.createDataFrame(list(zip(range(len(lines)), lines, root)), "id long, line string, root long")
+    found = [(r.src, r.dst) for r in line_dedup.crowded_links(crowd.repartition(5)).collect()]
+    coded = [line_dedup.codes(x) for x in lines]
+    alike = {(a, b) for a, b in itertools.combinations(range(len(lines)), 2) if line_dedup.similar(coded[a], coded[b])}
+    want = {(a, b) for a, b in alike if root[a] != root[b]}
+    assert len(want) > 10 and want < alike
+    assert len(found) == len(set(found)) and set(found) >= want and all(root[a] != root[b] for a, b in found)
+    assert len(found) <= 2 * len(want)  # long lines that share a shingle are not all pairs
+    assert line_dedup.crowded_links(crowd.limit(0)).count() == 0
+
+
+def test_classes_of_neighbours_hold_all_similar_lines():
+    sizes = np.arange(1, 3000)
+    kind = line_dedup.class_of(sizes)
+    assert (kind[(sizes / line_dedup.LEAST + 1e-9).astype(int).clip(max=2999) - 1] - kind <= 1).all()
+    assert all(line_dedup.width_of(k) >= 2 * n for n, k in zip(sizes.tolist(), kind.tolist()))
+    blocks = [3, 2, 0, 1]
+    cells = defaultdict(list)
+    for k, n in enumerate(blocks[:3]):
+        for block in range(n):
+            for cell, side in line_dedup.cells_of(k, block, blocks):
+                cells[cell].append((k, block, side))
+    met = [sorted(x[:2] for x in own) for own in cells.values()]
+    want = [[(0, a), (0, b)] for a in range(3) for b in range(a + 1, 3)] + [[(0, a)] for a in range(3)]
+    want += [[(0, a), (1, b)] for a in range(3) for b in range(2)] + [[(1, 0)], [(1, 1)], [(1, 0), (1, 1)]]
+    assert sorted(met) == sorted(want)
+    assert all([x[2] for x in sorted(own)] in ([2], [0, 1]) for own in cells.values())
+
+
+def test_lines_move_only_for_pairs_whose_fields_agree(spark, monkeypatch):
+    made, written = [], line_dedup.written
+    monkeypatch.setattr(line_dedup, "written", lambda df, *a, **b: made.append(written(df, *a, **b)) or made[-1])
+    lines = long_lines(30, random.Random(8))
+    table = spark.createDataFrame(list(enumerate(lines)), "id long, line string").mapInArrow(
+        line_dedup._with_fields, line_dedup.LINES
+    )
+    pairs = list(itertools.combinations(range(len(lines)), 2))
+    coded = [line_dedup.codes(x) for x in lines]
+    want = [(a, b) for a, b in pairs if line_dedup.similar(coded[a], coded[b])]
+    got = line_dedup._checked(spark.createDataFrame(pairs, line_dedup.LINKS), table)
+    assert sorted(map(tuple, got.collect())) == want and want
+    assert len(made) == 1 and made[0].columns == ["src", "dst"] and made[0].count() <= 2 * len(want)
+    assert "bit_count" not in got._jdf.queryExecution().optimizedPlan().toString()  # fields are compared before lines move
