@@ -943,3 +943,21 @@ def test_lines_move_only_for_pairs_whose_fields_agree(spark, monkeypatch):
     assert sorted(map(tuple, got.collect())) == want and want
     assert len(made) == 1 and made[0].columns == ["src", "dst"] and made[0].count() <= 2 * len(want)
     assert "bit_count" not in got._jdf.queryExecution().optimizedPlan().toString()  # fields are compared before lines move
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    from bandloom.llm import shared
+
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {x for x in manager.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in x}
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, old = files(), spark.conf.get(setting, None)
+    table = shared.written(spark.range(1000).groupBy((F.col("id") % 50).alias("k")).count())
+    assert table.count() == 50 and spark.conf.get(setting, None) == old
+    with shared.scratch_tables(spark):
+        shared.written(spark.range(1000).repartition(5, "id"))
+    end = time.time() + 20
+    while (left := files() - before) and time.time() < end:
+        time.sleep(0.2)
+    # those of the count, a query of its own, stay until they are collected
+    assert len({re.search(r"shuffle_(\d+)", x)[1] for x in left}) <= 1
